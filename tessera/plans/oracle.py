@@ -19,7 +19,7 @@ f1 AS (
   post AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-08-01 00:00:00')
   SELECT c.c_custkey AS id,
          CASE WHEN c.c_custkey % 13 = 0 THEN NULL
-              WHEN c.c_custkey % 205 = 5 THEN 'UNSEEN'
+              WHEN md5(concat('split|', CAST(c.c_custkey AS VARCHAR))) < '33' AND c.c_custkey % 41 = 5 THEN 'UNSEEN'
               WHEN c.c_custkey % 331 = 1 THEN 'SHIPYARD'
               WHEN c.c_custkey % 97 = 2 THEN concat(c.c_mktsegment, 'S')
               ELSE c.c_mktsegment END AS segment,
