@@ -92,3 +92,21 @@ def literal_map(pairs: Sequence[tuple], key_type: str = "string") -> Column | No
     for k, v in pairs:
         flat += [F.lit(k).cast(key_type), F.lit(v)]
     return F.create_map(*flat)
+
+
+def top_k_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int,
+                    tie_cols: Sequence[str] = (), buckets: int = 64) -> DataFrame:
+    """Exact top-k rows per group without putting a whole group in one task.
+
+    Rows are first ranked inside (group, hash bucket) — parallel, since a big group is
+    spread over ``buckets`` tasks — keeping k per bucket; the survivors (at most
+    k * buckets per group) are ranked once more per group.  The global top-k is contained
+    in the union of per-bucket top-k, so the result is exact.  Adds ``rank`` (1-based).
+    """
+    from pyspark.sql import Window
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in tie_cols] or [F.lit(0)]), F.lit(buckets))
+    w1 = Window.partitionBy(group, "__bk").orderBy(*order)
+    first = (df.withColumn("__bk", spread).withColumn("__r", F.row_number().over(w1))
+             .filter(F.col("__r") <= k).drop("__r", "__bk"))
+    w2 = Window.partitionBy(group).orderBy(*order)
+    return first.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
