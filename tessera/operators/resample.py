@@ -87,3 +87,49 @@ def n_synthetic(counts: dict, minority, majority, sampling_strategy="auto") -> i
 def numeric_features(df: DataFrame, features: Sequence[str] | None, exclude: Sequence[str]) -> list[str]:
     from ..functions.kinds import numeric_columns
     return list(features) if features is not None else numeric_columns(df, exclude)
+
+
+# ----------------------------------------------------------------------------- IB3 / IB4
+def _neighbours(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: int):
+    from ..functions.neighbors import knn_join
+    from ..session import cut_lineage
+    base = cut_lineage(df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
+                                 F.array(*[q(c).cast("double") for c in features]).alias("vec")))
+    n = base.count()
+    nn = knn_join(base, base, k, q_count=n, b_count=n)
+    ys = base.select("id", "y")
+    nn = (nn.join(ys.withColumnRenamed("id", "qid").withColumnRenamed("y", "qy"), "qid")
+          .join(ys.withColumnRenamed("id", "nid").withColumnRenamed("y", "ny"), "nid"))
+    return base, nn
+
+
+def tomek_links(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+                remove: str = "majority") -> DataFrame:
+    """IB3 — a Tomek link is a pair of opposite-class rows that are each other's nearest
+    neighbour; the majority member of every link is removed (``remove='both'`` drops both)."""
+    feats = numeric_features(df, features, (id_col, label))
+    base, nn = _neighbours(df, label, id_col, feats, 1)
+    first = nn.filter(F.col("rank") == 1).select("qid", "nid", "qy", "ny")
+    mutual = first.alias("x").join(first.alias("y"), (F.col("x.qid") == F.col("y.nid")) & (F.col("x.nid") == F.col("y.qid")))
+    links = mutual.filter(F.col("x.qy") != F.col("x.ny")).select(F.col("x.qid").alias("id"), F.col("x.qy").alias("y"))
+    if remove == "majority":
+        _, majority, _ = minority_majority(df, label)
+        links = links.filter(F.col("y") == F.lit(majority))
+    drop = links.select(F.col("id").alias("__drop")).distinct()
+    return df.join(drop, q(id_col).cast("long") == F.col("__drop"), "left_anti")
+
+
+def edited_nearest_neighbours(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+                              n_neighbors: int = 3, clean: str = "majority") -> DataFrame:
+    """IB4 — a row of a cleaned class is removed unless ALL its k nearest other rows share
+    its class (kind_sel='all'); ``clean='majority'`` cleans the majority class only
+    ('auto'), ``'all'`` every class."""
+    feats = numeric_features(df, features, (id_col, label))
+    base, nn = _neighbours(df, label, id_col, feats, n_neighbors)
+    agree = nn.groupBy("qid", "qy").agg(F.bool_and(F.col("qy") == F.col("ny")).alias("ok"))
+    bad = agree.filter(~F.col("ok"))
+    if clean == "majority":
+        _, majority, _ = minority_majority(df, label)
+        bad = bad.filter(F.col("qy") == F.lit(majority))
+    drop = bad.select(F.col("qid").alias("__drop"))
+    return df.join(drop, q(id_col).cast("long") == F.col("__drop"), "left_anti")
