@@ -45,7 +45,8 @@ def _targets(counts: dict, strategy) -> tuple:
     return minority, majority
 
 
-def undersample(df: DataFrame, label: str, id_col: str, sampling_strategy="auto", seed: int = 42) -> DataFrame:
+def undersample(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+                sampling_strategy="auto", seed: int = 42) -> DataFrame:
     """IB2 — keep every minority row; keep exactly the wanted number of every other class
     (``'auto'``: the minority count; float r: floor(n_min / r)), chosen by seeded hash."""
     counts = class_counts(df, label)
@@ -68,7 +69,7 @@ class Resampler(Fitted):
         return self.fn(df, **self.kwargs) if self.fn is not None else df
 
 
-def identity(df: DataFrame, **_) -> DataFrame:
+def identity(df: DataFrame, *args, **kwargs) -> DataFrame:
     return df
 
 
@@ -133,3 +134,187 @@ def edited_nearest_neighbours(df: DataFrame, label: str, id_col: str = "id", fea
         bad = bad.filter(F.col("qy") == F.lit(majority))
     drop = bad.select(F.col("qid").alias("__drop"))
     return df.join(drop, q(id_col).cast("long") == F.col("__drop"), "left_anti")
+
+
+# ----------------------------------------------------------------------------- IB5-IB9
+def _hash_unit(*cols, seed: int = 42):
+    """Seeded uniform in [0, 1) from a 64-bit hash (deterministic, partition-independent)."""
+    h = F.xxhash64(F.lit(seed), *cols)
+    return (F.pmod(h, F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40)))
+
+
+def _synthesise(seeds: DataFrame, partners: DataFrame, copies: DataFrame, feats: Sequence[str],
+                label: str, minority, id_offset: int, seed: int, u_max_col: str | None = None) -> DataFrame:
+    """seeds: (id, vec); partners: (qid, rank, pvec[, u_max]); copies: (id, n_copies).
+    For copy j of seed s: partner rank from a seeded hash, u in [0, u_max) from another."""
+    from ..session import cut_lineage
+    k = partners.agg(F.max("rank").alias("k")).first()["k"] or 0
+    if k == 0:
+        return None
+    ex = (copies.filter(F.col("n_copies") > 0)
+          .withColumn("j", F.explode(F.sequence(F.lit(1), F.col("n_copies")))))
+    nk = partners.groupBy("qid").agg(F.max("rank").alias("nk"))
+    ex = ex.join(nk.withColumnRenamed("qid", "id"), "id")
+    ex = ex.withColumn("rank", (F.pmod(F.xxhash64(F.lit(seed), F.lit("nb"), "id", "j"), F.col("nk")) + 1).cast("int"))
+    ex = ex.withColumn("u", _hash_unit(F.lit("u"), "id", "j", seed=seed))
+    j = (ex.join(seeds, "id")
+         .join(partners.withColumnRenamed("qid", "id"), ["id", "rank"]))
+    u = F.col("u") * (F.col("u_max") if u_max_col else F.lit(1.0))
+    new_vec = F.zip_with("vec", "pvec", lambda a, b: a + u * (b - a))
+    out = j.select(new_vec.alias("vec"))
+    out = out.withColumn("id", F.lit(id_offset) + F.monotonically_increasing_id())
+    out = cut_lineage(out)  # ids fixed once
+    return out.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(feats)],
+                      F.lit(minority).alias(label))
+
+
+def _copies(ids: DataFrame, total: int, seed: int, purpose: str) -> DataFrame:
+    """Spread ``total`` copies over the rows of ``ids`` (id) exactly: base copies for all,
+    one more for the first (total mod n) rows in seeded hash order."""
+    n = ids.count()
+    if n == 0 or total <= 0:
+        return ids.select("id", F.lit(0).alias("n_copies"))
+    base, extra = divmod(total, n)
+    first = exact_first_n(ids, None, "id", {"": extra}, seed, purpose) if extra else F.lit(False)
+    return ids.select("id", (F.lit(base) + first.cast("int")).alias("n_copies"))
+
+
+def _prep(df, label, id_col, features):
+    feats = numeric_features(df, features, (id_col, label))
+    mn, mj, counts = minority_majority(df, label)
+    return feats, mn, mj, counts
+
+
+def _vec_table(df, id_col, feats):
+    return df.select(q(id_col).cast("long").alias("id"), F.array(*[q(c).cast("double") for c in feats]).alias("vec"))
+
+
+def _append(df, syn, id_col, label, feats):
+    if syn is None:
+        return df
+    syn = syn.withColumnRenamed("id", id_col)
+    for c in df.columns:
+        if c not in syn.columns:
+            syn = syn.withColumn(c, F.lit(None).cast(df.schema[c].dataType))
+    syn = syn.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+    return df.unionByName(syn)
+
+
+def smote(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+          k_neighbors: int = 5, sampling_strategy="auto", seed: int = 42) -> DataFrame:
+    """IB5 — SMOTE: x + u * (neighbour - x), neighbour among the k nearest minority rows,
+    u in [0, 1); exactly n_majority - n_minority new rows for 'auto' (floor(r * n_maj) -
+    n_min for a float r), spread evenly over the minority rows in seeded hash order."""
+    from ..functions.neighbors import knn_join
+    feats, mn, mj, counts = _prep(df, label, id_col, features)
+    g = n_synthetic(counts, mn, mj, sampling_strategy)
+    if g == 0:
+        return df
+    minority = _vec_table(df.filter(q(label) == F.lit(mn)), id_col, feats)
+    nmin = counts[mn]
+    nn = knn_join(minority, minority, min(k_neighbors, max(nmin - 1, 1)), q_count=nmin, b_count=nmin)
+    partners = nn.join(minority.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
+        .select("qid", "rank", "pvec")
+    copies = _copies(minority.select("id"), g, seed, "smote")
+    offset = (df.agg(F.max(q(id_col).cast("long"))).first()[0] or 0) + 1
+    syn = _synthesise(minority, partners, copies, feats, label, mn, offset, seed)
+    return _append(df, syn, id_col, label, feats)
+
+
+def borderline_smote(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+                     k_neighbors: int = 5, m_neighbors: int = 10, kind: str = "borderline-1",
+                     sampling_strategy="auto", seed: int = 42) -> DataFrame:
+    """IB6 — seeds are the "danger" minority rows (m/2 <= majority among m neighbours < m).
+    borderline-1 interpolates with minority neighbours only; borderline-2 also with the
+    nearest majority rows, using u in [0, 0.5) for those (as in the paper)."""
+    from ..functions.neighbors import knn_join
+    feats, mn, mj, counts = _prep(df, label, id_col, features)
+    g = n_synthetic(counts, mn, mj, sampling_strategy)
+    if g == 0:
+        return df
+    allv = df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
+                     F.array(*[q(c).cast("double") for c in feats]).alias("vec"))
+    n = sum(counts.values())
+    minority = allv.filter(F.col("y") == F.lit(mn)).select("id", "vec")
+    nn_all = knn_join(minority, allv, m_neighbors, q_count=counts[mn], b_count=n)
+    maj = (nn_all.join(allv.select(F.col("id").alias("nid"), "y"), "nid")
+           .groupBy("qid").agg(F.sum((F.col("y") != F.lit(mn)).cast("int")).alias("n_maj")))
+    danger = maj.filter((F.col("n_maj") >= m_neighbors / 2.0) & (F.col("n_maj") < m_neighbors)) \
+        .select(F.col("qid").alias("id"))
+    seeds = minority.join(danger, "id", "left_semi")
+    if seeds.limit(1).count() == 0:
+        return df
+    nmin = counts[mn]
+    nn_min = knn_join(seeds, minority, min(k_neighbors, max(nmin - 1, 1)), b_count=nmin)
+    partners = nn_min.join(minority.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
+        .select("qid", "rank", "pvec", F.lit(1.0).alias("u_max"))
+    if kind == "borderline-2":
+        others = allv.filter(F.col("y") != F.lit(mn)).select("id", "vec")
+        nn_maj = knn_join(seeds, others, k_neighbors, exclude_self=False)
+        kmin = partners.agg(F.max("rank")).first()[0] or 0
+        pm = nn_maj.join(others.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
+            .select("qid", (F.col("rank") + F.lit(kmin)).alias("rank"), "pvec", F.lit(0.5).alias("u_max"))
+        partners = partners.unionByName(pm)
+    copies = _copies(seeds.select("id"), g, seed, "bsmote")
+    offset = (df.agg(F.max(q(id_col).cast("long"))).first()[0] or 0) + 1
+    syn = _synthesise(seeds, partners, copies, feats, label, mn, offset, seed, u_max_col="u_max")
+    return _append(df, syn, id_col, label, feats)
+
+
+def adasyn(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+           n_neighbors: int = 5, sampling_strategy="auto", seed: int = 42) -> DataFrame:
+    """IB7 — ADASYN: r_i = majority share among the k nearest rows of minority row i;
+    copies_i = round(r_i / sum(r) * G); interpolation with minority neighbours."""
+    from ..functions.neighbors import knn_join
+    feats, mn, mj, counts = _prep(df, label, id_col, features)
+    g = n_synthetic(counts, mn, mj, sampling_strategy)
+    if g == 0:
+        return df
+    allv = df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
+                     F.array(*[q(c).cast("double") for c in feats]).alias("vec"))
+    minority = allv.filter(F.col("y") == F.lit(mn)).select("id", "vec")
+    nmin, n = counts[mn], sum(counts.values())
+    nn_all = knn_join(minority, allv, n_neighbors, q_count=nmin, b_count=n)
+    r = (nn_all.join(allv.select(F.col("id").alias("nid"), "y"), "nid")
+         .groupBy("qid").agg(F.avg((F.col("y") != F.lit(mn)).cast("double")).alias("r")))
+    tot = r.agg(F.sum("r")).first()[0] or 0.0
+    if tot == 0:
+        return df
+    copies = r.select(F.col("qid").alias("id"), F.round(F.col("r") / F.lit(tot) * F.lit(g)).cast("int").alias("n_copies"))
+    nn_min = knn_join(minority, minority, min(n_neighbors, max(nmin - 1, 1)), q_count=nmin, b_count=nmin)
+    partners = nn_min.join(minority.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
+        .select("qid", "rank", "pvec")
+    offset = (df.agg(F.max(q(id_col).cast("long"))).first()[0] or 0) + 1
+    syn = _synthesise(minority, partners, copies, feats, label, mn, offset, seed)
+    return _append(df, syn, id_col, label, feats)
+
+
+def smote_enn(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+              smote_k: int = 3, enn_k: int = 3, sampling_strategy="auto", clean: str = "all", seed: int = 42):
+    """IB8 — SMOTE then ENN (``clean='all'`` cleans both classes, as the published
+    combination; 'majority' cleans only the majority)."""
+    from ..session import cut_lineage
+    s = cut_lineage(smote(df, label, id_col, features, smote_k, sampling_strategy, seed))
+    return edited_nearest_neighbours(s, label, id_col, features, enn_k, clean)
+
+
+def smote_tomek(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str] | None = None,
+                smote_k: int = 5, sampling_strategy="auto", remove: str = "both", seed: int = 42):
+    """IB9 — SMOTE then removal of Tomek links (both members by default)."""
+    from ..session import cut_lineage
+    s = cut_lineage(smote(df, label, id_col, features, smote_k, sampling_strategy, seed))
+    return tomek_links(s, label, id_col, features, remove)
+
+
+RESAMPLERS = {
+    "Original": identity,
+    "RandomUnderSampler": undersample,
+    "TomekLinks": tomek_links,
+    "EditedNearestNeighbours": edited_nearest_neighbours,
+    "SMOTE": smote,
+    "BorderlineSMOTE": borderline_smote,
+    "ADASYN": adasyn,
+    "SMOTEENN": smote_enn,
+    "SMOTETomek": smote_tomek,
+}
+QUICK = ["Original", "RandomUnderSampler", "SMOTE", "SMOTETomek"]
