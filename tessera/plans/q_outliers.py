@@ -259,3 +259,25 @@ def ct6_group_strategy(spark, sf):
     df = f1(spark, sf)
     fit = ct.CategoricalTreatment("group", cols=_CATS, threshold=0.02).fit(train_of(df))
     return fit.transform(df).select("id", "is_test", *_CATS)
+
+
+# ------------------------------------------------------------------------------- CT4 / CT6 combined
+@query("ct4_typos")
+def ct4_typos(spark, sf):
+    from ..operators.typos import TypoCorrection
+    df = f1(spark, sf)
+    return TypoCorrection(["segment", "nation", "region"]).fit(train_of(df)).corrections()
+
+
+@query("ct4_typos_multi")
+def ct4_typos_multi(spark, sf):
+    from ..operators.typos import TypoCorrection
+    p = table(spark, sf, "part").select("p_name", "p_type")
+    return TypoCorrection(["p_name", "p_type"], use_multiple_metrics=True).fit(p).corrections()
+
+
+@query("ct6_combined")
+def ct6_combined(spark, sf):
+    df = f1(spark, sf)
+    fit = ct.CategoricalTreatment("combined", cols=_CATS, add_flags=True).fit(train_of(df))
+    return fit.transform(df.select("id", "is_test", *_CATS))
