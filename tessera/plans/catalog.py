@@ -84,4 +84,4 @@ def train_of(df: DataFrame) -> DataFrame:
 
 
 # Importing the query modules fills the registry.
-from . import q_core, q_encode, q_neighbors, q_outliers, q_profile, q_resample, q_select  # noqa: E402,F401
+from . import q_core, q_encode, q_models, q_neighbors, q_outliers, q_profile, q_resample, q_select  # noqa: E402,F401
