@@ -14,25 +14,96 @@ from pyspark.sql import functions as F
 
 from .kinds import q
 
-# Quantile strategies.  "exact" uses Spark's `percentile` (interpolated like pandas
-# `quantile` / DuckDB `quantile_cont`); its partial state is a value->count map, so its
-# memory grows with the number of distinct values per group.  "approx" uses
-# `percentile_approx` with bounded memory (rank error 1/accuracy) for very large data.
-EXACT, APPROX = "exact", "approx"
+# Quantile strategies.
+#   "exact" (default): interpolated exactly like pandas `quantile` / DuckDB
+#       `quantile_cont`, computed with bounded memory in two passes (see
+#       `exact_quantiles`): a `percentile_approx` sketch brackets each needed order
+#       statistic, then one more aggregate counts the rows below the bracket and keeps
+#       only the values strictly inside it (at most ~8n/ACCURACY values per target).
+#   "map": Spark's `percentile` (exact, one pass, but its state is a value->count map
+#       that grows with the number of distinct values).
+#   "approx": `percentile_approx` only (rank error n/accuracy, no interpolation).
+EXACT, MAP, APPROX = "exact", "map", "approx"
+ACCURACY = 100_000
 
 
 def _pct(col: Column, probs: Sequence[float], method: str, accuracy: int) -> Column:
+    """Single-pass quantile expression (used inside grouped aggregates)."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
     if method == APPROX:
         return F.percentile_approx(col, arr, accuracy)
     return F.percentile(col, arr)
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles for all columns in two bounded-memory passes."""
+    delta = 3.0 / accuracy
+    brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
+    aggs = [F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)]
+    aggs += [F.percentile_approx(q(c).cast("double"), F.array(*[F.lit(b) for b in brackets]), accuracy).alias(f"a{i}")
+             for i, c in enumerate(cols)]
+    r1 = df.agg(*aggs).first()
+    plan = []  # (column index, lo, hi, [ranks])
+    for i, c in enumerate(cols):
+        n = r1[f"n{i}"]
+        if not n:
+            continue
+        approx = dict(zip(brackets, r1[f"a{i}"]))
+        for j, p in enumerate(probs):
+            h = (n - 1) * p
+            k1 = int(h // 1)
+            k2 = min(k1 + 1, n - 1)
+            lo = approx[min(1.0, max(0.0, p - delta))]
+            hi = approx[min(1.0, max(0.0, p + delta))]
+            plan.append((i, j, lo, hi, k1, k2, h - k1))
+    if not plan:
+        return {c: [None] * len(probs) for c in cols}
+    aggs2 = []
+    for t, (i, j, lo, hi, k1, k2, _) in enumerate(plan):
+        x = q(cols[i]).cast("double")
+        aggs2 += [F.sum((x < F.lit(lo)).cast("long")).alias(f"lt{t}"),
+                  F.sum((x == F.lit(lo)).cast("long")).alias(f"eqlo{t}"),
+                  F.sum((x == F.lit(hi)).cast("long")).alias(f"eqhi{t}"),
+                  F.array_sort(F.collect_list(F.when((x > F.lit(lo)) & (x < F.lit(hi)), x))).alias(f"mid{t}")]
+    r2 = df.agg(*aggs2).first()
+    out = {c: [None] * len(probs) for c in cols}
+    redo = set()
+    for t, (i, j, lo, hi, k1, k2, frac) in enumerate(plan):
+        lt, eqlo, eqhi, mid = r2[f"lt{t}"], r2[f"eqlo{t}"], r2[f"eqhi{t}"], r2[f"mid{t}"] or []
+        if hi == lo:
+            eqhi = 0
+
+        def at(k):
+            r = k - lt
+            if r < 0:
+                return None
+            if r < eqlo:
+                return lo
+            r -= eqlo
+            if r < len(mid):
+                return mid[r]
+            r -= len(mid)
+            return hi if r < eqhi else None
+        v1, v2 = at(k1), at(k2)
+        if v1 is None or v2 is None:
+            redo.add(i)
+            continue
+        # numpy's lerp (pandas quantile): a + (b-a)t below one half, b - (b-a)(1-t) above
+        out[cols[i]][j] = v1 if not frac else (v1 + (v2 - v1) * frac if frac < 0.5 else v2 - (v2 - v1) * (1 - frac))
+    if redo:  # the sketch missed its error bound: fall back to the one-pass exact map
+        fb = [cols[i] for i in sorted(redo)]
+        out.update(quantiles(df, fb, probs, MAP))
+    return out
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = EXACT, accuracy: int = 10000) -> dict[str, list[float | None]]:
-    """{col: [q(p) for p in probs]} in one aggregate; all-null column -> Nones."""
+    """{col: [q(p) for p in probs]}; all-null column -> Nones."""
     if not cols:
         return {}
+    if method == EXACT:
+        return exact_quantiles(df, cols, probs)
     row = df.agg(*[_pct(q(c), probs, method, accuracy).alias(f"q{i}")
                    for i, c in enumerate(cols)]).first()
     out = {}
@@ -104,3 +175,54 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return (wide.select(F.col("__n").alias("n_total"), F.inline(rows))
             .select("column", "position", "n_total", "n_non_null",
                     (F.col("n_total") - F.col("n_non_null")).alias("n_null")))
+
+
+def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.5, method: str = EXACT,
+                     accuracy: int = ACCURACY, out: str = "q") -> DataFrame:
+    """Exact interpolated p-quantile of ``x`` per group of ``keys`` -> (keys..., out).
+
+    "exact": two grouped passes with bounded state — a percentile_approx bracket per group,
+    then per group the count below the bracket, the counts equal to its ends and only the
+    values strictly inside (<= ~8 n_g / accuracy per group, so a hot group holding a third
+    of all rows stays bounded).  "map": Spark's one-pass `percentile`."""
+    keys = list(keys)
+    xv = F.col(x).cast("double")
+    if method != EXACT:
+        return long.groupBy(*keys).agg(_pct(xv, [p], method, accuracy)[0].alias(out))
+    d = 3.0 / accuracy
+    plo, phi = max(0.0, p - d), min(1.0, p + d)
+    s1 = (long.filter(xv.isNotNull()).groupBy(*keys)
+          .agg(F.count(xv).alias("__n"), F.percentile_approx(xv, F.array(F.lit(plo), F.lit(phi)), accuracy).alias("__a"))
+          .select(*keys, "__n", F.col("__a")[0].alias("__lo"), F.col("__a")[1].alias("__hi")))
+    j = long.filter(xv.isNotNull()).join(s1, keys)
+    lo, hi = F.col("__lo"), F.col("__hi")
+    s2 = j.groupBy(*keys).agg(
+        F.first("__n").alias("__n"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"),
+        F.sum((xv < lo).cast("long")).alias("__lt"), F.sum((xv == lo).cast("long")).alias("__eqlo"),
+        F.sum(((xv == hi) & (hi != lo)).cast("long")).alias("__eqhi"),
+        F.array_sort(F.collect_list(F.when((xv > lo) & (xv < hi), xv))).alias("__mid"))
+    h = (F.col("__n") - 1) * F.lit(p)
+    k1 = F.floor(h)
+    k2 = F.least(k1 + 1, F.col("__n") - 1)
+    frac = h - k1
+
+    def at(k):
+        r = k - F.col("__lt")
+        in_mid = r - F.col("__eqlo")
+        return (F.when(r < F.col("__eqlo"), lo)
+                .when(in_mid < F.size("__mid"), F.element_at("__mid", (in_mid + 1).cast("int")))
+                .otherwise(hi))
+    v1, v2 = at(k1), at(k2)
+    val = F.when(frac == 0, v1).when(frac < 0.5, v1 + (v2 - v1) * frac).otherwise(v2 - (v2 - v1) * (F.lit(1.0) - frac))
+    return s2.select(*keys, val.alias(out))
+
+
+def grouped_quantiles_wide(df: DataFrame, key: Column, cols: Sequence[str], p: float = 0.5,
+                           method: str = EXACT, prefix: str = "__g") -> DataFrame:
+    """(__key, {prefix}0.., {prefix}k) : per-group p-quantile of each column (null key
+    rows dropped), via the long view and a pivot over the (few) column indexes."""
+    items = F.array(*[F.struct(F.lit(i).alias("__t"), q(c).cast("double").alias("__x")) for i, c in enumerate(cols)])
+    long = df.filter(key.isNotNull()).select(key.alias("__key"), F.inline(items))
+    qq = grouped_quantile(long, ["__key", "__t"], "__x", p, method)
+    wide = qq.groupBy("__key").pivot("__t", list(range(len(cols)))).agg(F.first("q"))
+    return wide.select("__key", *[F.col(str(i)).alias(f"{prefix}{i}") for i in range(len(cols))])

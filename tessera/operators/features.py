@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.dictionary import Dictionary, long_values, lookup
 from ..functions.kinds import categorical_columns, is_categorical, numeric_columns, q
-from ..functions.stats import EXACT, _pct
+from ..functions.stats import EXACT, _pct, grouped_quantile, medians, quantiles
 from .base import Fitted, Op
 
 
@@ -52,7 +52,7 @@ class DomainFeatures(Op):
         self.flag_a, self.flag_b, self.tenure, self.monthly, self.total = flag_a, flag_b, tenure, monthly, total
 
     def fit(self, df: DataFrame) -> FittedDomain:
-        med = df.agg(F.median(q(self.tenure)).alias("m")).first()["m"]
+        med = medians(df, [self.tenure])[self.tenure]
         return FittedDomain(self.flag_a, self.flag_b, self.monthly, self.total, med)
 
 
@@ -125,22 +125,21 @@ class GroupStats(Op):
         nums = list(self.num_cols) if self.num_cols is not None else numeric_columns(df, self.exclude)[:5]
         if not cats or not nums:
             return FittedGroupStats(cats, nums, None, {})
-        aggs = []
-        for j, n in enumerate(nums):
-            aggs += [F.avg(q(n)).alias(f"mean{j}"),
-                     _pct(q(n), [0.5], self.quantile_method, 10000)[0].alias(f"median{j}")]
-        orow = df.agg(*aggs).first()
+        orow = df.agg(*[F.avg(q(n)).alias(f"mean{j}") for j, n in enumerate(nums)]).first()
+        meds = quantiles(df, nums, [0.5], self.quantile_method)
         overall = {}
         for j, n in enumerate(nums):
             overall[(n, "mean")] = orow[f"mean{j}"]
-            overall[(n, "median")] = orow[f"median{j}"]
+            overall[(n, "median")] = meds[n][0]
         long = long_values(df, cats, [q(n).cast("double").alias(f"__n{j}") for j, n in enumerate(nums)],
                            keep_nulls=False)
-        gaggs = []
-        for j in range(len(nums)):
-            gaggs += [F.avg(f"__n{j}").alias(f"__mean{j}"),
-                      _pct(F.col(f"__n{j}"), [0.5], self.quantile_method, 10000)[0].alias(f"__median{j}")]
-        table = long.groupBy("column", "value").agg(*gaggs)
+        means = long.groupBy("column", "value").agg(*[F.avg(f"__n{j}").alias(f"__mean{j}") for j in range(len(nums))])
+        items = F.array(*[F.struct(F.lit(j).alias("__t"), F.col(f"__n{j}").alias("__x")) for j in range(len(nums))])
+        mlong = long.select("column", "value", F.inline(items))
+        med = grouped_quantile(mlong, ["column", "value", "__t"], "__x", 0.5, self.quantile_method)
+        medw = med.groupBy("column", "value").pivot("__t", list(range(len(nums)))).agg(F.first("q"))
+        medw = medw.select("column", "value", *[F.col(str(j)).alias(f"__median{j}") for j in range(len(nums))])
+        table = means.join(medw, ["column", "value"], "left")
         return FittedGroupStats(cats, nums, Dictionary.materialise(table), overall)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.dictionary import Dictionary, lookup
 from ..functions.kinds import INTEGRAL_TYPES, categorical_columns, numeric_columns, q
-from ..functions.stats import EXACT, _pct
+from ..functions.stats import EXACT, _pct, grouped_quantiles_wide, quantiles
 from .base import Fitted, Op
 
 UNKNOWN = "Unknown"
@@ -90,10 +90,11 @@ class NumericFill(Op):
             return FittedFill({}, [])
         if self.strategy == "constant":
             values = {c: self.constant for c in cols}
+        elif self.strategy == "median":
+            qs = quantiles(df, cols, [0.5], self.quantile_method)
+            values = {c: qs[c][0] for c in cols}
         else:
-            aggs = [(_pct(q(c), [0.5], self.quantile_method, 10000)[0] if self.strategy == "median"
-                     else F.avg(q(c))).alias(f"s{i}") for i, c in enumerate(cols)]
-            row = df.agg(*aggs).first()
+            row = df.agg(*[F.avg(q(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
             values = {c: row[f"s{i}"] for i, c in enumerate(cols)}
         return FittedFill(values, cols if self.add_indicator else [])
 
@@ -158,11 +159,16 @@ class GroupNumericFill(Op):
             targets = [c for c in self.target_cols if c in df.columns and c != self.group_col]
         if not targets:
             return FittedGroupFill(self.group_col, [], None, {})
-        overall_row = df.agg(*[self._agg(c).alias(f"o{i}") for i, c in enumerate(targets)]).first()
-        overall = {c: overall_row[f"o{i}"] for i, c in enumerate(targets)}
-        table = (df.filter(q(self.group_col).isNotNull())
-                 .groupBy(q(self.group_col).cast("string").alias("__key"))
-                 .agg(*[self._agg(c).cast("double").alias(f"__g{i}") for i, c in enumerate(targets)]))
+        if self.stat == "median":
+            qs = quantiles(df, targets, [0.5], self.quantile_method)
+            overall = {c: qs[c][0] for c in targets}
+            table = grouped_quantiles_wide(df, q(self.group_col).cast("string"), targets, 0.5, self.quantile_method)
+        else:
+            overall_row = df.agg(*[self._agg(c).alias(f"o{i}") for i, c in enumerate(targets)]).first()
+            overall = {c: overall_row[f"o{i}"] for i, c in enumerate(targets)}
+            table = (df.filter(q(self.group_col).isNotNull())
+                     .groupBy(q(self.group_col).cast("string").alias("__key"))
+                     .agg(*[self._agg(c).cast("double").alias(f"__g{i}") for i, c in enumerate(targets)]))
         return FittedGroupFill(self.group_col, targets, Dictionary.materialise(table), overall)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dictionary import long_values
 from ..functions.kinds import categorical_columns, is_numeric, numeric_columns, q
-from ..functions.stats import EXACT, _pct, corr_long
+from ..functions.stats import EXACT, corr_long, quantiles
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -63,13 +63,17 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = EXA
     for i, c in enumerate(cols):
         x = q(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 _pct(x, [0.25, 0.5, 0.75], method, 10000).alias(f"p{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
+    # exact quartiles with bounded memory (two more passes for all columns together)
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], method)
+
+    def lit(v):
+        return F.lit(v).cast("double")
     rows = F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"p{i}")[0].alias("p25"),
-        F.col(f"p{i}")[1].alias("p50"), F.col(f"p{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max"))
+        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), lit(qs[c][0]).alias("p25"),
+        lit(qs[c][1]).alias("p50"), lit(qs[c][2]).alias("p75"), F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(cols)])
     return wide.select(F.inline(rows))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kinds import numeric_columns, q
-from ..functions.stats import EXACT, _pct, corr_long, medians
+from ..functions.stats import EXACT, corr_long, medians, quantiles
 from .base import Fitted, Op
 
 
@@ -97,13 +97,20 @@ class MutualInfo(Op):
         cols = _features(df, self.features, self.exclude)
         med = medians(df, cols)
         probs = [i / self.bins for i in range(1, self.bins)]
-        stats = df.agg(*[F.count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(cols)],
-                       *[_pct(q(c).cast("double"), probs, self.quantile_method, 10000).alias(f"e{i}")
-                         for i, c in enumerate(cols)]).first()
+        # sketch distinct counts first (bounded state); exact counts only for the columns the
+        # sketch places near or below max_exact; exact deciles in two bounded passes
+        dist = df.agg(*[F.approx_count_distinct(q(c), 0.01).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+        small = [c for i, c in enumerate(cols) if dist[f"a{i}"] <= 2 * self.max_exact]
+        exact_d = df.agg(*[F.count_distinct(q(c)).alias(c) for c in small]).first().asDict() if small else {}
+        qs = quantiles(df, cols, probs, self.quantile_method)
+        stats = {}
+        for i, c in enumerate(cols):
+            stats[f"d{i}"] = exact_d.get(c, self.max_exact + 1)
+            stats[f"e{i}"] = qs[c]
         items = []
         for i, c in enumerate(cols):
             x = F.coalesce(q(c).cast("double"), F.lit(med[c]))
-            if stats[f"d{i}"] <= self.max_exact or stats[f"e{i}"] is None:
+            if stats[f"d{i}"] <= self.max_exact or stats[f"e{i}"][0] is None:
                 b = x
             else:
                 edges = sorted(set(stats[f"e{i}"]))
