@@ -18,23 +18,27 @@ def _mv1(strategy, **kw):
         df = f1(spark, sf)
         fit = mv.NumericFill(strategy, exclude=["id", "in_debt"], add_indicator=True, **kw).fit(train_of(df))
         out = fit.transform(df)
-        return out.select("id", "is_test", *[r6(c) for c in F1_NUM], *[f"{c}_missing" for c in F1_NUM])
+        # an indicator exists only for columns with nulls in the fit frame (reference rule)
+        inds = [F.col(f"{c}_missing") if f"{c}_missing" in out.columns else F.lit(None).cast("int").alias(f"{c}_missing")
+                for c in F1_NUM]
+        return out.select("id", "is_test", *[r6(c) for c in F1_NUM], *inds)
     return run
 
 
-def _mv1_sql(stat: str) -> str:
-    fills = ", ".join(f"{stat}({c}) AS s_{c}" for c in F1_NUM)
-    cols = ", ".join(f"sig(coalesce(CAST(f1.{c} AS DOUBLE), s.s_{c})) AS {c}" for c in F1_NUM)
-    inds = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in F1_NUM)
-    return f1_sql(f"SELECT id, is_test, {cols}, {inds} FROM f1, s", f"s AS (SELECT {fills} FROM tr)")
+def _mv1_sql(stat: str | None) -> str:
+    has = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) > 0 AS h_{c}" for c in F1_NUM)
+    fills = ", ".join(f"{stat}({c}) AS s_{c}" for c in F1_NUM) if stat else ", ".join(f"-1.0 AS s_{c}" for c in F1_NUM)
+    cols = ", ".join(f"sig(CASE WHEN h.h_{c} THEN coalesce(CAST(f1.{c} AS DOUBLE), s.s_{c}) ELSE f1.{c} END) AS {c}"
+                     for c in F1_NUM)
+    inds = ", ".join(f"CASE WHEN h.h_{c} THEN CAST({c} IS NULL AS INTEGER) END AS {c}_missing" for c in F1_NUM)
+    src = " FROM tr" if stat else ""
+    return f1_sql(f"SELECT id, is_test, {cols}, {inds} FROM f1, s, h",
+                  f"s AS (SELECT {fills}{src}), h AS (SELECT {has} FROM tr)")
 
 
 query("mv1_median", _mv1_sql("median"))(_mv1("median"))
 query("mv1_mean", _mv1_sql("avg"))(_mv1("mean"))
-query("mv1_constant", f1_sql(
-    "SELECT id, is_test, " + ", ".join(f"sig(coalesce(CAST({c} AS DOUBLE), -1.0)) AS {c}" for c in F1_NUM)
-    + ", " + ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in F1_NUM) + " FROM f1"))(
-    _mv1("constant", constant=-1.0))
+query("mv1_constant", _mv1_sql(None))(_mv1("constant", constant=-1.0))
 
 
 # ------------------------------------------------------------------------------- MV3

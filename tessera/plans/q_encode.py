@@ -114,17 +114,17 @@ _REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
 @query("en7_dispatch", f1_sql(
-    """SELECT id, is_test, sig(coalesce(fq.f, m.mf)) AS segment, """ + ", ".join(
+    """SELECT id, is_test, sig(coalesce(fq.f, m.mf)) AS nation, """ + ", ".join(
         f"CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS \"region_{r}\"" for r in _REGIONS[1:]) + """
-       FROM f1 LEFT JOIN fq ON f1.segment = fq.v, m""",
-    """c AS (SELECT segment AS v, count(*) AS n FROM tr WHERE segment IS NOT NULL GROUP BY 1),
+       FROM f1 LEFT JOIN fq ON f1.nation = fq.v, m""",
+    """c AS (SELECT nation AS v, count(*) AS n FROM tr WHERE nation IS NOT NULL GROUP BY 1),
        fq AS (SELECT v, n / (SELECT sum(n) FROM c) AS f FROM c),
        m AS (SELECT avg(f) AS mf FROM fq)"""))
 def en7_dispatch(spark, sf):
-    df = f1(spark, sf).select("id", "is_test", "segment", "region")
-    fit = en.Encode("onehot", columns=["segment", "region"], onehot_threshold=10).fit(train_of(df))
+    df = f1(spark, sf).select("id", "is_test", "nation", "region")
+    fit = en.Encode("onehot", columns=["nation", "region"], onehot_threshold=10).fit(train_of(df))
     out = fit.transform(df)
-    return out.select("id", "is_test", r6("segment"), *[f"region_{r}" for r in _REGIONS[1:]])
+    return out.select("id", "is_test", r6("nation"), *[f"region_{r}" for r in _REGIONS[1:]])
 
 
 @query("en8_target_codes", f1_sql(
