@@ -72,12 +72,12 @@ def boosting_lgbm(label: str, features: Sequence[str], seed: int = 42, **_):
 
 
 def boosting_cat(label: str, features: Sequence[str], categorical: Sequence[str] = (), cardinality: int = 0,
-                 seed: int = 42, **_):
+                 seed: int = 42, max_iter: int = 100, **_):
     """ML6 — "cat" profile: 100 rounds, depth 6, lr 0.1, 128 bins, balanced weights, native
     categorical splits (string columns indexed with an 'unknown' slot)."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
     feats = [f for f in features if f not in categorical] + [f"{c}__idx" for c in categorical]
-    gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=100, stepSize=0.1, maxDepth=6,
+    gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, stepSize=0.1, maxDepth=6,
                         maxBins=max(128, cardinality + 2), weightCol="weight", seed=seed)
     return Pipeline(stages=[*idx, _assembler(feats), gbt])
 

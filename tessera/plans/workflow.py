@@ -62,9 +62,12 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
     cats = categorical_columns(train, (label,))
     nums = numeric_columns(train, (label, id_col))
 
-    # experiment 1: raw columns (native categorical splits), nulls left to the learner
-    raw_model, _ = ml.train_model(cfg.model, train, label, nums + cats, categorical=cats, **cfg.model_kw)
-    raw = ml.evaluate(raw_model, test, label)
+    # experiment 1: raw columns (native categorical splits); a missing number is placed
+    # below every observed value (the boosting library's default "Min" treatment)
+    lows = train.agg(*[(F.min(c) - F.lit(1.0)).alias(c) for c in nums]).first().asDict() if nums else {}
+    raw_tr, raw_te = train.fillna(lows), test.fillna(lows)
+    raw_model, _ = ml.train_model(cfg.model, raw_tr, label, nums + cats, categorical=cats, **cfg.model_kw)
+    raw = ml.evaluate(raw_model, raw_te, label)
 
     if cfg.mad_outliers:
         b = od.MADOutliers(nums).fit(train)
@@ -94,8 +97,7 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
         tr, va = tv.filter(~F.col("is_valid")).drop("is_valid"), tv.filter("is_valid").drop("is_valid")
         chosen, _ = ml.auto_select_resampler(tr, va, label, id_col, feats, cfg.quick_resample, cfg.seed)
         train = cut_lineage(RESAMPLERS[chosen](train.select(id_col, label, *feats), label, id_col, feats))
-    model, _ = ml.train_model(cfg.model if cfg.model != "CatBoost" else "GradientBoosting", train, label, feats,
-                              **cfg.model_kw)
+    model, _ = ml.train_model(cfg.model, train, label, feats, categorical=[], **cfg.model_kw)
     processed = ml.evaluate(model, test, label)
     table = compare_metrics(_metrics_frame(spark, raw), _metrics_frame(spark, processed))
     return {"raw": raw, "processed": processed, "comparison": table, "features": feats, "resampler": chosen}
