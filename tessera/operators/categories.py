@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dictionary import Dictionary, category_counts, lookup, top_k_per_group
 from ..functions.kinds import categorical_columns, q
+from ..session import cached
 from .base import Fitted, Op
 
 METHODS = ("rare", "string", "unexpected")
@@ -159,9 +160,13 @@ class CategoryOutliers(Op):
 
     def fit(self, df: DataFrame) -> FittedCategoryOutliers:
         cols = list(self.cols) if self.cols is not None else categorical_columns(df, self.exclude)
-        total = df.count()
         if not cols:
-            return FittedCategoryOutliers([], None, self.methods, total)
+            return FittedCategoryOutliers([], None, self.methods, df.count())
+        with cached(df, cols) as d:
+            return self._fit(d, cols)
+
+    def _fit(self, df: DataFrame, cols: list) -> FittedCategoryOutliers:
+        total = df.count()
         counts = category_counts(df, cols, keep_nulls=False)
         v = F.col("value")
         rare = ((F.col("n") / F.lit(float(max(total, 1)))) < self.threshold) | (F.col("n") < self.min_count)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.dictionary import Dictionary, long_values, lookup
 from ..functions.kinds import categorical_columns, is_categorical, numeric_columns, q
 from ..functions.stats import EXACT, _pct, grouped_quantile, medians, quantiles
+from ..session import cached
 from .base import Fitted, Op
 
 
@@ -125,6 +126,10 @@ class GroupStats(Op):
         nums = list(self.num_cols) if self.num_cols is not None else numeric_columns(df, self.exclude)[:5]
         if not cats or not nums:
             return FittedGroupStats(cats, nums, None, {})
+        with cached(df, cats + nums) as d:
+            return self._fit(d, cats, nums)
+
+    def _fit(self, df: DataFrame, cats: list, nums: list) -> FittedGroupStats:
         orow = df.agg(*[F.avg(q(n)).alias(f"mean{j}") for j, n in enumerate(nums)]).first()
         meds = quantiles(df, nums, [0.5], self.quantile_method)
         overall = {}

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.dictionary import Dictionary, lookup
 from ..functions.kinds import INTEGRAL_TYPES, categorical_columns, numeric_columns, q
 from ..functions.stats import EXACT, _pct, grouped_quantiles_wide, quantiles
+from ..session import cached
 from .base import Fitted, Op
 
 UNKNOWN = "Unknown"
@@ -84,6 +85,10 @@ class NumericFill(Op):
                     cols.append(c)
                 else:
                     warnings.warn(f"column {c!r} is absent or not numeric; skipped")
+        with cached(df, cols) as d:
+            return self._fit(d, cols)
+
+    def _fit(self, df: DataFrame, cols: list) -> FittedFill:
         if self.columns_with_nulls == "train":
             cols = _cols_with_nulls(df, cols)
         if not cols:
@@ -159,6 +164,10 @@ class GroupNumericFill(Op):
             targets = [c for c in self.target_cols if c in df.columns and c != self.group_col]
         if not targets:
             return FittedGroupFill(self.group_col, [], None, {})
+        with cached(df, [self.group_col] + targets) as d:
+            return self._fit(d, targets)
+
+    def _fit(self, df: DataFrame, targets: list) -> FittedGroupFill:
         if self.stat == "median":
             qs = quantiles(df, targets, [0.5], self.quantile_method)
             overall = {c: qs[c][0] for c in targets}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.kinds import numeric_columns, q
 from ..functions.stats import EXACT, mad_bounds, quantiles
+from ..session import cached
 from .base import Fitted, Op
 
 
@@ -76,7 +77,8 @@ class IQROutliers(Op):
 
     def fit(self, df: DataFrame) -> Bounds:
         cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)
-        qs = quantiles(df, cols, [0.25, 0.75], self.quantile_method)
+        with cached(df, cols) as d:
+            qs = quantiles(d, cols, [0.25, 0.75], self.quantile_method)
         lo, hi = {}, {}
         for c in cols:
             q1, q3 = qs[c]
@@ -100,7 +102,8 @@ class MADOutliers(Op):
 
     def fit(self, df: DataFrame) -> Bounds:
         cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)
-        lo, hi = mad_bounds(df, cols, self.k, self.quantile_method)
+        with cached(df, cols) as d:
+            lo, hi = mad_bounds(d, cols, self.k, self.quantile_method)
         if self.zero_mad == "skip":
             for c in [c for c in lo if lo[c] == hi[c]]:
                 lo.pop(c)

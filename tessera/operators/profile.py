@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dictionary import long_values
 from ..functions.kinds import categorical_columns, is_numeric, numeric_columns, q
 from ..functions.stats import EXACT, corr_long, quantiles
+from ..session import cached
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -66,7 +67,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = EXA
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     # exact quartiles with bounded memory (two more passes for all columns together)
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], method)
+    with cached(df, cols) as d:
+        qs = quantiles(d, cols, [0.25, 0.5, 0.75], method)
 
     def lit(v):
         return F.lit(v).cast("double")

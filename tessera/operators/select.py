@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.kinds import numeric_columns, q
 from ..functions.stats import EXACT, corr_long, medians, quantiles
+from ..session import cached
 from .base import Fitted, Op
 
 
@@ -56,8 +57,9 @@ class LowVariance(Op):
         return out.withColumn("kept", F.coalesce(keep, F.lit(False)))
 
     def fit(self, df: DataFrame) -> FittedSelection:
-        s = self.scores(df)
-        rows = s.collect()  # one row per feature
+        with cached(df, _features(df, self.features, self.exclude)) as d:
+            s = self.scores(d)
+            rows = s.collect()  # one row per feature
         return FittedSelection([r["feature"] for r in rows if r["kept"]],
                                [r["feature"] for r in rows if not r["kept"]], s)
 
@@ -132,9 +134,10 @@ class MutualInfo(Op):
         return mi.withColumn("kept", F.col("mi") > F.lit(self.threshold))
 
     def fit(self, df: DataFrame) -> FittedSelection:
-        s = self.scores(df)
-        rows = {r["feature"]: r for r in s.collect()}
         cols = _features(df, self.features, self.exclude)
+        with cached(df, cols + [self.label]) as d:
+            s = self.scores(d)
+            rows = {r["feature"]: r for r in s.collect()}
         return FittedSelection([c for c in cols if rows[c]["kept"]], [c for c in cols if not rows[c]["kept"]], s,
                                {"mi": {c: rows[c]["mi"] for c in cols}})
 

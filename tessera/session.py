@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
@@ -60,3 +62,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def cached(df: DataFrame, cols=None):
+    """Persist (memory, spilling to disk) the projected fit frame for the few passes of a
+    fit; released afterwards.  Lost blocks are recomputed from lineage."""
+    from pyspark import StorageLevel
+    d = df.select(*[F.col(f"`{c}`") for c in cols]) if cols is not None else df
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield d
+    finally:
+        d.unpersist()
