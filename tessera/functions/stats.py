@@ -152,16 +152,20 @@ def corr_long(df: DataFrame, cols: Sequence[str], pairs: str = "upper",
     """
     if targets is not None:
         plist = [(a, t) for t in targets for a in cols if a != t]
-    elif pairs == "upper":
-        plist = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     else:
-        plist = [(a, b) for a in cols for b in cols]
-    if not plist:
+        plist = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not plist and pairs == "upper":
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    wide = df.agg(*[null_safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}")
-                    for i, (a, b) in enumerate(plist)])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                              F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(plist)])
+    aggs = [null_safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(plist)]
+    full = targets is None and pairs != "upper"
+    if full:  # symmetric: compute each unordered pair once, the diagonal from the variance
+        aggs += [(F.var_pop(q(c).cast("double")) > 0).alias(f"v{k}") for k, c in enumerate(cols)]
+    wide = df.agg(*aggs)
+    items = [(a, b, F.col(f"r{i}")) for i, (a, b) in enumerate(plist)]
+    if full:
+        items += [(b, a, F.col(f"r{i}")) for i, (a, b) in enumerate(plist)]
+        items += [(c, c, F.when(F.col(f"v{k}"), F.lit(1.0))) for k, c in enumerate(cols)]
+    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.cast("double").alias("r")) for a, b, r in items])
     return wide.select(F.inline(rows))
 
 
