@@ -24,7 +24,8 @@ from .kinds import q
 #       that grows with the number of distinct values).
 #   "approx": `percentile_approx` only (rank error n/accuracy, no interpolation).
 EXACT, MAP, APPROX = "exact", "map", "approx"
-ACCURACY = 100_000
+ACCURACY = 10_000
+MAX_BRACKET = 200_000  # values kept per order statistic in the final pass
 
 
 def _pct(col: Column, probs: Sequence[float], method: str, accuracy: int) -> Column:
@@ -36,8 +37,14 @@ def _pct(col: Column, probs: Sequence[float], method: str, accuracy: int) -> Col
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles for all columns in two bounded-memory passes."""
+                    accuracy: int = ACCURACY, max_bracket: int = MAX_BRACKET) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles for all columns with bounded memory.
+
+    Pass 1 sketches every column; while a bracket could still hold more than
+    ``max_bracket`` rows (n > ~max_bracket * accuracy / 8), one more pass re-sketches the
+    rows inside each bracket only, shrinking it by a factor of about accuracy / 6; the
+    final pass keeps the values inside the brackets.  Two passes up to ~2.5e8 rows per
+    column, three up to ~1e12."""
     delta = 3.0 / accuracy
     brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
     aggs = [F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)]
@@ -59,6 +66,37 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             plan.append((i, j, lo, hi, k1, k2, h - k1))
     if not plan:
         return {c: [None] * len(probs) for c in cols}
+    est = [8.0 * r1[f"n{i}"] / accuracy for (i, *_r) in plan]
+    for _ in range(8):
+        big = [t for t in range(len(plan)) if est[t] > max_bracket]
+        if not big:
+            break
+        aggs_n = []
+        for t in big:
+            i, j, lo, hi = plan[t][:4]
+            x = q(cols[i]).cast("double")
+            inb = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            k1, k2 = plan[t][4], plan[t][5]
+            aggs_n += [F.sum((x < F.lit(lo)).cast("long")).alias(f"lt{t}"), F.sum(inb.cast("long")).alias(f"c{t}")]
+        rn = df.agg(*aggs_n).first()
+        aggs_s, probs_of = [], {}
+        for t in big:
+            i, j, lo, hi, k1, k2, frac = plan[t]
+            lt, cnt = rn[f"lt{t}"], rn[f"c{t}"]
+            pl = max(0.0, (k1 - lt) / cnt - delta) if cnt else 0.0
+            ph = min(1.0, (k2 - lt + 1) / cnt + delta) if cnt else 1.0
+            probs_of[t] = (pl, ph, cnt)
+            x = q(cols[i]).cast("double")
+            inb = (x >= F.lit(lo)) & (x <= F.lit(hi))
+            aggs_s.append(F.percentile_approx(F.when(inb, x), F.array(F.lit(pl), F.lit(ph)), accuracy).alias(f"s{t}"))
+        rs = df.agg(*aggs_s).first()
+        for t in big:
+            pl, ph, cnt = probs_of[t]
+            sk = rs[f"s{t}"]
+            if sk and sk[0] is not None:
+                i, j, lo, hi, k1, k2, frac = plan[t]
+                plan[t] = (i, j, sk[0], sk[1], k1, k2, frac)
+            est[t] = (ph - pl) * cnt + 2.0 * cnt / accuracy
     aggs2 = []
     for t, (i, j, lo, hi, k1, k2, _) in enumerate(plan):
         x = q(cols[i]).cast("double")

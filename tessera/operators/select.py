@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.kinds import numeric_columns, q
@@ -45,21 +45,24 @@ class LowVariance(Op):
         self.threshold, self.features, self.exclude = threshold, features, exclude
 
     def scores(self, df: DataFrame) -> DataFrame:
+        """(feature, variance, constant, kept) — one row per feature, computed from the
+        projected fit frame persisted across its three passes."""
         cols = _features(df, self.features, self.exclude)
-        med = medians(df, cols)
-        filled = [F.coalesce(q(c).cast("double"), F.lit(med[c])) for c in cols]
-        wide = df.agg(*[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(filled)],
-                      *[(F.max(x) == F.min(x)).alias(f"k{i}") for i, x in enumerate(filled)])
-        rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias("variance"),
-                                  F.col(f"k{i}").alias("constant")) for i, c in enumerate(cols)])
-        out = wide.select(F.inline(rows))
-        keep = (F.col("variance") > F.lit(self.threshold)) & ~F.coalesce(F.col("constant"), F.lit(True))
-        return out.withColumn("kept", F.coalesce(keep, F.lit(False)))
+        with cached(df, cols) as d:
+            med = medians(d, cols)
+            filled = [F.coalesce(q(c).cast("double"), F.lit(med[c])) for c in cols]
+            w = d.agg(*[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(filled)],
+                      *[(F.max(x) == F.min(x)).alias(f"k{i}") for i, x in enumerate(filled)]).first()
+        rows = []
+        for i, c in enumerate(cols):
+            v, k = w[f"v{i}"], w[f"k{i}"]
+            kept = bool(v is not None and v > self.threshold and k is False)
+            rows.append((c, v, k, kept))
+        return df.sparkSession.createDataFrame(rows, "feature string, variance double, constant boolean, kept boolean")
 
     def fit(self, df: DataFrame) -> FittedSelection:
-        with cached(df, _features(df, self.features, self.exclude)) as d:
-            s = self.scores(d)
-            rows = s.collect()  # one row per feature
+        s = self.scores(df)
+        rows = s.collect()  # one row per feature
         return FittedSelection([r["feature"] for r in rows if r["kept"]],
                                [r["feature"] for r in rows if not r["kept"]], s)
 
@@ -97,14 +100,15 @@ class MutualInfo(Op):
 
     def binned(self, df: DataFrame) -> DataFrame:
         cols = _features(df, self.features, self.exclude)
-        med = medians(df, cols)
         probs = [i / self.bins for i in range(1, self.bins)]
         # sketch distinct counts first (bounded state); exact counts only for the columns the
         # sketch places near or below max_exact; exact deciles in two bounded passes
-        dist = df.agg(*[F.approx_count_distinct(q(c), 0.01).alias(f"a{i}") for i, c in enumerate(cols)]).first()
+        dist = df.agg(*[F.approx_count_distinct(q(c), 0.05).alias(f"a{i}") for i, c in enumerate(cols)]).first()
         small = [c for i, c in enumerate(cols) if dist[f"a{i}"] <= 2 * self.max_exact]
         exact_d = df.agg(*[F.count_distinct(q(c)).alias(c) for c in small]).first().asDict() if small else {}
-        qs = quantiles(df, cols, probs, self.quantile_method)
+        qs = quantiles(df, cols, probs + [0.5], self.quantile_method)  # deciles and the median, 2 passes
+        med = {c: qs[c][-1] for c in cols}
+        qs = {c: qs[c][:-1] for c in cols}
         stats = {}
         for i, c in enumerate(cols):
             stats[f"d{i}"] = exact_d.get(c, self.max_exact + 1)
@@ -123,21 +127,26 @@ class MutualInfo(Op):
         return df.select(q(self.label).cast("string").alias("y"), F.inline(F.array(*items)))
 
     def scores(self, df: DataFrame) -> DataFrame:
-        long = self.binned(df)
-        n = float(df.count())
-        joint = long.groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("nxy"))
-        px = joint.groupBy("feature", "bin").agg(F.sum("nxy").alias("nx"))
-        py = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))
-        t = joint.join(px, ["feature", "bin"]).join(py, ["feature", "y"])
-        term = (F.col("nxy") / n) * F.log((F.col("nxy") * n) / (F.col("nx") * F.col("ny")))
-        mi = t.groupBy("feature").agg(F.sum(term).alias("mi"))
-        return mi.withColumn("kept", F.col("mi") > F.lit(self.threshold))
+        """(feature, mi, kept) — the projected fit frame is persisted across the passes; the
+        contingency table (features x bins x classes) is small and joined locally."""
+        cols = _features(df, self.features, self.exclude)
+        with cached(df, cols + [self.label]) as d:
+            long = self.binned(d)
+            joint = long.groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("nxy"))
+            n = F.sum("nxy").over(Window.partitionBy("feature"))
+            nx = F.sum("nxy").over(Window.partitionBy("feature", "bin"))
+            ny = F.sum("nxy").over(Window.partitionBy("feature", "y"))
+            t = joint.select("feature", "nxy", n.cast("double").alias("n"), nx.alias("nx"), ny.alias("ny"))
+            term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
+            rows = t.groupBy("feature").agg(F.sum(term).alias("mi")).collect()  # one row per feature
+        mi = {r["feature"]: r["mi"] for r in rows}
+        out = [(c, mi.get(c), bool(mi.get(c) is not None and mi[c] > self.threshold)) for c in cols]
+        return df.sparkSession.createDataFrame(out, "feature string, mi double, kept boolean")
 
     def fit(self, df: DataFrame) -> FittedSelection:
         cols = _features(df, self.features, self.exclude)
-        with cached(df, cols + [self.label]) as d:
-            s = self.scores(d)
-            rows = {r["feature"]: r for r in s.collect()}
+        s = self.scores(df)
+        rows = {r["feature"]: r for r in s.collect()}
         return FittedSelection([c for c in cols if rows[c]["kept"]], [c for c in cols if not rows[c]["kept"]], s,
                                {"mi": {c: rows[c]["mi"] for c in cols}})
 

@@ -55,6 +55,9 @@ def test_exact_quantiles_match_numpy_with_hot_value(spark):
     got = exact_quantiles(df, ["x"], probs, accuracy=200)["x"]
     want = np.quantile(x, probs)
     assert np.allclose(got, want, rtol=0, atol=1e-12)
+    # force the narrowing passes (brackets limited to 20 values)
+    got2 = exact_quantiles(df, ["x"], probs, accuracy=50, max_bracket=20)["x"]
+    assert np.allclose(got2, want, rtol=0, atol=1e-12)
 
 
 def test_grouped_quantile_matches_pandas(spark):
