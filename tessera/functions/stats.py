@@ -219,14 +219,20 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                     (F.col("n_total") - F.col("n_non_null")).alias("n_null")))
 
 
+HOT_GROUPS = 64  # hot groups handled one by one with the narrowing global algorithm
+
+
 def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.5, method: str = EXACT,
-                     accuracy: int = ACCURACY, out: str = "q") -> DataFrame:
+                     accuracy: int = ACCURACY, out: str = "q", max_bracket: int = MAX_BRACKET) -> DataFrame:
     """Exact interpolated p-quantile of ``x`` per group of ``keys`` -> (keys..., out).
 
-    "exact": two grouped passes with bounded state — a percentile_approx bracket per group,
-    then per group the count below the bracket, the counts equal to its ends and only the
-    values strictly inside (<= ~8 n_g / accuracy per group, so a hot group holding a third
-    of all rows stays bounded).  "map": Spark's one-pass `percentile`."""
+    "exact": a percentile_approx bracket per group, then per group the count below the
+    bracket, the counts equal to its ends and only the values strictly inside (about
+    8 n_g / accuracy values).  Hot groups whose bracket could exceed ``max_bracket``
+    values (a key holding a large share of all rows) are taken out and solved one by one
+    with ``exact_quantiles``, whose narrowing passes keep memory bounded at any size.
+    "map": Spark's one-pass `percentile`."""
+    from ..session import cut_lineage
     keys = list(keys)
     xv = F.col(x).cast("double")
     if method != EXACT:
@@ -236,6 +242,20 @@ def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.
     s1 = (long.filter(xv.isNotNull()).groupBy(*keys)
           .agg(F.count(xv).alias("__n"), F.percentile_approx(xv, F.array(F.lit(plo), F.lit(phi)), accuracy).alias("__a"))
           .select(*keys, "__n", F.col("__a")[0].alias("__lo"), F.col("__a")[1].alias("__hi")))
+    s1 = cut_lineage(s1)
+    hot_n = max_bracket * accuracy / 8.0
+    hot = s1.filter(F.col("__n") > F.lit(hot_n)).select(*keys).limit(HOT_GROUPS).collect()
+    hot_parts = []
+    for h in hot:
+        cond = None
+        for k in keys:
+            c = F.col(k).isNull() if h[k] is None else (F.col(k) == F.lit(h[k]))
+            cond = c if cond is None else cond & c
+        v = exact_quantiles(long.filter(cond), [x], [p], accuracy, max_bracket)[x][0]
+        hot_parts.append(tuple(h[k] for k in keys) + (v,))
+    if hot:
+        hot_df = long.sparkSession.createDataFrame(hot_parts, s1.select(*keys).schema.add(out, "double"))
+        s1 = s1.join(F.broadcast(hot_df.select(*keys)), keys, "left_anti")
     j = long.filter(xv.isNotNull()).join(s1, keys)
     lo, hi = F.col("__lo"), F.col("__hi")
     s2 = j.groupBy(*keys).agg(
@@ -256,7 +276,8 @@ def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.
                 .otherwise(hi))
     v1, v2 = at(k1), at(k2)
     val = F.when(frac == 0, v1).when(frac < 0.5, v1 + (v2 - v1) * frac).otherwise(v2 - (v2 - v1) * (F.lit(1.0) - frac))
-    return s2.select(*keys, val.alias(out))
+    res = s2.select(*keys, val.alias(out))
+    return res.unionByName(hot_df) if hot else res
 
 
 def grouped_quantiles_wide(df: DataFrame, key: Column, cols: Sequence[str], p: float = 0.5,

@@ -69,6 +69,10 @@ def test_grouped_quantile_matches_pandas(spark):
     want = pdf.groupby("g")["x"].median().to_dict()
     for k in want:
         assert math.isclose(got[k], want[k], abs_tol=1e-12)
+    # every group "hot": solved one by one with narrowing passes
+    got2 = {r["g"]: r["q"] for r in grouped_quantile(df, ["g"], "x", 0.5, accuracy=50, max_bracket=8).collect()}
+    for k in want:
+        assert math.isclose(got2[k], want[k], abs_tol=1e-12)
 
 
 def test_null_safe_corr(spark):
