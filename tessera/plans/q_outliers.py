@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import categories as ct
 from ..operators import outliers as od
 from ..sources.readers import table
-from .catalog import f1, f3, query, r6, train_of
+from .catalog import ORACLES, f1, f3, query, r6, train_of
 from .oracle import f1_sql, f3_sql
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -281,3 +281,19 @@ def ct6_combined(spark, sf):
     df = f1(spark, sf)
     fit = ct.CategoricalTreatment("combined", cols=_CATS, add_flags=True).fit(train_of(df))
     return fit.transform(df.select("id", "is_test", *_CATS))
+
+
+@query("ct6_mode_strategy", ORACLES["ct2_mode"])
+def ct6_mode_strategy(spark, sf):
+    """CT6 dispatcher, strategy 'mode' (same result as CT2 through the dispatcher)."""
+    df = f1(spark, sf)
+    fit = ct.CategoricalTreatment("mode", cols=_CATS).fit(train_of(df))
+    return fit.transform(df).select("id", "is_test", *_CATS)
+
+
+@query("ct6_correct_strategy")
+def ct6_correct_strategy(spark, sf):
+    """CT6 dispatcher, strategy 'correct' (automatic typo correction applied to all rows)."""
+    df = f1(spark, sf)
+    fit = ct.CategoricalTreatment("correct", cols=_CATS).fit(train_of(df))
+    return fit.transform(df.select("id", "is_test", *_CATS))
