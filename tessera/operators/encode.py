@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dictionary import Dictionary, category_counts, long_values, lookup
 from ..functions.kinds import categorical_columns, q
+from ..functions.prefix import running_totals
 from .base import Fitted, Op
 
 NAN = "nan"  # pandas' text for a missing value after astype(str)
@@ -38,8 +39,12 @@ def _codes_table(df: DataFrame, cols: Sequence[str], null_as: str | None) -> Dat
     src = df.select(*[(F.coalesce(q(c).cast("string"), F.lit(null_as)) if null_as is not None else q(c).cast("string")).alias(c)
                       for c in cols])
     vals = long_values(src, cols, keep_nulls=False).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return vals.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    # global position in (column, value) order by range partitioning + running offsets,
+    # rebased per column: no column's distinct values are ranked inside one task
+    ranked = running_totals(vals.withColumn("__one", F.lit(1)), ["column", "value"], ["__one"])
+    base = ranked.groupBy("column").agg(F.min("__rank").alias("__base"))
+    return (ranked.join(F.broadcast(base), "column")
+            .select("column", "value", (F.col("__rank") - F.col("__base")).cast("int").alias("code")))
 
 
 def _lk(df, key, table: Dictionary, column, values):

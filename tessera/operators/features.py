@@ -196,8 +196,8 @@ class CatPairs(Op):
         wide = df.select(*[pair_expr(a, b).alias(f"{a}_{b}") for a, b in pairs])
         names = [f"{a}_{b}" for a, b in pairs]
         counts = long_values(wide, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        total = F.sum("n").over(_by_column())
-        shares = counts.withColumn("share", F.col("n") / total)
+        total = df.count()  # every pair column has one value per row
+        shares = counts.withColumn("share", F.col("n") / F.lit(float(max(total, 1))))
         rare = Dictionary.materialise(shares.filter(F.col("share") < self.min_freq).select("column", "value"))
         seen = Dictionary.materialise(counts.select("column", "value")) if self.unseen == "other" else None
         return FittedCatPairs(pairs, rare, self.unseen, seen)
