@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.dictionary import Dictionary, category_counts, lookup
 from ..functions.kinds import categorical_columns, q
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from .base import Fitted, Op
 
 ALL_PAIRS_LIMIT = 256  # distinct values per column below which every pair is scored
@@ -148,6 +148,7 @@ class TypoCorrection(Op):
         cols = list(self.cols) if self.cols is not None else categorical_columns(df, self.exclude)
         if not cols:
             return FittedTypos([], None)
+        ship_package(df.sparkSession)
         counts = category_counts(df, cols, keep_nulls=False)
         x = normalise(F.col("value")) if self.normalize else F.col("value")
         vals = cut_lineage(counts.select("column", "value", "n", x.alias("x")))
