@@ -64,6 +64,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
+    back: cuts the lineage, survives lost executors and (unlike ``checkpoint``) computes
+    the frame only once."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def cached(df: DataFrame, cols=None):
     """Persist (memory, spilling to disk) the projected fit frame for the few passes of a

@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import metrics as mt
-from tessera.functions.neighbors import connected_components, eps_pairs, knn_join
+from tessera.functions.components import connected_components
+from tessera.functions.neighbors import eps_pairs, knn_join
 from tessera.functions.prefix import running_totals
 from tessera.functions.stats import corr_long, exact_quantiles, grouped_quantile
 from tessera.operators.split import exact_first_n, stratified_split
@@ -150,3 +151,16 @@ def test_connected_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6), (7, 7)], "a long, b long")
     cc = {r["id"]: r["component"] for r in connected_components(edges).collect()}
     assert cc == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 7: 7}
+
+
+def test_components_of_a_long_path(spark):
+    from tessera.functions.components import connected_components
+    import random
+    ids = list(range(1000))
+    random.Random(3).shuffle(ids)
+    e = spark.createDataFrame(list(zip(ids, ids[1:])) + [(5000, 5001), (7000, 7000), (None, 3)], "a long, b long")
+    got = {r["id"]: r["component"] for r in connected_components(e).collect()}
+    assert len(got) == 1003
+    assert {got[i] for i in ids} == {0}
+    assert got[5001] == got[5000] == 5000 and got[7000] == 7000
+    assert connected_components(e.limit(0)).count() == 0
