@@ -3,9 +3,15 @@
 
 from __future__ import annotations
 
+from .bpe import op2_bpe_codec
 from .decontaminate import op10_decontaminate
+from .jaccard_join import op9_jaccard_join
+from .token_counts import op6_token_counts
 
 QUERIES = {
+    "op2_bpe_codec": op2_bpe_codec,
+    "op6_token_counts": op6_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES: dict[str, str] = {}
