@@ -2,7 +2,7 @@
 
 * **Index.**  One pass over the whole texts stores, per training document, the postings
   (term, position) of the terms that the test items use.  Terms reach the tasks as a bitmap
-  of fixed size (``2**FILTER_BITS`` bits, 8 MB), whatever the size of the benchmark: false
+  of fixed size (``2**FILTER_BITS`` bits, 8 MB; see ``bitmap``), whatever the size of the benchmark: false
   positives only add postings.  For exact phrases a posting matters only inside a run of at
   least ``shortest window`` indexed terms, so all others are left out (lossless).
 * **Search.**  For every window of an item the rarest term (by its postings) gives the
@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stage_table
+from .bitmap import drop_rows, identified, in_bitmap, make_bitmap
 from .textnum import Words, alnum_words, blocks, docs, lists
 
-FILTER_BITS = 26
 SALTS = 16
 
 
@@ -52,29 +52,11 @@ def _item_windows(window: int):
     return run
 
 
-def _bitmap(terms: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of ``bits`` (power of two) bits with the bit of each long in ``term`` set; at
-    most bits / 64 rows reach the driver."""
-    slot = F.col("term").bitwiseAND(F.lit(bits - 1))
-    word = (terms.select(F.shiftright(slot, 6).alias("w"), F.expr("shiftleft(1L, cast(term & 63 as int))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")))
-    got = word.toPandas()
-    out = np.zeros(bits // 64, np.uint64)
-    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Membership of uint64 hashes in a bitmap made by ``_bitmap``."""
-    slot = h & np.uint64(len(bitmap) * 64 - 1)
-    return ((bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
-
-
 def _postings(shared, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bitmap = Words(alnum_words(), lower=True), shared.value
         for batch in batches:
-            ids = batch.column(0)
+            ids, th = batch.column(0), batch.column(1)
             for lo, hi, buf, offs in blocks(batch):
                 start, end, owner = words.bounds(buf, offs)
                 h = words.hashes(buf, start, end)
@@ -90,22 +72,22 @@ def _postings(shared, least: int):
                 at = np.flatnonzero(known)
                 held = np.searchsorted(at, first)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(count.astype(np.int64)),
+                    [ids.slice(lo, hi - lo), th.slice(lo, hi - lo), pa.array(count.astype(np.int64)),
                      lists(held, pa.array(h[at].view(np.int64))),
                      lists(held, pa.array((at - first[owner[at]]).astype(np.int32)))],
-                    ["id", "n_words", "terms", "places"])
+                    ["id", "th", "n_words", "terms", "places"])
     return run
 
 
 def positional_index(documents: DataFrame, terms: DataFrame, least: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored index (uid, id, n_words, terms, places): one row per document with its postings
+    """Stored index (uid, id, th, n_words, terms, places): one row per document with its postings
     of the given ``term`` hashes that lie in runs of at least ``least`` of them.  ``uid`` tells
     rows with equal ids apart."""
     spark = documents.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(_bitmap(terms, 1 << FILTER_BITS))
-    rows = docs(documents, id_col, text_col).mapInArrow(
-        _postings(shared, least), "id long, n_words long, terms array<long>, places array<int>")
+    shared = spark.sparkContext.broadcast(make_bitmap(terms))
+    rows = identified(documents, id_col, text_col).mapInArrow(
+        _postings(shared, least), "id long, th long, n_words long, terms array<long>, places array<int>")
     return stage_table(rows.withColumn("uid", F.monotonically_increasing_id()))
 
 
@@ -137,11 +119,11 @@ def phrase_matches(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataF
             .filter(F.col("n") == F.col("len")).select("uid", "start", "len", "wid"))
 
 
-def decontaminate(documents: DataFrame, items: DataFrame, *, window: int = 13, slop: int = 0, id_col: str = "doc_id",
+def contamination(documents: DataFrame, items: DataFrame, *, window: int = 13, slop: int = 0, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit (words inside any occurrence of a window),
-    n_items, items_sha256 (sorted ids, comma-joined), contaminated (n_hit > 0 and 20 * n_hit
-    >= n_words).  ``slop`` > 0 counts proximity matches as occurrences too."""
+    """One row per document: id, th (text hash), n_words, n_hit (words inside any occurrence of
+    a window), items (sorted ids of items with occurring windows), contaminated (n_hit > 0 and
+    20 * n_hit >= n_words).  ``slop`` > 0 counts proximity matches as occurrences too."""
     spark = documents.sparkSession
     ship_package(spark)
     tests = docs(items, item_id_col, item_text_col).filter(F.col("id").isNotNull())
@@ -159,13 +141,26 @@ def decontaminate(documents: DataFrame, items: DataFrame, *, window: int = 13, s
     hits = at.select("uid", new.alias("new")).groupBy("uid").agg(F.sum("new").alias("n_hit"))
     named = (occ.select("uid", "wid").distinct().join(wins.select("wid", "item_id"), "wid").select("uid", "item_id").distinct()
              .groupBy("uid").agg(F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("items")))
-    out = index.select("uid", "id", "n_words").join(hits, "uid", "left").join(named, "uid", "left")
+    out = index.select("uid", "id", "th", "n_words").join(hits, "uid", "left").join(named, "uid", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    items_ = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select(F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
-                      F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("items_sha256"),
+    return out.select("id", "th", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                       ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def decontaminate(documents: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row; options as in
+    ``contamination``."""
+    return contamination(documents, items, **options).select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def drop_contaminated(documents: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents``, all columns, that are not contaminated."""
+    ids = {k: v for k, v in options.items() if k in ("id_col", "text_col")}
+    bad = contamination(documents, items, **options).filter("contaminated").select("id", "th", F.lit(False).alias("keep")).distinct()
+    return drop_rows(documents, stage_table(bad), **ids)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from ..functions.components import connected_components
 from ..session import ship_package, stage_table
-from .decontaminate import FILTER_BITS, _bitmap, in_bitmap
-from .textnum import Words, blocks, docs, gram_hashes, lists, mix, space_words
+from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap
+from .textnum import Words, blocks, gram_hashes, lists, mix, space_words
 
 SEGMENTS = 8
 BLOCK = 512
@@ -93,7 +93,7 @@ def _signed(n: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, levels = Sets(n), Levels(num, den)
         for batch in batches:
-            ids = batch.column(0)
+            ids, th = batch.column(0), batch.column(1)
             for lo, hi, buf, offs in blocks(batch):
                 own, tok = sets(buf, offs)
                 texts = hi - lo
@@ -124,8 +124,8 @@ def _signed(n: int, num: int, den: int):
                 order = np.argsort(who, kind="stable")
                 bounds = np.searchsorted(who[order], np.arange(texts + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, texts), pa.array(size.astype(np.int64)), pa.array(sigs[0].view(np.int64)), pa.array(sigs[1].view(np.int64)),
-                     lists(bounds, pa.array(key[order].view(np.int64)))], ["id", "n", "s1", "s2", "keys"])
+                    [ids.slice(lo, texts), th.slice(lo, texts), pa.array(size.astype(np.int64)), pa.array(sigs[0].view(np.int64)), pa.array(sigs[1].view(np.int64)),
+                     lists(bounds, pa.array(key[order].view(np.int64)))], ["id", "th", "n", "s1", "s2", "keys"])
     return run
 
 
@@ -221,13 +221,14 @@ def _labelled(m: DataFrame, links: DataFrame) -> DataFrame:
     return m.drop("comp").join(comp, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
 
 
-def jaccard_components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every row; documents link when den * |A and B| >=
-    num * |A or B|."""
+def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, n, component, component_id) of every row: text hash, size of the set, a label
+    that the rows of a component share (null for empty sets) and its smallest id.  Documents
+    link when den * |A and B| >= num * |A or B|."""
     spark = documents.sparkSession
     ship_package(spark)
-    text = docs(documents, id_col, text_col)
-    rows = stage_table(text.mapInArrow(_signed(n, num, den), "id long, n long, s1 long, s2 long, keys array<long>")
+    text = identified(documents, id_col, text_col)
+    rows = stage_table(text.mapInArrow(_signed(n, num, den), "id long, th long, n long, s1 long, s2 long, keys array<long>")
                        .withColumn("uid", F.monotonically_increasing_id()))
     vertex = stage_table(rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("uid").alias("vid"), F.min("id").alias("first_id")))
     keys = (rows.join(vertex.select(F.col("vid").alias("uid")), "uid", "left_semi")
@@ -238,7 +239,7 @@ def jaccard_components(documents: DataFrame, *, n: int = 3, num: int = 90, den:
     members = stage_table(members.join(support, "vid").withColumn("comp", F.col("vid")))
 
     want = members.select("vid").distinct().join(vertex, "vid")
-    shared_sigs = spark.sparkContext.broadcast(_bitmap(want.select(F.col("s1").alias("term")), 1 << FILTER_BITS))
+    shared_sigs = spark.sparkContext.broadcast(make_bitmap(want.select(F.col("s1").alias("term"))))
     sets = (text.mapInArrow(_tokens(shared_sigs, n), "s1 long, s2 long, segments array<array<long>>")
             .groupBy("s1", "s2").agg(F.first("segments").alias("segments")))
     sets = stage_table(want.select("vid", "n", "s1", "s2").join(sets, ["s1", "s2"]).select("vid", "n", "segments"))
@@ -277,10 +278,26 @@ def jaccard_components(documents: DataFrame, *, n: int = 3, num: int = 90, den:
 
     comp = connected_components(links).select(F.col("id").alias("vid"), "component")
     whole = vertex.join(comp, "vid", "left").withColumn("component", F.coalesce("component", "vid"))
-    named = whole.join(whole.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("s1", "s2", F.col("n").alias("size"), "component_id")
-    full = rows.select("id", "n", "s1", "s2")
+    named = whole.join(whole.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("s1", "s2", F.col("n").alias("size"), "component", "component_id")
+    full = rows.select("id", "th", "n", "s1", "s2")
     out = full.join(named, (full["s1"] == named["s1"]) & (full["s2"] == named["s2"]) & (full["n"] == named["size"]), "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    return out.select("id", "th", "n", "component", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def jaccard_components(documents: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; options as in ``components``."""
+    return components(documents, **options).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+def drop_near_duplicates(documents: DataFrame, **options) -> DataFrame:
+    """``documents``, all columns, with one row of each component: the one of smallest id (null
+    ids first; ties by text hash).  Rows with an empty set all stay."""
+    ids = {k: v for k, v in options.items() if k in ("id_col", "text_col")}
+    rows = stage_table(components(documents, **options).filter("component is not null")
+                       .select("id", "th", "component", F.struct(F.coalesce("id", F.lit(LEAST_ID)).alias("i"), "th").alias("name")))
+    first = rows.groupBy("component").agg(F.min("name").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    named = rows.join(first, "component").select("id", "th", (F.col("name") == F.col("first")).alias("keep")).distinct()
+    return drop_rows(documents, stage_table(named), **ids)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
