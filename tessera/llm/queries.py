@@ -3,15 +3,25 @@
 
 from __future__ import annotations
 
+from . import topk
 from .bpe import op2_bpe_codec
 from .decontaminate import op10_decontaminate
 from .jaccard_join import op9_jaccard_join
+from .language import op7_language_id
+from .sharding import op1_sharding
+from .suffix_array import op4_suffix_array
+from .suffix_tree import op8_suffix_tree
 from .token_counts import op6_token_counts
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_bpe_codec": op2_bpe_codec,
+    "op4_suffix_array": op4_suffix_array,
+    "op5_topk": topk.op5_topk,
     "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
+    "op8_suffix_tree": op8_suffix_tree,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_topk": topk.ORACLE}
