@@ -12,10 +12,12 @@ from .sharding import op1_sharding
 from .suffix_array import op4_suffix_array
 from .suffix_tree import op8_suffix_tree
 from .token_counts import op6_token_counts
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_toxicity": op3_toxicity,
     "op4_suffix_array": op4_suffix_array,
     "op5_topk": topk.op5_topk,
     "op6_token_counts": op6_token_counts,
