@@ -11,10 +11,12 @@ one shard without shipping all suffixes:
 2. **Candidates.**  Keys are counted (summed per block of text before the shuffle); keys seen
    once cannot hold a repeat.  The others go back to the tasks as a bitmap of fixed size
    (``2**FILTER_BITS`` bits, 16 MB): a false positive costs a row, never a result.
-3. **Contents.**  Candidate stretches are stored once; equal contents collapse (map-side) to
-   their earliest occurrence.  Shards are keyed by the m-gram; each shard finds the repeated
-   windows among its distinct contents (suffix array or suffix trees) and returns, for the
-   earliest occurrence of each content, which of its windows occur earlier elsewhere.
+3. **Contents.**  Candidate stretches are stored (hashes and places only).  Equal contents
+   collapse (map-side) to their earliest occurrence.  A window that holds its key's m-gram
+   also holds one of the two half windows beside it, so only contents that share a half
+   window with another one (again a bitmap) are shipped to the shards, keyed by the m-gram.
+   A shard finds the repeated windows among its distinct contents (suffix array or suffix
+   trees) and returns, for the earliest occurrence of each, which windows it must lose.
 4. **Ranges.**  Every other occurrence of a content is repeated as a whole; ranges are gathered
    per text and applied.  Only texts that may hold a repeat are shuffled for that; the others
    are finished in the scan.
@@ -42,6 +44,7 @@ from .textnum import Words, blocks, mix, odd_constants, space_words
 FILTER_BITS = 27
 HOT = 0.0025
 PIECE = 1 << 22
+BLOCK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -100,39 +103,73 @@ class Scanner:
             done += step
         return v
 
-    def _recurring(self, grams: np.ndarray, least: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Stretches whose key m-gram occurs in them more than once: only these can hold equal
-        windows.  An m-gram is the smallest of some window if and only if the largest of the
-        minima of its windows is its own value; recurrences in a stretch are then neighbours."""
+    def _anchors(self, grams: np.ndarray, least: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place of the key m-gram in each stretch, does it recur there).  Only stretches
+        in which it recurs can hold equal windows.  An m-gram is the smallest of some window if
+        and only if the largest of the minima of its windows is its own value; recurrences in a
+        stretch are then neighbours."""
         span = self.spec.span
         pad = np.zeros(span - 1, np.uint64)
         top = self._slide(np.concatenate([pad, least, pad]), np.maximum)
         at = np.flatnonzero(top == grams)
         v = grams[at]
-        twin = np.flatnonzero((v[1:] == v[:-1]) & (at[1:] - at[:-1] <= span))
-        out = np.zeros(len(start), bool)
-        for p, k in zip(at[twin].tolist(), v[twin].tolist()):
-            j = int(np.searchsorted(start, p, "right")) - 1
-            while j >= 0 and start[j] > p - 2 * span and not (key[j] == k and p < start[j] + count[j] - 1 + span):
-                j -= 1
-            if j >= 0 and key[j] == k and p < start[j] + count[j] - 1 + span:
-                out[j] = True
-        return out
-
-    def stretches(self, sym: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first window, windows, key, text, key recurs) of every stretch; windows by their
-        first symbol."""
+        i = np.searchsorted(at, start)
+        todo = np.arange(len(start))
+        while len(todo):
+            todo = todo[v[i[todo]] != key[todo]]
+            i[todo] += 1
+        nxt = np.minimum(i + 1, len(at) - 1)
+        return at[i], (i + 1 < len(at)) & (v[nxt] == key) & (at[nxt] < start + count - 1 + span)
+
+    def flanks(self, grams: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the half windows before and after the anchor, each with the anchor itself;
+        0 where the stretch does not hold one.  A window that holds the anchor holds one of
+        them, so contents of one key that share no half window share no window."""
+        m, half = self.spec.gram, -(-(self.spec.window - self.spec.gram) // 2)
+        out = []
+        for lo in (anchor - half, anchor):
+            inside = (lo >= start) & (lo + half <= start + count - 1 + self.spec.window - m)
+            h = np.zeros(len(anchor), np.uint64)
+            x = lo[inside]
+            for step, c in zip([*range(0, half, m), half], self.factors[20:]):
+                h[inside] = mix(h[inside] * c + grams[x + step])
+            out.append(h)
+        return out[0], out[1]
+
+    def window_hashes(self, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hash of the whole window that begins at each place."""
+        m, last = self.spec.gram, self.spec.window - self.spec.gram
+        h = np.zeros(len(at), np.uint64)
+        for step, c in zip([*range(0, last, m), last], self.factors[30:]):
+            h = mix(h * c + grams[at + step])
+        return h
+
+    def contents(self, grams: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Hash of the content of each stretch."""
+        if not len(start):
+            return start.view(np.uint64)
+        first = np.concatenate([[0], np.cumsum(count)[:-1]])
+        within = np.arange(int(count.sum())) - np.repeat(first, count)
+        power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(count.max()), self.factors[40])]))
+        return mix(np.add.reduceat(self.window_hashes(grams, within + np.repeat(start, count)) * power[within], first) + count.astype(np.uint64))
+
+    def stretches(self, sym: np.ndarray, offs: np.ndarray, keep=None, recurring: bool = False) -> tuple[np.ndarray, ...]:
+        """(first window, windows, key, text) of every stretch; windows by their first symbol.
+        ``recurring`` adds: does the key recur in it.  With ``keep`` (a test of keys) only those
+        that pass, and also the hashes of the half windows before and after and of the content."""
         w = self.spec.window
         n = len(sym) - w + 1
         empty = np.zeros(0, np.int64)
         if n <= 0:
-            return empty, empty, empty.view(np.uint64), empty, empty.astype(bool)
+            none = (empty, empty, empty.view(np.uint64), empty)
+            more = (empty.astype(bool), *[empty.view(np.uint64)] * 3)
+            return (*none, *more) if keep is not None else (*none, *more[:recurring])
         if n > PIECE:  # a very long block: pieces that overlap by a window
             parts = []
             for a in range(0, n, PIECE):
                 cut = np.clip(offs, a, min(len(sym), a + PIECE + w - 1)) - a
-                s, c, k, t, r = self.stretches(sym[a:a + PIECE + w - 1], cut)
-                parts.append((s + a, c, k, t, r))
+                found = self.stretches(sym[a:a + PIECE + w - 1], cut, keep, recurring)
+                parts.append((found[0] + a, *found[1:]))
             return tuple(np.concatenate(x) for x in zip(*parts))
         grams = self._grams(sym)
         least = self._slide(grams, np.minimum)
@@ -150,7 +187,16 @@ class Scanner:
         last[:-1] = new[1:] | ~valid[1:]
         count = np.flatnonzero(last & valid) - start + 1
         key = least[start]
-        return start, count, key, np.searchsorted(offs, start, "right") - 1, self._recurring(grams, least, start, count, key)
+        text = np.searchsorted(offs, start, "right") - 1
+        if keep is None:
+            more = (self._anchors(grams, least, start, count, key)[1] if len(start) else np.zeros(0, bool),) if recurring else ()
+            return start, count, key, text, *more
+        some = keep(key)
+        start, count, key, text = start[some], count[some], key[some], text[some]
+        if not len(start):
+            return start, count, key, text, some[:0], key, key, key
+        anchor, recurs = self._anchors(grams, least, start, count, key)
+        return start, count, key, text, recurs, *self.flanks(grams, start, count, anchor), self.contents(grams, start, count)
 
 
 def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -165,8 +211,8 @@ def _frequent(spec: Spec):
         scan, keys, counts, texts, held = Scanner(spec), [], [], 0, 0
         for batch in batches:
             texts += batch.num_rows
-            for _, _, buf, offs in blocks(batch):
-                _, _, key, _, _ = scan.stretches(*scan.symbols(buf, offs))
+            for _, _, buf, offs in blocks(batch, most=BLOCK):
+                key = scan.stretches(*scan.symbols(buf, offs))[2]
                 u, c = np.unique(key, return_counts=True)
                 keys.append(u)
                 counts.append(c)
@@ -186,39 +232,61 @@ def _keys(spec: Spec, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = Scanner(spec, hot.value)
         for batch in batches:
-            for _, _, buf, offs in blocks(batch):
-                _, count, key, _, recurs = scan.stretches(*scan.symbols(buf, offs))
+            for _, _, buf, offs in blocks(batch, most=BLOCK):
+                _, count, key, _, recurs = scan.stretches(*scan.symbols(buf, offs), recurring=True)
                 # a stretch whose key recurs can hold repeats by itself
                 u, c = _summed([key], [1 + recurs]) if len(key) else (key, count)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int32))], ["key", "n"])
     return run
 
 
-STRETCH = "id long, th long, key long, c long, start long, n long, recurs boolean, content binary"
+STRETCH = "id long, th long, key long, c long, start long, n long, recurs boolean, before long, after long"
 
 
 def _candidates(spec: Spec, hot, bitmap):
-    """Stretches whose key is in the bitmap; a content is sent once per block."""
+    """Stretches whose key is in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan, bits = Scanner(spec, hot.value), bitmap.value
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
-            for lo, _, buf, offs in blocks(batch):
+            for lo, _, buf, offs in blocks(batch, most=BLOCK):
                 sym, at = scan.symbols(buf, offs)
-                found = scan.stretches(sym, at)
-                keep = in_bitmap(bits, found[2])
-                start, count, key, text, recurs = (x[keep] for x in found)
+                start, count, key, text, recurs, before, after, code = scan.stretches(sym, at, lambda k: in_bitmap(bits, k))
+                rows = pa.array(lo + text)
+                b, a = (np.where(x == 0, x, mix(x ^ key)) for x in (before, after))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(rows), th.take(rows), pa.array(key.view(np.int64)), pa.array(code.view(np.int64)), pa.array(start - at[text]),
+                     pa.array(count), pa.array(recurs), pa.array(b.view(np.int64)), pa.array(a.view(np.int64))],
+                    ["id", "th", "key", "c", "start", "n", "recurs", "before", "after"])
+    return run
+
+
+CONTENT = "id long, th long, key long, c long, start long, n long, recurs boolean, content binary"
+
+
+def _contents(spec: Spec, hot, bitmap, halves):
+    """Stretches that share a half window with another content, or may hold repeats by
+    themselves, with their content (once per block)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan, bits, half_bits = Scanner(spec, hot.value), bitmap.value, halves.value
+        for batch in batches:
+            ids, th = batch.column(0), batch.column(1)
+            for lo, _, buf, offs in blocks(batch, most=BLOCK):
+                sym, at = scan.symbols(buf, offs)
+                found = scan.stretches(sym, at, lambda k: in_bitmap(bits, k))
+                key, recurs, before, after = found[2], found[4], found[5], found[6]
+                live = recurs.copy()
+                for x in (before, after):
+                    live |= (x != 0) & in_bitmap(half_bits, mix(x ^ key))
+                start, count, key, text, recurs, _, _, code = (x[live] for x in found)
                 raw = buf if spec.symbols == "bytes" else sym
-                codes, contents, sent = [], [], set()
-                for s, c in zip(start.tolist(), count.tolist()):
-                    x = raw[s:s + c - 1 + spec.window].tobytes()
-                    d = int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True)
-                    codes.append(d)
-                    contents.append(None if d in sent else x)
-                    sent.add(d)
+                _, once = np.unique(code, return_index=True)
+                send = np.zeros(len(code), bool)
+                send[once] = True
+                contents = [raw[s:s + c - 1 + spec.window].tobytes() if y else None for s, c, y in zip(start.tolist(), count.tolist(), send.tolist())]
                 rows = pa.array(lo + text)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(rows), th.take(rows), pa.array(key.view(np.int64)), pa.array(codes, pa.int64()), pa.array(start - at[text]),
+                    [ids.take(rows), th.take(rows), pa.array(key.view(np.int64)), pa.array(code.view(np.int64)), pa.array(start - at[text]),
                      pa.array(count), pa.array(recurs), pa.array(contents, pa.binary())], ["id", "th", "key", "c", "start", "n", "recurs", "content"])
     return run
 
@@ -240,21 +308,21 @@ class Shard:
         return np.arange(len(owner)) - np.repeat(first, self.n) + np.repeat(self.base, self.n), owner
 
 
-SHARD_OUT = "key long, c long, fid long, fth long, fstart long, offs array<int>, lens array<int>"
+SHARD_OUT = "key long, c long, offs array<int>, lens array<int>"
 
 
 def _sharded(spec: Spec, repeated: Callable[[Shard], np.ndarray]):
     """One shard: ``repeated`` tells for every window of ``Shard.windows()`` whether the earliest
-    occurrence of its content must lose it.  Returns the contents that matter further on."""
+    occurrence of its content must lose it.  Returns the contents that lose some, with the runs."""
     import tempfile
 
     size = 1 if spec.symbols == "bytes" else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in range(8)]
+        cols: list[list] = [[] for _ in range(7)]
         with tempfile.TemporaryFile() as f:
             for batch in batches:
-                for i, name in enumerate(("key", "c", "fid", "fth", "fstart", "n", "seen", "recurs")):
+                for i, name in enumerate(("key", "c", "fid", "fth", "fstart", "n", "recurs")):
                     x = batch.column(name)
                     cols[i].append((x.fill_null(LEAST_ID) if name == "fid" else x).to_numpy(zero_copy_only=False))
                 for x in batch.column("content"):
@@ -263,7 +331,7 @@ def _sharded(spec: Spec, repeated: Callable[[Shard], np.ndarray]):
             f.flush()
             if not cols[0]:
                 return
-            key, c, fid, fth, fstart, n, seen, recurs = (np.concatenate(x) for x in cols)
+            key, c, fid, fth, fstart, n, recurs = (np.concatenate(x) for x in cols)
             base = np.concatenate([[0], np.cumsum(n + spec.window)[:-1]])  # n - 1 + window symbols and the padding
             _, at, mates = np.unique(key, return_inverse=True, return_counts=True)
             live = np.flatnonzero((mates[at] > 1) | recurs)
@@ -286,12 +354,10 @@ def _sharded(spec: Spec, repeated: Callable[[Shard], np.ndarray]):
                     o, l = runs.setdefault(int(live[owner[s]]), ([], []))
                     o.append(s - int(first[owner[s]]))
                     l.append(e - s + 1)
-        keep = np.union1d(np.flatnonzero(seen > 1), np.array(sorted(runs), np.int64)).astype(np.int64)
+        keep = np.array(sorted(runs), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[keep]), pa.array(c[keep]), pa.array(fid[keep]), pa.array(fth[keep]), pa.array(fstart[keep]),
-             pa.array([runs.get(i, ([], []))[0] for i in keep.tolist()], pa.list_(pa.int32())),
-             pa.array([runs.get(i, ([], []))[1] for i in keep.tolist()], pa.list_(pa.int32()))],
-            ["key", "c", "fid", "fth", "fstart", "offs", "lens"])
+            [pa.array(key[keep]), pa.array(c[keep]), pa.array([runs[i][0] for i in keep.tolist()], pa.list_(pa.int32())),
+             pa.array([runs[i][1] for i in keep.tolist()], pa.list_(pa.int32()))], ["key", "c", "offs", "lens"])
     return run
 
 
@@ -309,19 +375,24 @@ def repeated_ranges(documents: DataFrame, spec: Spec, repeated: Callable[[Shard]
     twice = rows.mapInArrow(_keys(spec, hot), "key long, n int").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     bitmap = spark.sparkContext.broadcast(make_bitmap(twice.select(F.col("key").alias("term")), FILTER_BITS))
     found = stage_table(rows.mapInArrow(_candidates(spec, hot, bitmap), STRETCH))
-    contents = found.groupBy("key", "c").agg(
-        F.min(F.struct("id", "th", "start")).alias("f"), F.max("n").alias("n"), F.count(F.lit(1)).alias("seen"),
-        F.max("recurs").alias("recurs"), F.max("content").alias("content"))
-    contents = contents.select("key", "c", F.col("f.id").alias("fid"), F.col("f.th").alias("fth"), F.col("f.start").alias("fstart"), "n", "seen", "recurs", "content")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = stage_table(contents.repartition(parts, "key").mapInArrow(_sharded(spec, repeated), SHARD_OUT))
+    firsts = found.groupBy("key", "c").agg(F.min(F.struct("id", "th", "start")).alias("f"), F.count(F.lit(1)).alias("seen"))
+    half = found.select("c", F.explode(F.array("before", "after")).alias("term")).filter("term != 0")
+    half = half.groupBy("term").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x != y")
+    halves = spark.sparkContext.broadcast(make_bitmap(half.select("term"), FILTER_BITS))
+    contents = (rows.mapInArrow(_contents(spec, hot, bitmap, halves), CONTENT).groupBy("key", "c").agg(
+        F.min(F.struct("id", "th", "start")).alias("f"), F.max("n").alias("n"), F.max("recurs").alias("recurs"), F.max("content").alias("content")))
+    contents = contents.select("key", "c", F.col("f.id").alias("fid"), F.col("f.th").alias("fth"), F.col("f.start").alias("fstart"), "n", "recurs", "content")
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lost = contents.repartition(parts, "key").mapInArrow(_sharded(spec, repeated), SHARD_OUT)
+    kept = firsts.join(lost, ["key", "c"], "left").filter("seen > 1 or offs is not null").select(
+        "key", "c", F.coalesce("f.id", F.lit(LEAST_ID)).alias("fid"), F.col("f.th").alias("fth"), F.col("f.start").alias("fstart"), "offs", "lens")
     every = F.coalesce("id", F.lit(LEAST_ID))
     first = every == F.col("fid")
     if not by_text:
         first = first & (F.col("th") == F.col("fth")) & (F.col("start") == F.col("fstart"))
     runs = F.when(first, F.arrays_zip("offs", "lens")).otherwise(
         F.array(F.struct(F.lit(0).alias("offs"), F.col("n").cast("int").alias("lens"))))
-    hits = (found.drop("content", "recurs").join(kept, ["key", "c"])
+    hits = (found.select("id", "th", "key", "c", "start", "n").join(kept, ["key", "c"])
             .select("id", "th", "start", F.explode(runs).alias("r"))
             .select("id", "th", F.struct((F.col("start") + F.col("r.offs")).alias("a"), (F.col("start") + F.col("r.offs") + F.col("r.lens") + (spec.window - 1)).alias("b")).alias("x")))
     return stage_table(hits.groupBy("id", "th").agg(F.array_sort(F.collect_list("x")).alias("ranges"))

@@ -75,18 +75,22 @@ class RunQueue:
                 self.memory[key] = []
         self.held = 0
 
+    def _joined(self, key: int) -> list[np.ndarray]:
+        if len(self.memory[key]) > 1:
+            self.memory[key] = [np.concatenate(self.memory[key])]
+        return self.memory[key]
+
     def parts(self, key: int, reverse: bool = False) -> Iterator[np.ndarray]:
         """The parts of a run (backwards, each part reversed too)."""
-        for at, n in (reversed(self.disk[key]) if reverse else self.disk[key]):
-            if not reverse:
-                yield self._read(at, n)
         if reverse:
-            for part in reversed(self.memory[key]):
+            for part in self._joined(key):
                 yield part[::-1]
             for at, n in reversed(self.disk[key]):
                 yield self._read(at, n)[::-1]
         else:
-            yield from self.memory[key]
+            for at, n in self.disk[key]:
+                yield self._read(at, n)
+            yield from self._joined(key)
 
     def _read(self, at: int, n: int) -> np.ndarray:
         self.file.seek(at)
@@ -95,7 +99,7 @@ class RunQueue:
     def take(self, key: int) -> Iterator[np.ndarray]:
         """Remove and yield the parts of a run, those that arrive meanwhile included."""
         while self.disk[key] or self.memory[key]:
-            disk, memory = self.disk[key], self.memory[key]
+            disk, memory = self.disk[key], self._joined(key)
             self.disk[key], self.memory[key] = [], []
             self.held -= sum(map(len, memory))
             for at, n in disk:

@@ -171,7 +171,7 @@ def test_recurring_keys_are_found():
         raw = bytes(rng.randrange(97, 123) for _ in range(rng.randrange(0, 150))) + (unit * 200)[:rng.randrange(50, 500)] + bytes(rng.randrange(97, 123) for _ in range(100))
         sym, offs = scan.symbols(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         grams = scan._grams(sym)
-        for s, c, k, _, r in zip(*(x.tolist() for x in scan.stretches(sym, offs))):
+        for s, c, k, _, r in zip(*(x.tolist() for x in scan.stretches(sym, offs, recurring=True))):
             assert r == (int((grams[s:s + c - 1 + suffix_array.SPEC.span] == np.uint64(k)).sum()) > 1)
 
 
