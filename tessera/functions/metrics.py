@@ -54,7 +54,7 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     below = F.col("cum_neg") - F.col("neg")
     part = r.agg(F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("num"),
                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return part.select(F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc"))
+    return part.select(F.try_divide(F.col("num"), F.col("P").cast("double") * F.col("N")).alias("auc"))
 
 
 def compare_metrics(raw: DataFrame, processed: DataFrame) -> DataFrame:

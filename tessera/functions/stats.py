@@ -219,7 +219,14 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                     (F.col("n_total") - F.col("n_non_null")).alias("n_null")))
 
 
-HOT_GROUPS = 64  # hot groups handled one by one with the narrowing global algorithm
+def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where a null key equals a null key; the left keys are kept."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.5, method: str = EXACT,
@@ -244,7 +251,7 @@ def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.
           .select(*keys, "__n", F.col("__a")[0].alias("__lo"), F.col("__a")[1].alias("__hi")))
     s1 = cut_lineage(s1)
     hot_n = max_bracket * accuracy / 8.0
-    hot = s1.filter(F.col("__n") > F.lit(hot_n)).select(*keys).limit(HOT_GROUPS).collect()
+    hot = s1.filter(F.col("__n") > F.lit(hot_n)).select(*keys).collect()  # at most rows / hot_n groups
     hot_parts = []
     for h in hot:
         cond = None
@@ -255,8 +262,8 @@ def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.
         hot_parts.append(tuple(h[k] for k in keys) + (v,))
     if hot:
         hot_df = long.sparkSession.createDataFrame(hot_parts, s1.select(*keys).schema.add(out, "double"))
-        s1 = s1.join(F.broadcast(hot_df.select(*keys)), keys, "left_anti")
-    j = long.filter(xv.isNotNull()).join(s1, keys)
+        s1 = _by_keys(s1, hot_df.select(*keys), keys, "left_anti")
+    j = _by_keys(long.filter(xv.isNotNull()), s1, keys, "inner")
     lo, hi = F.col("__lo"), F.col("__hi")
     s2 = j.groupBy(*keys).agg(
         F.first("__n").alias("__n"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"),
@@ -268,15 +275,21 @@ def grouped_quantile(long: DataFrame, keys: Sequence[str], x: str, p: float = 0.
     k2 = F.least(k1 + 1, F.col("__n") - 1)
     frac = h - k1
 
+    missed = F.lit(float("nan"))  # the sketch missed its bound: solved again below
+
     def at(k):
         r = k - F.col("__lt")
         in_mid = r - F.col("__eqlo")
-        return (F.when(r < F.col("__eqlo"), lo)
+        return (F.when(r < 0, missed).when(r < F.col("__eqlo"), lo)
                 .when(in_mid < F.size("__mid"), F.element_at("__mid", (in_mid + 1).cast("int")))
-                .otherwise(hi))
+                .when(in_mid - F.size("__mid") < F.col("__eqhi") + F.when(hi == lo, 1).otherwise(0), hi).otherwise(missed))
     v1, v2 = at(k1), at(k2)
     val = F.when(frac == 0, v1).when(frac < 0.5, v1 + (v2 - v1) * frac).otherwise(v2 - (v2 - v1) * (F.lit(1.0) - frac))
-    res = s2.select(*keys, val.alias(out))
+    res = cut_lineage(s2.select(*keys, val.alias(out)))
+    again = res.filter(F.isnan(out)).select(*keys)
+    if again.limit(1).count():
+        exact = (_by_keys(long.filter(xv.isNotNull()), again, keys, "left_semi").groupBy(*keys).agg(_pct(xv, [p], MAP, accuracy)[0].alias(out)))
+        res = res.filter(~F.isnan(out)).unionByName(exact)
     return res.unionByName(hot_df) if hot else res
 
 

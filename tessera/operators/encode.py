@@ -125,10 +125,12 @@ class FittedOneHot(Fitted):
 
 class OneHot(Op):
     """EN2 — ``{col}_{value}`` 0/1 doubles in sorted order, missing is its own category
-    (sorted last); ``drop`` = 'first' | 'if_binary' (PR12) | None; unseen -> all zero."""
+    (sorted last); ``drop`` = 'first' | 'if_binary' (PR12) | None; unseen -> all zero.  The
+    categories become columns, so ``max_categories`` can guard their number (default: none);
+    ``SparseOneHot`` has no such columns."""
 
     def __init__(self, columns: Sequence[str] | None = None, drop: str | None = "first",
-                 handle_unknown: str = "ignore", max_categories: int = 1000,
+                 handle_unknown: str = "ignore", max_categories: int | None = None,
                  exclude: Sequence[str] = ()):
         self.columns, self.drop, self.handle_unknown = columns, drop, handle_unknown
         self.max_categories, self.exclude = max_categories, exclude
@@ -140,12 +142,12 @@ class OneHot(Op):
         counts = category_counts(df, cols).select("column", "value")
         # guard: the category lists become output columns, so they must be small
         too_many = (counts.groupBy("column").count().filter(F.col("count") > self.max_categories)
-                    .limit(1).collect())
+                    .limit(1).collect()) if self.max_categories is not None else []
         if too_many:
             raise ValueError(f"column {too_many[0]['column']!r} has more than {self.max_categories} "
-                             "categories; use frequency or target encoding")
+                             "categories; use SparseOneHot")
         cats = {c: [] for c in cols}
-        for r in counts.collect():  # bounded by len(cols) * max_categories
+        for r in counts.collect():
             cats[r["column"]].append(r["value"])
         for c in cols:
             cats[c] = sorted([v for v in cats[c] if v is not None]) + ([None] if None in cats[c] else [])
@@ -158,6 +160,47 @@ class OneHot(Op):
         return FittedOneHot(cats, dropped, self.handle_unknown)
 
 
+@dataclass
+class FittedSparseOneHot(Fitted):
+    cols: list[str]
+    table: Dictionary | None  # (column, value, slot)
+    size: int
+    out_col: str = "onehot"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        slots = []
+        for i, c in enumerate(self.cols):
+            df = _lk(df, F.coalesce(q(c).cast("string"), F.lit(NAN)), self.table, c, ["slot"])
+            slots.append(f"__slot{i}")
+            df = df.withColumnRenamed("slot", slots[-1])
+        hot = F.array_sort(F.array_compact(F.array(*[F.col(s) for s in slots])))
+        return df.withColumn(self.out_col, hot).drop(*slots)
+
+
+class SparseOneHot(Op):
+    """EN2, sparse — ``out_col`` lists the positions of the ones in a vector of ``size`` slots
+    (columns in order, values in sorted order, missing spelled ``nan``); an unseen value has no
+    slot.  The dictionary is a table, so there is no bound on the categories."""
+
+    def __init__(self, columns: Sequence[str] | None = None, out_col: str = "onehot", exclude: Sequence[str] = ()):
+        self.columns, self.out_col, self.exclude = columns, out_col, exclude
+
+    def fit(self, df: DataFrame) -> FittedSparseOneHot:
+        cols = _cols(df, self.columns, self.exclude)
+        if not cols:
+            return FittedSparseOneHot([], None, 0, self.out_col)
+        codes = _codes_table(df, cols, NAN)
+        sizes = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        start, at = {}, 0
+        for c in cols:
+            start[c], at = at, at + sizes.get(c, 0)
+        first = F.lit(0)
+        for c in cols:
+            first = F.when(F.col("column") == c, F.lit(start[c])).otherwise(first)
+        table = Dictionary.materialise(codes.select("column", "value", (first + F.col("code")).cast("int").alias("slot")))
+        return FittedSparseOneHot(cols, table, at, self.out_col)
+
+
 # --------------------------------------------------------------------------- EN3
 @dataclass
 class FittedFrequency(Fitted):

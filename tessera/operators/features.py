@@ -73,15 +73,16 @@ class FittedProducts(Fitted):
 
 
 class PolyFeatures(Op):
-    """FE2 — interaction-only products (no squares, no bias), names ``a_b``; at most
-    ``max_features`` in combinations order; default the first 10 numeric columns."""
+    """FE2 — interaction-only products (no squares, no bias), names ``a_b``; in
+    combinations order; ``max_columns`` / ``max_features`` bound the columns taken from the
+    schema and the products (default: all)."""
 
     def __init__(self, cols: Sequence[str] | None = None, degree: int = 2,
-                 max_features: int = 20, exclude: Sequence[str] = ()):
-        self.cols, self.degree, self.max_features, self.exclude = cols, degree, max_features, exclude
+                 max_features: int | None = None, exclude: Sequence[str] = (), max_columns: int | None = None):
+        self.cols, self.degree, self.max_features, self.exclude, self.max_columns = cols, degree, max_features, exclude, max_columns
 
     def fit(self, df: DataFrame) -> FittedProducts:
-        cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)[:10]
+        cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)[:self.max_columns]
         terms = []
         for d in range(2, self.degree + 1):
             terms += list(itertools.combinations(cols, d))
@@ -114,16 +115,19 @@ class FittedGroupStats(Fitted):
 
 class GroupStats(Op):
     """FE3 — ``{num}_mean_{cat}``, ``{num}_median_{cat}`` from train groups; unseen or null
-    category -> overall train mean / median.  Defaults: first 3 string, first 5 numeric."""
+    category -> overall train mean / median.  ``max_cats`` / ``max_nums`` bound the string and
+    numeric columns taken from the schema (default: all)."""
 
     def __init__(self, cat_cols: Sequence[str] | None = None, num_cols: Sequence[str] | None = None,
-                 exclude: Sequence[str] = (), quantile_method: str = EXACT):
+                 exclude: Sequence[str] = (), quantile_method: str = EXACT, max_cats: int | None = None,
+                 max_nums: int | None = None):
         self.cat_cols, self.num_cols, self.exclude = cat_cols, num_cols, exclude
+        self.max_cats, self.max_nums = max_cats, max_nums
         self.quantile_method = quantile_method
 
     def fit(self, df: DataFrame) -> FittedGroupStats:
-        cats = list(self.cat_cols) if self.cat_cols is not None else categorical_columns(df, self.exclude)[:3]
-        nums = list(self.num_cols) if self.num_cols is not None else numeric_columns(df, self.exclude)[:5]
+        cats = list(self.cat_cols) if self.cat_cols is not None else categorical_columns(df, self.exclude)[:self.max_cats]
+        nums = list(self.num_cols) if self.num_cols is not None else numeric_columns(df, self.exclude)[:self.max_nums]
         if not cats or not nums:
             return FittedGroupStats(cats, nums, None, {})
         with cached(df, cats + nums) as d:
@@ -183,13 +187,13 @@ class CatPairs(Op):
     """FE4 — concatenated category pairs; pairs whose train share is below ``min_freq``
     become ``'Other'``; unseen test pairs are kept (``unseen='keep'``) or grouped."""
 
-    def __init__(self, cat_cols: Sequence[str] | None = None, max_combos: int = 10,
-                 min_freq: float = 0.02, unseen: str = "keep", exclude: Sequence[str] = ()):
+    def __init__(self, cat_cols: Sequence[str] | None = None, max_combos: int | None = None,
+                 min_freq: float = 0.02, unseen: str = "keep", exclude: Sequence[str] = (), max_cats: int | None = None):
         self.cat_cols, self.max_combos, self.min_freq = cat_cols, max_combos, min_freq
-        self.unseen, self.exclude = unseen, exclude
+        self.unseen, self.exclude, self.max_cats = unseen, exclude, max_cats
 
     def fit(self, df: DataFrame) -> FittedCatPairs:
-        cats = list(self.cat_cols) if self.cat_cols is not None else categorical_columns(df, self.exclude)[:5]
+        cats = list(self.cat_cols) if self.cat_cols is not None else categorical_columns(df, self.exclude)[:self.max_cats]
         pairs = list(itertools.combinations(cats, 2))[: self.max_combos]
         if not pairs:
             return FittedCatPairs([], None)
@@ -225,10 +229,10 @@ class FittedBinaryOps(Fitted):
 
 class BinaryOps(Op):
     """FE5 — AND/OR/XOR of 0/1 columns (numeric columns whose non-null values are all 0/1;
-    default the first 5).  A null input gives null."""
+    default all; ``max_columns`` takes the first ones only).  A null input gives null."""
 
-    def __init__(self, bin_cols: Sequence[str] | None = None, exclude: Sequence[str] = ()):
-        self.bin_cols, self.exclude = bin_cols, exclude
+    def __init__(self, bin_cols: Sequence[str] | None = None, exclude: Sequence[str] = (), max_columns: int | None = None):
+        self.bin_cols, self.exclude, self.max_columns = bin_cols, exclude, max_columns
 
     def fit(self, df: DataFrame) -> FittedBinaryOps:
         if self.bin_cols is not None:
@@ -238,7 +242,7 @@ class BinaryOps(Op):
             return FittedBinaryOps([])
         row = df.agg(*[F.coalesce(F.bool_and(F.when(q(c).isNotNull(), q(c).isin(0, 1))), F.lit(True)).alias(f"b{i}")
                        for i, c in enumerate(nums)]).first()
-        return FittedBinaryOps([c for i, c in enumerate(nums) if row[f"b{i}"]][:5])
+        return FittedBinaryOps([c for i, c in enumerate(nums) if row[f"b{i}"]][:self.max_columns])
 
 
 # --------------------------------------------------------------------------- FE6
@@ -259,16 +263,22 @@ class FittedInteractions(Fitted):
 
 class Interactions(Op):
     """FE6 — FE2 -> FE3 -> FE4 -> FE5 in sequence (each sees the earlier columns); other
-    frames are aligned to the fitted schema with missing columns filled by 0."""
+    frames are aligned to the fitted schema with missing columns filled by 0.  ``poly``,
+    ``groups``, ``cat_combo`` and ``binary`` are keyword arguments for the four steps;
+    ``REFERENCE_LIMITS`` holds a preset that bounds the generated columns."""
+
+    REFERENCE_LIMITS = {"poly": {"max_columns": 10, "max_features": 20}, "groups": {"max_cats": 3, "max_nums": 5},
+                        "cat_combo": {"max_cats": 5, "max_combos": 10}, "binary": {"max_columns": 5}}
 
     def __init__(self, use_poly=True, use_groups=True, use_cat_combo=True, use_binary=True,
-                 exclude: Sequence[str] = ()):
+                 exclude: Sequence[str] = (), poly: dict | None = None, groups: dict | None = None,
+                 cat_combo: dict | None = None, binary: dict | None = None):
         self.flags = (use_poly, use_groups, use_cat_combo, use_binary)
-        self.exclude = exclude
+        self.exclude, self.options = exclude, [x or {} for x in (poly, groups, cat_combo, binary)]
 
     def fit(self, df: DataFrame) -> FittedInteractions:
-        ops = [PolyFeatures(exclude=self.exclude), GroupStats(exclude=self.exclude),
-               CatPairs(exclude=self.exclude), BinaryOps(exclude=self.exclude)]
+        kinds = (PolyFeatures, GroupStats, CatPairs, BinaryOps)
+        ops = [k(**({"exclude": self.exclude} | o)) for k, o in zip(kinds, self.options)]
         steps, cur = [], df
         for use, op in zip(self.flags, ops):
             if not use:

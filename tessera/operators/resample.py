@@ -147,7 +147,6 @@ def _synthesise(seeds: DataFrame, partners: DataFrame, copies: DataFrame, feats:
                 label: str, minority, id_offset: int, seed: int, u_max_col: str | None = None) -> DataFrame:
     """seeds: (id, vec); partners: (qid, rank, pvec[, u_max]); copies: (id, n_copies).
     For copy j of seed s: partner rank from a seeded hash, u in [0, u_max) from another."""
-    from ..session import cut_lineage
     k = partners.agg(F.max("rank").alias("k")).first()["k"] or 0
     if k == 0:
         return None
@@ -161,9 +160,10 @@ def _synthesise(seeds: DataFrame, partners: DataFrame, copies: DataFrame, feats:
          .join(partners.withColumnRenamed("qid", "id"), ["id", "rank"]))
     u = F.col("u") * (F.col("u_max") if u_max_col else F.lit(1.0))
     new_vec = F.zip_with("vec", "pvec", lambda a, b: a + u * (b - a))
-    out = j.select(new_vec.alias("vec"))
-    out = out.withColumn("id", F.lit(id_offset) + F.monotonically_increasing_id())
-    out = cut_lineage(out)  # ids fixed once
+    # ids number the (seed, copy) pairs in order, whatever the partitioning
+    from ..functions.prefix import running_totals
+    out = running_totals(j.select(F.col("id").alias("__seed"), "j", new_vec.alias("vec")), ["__seed", "j"], [])
+    out = out.select("vec", (F.lit(id_offset) + F.col("__rank") - 1).alias("id"))
     return out.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(feats)],
                       F.lit(minority).alias(label))
 

@@ -2,12 +2,13 @@
 
 1. Distinct fit values per column with counts (one shuffle for all columns).
 2. Normalised form for comparison only: whitespace runs collapsed, trimmed, lower-cased.
-3. Candidate pairs inside a column: all pairs when the column has few distinct values,
-   otherwise values that share a character bigram of the normalised form (plus equal
-   normalised forms) and whose lengths satisfy min/max > t / (2 - t).  For the
-   single-metric rule this blocking is lossless: ratio > t >= 2/3 means the common
-   subsequence is longer than twice the number of indel edits, which forces a common
-   run of two characters.
+3. Candidate pairs inside a column, by a rule that never depends on how many values there
+   are.  Single metric: the ratio is above t only if the lengths satisfy min/max >
+   t / (2 - t); values are keyed by length, and each probes the few lengths that can match
+   (lossless for every t).  Pairs then pass a built-in screen before any Python: the indel
+   distance is at least the Levenshtein distance, so pairs with ``levenshtein`` above
+   (1 - t) * (len1 + len2) cannot be accepted.  Multi metric: a partial or token-sort ratio
+   can be high at any lengths and distance, so all values of a column meet.
 4. Scores in an Arrow pandas UDF: indel ratio 200 * LCS / (len1 + len2) with a
    bit-parallel LCS; optionally also partial and token-sort ratios (multi-metric mean of
    each scorer's best, target from the plain ratio).
@@ -33,8 +34,6 @@ from ..functions.kinds import categorical_columns, q
 from ..session import cut_lineage, ship_package
 from .base import Fitted, Op
 
-ALL_PAIRS_LIMIT = 256  # distinct values per column below which every pair is scored
-
 
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence (bit-parallel, Hyyro 2004)."""
@@ -115,34 +114,25 @@ class FittedTypos(Fitted):
 
 class TypoCorrection(Op):
     def __init__(self, cols: Sequence[str] | None = None, fuzzy_threshold: float = 0.8, normalize: bool = True,
-                 use_multiple_metrics: bool = False, exclude: Sequence[str] = (),
-                 all_pairs_limit: int = ALL_PAIRS_LIMIT):
+                 use_multiple_metrics: bool = False, exclude: Sequence[str] = ()):
         self.cols, self.t, self.normalize, self.multi = cols, fuzzy_threshold, normalize, use_multiple_metrics
-        self.exclude, self.all_pairs_limit = exclude, all_pairs_limit
+        self.exclude = exclude
 
     def candidates(self, vals: DataFrame) -> DataFrame:
-        """(column, a, b, na, nb, xa, xb) candidate pairs, a != b."""
-        per_col = vals.groupBy("column").agg(F.count(F.lit(1)).alias("u"))
-        small = per_col.filter(F.col("u") <= self.all_pairs_limit).select("column")
-        big = per_col.filter(F.col("u") > self.all_pairs_limit).select("column")
-        A = vals.select("column", F.col("value").alias("a"), F.col("n").alias("na"), F.col("x").alias("xa"))
-        B = vals.select("column", F.col("value").alias("b"), F.col("n").alias("nb"), F.col("x").alias("xb"))
-        # small columns: every ordered pair (bounded by all_pairs_limit^2 per column)
-        small_pairs = A.join(small, "column", "left_semi").join(B, "column").filter(F.col("a") != F.col("b"))
-        # large columns: bigram blocking + equal normalised form + length bound
-        bv = vals.join(big, "column", "left_semi")
-        grams = bv.select("column", "value", F.explode(F.array_distinct(F.expr(
-            "transform(sequence(1, greatest(length(x) - 1, 1)), i -> substring(x, i, 2))"))).alias("g"))
-        keyed = grams.union(bv.select("column", "value", F.concat(F.lit("="), F.col("x")).alias("g")))
-        ka = keyed.select("column", "g", F.col("value").alias("a"))
-        kb = keyed.select("column", "g", F.col("value").alias("b"))
-        pairs = ka.join(kb, ["column", "g"]).filter(F.col("a") != F.col("b")).select("column", "a", "b").distinct()
-        big_pairs = (pairs.join(A, ["column", "a"]).join(B, ["column", "b"]))
-        bound = self.t / (2.0 - self.t)
-        la, lb = F.length("xa"), F.length("xb")
-        big_pairs = big_pairs.filter((F.least(la, lb) > F.greatest(la, lb) * F.lit(bound)) | (F.col("xa") == F.col("xb")))
+        """(column, a, b, na, nb, xa, xb) candidate pairs, a != b; no pair that could be
+        accepted is left out."""
+        A = vals.select("column", F.col("value").alias("a"), F.col("n").alias("na"), F.col("x").alias("xa"), F.length("x").alias("la"))
+        B = vals.select("column", F.col("value").alias("b"), F.col("n").alias("nb"), F.col("x").alias("xb"), F.length("x").alias("lb"))
         cols = ["column", "a", "b", "na", "nb", "xa", "xb"]
-        return small_pairs.select(*cols).unionByName(big_pairs.select(*cols))
+        if self.multi:
+            return A.join(B, "column").filter(F.col("a") != F.col("b")).select(*cols)
+        bound = F.lit(self.t / (2.0 - self.t))
+        low, high = F.floor(F.col("la") * bound).cast("int"), F.ceil(F.col("la") / F.greatest(bound, F.lit(1e-9))).cast("int")
+        longest = vals.agg(F.max(F.length("x"))).first()[0] or 0
+        probe = A.withColumn("lb", F.explode(F.sequence(low, F.least(F.greatest(low, high), F.greatest(low, F.lit(longest))))))
+        pairs = probe.join(B, ["column", "lb"]).filter(F.col("a") != F.col("b"))
+        most = F.floor(F.lit(1.0 - self.t) * (F.col("la") + F.col("lb")) + 1e-9).cast("int")
+        return pairs.filter((F.col("xa") == F.col("xb")) | (F.levenshtein("xa", "xb") <= most)).select(*cols)
 
     def fit(self, df: DataFrame) -> FittedTypos:
         cols = list(self.cols) if self.cols is not None else categorical_columns(df, self.exclude)
@@ -174,7 +164,7 @@ class TypoCorrection(Op):
         m = edges.withColumn("rk", F.row_number().over(w)).filter("rk = 1").select("column", "src", "dst")
         m = cut_lineage(m)
         # pointer jumping: dst <- dst(dst) until no value points to a value that moves on
-        for _ in range(64):
+        while True:
             nxt = (m.alias("x").join(m.alias("y"), (F.col("x.column") == F.col("y.column")) & (F.col("x.dst") == F.col("y.src")), "left")
                    .select(F.col("x.column").alias("column"), F.col("x.src").alias("src"),
                            F.coalesce(F.col("y.dst"), F.col("x.dst")).alias("dst")))

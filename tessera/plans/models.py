@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.kinds import categorical_columns, numeric_columns, q
 from ..functions.metrics import classification_metrics, roc_auc, with_weights
 from ..functions.prefix import running_totals
+from ..functions.stats import medians
 from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops
 from ..operators.split import fold_column, hash_key
 from ..session import cut_lineage
@@ -28,58 +29,78 @@ from ..session import cut_lineage
 FEATURES = "features"
 
 
+FULL_DEPTH = 30  # Spark's ceiling: the forests of selection and resampling set no depth
+
+
+def _with(estimator, overrides: dict):
+    """The estimator with keyword overrides of its own parameters; unknown ones raise."""
+    unknown = [k for k in overrides if not estimator.hasParam(k)]
+    if unknown:
+        raise TypeError(f"{type(estimator).__name__} has no parameters {unknown}")
+    return estimator.setParams(**overrides) if overrides else estimator
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
 # ----------------------------------------------------------------------------- ML1-ML6
-def logistic(label: str, features: Sequence[str], n_rows: int | None = None, C: float = 1.0, **_):
+def logistic(label: str, features: Sequence[str], n_rows: int | None = None, C: float = 1.0, **overrides):
     """ML1 — L2 logistic regression, C = 1, 1000 iterations, balanced weights."""
     reg = 1.0 / (C * n_rows) if n_rows else 0.0
     lr = LogisticRegression(featuresCol=FEATURES, labelCol=label, weightCol="weight", maxIter=1000,
                             regParam=reg, elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=[_assembler(features), lr])
+    return Pipeline(stages=[_assembler(features), _with(lr, overrides)])
 
 
 def random_forest(label: str, features: Sequence[str], num_trees: int = 100, max_depth: int = 10,
-                  seed: int = 42, weighted: bool = True, **_):
+                  seed: int = 42, weighted: bool = True, min_leaf: int = 2, n_rows: int | None = None, **overrides):
     """ML2 — 100 trees, depth 10, at least 2 rows per leaf, balanced weights."""
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                minInstancesPerNode=2, seed=seed, **({"weightCol": "weight"} if weighted else {}))
-    return Pipeline(stages=[_assembler(features), rf])
+                                minInstancesPerNode=min_leaf, seed=seed, **({"weightCol": "weight"} if weighted else {}))
+    return Pipeline(stages=[_assembler(features), _with(rf, overrides)])
+
+
+def plain_forest(label: str, features: Sequence[str], num_trees: int = 50, seed: int = 42,
+                 max_depth: int = FULL_DEPTH, min_leaf: int = 1):
+    """Unweighted forest of feature selection and resampler comparison: no depth or leaf
+    bound of its own (``max_depth`` and ``min_leaf`` set one for very large tables)."""
+    return random_forest(label, features, num_trees, max_depth, seed, weighted=False, min_leaf=min_leaf)
 
 
 def gradient_boosting(label: str, features: Sequence[str], max_iter: int = 100, step: float = 0.1,
-                      max_depth: int = 3, seed: int = 42, **_):
+                      max_depth: int = 3, seed: int = 42, n_rows: int | None = None, **overrides):
     """ML3 — 100 rounds, learning rate 0.1, depth 3."""
     gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, stepSize=step,
                         maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[_assembler(features), gbt])
+    return Pipeline(stages=[_assembler(features), _with(gbt, overrides)])
 
 
-def boosting_xgb(label: str, features: Sequence[str], seed: int = 42, **_):
+def boosting_xgb(label: str, features: Sequence[str], seed: int = 42, n_rows: int | None = None, **overrides):
     """ML4 — "xgb" profile: 100 rounds, depth 6, lr 0.1, row and column subsample 0.8."""
     gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=100, stepSize=0.1, maxDepth=6,
                         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    return Pipeline(stages=[_assembler(features), gbt])
+    return Pipeline(stages=[_assembler(features), _with(gbt, overrides)])
 
 
-def boosting_lgbm(label: str, features: Sequence[str], seed: int = 42, **_):
-    """ML5 — "lgbm" profile: 100 rounds, at most 32 leaves (depth 5), lr 0.1, subsample 0.8."""
+def boosting_lgbm(label: str, features: Sequence[str], seed: int = 42, n_rows: int | None = None, **overrides):
+    """ML5 — "lgbm" profile: 100 rounds, at most 32 leaves (depth 5), lr 0.1, row and column
+    subsample 0.8."""
     gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=100, stepSize=0.1, maxDepth=5,
-                        subsamplingRate=0.8, seed=seed)
-    return Pipeline(stages=[_assembler(features), gbt])
+                        subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
+    return Pipeline(stages=[_assembler(features), _with(gbt, overrides)])
 
 
 def boosting_cat(label: str, features: Sequence[str], categorical: Sequence[str] = (), cardinality: int = 0,
-                 seed: int = 42, max_iter: int = 100, **_):
+                 seed: int = 42, max_iter: int = 100, n_rows: int | None = None, **overrides):
     """ML6 — "cat" profile: 100 rounds, depth 6, lr 0.1, 128 bins, balanced weights, native
-    categorical splits (string columns indexed with an 'unknown' slot)."""
+    categorical splits (string columns indexed with an 'unknown' slot).  ``cardinality``:
+    the largest number of categories; ``train_model`` takes it from the fitted indexers."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
     feats = [f for f in features if f not in categorical] + [f"{c}__idx" for c in categorical]
     gbt = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=max_iter, stepSize=0.1, maxDepth=6,
                         maxBins=max(128, cardinality + 2), weightCol="weight", seed=seed)
-    return Pipeline(stages=[*idx, _assembler(feats), gbt])
+    return Pipeline(stages=[*idx, _assembler(feats), _with(gbt, overrides)])
 
 
 PROFILES: dict[str, Callable] = {
@@ -113,6 +134,10 @@ def train_model(name: str, train: DataFrame, label: str, features: Sequence[str]
     profiles, the validation log-loss per iteration."""
     tr = with_weights(train, label)
     n = tr.count()
+    if kw.get("categorical") and not kw.get("cardinality"):
+        cats = list(kw["categorical"])
+        fitted = StringIndexer(inputCols=cats, outputCols=[f"{c}__n" for c in cats], handleInvalid="keep").fit(tr)
+        kw = kw | {"cardinality": max(len(x) for x in fitted.labelsArray)}
     pipe = PROFILES[name](label, features, n_rows=n, **kw)
     model = pipe.fit(tr)
     info = {}
@@ -164,21 +189,21 @@ def find_best_model(train: DataFrame, validation: DataFrame, label: str, feature
 
 # ----------------------------------------------------------------------------- FS4 / FS5
 def rf_importance(df: DataFrame, label: str, features: Sequence[str], num_trees: int = 50,
-                  seed: int = 42) -> tuple[DataFrame, PipelineModel]:
+                  seed: int = 42, max_depth: int = FULL_DEPTH) -> tuple[DataFrame, PipelineModel]:
     """FS4 — impurity importances of a 50-tree forest: (feature, importance)."""
-    model = random_forest(label, features, num_trees=num_trees, max_depth=10, seed=seed, weighted=False).fit(df)
+    model = plain_forest(label, features, num_trees, seed, max_depth).fit(df)
     imp = model.stages[-1].featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double"), model
 
 
 def select_by_rf(df: DataFrame, label: str, features: Sequence[str], threshold="auto") -> FittedSelection:
-    imp, _ = rf_importance(df, label, features)
+    imp, model = rf_importance(df, label, features)
     vals = {r["feature"]: r["importance"] for r in imp.collect()}
     mean = sum(vals.values()) / max(len(vals), 1)
     t = 0.3 * mean if threshold == "auto" else (mean if threshold == "mean" else float(threshold))
     kept = [f for f in features if vals[f] > t]
-    return FittedSelection(kept, [f for f in features if f not in kept], imp, {"importance": vals, "threshold": t})
+    return FittedSelection(kept, [f for f in features if f not in kept], imp, {"importance": vals, "threshold": t, "model": model})
 
 
 def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str) -> DataFrame:
@@ -192,7 +217,7 @@ def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str
     below = F.col("cum_neg") - F.col("neg") - F.col("base")
     return (r.groupBy(*groups).agg(F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("num"),
                                    F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-            .select(*groups, F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc")))
+            .select(*groups, F.try_divide(F.col("num"), F.col("P").cast("double") * F.col("N")).alias("auc")))
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_col: str,
@@ -241,7 +266,7 @@ def cv_auc(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: i
     aucs = []
     for i in range(k):
         tr, te = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
-        m = random_forest(label, features, num_trees=num_trees, seed=seed, weighted=False).fit(tr)
+        m = plain_forest(label, features, num_trees, seed).fit(tr)
         aucs.append(roc_auc(score_column(m.transform(te)), label, "score").first()["auc"])
     return sum(aucs) / k
 
@@ -268,40 +293,55 @@ PRESETS = {
 def select_features(df: DataFrame, label: str, id_col: str, features: Sequence[str] | None = None,
                     variance_threshold: float = 0.0, missing_threshold: float = 0.9, mi_threshold: float = 0.001,
                     rf_threshold="auto", use_permutation: bool = True, corr_threshold: float = 0.95,
-                    max_features: int | None = None, quality_loss: float = 0.05, validate: bool = True,
-                    rank_by: str = "rf") -> dict:
-    """FS8 — low variance -> high missing -> union of MI / forest / permutation picks
-    (permutation only under 200 columns) -> correlated removal -> top ``max_features`` by
-    the ``rank_by`` importance -> validation with fallback to all features.  The kept
-    list is in schema order; importances are kept per method."""
+                    max_features: int | None = None, quality_loss: float | None = 0.05, validate: bool = True,
+                    rank_by: str = "rf", use_mi: bool = True, use_rf: bool = True, remove_correlated: bool = True,
+                    perm_threshold: float = 0.0, perm_repeats: int = 5) -> dict:
+    """FS8 — low variance -> high missing -> median fill -> union of MI / forest / permutation
+    picks -> correlated removal -> top ``max_features`` by the ``rank_by`` importance ->
+    validation with fallback to all features (``quality_loss`` None: none).  Every step has a
+    switch; with no picking step on, all features go on.  When nothing is left after the first
+    two filters, or nothing is picked, the result says so and selects nothing.  The kept list
+    is in schema order; importances are kept per method."""
     feats = list(features) if features is not None else numeric_columns(df, (label, id_col))
     f1 = LowVariance(variance_threshold, feats).fit(df)
     feats = f1.kept
     f2 = HighMissing(missing_threshold, feats).fit(df)
     feats = f2.kept
-    data = cut_lineage(df.select(q(id_col), q(label), *[F.coalesce(q(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]))
-    mi = MutualInfo(label, mi_threshold, feats).fit(data)
-    rf = select_by_rf(data, label, feats, rf_threshold)
-    picked = set(mi.kept) | set(rf.kept)
-    imps = {"mi": mi.info["mi"], "rf": rf.info["importance"]}
-    if use_permutation and len(feats) < 200:
-        _, model = rf_importance(data, label, feats)
+    result = {"selected": [], "importances": {}, "dropped_low_variance": f1.dropped, "dropped_missing": f2.dropped, "dropped_correlated": []}
+    if not feats:
+        return result | {"empty": "every feature has low variance or too many missing values"}
+    med = medians(df, feats)
+    data = cut_lineage(df.select(q(id_col), q(label), *[F.coalesce(q(c).cast("double"), F.lit(med[c])).alias(c) for c in feats]))
+    picked, imps = set(), {}
+    if use_mi:
+        mi = MutualInfo(label, mi_threshold, feats).fit(data)
+        picked |= set(mi.kept)
+        imps["mi"] = mi.info["mi"]
+    model = None
+    if use_rf or use_permutation:
+        rf = select_by_rf(data, label, feats, rf_threshold)
+        model, imps["rf"] = rf.info["model"], rf.info["importance"]
+        if use_rf:
+            picked |= set(rf.kept)
+    if use_permutation:
         perm = {r["feature"]: r["importance_mean"] for r in
-                permutation_importance(model, data, label, id_col, feats).collect()}
+                permutation_importance(model, data, label, id_col, feats, n_repeats=perm_repeats).collect()}
         imps["permutation"] = perm
-        picked |= {f for f, v in perm.items() if v is not None and v > 0}
-    cand = [f for f in feats if f in picked]
-    rank = imps.get(rank_by, imps["rf"])
+        picked |= {f for f, v in perm.items() if v is not None and v > perm_threshold}
+    cand = [f for f in feats if f in picked] if use_mi or use_rf or use_permutation else list(feats)
+    if not cand:
+        return result | {"importances": imps, "empty": "no feature was picked"}
+    rank = imps.get(rank_by) or imps.get("rf") or imps.get("mi") or {}
     imp_df = df.sparkSession.createDataFrame([(f, float(rank.get(f, 0.0) or 0.0)) for f in cand],
                                              "feature string, importance double")
-    drops = {r["feature"] for r in correlated_drops(data, cand, imp_df, corr_threshold).collect()} if len(cand) > 1 else set()
+    drops = {r["feature"] for r in correlated_drops(data, cand, imp_df, corr_threshold).collect()} if remove_correlated and len(cand) > 1 else set()
     cand = [f for f in cand if f not in drops]
     if max_features is not None and len(cand) > max_features:
         top = sorted(cand, key=lambda f: (-(rank.get(f, 0.0) or 0.0), f))[:max_features]
         cand = [f for f in cand if f in top]
     result = {"selected": cand, "importances": imps, "dropped_low_variance": f1.dropped,
               "dropped_missing": f2.dropped, "dropped_correlated": sorted(drops)}
-    if validate and cand:
+    if validate and quality_loss is not None and cand:
         v = validate_feature_set(data, label, id_col, feats, cand, quality_loss)
         result["validation"] = v
         if not v["accepted"]:
@@ -332,7 +372,7 @@ def compare_resamplers(train: DataFrame, validation: DataFrame, label: str, id_c
         try:
             res = cut_lineage(RESAMPLERS[name](train, label, id_col, list(features)))
             counts = {r[0]: r[1] for r in res.groupBy(q(label)).count().collect()}
-            m = random_forest(label, features, num_trees=num_trees, seed=seed, weighted=False).fit(res)
+            m = plain_forest(label, features, num_trees, seed).fit(res)
             ev = evaluate(m, validation, label)
             rows.append((name, sum(counts.values()), counts.get(1, 0), counts.get(0, 0),
                          *[float(ev[k]) if ev[k] is not None else None for k in ("f1", "recall", "precision", "auc")], None))
@@ -340,7 +380,7 @@ def compare_resamplers(train: DataFrame, validation: DataFrame, label: str, id_c
             rows.append((name, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:200]))
     t = spark.createDataFrame(rows, "method string, train_size long, n_pos long, n_neg long, f1 double, "
                                     "recall double, precision double, auc double, error string")
-    return t.orderBy(F.desc_nulls_last(scoring), "method")
+    return t.orderBy(F.desc_nulls_last("auc" if scoring == "roc_auc" else scoring), "method")
 
 
 def auto_select_resampler(train: DataFrame, validation: DataFrame, label: str, id_col: str,

@@ -208,5 +208,5 @@ def fe5_binary_ops(spark, sf):
 @query("fe6_align")
 def fe6_align(spark, sf):
     df = f1(spark, sf).drop("label")
-    fit = fe.Interactions(exclude=["id"]).fit(train_of(df))
+    fit = fe.Interactions(exclude=["id"], **fe.Interactions.REFERENCE_LIMITS).fit(train_of(df))
     return fit.transform(df)

@@ -36,6 +36,18 @@ def en2_onehot(spark, sf):
     return out.unpivot(["id", "is_test"], fit.names(), "feature", "value")
 
 
+@query("en2_sparse", f1_sql(
+    """SELECT f1.id, CAST(s.slot AS INTEGER) AS slot FROM f1 JOIN s
+       ON (s.c = 'segment' AND s.v = coalesce(f1.segment, 'nan')) OR (s.c = 'nation' AND s.v = coalesce(f1.nation, 'nan'))""",
+    """v AS (SELECT DISTINCT 'segment' AS c, coalesce(segment, 'nan') AS v FROM tr
+             UNION SELECT DISTINCT 'nation', coalesce(nation, 'nan') FROM tr),
+       s AS (SELECT c, v, row_number() OVER (ORDER BY c DESC, v) - 1 AS slot FROM v)"""))
+def en2_sparse(spark, sf):
+    df = f1(spark, sf).select("id", "is_test", "segment", "nation")
+    fit = en.SparseOneHot(["segment", "nation"]).fit(train_of(df))
+    return fit.transform(df).select("id", F.explode("onehot").alias("slot"))
+
+
 @query("en3_frequency", f1_sql(
     """SELECT id, is_test,
               sig(CASE WHEN NOT is_test AND segment IS NULL THEN m.mf ELSE coalesce(fq.f, m.mf) END) AS segment

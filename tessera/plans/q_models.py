@@ -1,5 +1,5 @@
-"""Queries for models, model-based selection and resampler search (rows-only checks;
-quality invariants in tests/test_models.py)."""
+"""Queries for models, model-based selection, resampler search and the end-to-end
+experiment (rows-only checks)."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ query("ml5_lgbm_profile")(_profile_query("LightGBM"))
 def ml6_cat_profile(spark, sf):
     df = model_frame(spark, sf)
     model, _ = ml.train_model("CatBoost", train_of(df), "planted", FEATS + ["segment", "nation"],
-                              categorical=["segment", "nation"], cardinality=32)
+                              categorical=["segment", "nation"])
     return _metrics_row(spark, "CatBoost", ml.evaluate(model, df.filter("is_test"), "planted"))
 
 
@@ -125,7 +125,11 @@ def fs8_select(spark, sf):
 @query("fs9_presets")
 def fs9_presets(spark, sf):
     df = train_of(model_frame(spark, sf))
-    return _selected_rows(spark, ml.select_features_preset(df, "planted", "id", "aggressive", features=FEATS))
+    out = None
+    for preset in ml.PRESETS:
+        rows = _selected_rows(spark, ml.select_features_preset(df, "planted", "id", preset, features=FEATS)).withColumn("preset", F.lit(preset))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # ------------------------------------------------------------------------------- IB10 / IB11
@@ -138,7 +142,7 @@ def _f4_parts(spark, sf):
 def ib10_compare(spark, sf):
     tr, va = _f4_parts(spark, sf)
     return ml.compare_resamplers(tr, va, "toxic", "id", ["z0", "z1", "z2"],
-                                 ["Original", "RandomUnderSampler", "SMOTE", "TomekLinks"], "f1")
+                                 scoring="f1")
 
 
 @query("ib11_auto")
@@ -146,3 +150,17 @@ def ib11_auto(spark, sf):
     tr, va = _f4_parts(spark, sf)
     best, table = ml.auto_select_resampler(tr, va, "toxic", "id", ["z0", "z1", "z2"], quick_mode=True)
     return table.withColumn("chosen", F.col("method") == F.lit(best))
+
+
+# ------------------------------------------------------------------------------- experiment
+def _experiment(cfg):
+    """The whole experiment on F5: raw and processed test metrics and their difference."""
+    def run(spark, sf):
+        from . import workflow as wf
+        df = f5(spark, sf).drop("is_test", "label")
+        return wf.run(df, "planted", "id", getattr(wf, cfg))["comparison"]
+    return run
+
+
+query("wf_full")(_experiment("FULL"))
+query("wf_production")(_experiment("PRODUCTION"))

@@ -8,7 +8,7 @@ from ..operators import encode as en
 from ..operators import profile as pr
 from ..operators.split import stratified_split
 from ..sources import fixtures as fx
-from ..sources.readers import coerce_numeric, table
+from ..sources.readers import coerce_numeric, read_csv, table
 from .catalog import f1, f5, query, r6
 from .oracle import f1_sql, f3_sql, f5_sql
 
@@ -25,6 +25,21 @@ def io1_scan(spark, sf):
     return spark.read.schema(ORDERS_SCHEMA).parquet(f"{sf}/orders.parquet")
 
 
+@query("io1_csv", "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice, "
+                  "o_orderpriority FROM orders")
+def io1_csv(spark, sf):
+    """Orders written as CSV with blank cells (in the shared folder) and scanned back under a
+    declared schema."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    orders = spark.read.schema(ORDERS_SCHEMA).parquet(f"{sf}/orders.parquet")
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    price = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    orders.withColumn("o_totalprice", price).write.option("header", True).csv(path)
+    return read_csv(spark, path, ORDERS_SCHEMA)
+
+
 @query("io2_coerce", f3_sql("SELECT id, TRY_CAST(trim(raw_number) AS DOUBLE) AS raw_number FROM f3"))
 def io2_coerce(spark, sf):
     df = fx.events_dirty(spark, sf)

@@ -80,11 +80,11 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
         train, test = imp.transform(train), imp.transform(test)
     train, test = cut_lineage(train), cut_lineage(test)
     if cfg.interactions:
-        it = Interactions(exclude=(id_col, label)).fit(train)
+        it = Interactions(exclude=(id_col, label), **Interactions.REFERENCE_LIMITS).fit(train)
         train, test = it.transform(train), it.transform(test)
     cats = categorical_columns(train, (label,))
     if cats:
-        oh = en.OneHot(cats, drop="first", max_categories=1000).fit(train)
+        oh = en.OneHot(cats, drop="first").fit(train)
         train, test = oh.transform(train), oh.transform(test)
     train, test = cut_lineage(train), cut_lineage(test)
     feats = numeric_columns(train, (label, id_col))

@@ -21,8 +21,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the test tables (Parquet)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the test tables (Parquet); NaN cells become NULL, as in every source."""
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

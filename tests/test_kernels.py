@@ -164,3 +164,34 @@ def test_components_of_a_long_path(spark):
     assert {got[i] for i in ids} == {0}
     assert got[5001] == got[5000] == 5000 and got[7000] == 7000
     assert connected_components(e.limit(0)).count() == 0
+
+
+def test_knn_at_large_offsets(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for offset in (0.0, 1e6, 1e8):
+        x = rng.normal(size=(120, 3)) + offset
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+        got = {}
+        for r in knn_join(df, df, 5, metric="nan_euclidean").collect():
+            got.setdefault(r["qid"], set()).add(r["nid"])
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+        np.fill_diagonal(d, np.inf)
+        assert all(got[i] == set(np.lexsort((np.arange(120), np.round(d[i], 12)))[:5].tolist()) for i in range(120))
+
+
+def test_typo_candidates_do_not_depend_on_the_number_of_values(spark):
+    from tessera.operators.typos import TypoCorrection
+    pair = [("axb", 1), ("ab", 5)]
+    for extra in (0, 400):
+        rows = [v for v, n in pair for _ in range(n)] + [f"zz{i:06d}qq{'k' * (i % 9)}" for i in range(extra)]
+        df = spark.createDataFrame([(v,) for v in rows], "v string")
+        got = {(r["wrong"], r["right"]) for r in TypoCorrection(["v"], fuzzy_threshold=0.7).fit(df).corrections().collect()}
+        assert ("axb", "ab") in got
+
+
+def test_grouped_quantile_keeps_null_keys(spark):
+    from tessera.functions.stats import grouped_quantile
+    df = spark.createDataFrame([(None, float(i)) for i in range(11)] + [("a", 1.0), ("a", 2.0)], "k string, x double")
+    got = {r["k"]: r["q"] for r in grouped_quantile(df, ["k"], "x").collect()}
+    assert got == {None: 5.0, "a": 1.5}
