@@ -83,17 +83,6 @@ def lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
     return df.withColumn(k, key).join(t, on=k, how="left").drop(k)
 
 
-def literal_map(pairs: Sequence[tuple], key_type: str = "string") -> Column | None:
-    """Map literal from (key, value) pairs with non-null keys; None when empty."""
-    pairs = [(k, v) for k, v in pairs if k is not None]
-    if not pairs:
-        return None
-    flat = []
-    for k, v in pairs:
-        flat += [F.lit(k).cast(key_type), F.lit(v)]
-    return F.create_map(*flat)
-
-
 def top_k_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int,
                     tie_cols: Sequence[str] = (), buckets: int = 64) -> DataFrame:
     """Exact top-k rows per group without putting a whole group in one task.

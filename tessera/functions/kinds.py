@@ -32,16 +32,6 @@ def categorical_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]
     return [f.name for f in df.schema.fields if is_categorical(f.dataType) and f.name not in ex]
 
 
-def resolve(df: DataFrame, columns: Sequence[str] | None, kind: str,
-            exclude: Iterable[str] = ()) -> list[str]:
-    """Columns of a kind; an explicit list is filtered to existing columns of that kind."""
-    pick = numeric_columns if kind == "numeric" else categorical_columns
-    allowed = pick(df, exclude)
-    if columns is None:
-        return allowed
-    return [c for c in columns if c in allowed]
-
-
 def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Float NaN becomes SQL NULL so that every statistic treats it as missing."""
     fr = {f.name for f in df.schema.fields if isinstance(f.dataType, FRACTIONAL_TYPES)}

@@ -27,22 +27,12 @@ def running_totals(df: DataFrame, order: Sequence[str], cols: Sequence[str], par
     r = cut_lineage(r)
     w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = r.withColumns({f"__l_{c}": F.sum(c).over(w) for c in cols}).withColumn("__lrank", F.row_number().over(w))
-    tots = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(c) for c in cols]).collect()
-    tots = sorted(tots, key=lambda t: t["__pid"])
-    offs = {c: {} for c in cols}
-    offn, acc_n, acc = {}, 0, {c: 0 for c in cols}
-    for t in tots:
-        offn[t["__pid"]] = acc_n
-        acc_n += t["__n"]
-        for c in cols:
-            offs[c][t["__pid"]] = acc[c]
-            acc[c] += t[c] or 0
-
-    def lit_map(d):
-        if not d:
-            return F.lit(0)
-        return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v))])[F.col("__pid")]
-
-    out = local.withColumns({f"{prefix}{c}": F.col(f"__l_{c}") + lit_map(offs[c]) for c in cols})
-    out = out.withColumn("__rank", F.col("__lrank") + lit_map(offn))
-    return out.drop("__pid", "__lrank", *[f"__l_{c}" for c in cols])
+    # one row per partition: its offsets are the running totals of the partitions before it
+    sums = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"__s_{c}") for c in cols])
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sums.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__on"),
+                       *[F.coalesce(F.sum(f"__s_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    out = local.join(F.broadcast(offs), "__pid")
+    out = out.withColumns({f"{prefix}{c}": F.col(f"__l_{c}") + F.col(f"__o_{c}") for c in cols})
+    out = out.withColumn("__rank", F.col("__lrank") + F.col("__on"))
+    return out.drop("__pid", "__lrank", "__on", *[f"__l_{c}" for c in cols], *[f"__o_{c}" for c in cols])

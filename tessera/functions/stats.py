@@ -207,18 +207,6 @@ def corr_long(df: DataFrame, cols: Sequence[str], pairs: str = "upper",
     return wide.select(F.inline(rows))
 
 
-def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long form (column, n_total, n_non_null, n_null) in one aggregate."""
-    cols = list(cols or df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count(q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
-                              F.col(f"c{i}").alias("n_non_null")) for i, c in enumerate(cols)])
-    return (wide.select(F.col("__n").alias("n_total"), F.inline(rows))
-            .select("column", "position", "n_total", "n_non_null",
-                    (F.col("n_total") - F.col("n_non_null")).alias("n_null")))
-
-
 def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys where a null key equals a null key; the left keys are kept."""
     r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -9,9 +9,6 @@ DataFrame.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from typing import Any
-
 from pyspark.sql import DataFrame
 
 
@@ -34,23 +31,3 @@ class Op:
     def fit_transform(self, df: DataFrame) -> tuple[Fitted, DataFrame]:
         f = self.fit(df)
         return f, f.transform(df)
-
-
-@dataclass
-class Identity(Fitted):
-    """Does nothing (e.g. the "Original" choice of a resampler search)."""
-
-    info: dict[str, Any] = field(default_factory=dict)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return df
-
-
-@dataclass
-class Chain(Fitted):
-    steps: list[Fitted]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        for s in self.steps:
-            df = s.transform(df)
-        return df

@@ -26,12 +26,16 @@ METHODS = ("rare", "string", "unexpected")
 FLAG_NAMES = {"rare": "rare_categories", "string": "string_anomalies", "unexpected": "unexpected_values"}
 
 
+#: Decimal digits of any script, and the superscript, subscript and circled digits.
+DIGITS = r"[\p{Nd}\u00B2\u00B3\u00B9\u2070\u2074-\u2079\u2080-\u2089\u2460-\u2468]"
+
+
 def string_anomaly(v: Column, min_length: int = 1, max_length: int = 50, allow_digits: bool = False,
                    allow_special_chars: bool = True) -> Column:
     """CD2 rule on a string expression (null -> false)."""
     bad = (F.length(v) < min_length) | (F.length(v) > max_length)
     if not allow_digits:
-        bad = bad | v.rlike(r"(?U)\d")
+        bad = bad | v.rlike(DIGITS)
     if not allow_special_chars:
         bad = bad | v.rlike(r"(?U)[^\w\s]")
     return F.coalesce(bad, F.lit(False))
@@ -252,7 +256,8 @@ class FittedCategoricalTreatment(Fitted):
 
 class CategoricalTreatment(Op):
     """CT6 — strategy 'group' | 'mode' | 'flag' | 'correct' | 'combined'
-    (combined = correct typos -> re-detect on the corrected frame -> group rare -> flags)."""
+    (combined = correct typos -> re-detect on the corrected frame -> flags of that detection
+    -> group rare, so ``replacement`` itself is never flagged)."""
 
     def __init__(self, strategy: str = "group", cols: Sequence[str] | None = None, replacement: str = "Other",
                  add_flags: bool = False, typo_kw: dict | None = None, exclude: Sequence[str] = (), **detect_kw):
@@ -281,8 +286,5 @@ class CategoricalTreatment(Op):
             return FittedCategoricalTreatment([("apply", typo, {})])
         fixed = typo.transform(df)
         again = self._detector(methods=["rare"]).fit(fixed)
-        steps = [("apply", typo, {}), ("group", again, {"replacement": self.replacement})]
-        if self.add_flags:
-            grouped = again.group_rare(fixed, replacement=self.replacement)
-            steps.append(("flag", self._detector().fit(grouped), {}))
-        return FittedCategoricalTreatment(steps)
+        flags = [("flag", self._detector().fit(fixed), {})] if self.add_flags else []
+        return FittedCategoricalTreatment([("apply", typo, {}), *flags, ("group", again, {"replacement": self.replacement})])

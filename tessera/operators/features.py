@@ -10,15 +10,15 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dictionary import Dictionary, long_values, lookup
-from ..functions.kinds import categorical_columns, is_categorical, numeric_columns, q
-from ..functions.stats import EXACT, _pct, grouped_quantile, medians, quantiles
+from ..functions.kinds import categorical_columns, numeric_columns, q
+from ..functions.stats import EXACT, grouped_quantile, medians, quantiles
 from ..session import cached
 from .base import Fitted, Op
 
@@ -207,11 +207,6 @@ class CatPairs(Op):
         return FittedCatPairs(pairs, rare, self.unseen, seen)
 
 
-def _by_column():
-    from pyspark.sql import Window
-    return Window.partitionBy("column")
-
-
 # --------------------------------------------------------------------------- FE5
 @dataclass
 class FittedBinaryOps(Fitted):
@@ -287,7 +282,3 @@ class Interactions(Op):
             steps.append(f)
             cur = f.transform(cur)
         return FittedInteractions(steps, cur.schema)
-
-
-def string_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if is_categorical(f.dataType)]

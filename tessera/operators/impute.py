@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dictionary import Dictionary, lookup
+from ..functions.dictionary import Dictionary, category_counts, lookup
 from ..functions.kinds import INTEGRAL_TYPES, categorical_columns, numeric_columns, q
 from ..functions.stats import EXACT, _pct, grouped_quantiles_wide, quantiles
 from ..session import cached
@@ -204,11 +204,19 @@ class CategoricalFill(Op):
         if self.strategy == "constant":
             values = {c: self.constant for c in cols}
         else:
-            row = df.agg(*[F.mode(q(c), True).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-            values = {c: (row[f"m{i}"] if row[f"m{i}"] is not None else UNKNOWN) for i, c in enumerate(cols)}
+            values = _modes(df, cols)
         return FittedFill(values, cols if self.add_indicator else [], numeric=False)
 
 
+def _modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Most frequent value per column (ties: the smallest), ``'Unknown'`` where all are null;
+    from one count of (column, value), so no task holds the values of a column."""
+    counts = category_counts(df, cols, keep_nulls=False)
+    first = F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("m")
+    found = {r["column"]: r["m"]["value"] for r in counts.groupBy("column").agg(first).collect()}
+    return {c: found.get(c, UNKNOWN) for c in cols}
+
+
 class GroupCategoricalFill(Op):
     """MV6 — fill string nulls with the train mode of the row's group.
 
@@ -231,12 +239,15 @@ class GroupCategoricalFill(Op):
         targets = _cols_with_nulls(df, targets)
         if not targets:
             return FittedGroupFill(self.group_col, [], None, {}, numeric=False, indicators=indicators)
-        orow = df.agg(*[F.mode(q(c), True).alias(f"o{i}") for i, c in enumerate(targets)]).first()
-        overall = {c: (orow[f"o{i}"] if orow[f"o{i}"] is not None else UNKNOWN) for i, c in enumerate(targets)}
-        table = (df.filter(q(self.group_col).isNotNull())
-                 .groupBy(q(self.group_col).cast("string").alias("__key"))
-                 .agg(*[F.coalesce(F.mode(q(c), True), F.lit(UNKNOWN)).alias(f"__g{i}")
-                        for i, c in enumerate(targets)]))
+        overall = _modes(df, targets)
+        # count (group, column, value) first, so no task holds the values of a group
+        items = F.array(*[F.struct(F.lit(i).alias("__t"), q(c).cast("string").alias("__v")) for i, c in enumerate(targets)])
+        long = df.filter(q(self.group_col).isNotNull()).select(q(self.group_col).cast("string").alias("__key"), F.inline(items))
+        counts = long.groupBy("__key", "__t", "__v").agg(F.count(F.lit(1)).alias("n"))
+        first = F.min(F.struct(F.col("__v").isNull().alias("none"), (-F.col("n")).alias("n"), "__v")).alias("m")
+        best = counts.groupBy("__key", "__t").agg(first).select("__key", "__t", F.coalesce("m.__v", F.lit(UNKNOWN)).alias("__v"))
+        wide = best.groupBy("__key").pivot("__t", list(range(len(targets)))).agg(F.first("__v"))
+        table = wide.select("__key", *[F.col(str(i)).alias(f"__g{i}") for i in range(len(targets))])
         return FittedGroupFill(self.group_col, targets, Dictionary.materialise(table), overall,
                                numeric=False, indicators=indicators)
 

@@ -9,13 +9,11 @@ the exact kNN join in ``functions.neighbors``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kinds import q
-from .base import Fitted
 from .split import exact_first_n
 
 
@@ -57,18 +55,6 @@ def undersample(df: DataFrame, label: str, id_col: str = "id", features: Sequenc
     return df.filter(exact_first_n(df, label, id_col, want, seed, "under"))
 
 
-@dataclass
-class Resampler(Fitted):
-    """A named resampling step (fit and transform are the same call: it changes rows)."""
-
-    name: str
-    fn: object
-    kwargs: dict
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.fn(df, **self.kwargs) if self.fn is not None else df
-
-
 def identity(df: DataFrame, *args, **kwargs) -> DataFrame:
     return df
 

@@ -85,14 +85,6 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
     return df.withColumn(out_col, exact_first_n(df, label, id_col, want, seed, "split"))
 
 
-def random_split_fast(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int | str = 42,
-                      out_col: str = "is_test") -> DataFrame:
-    """Approximate (Bernoulli) split in one pass: hash prefix below the fraction."""
-    h = hash_key(id_col, seed, "split")
-    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
-    return df.withColumn(out_col, u < F.lit(test_size))
-
-
 def fold_column(df: DataFrame, label: str, id_col: str, k: int = 3, seed: int | str = 42,
                 out_col: str = "fold") -> DataFrame:
     """Stratified fold number 0..k-1 with exact class shares: fold j of class c holds its
