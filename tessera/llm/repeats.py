@@ -27,7 +27,6 @@ are one text and get one result.  Null ids come before all others.  Texts are re
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
