@@ -24,6 +24,8 @@ from .kinds import q
 #       that grows with the number of distinct values).
 #   "approx": `percentile_approx` only (rank error n/accuracy, no interpolation).
 EXACT, MAP, APPROX = "exact", "map", "approx"
+CHUNK = 50         # columns per aggregate
+PAIR_CHUNK = 1000  # column pairs per aggregate
 ACCURACY = 10_000
 MAX_BRACKET = 200_000  # values kept per order statistic in the final pass
 
@@ -45,6 +47,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     rows inside each bracket only, shrinking it by a factor of about accuracy / 6; the
     final pass keeps the values inside the brackets.  Two passes up to ~2.5e8 rows per
     column, three up to ~1e12."""
+    if len(cols) > CHUNK:  # one aggregate row holds the brackets of a bounded number of columns
+        out: dict = {}
+        for i in range(0, len(cols), CHUNK):
+            out.update(exact_quantiles(df, cols[i:i + CHUNK], probs, accuracy, max_bracket))
+        return out
     delta = 3.0 / accuracy
     brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
     aggs = [F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)]
@@ -183,7 +190,7 @@ def null_safe_corr(a: Column, b: Column) -> Column:
 
 def corr_long(df: DataFrame, cols: Sequence[str], pairs: str = "upper",
               targets: Sequence[str] | None = None) -> DataFrame:
-    """Correlations in long form (a, b, r) computed in ONE aggregate.
+    """Correlations in long form (a, b, r), up to ``PAIR_CHUNK`` pairs per aggregate.
 
     pairs='upper': a before b in `cols` order; 'all': every ordered pair incl. the
     diagonal; targets=[t]: (a, t) for every a != t.
@@ -192,19 +199,25 @@ def corr_long(df: DataFrame, cols: Sequence[str], pairs: str = "upper",
         plist = [(a, t) for t in targets for a in cols if a != t]
     else:
         plist = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not plist and pairs == "upper":
-        return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    aggs = [null_safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(plist)]
     full = targets is None and pairs != "upper"
-    if full:  # symmetric: compute each unordered pair once, the diagonal from the variance
-        aggs += [(F.var_pop(q(c).cast("double")) > 0).alias(f"v{k}") for k, c in enumerate(cols)]
-    wide = df.agg(*aggs)
-    items = [(a, b, F.col(f"r{i}")) for i, (a, b) in enumerate(plist)]
-    if full:
-        items += [(b, a, F.col(f"r{i}")) for i, (a, b) in enumerate(plist)]
-        items += [(c, c, F.when(F.col(f"v{k}"), F.lit(1.0))) for k, c in enumerate(cols)]
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.cast("double").alias("r")) for a, b, r in items])
-    return wide.select(F.inline(rows))
+    if not plist and not (full and cols):
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    parts = []
+    for k in range(0, max(len(plist), 1), PAIR_CHUNK):
+        some = plist[k:k + PAIR_CHUNK]
+        aggs = [null_safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(some)]
+        items = [(a, b, F.col(f"r{i}")) for i, (a, b) in enumerate(some)]
+        if full:  # symmetric: each unordered pair is computed once, the diagonal from the variance
+            items += [(b, a, F.col(f"r{i}")) for i, (a, b) in enumerate(some)]
+            if k == 0:
+                aggs += [(F.var_pop(q(c).cast("double")) > 0).alias(f"v{i}") for i, c in enumerate(cols)]
+                items += [(c, c, F.when(F.col(f"v{i}"), F.lit(1.0))) for i, c in enumerate(cols)]
+        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.cast("double").alias("r")) for a, b, r in items])
+        parts.append(df.agg(*aggs).select(F.inline(rows)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
 
 
 def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

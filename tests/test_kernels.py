@@ -195,3 +195,19 @@ def test_grouped_quantile_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, float(i)) for i in range(11)] + [("a", 1.0), ("a", 2.0)], "k string, x double")
     got = {r["k"]: r["q"] for r in grouped_quantile(df, ["k"], "x").collect()}
     assert got == {None: 5.0, "a": 1.5}
+
+
+def test_wide_aggregates_are_cut_into_chunks(spark, monkeypatch):
+    from tessera.functions import stats
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(40, 7))
+    cols = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], cols)
+    monkeypatch.setattr(stats, "CHUNK", 3)
+    monkeypatch.setattr(stats, "PAIR_CHUNK", 4)
+    got = stats.exact_quantiles(df, cols, [0.25, 0.5])
+    assert all(np.allclose(got[c], np.quantile(x[:, i], [0.25, 0.5])) for i, c in enumerate(cols))
+    r = {(t["a"], t["b"]): t["r"] for t in stats.corr_long(df, cols, "all").collect()}
+    want = np.corrcoef(x.T)
+    assert len(r) == 49 and all(abs(r[(a, b)] - want[i, j]) < 1e-9 for i, a in enumerate(cols) for j, b in enumerate(cols))
