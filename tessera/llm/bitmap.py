@@ -53,7 +53,8 @@ def with_mark(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("__mark", F.xxhash64("__id", "__th"))
 
 
-def _marked(shared, inside: bool):
+def only_marked(shared, inside: bool):
+    """The rows of ``with_mark`` that may be in the bitmap (``inside``), or surely are not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
@@ -62,23 +63,22 @@ def _marked(shared, inside: bool):
     return run
 
 
-def parted(documents: DataFrame, named: DataFrame, id_col: str, text_col: str, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows surely not named, rows that may be, the named keys (__id, __th, ...)).  ``named``:
-    (id, th, ...); the second frame keeps the columns of ``with_mark`` for an exact join."""
+def marked(documents: DataFrame, named: DataFrame, id_col: str, text_col: str, bits: int = FILTER_BITS):
+    """(broadcast bitmap of the texts that ``named`` (id, th, ...) holds, ``with_mark`` rows, the
+    named keys as (__id, __th, ...))."""
     ship_package(documents.sparkSession)
     keys = named.withColumnsRenamed({"id": "__id", "th": "__th"}).withColumn("__id", F.coalesce("__id", F.lit(LEAST_ID)))
     shared = documents.sparkSession.sparkContext.broadcast(make_bitmap(keys.select(F.xxhash64("__id", "__th").alias("term")), bits))
-    rows = with_mark(documents, id_col, text_col)
-    out = rows.mapInArrow(_marked(shared, False), rows.schema).select(*[F.col(f"`{c}`") for c in documents.columns])
-    return out, rows.mapInArrow(_marked(shared, True), rows.schema), keys
+    return shared, with_mark(documents, id_col, text_col), keys
 
 
 def drop_rows(documents: DataFrame, named: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` without the rows that ``named`` (id, th, keep) holds with keep = false; of
     repeated rows that it holds with keep = true one stays.  All columns are kept."""
-    clean, some, keys = parted(documents, named, id_col, text_col)
+    shared, rows, keys = marked(documents, named, id_col, text_col)
     cols = [F.col(f"`{c}`") for c in documents.columns]
-    rest = some.join(keys, ["__id", "__th"], "left")
+    clean = rows.mapInArrow(only_marked(shared, False), rows.schema).select(*cols)
+    rest = rows.mapInArrow(only_marked(shared, True), rows.schema).join(keys, ["__id", "__th"], "left")
     others = rest.filter("keep is null").select(*cols)
     kept = rest.filter("keep").dropDuplicates(["__id", "__th"]).select(*cols)
     return clean.unionAll(others).unionAll(kept)

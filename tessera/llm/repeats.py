@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package, stage_table
-from .bitmap import LEAST_ID, identified, in_bitmap, make_bitmap, parted
+from .bitmap import LEAST_ID, identified, in_bitmap, make_bitmap, marked, only_marked
 from .textnum import Words, blocks, mix, odd_constants, space_words
 
 FILTER_BITS = 27
@@ -412,11 +412,23 @@ def apply_ranges(documents: DataFrame, ranges: DataFrame, make: Callable, schema
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``make(batches)`` over the rows of ``documents`` (all columns, then the lists __froms and
     __tos), for every row once.  Rows that have no ranges are not shuffled."""
-    clean, some, keys = parted(documents, ranges, id_col, text_col, FILTER_BITS)
+    shared, rows, keys = marked(documents, ranges, id_col, text_col, FILTER_BITS)
     cols, none = [F.col(f"`{c}`") for c in documents.columns], F.array().cast("array<long>")
-    whole = clean.select(*cols, none.alias("__froms"), none.alias("__tos"))
-    rest = some.join(keys, ["__id", "__th"], "left").select(*cols, F.coalesce("froms", none).alias("__froms"), F.coalesce("tos", none).alias("__tos"))
-    return whole.mapInArrow(make, schema).unionAll(rest.mapInArrow(make, schema))
+    rest = rows.mapInArrow(only_marked(shared, True), rows.schema).join(keys, ["__id", "__th"], "left")
+    rest = rest.select(*cols, F.coalesce("froms", none).alias("__froms"), F.coalesce("tos", none).alias("__tos"))
+    return rows.mapInArrow(_whole(shared, make), schema).unionAll(rest.mapInArrow(make, schema))
+
+
+def _whole(shared, make: Callable):
+    """``make`` over the rows that surely have no ranges, in the worker that reads them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def plain() -> Iterator[pa.RecordBatch]:
+            for batch in only_marked(shared, False)(batches):
+                n, none = batch.num_rows, pa.array([], pa.int64())
+                empty = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), none)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-3], empty, empty], [*batch.schema.names[:-3], "__froms", "__tos"])
+        yield from make(plain())
+    return run
 
 
 def ranges_of(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
