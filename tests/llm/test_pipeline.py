@@ -7,8 +7,8 @@ import pytest
 
 import corpus_pipeline
 from tessera.llm import toxicity
-from test_decontaminate import brute as brute_contamination
-from test_jaccard_join import brute as brute_components
+from .test_decontaminate import brute as brute_contamination
+from .test_jaccard_join import brute as brute_components
 
 SF = "/root/testdata/sf0.01"
 

@@ -4,7 +4,7 @@ import random
 import duckdb
 import numpy as np
 
-from conftest import SF
+from .conftest import SF
 from tessera.llm import topk
 from tessera.llm.topk import ORACLE, op5_topk, top_k
 
