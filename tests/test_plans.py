@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-HEAVY = ("ml", "fs4", "fs5", "fs7", "fs8", "fs9", "ib10", "ib11", "ct4", "ct6_combined", "od4_dbscan_labels")
+HEAVY = ("op", "pipeline", "wf", "ml", "fs4", "fs5", "fs7", "fs8", "fs9", "ib10", "ib11", "ct4", "ct6_combined")
 NAMES = sorted(n for n in entry.queries() if not n.startswith(HEAVY))
 
 
