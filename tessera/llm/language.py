@@ -193,7 +193,7 @@ class Scorer:
             self.learn(sorted(new))
         out, chars = np.zeros((len(texts), self.width)), np.zeros(len(texts))
         for i, s in enumerate(split):
-            if s:
+            if any(c.isalpha() for w in s for c in w):
                 at = np.fromiter(map(self.word.__getitem__, s), np.int64, len(s))
                 out[i] = self.word_rows[at].sum(0)
                 chars[i] = sum(map(len, s)) + len(s)

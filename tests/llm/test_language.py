@@ -62,7 +62,7 @@ def test_held_out_accuracy(spark):
 def test_edges(spark, make_docs, monkeypatch):
     monkeypatch.setattr(language, "MEMO", 5)
     rng = random.Random(1)
-    docs = make_docs([None, "", "123 _ !", "the cat", "the cat", (None, "the cat"), " ".join(rng.choice(["the", "cat", "ß"]) for _ in range(60000))])
+    docs = make_docs([None, "", "123 _ ! ² Ⅷ", "the cat", "the cat", (None, "the cat"), " ".join(rng.choice(["the", "cat", "ß"]) for _ in range(60000))])
     model = train(docs)
     got = identify(docs, model).collect()
     assert sorted(r["lang_pred"] for r in got) == ["en"] * 4 + ["und"] * 3
