@@ -134,7 +134,9 @@ def train_model(name: str, train: DataFrame, label: str, features: Sequence[str]
     profiles, the validation log-loss per iteration."""
     tr = with_weights(train, label)
     n = tr.count()
-    if kw.get("categorical") and not kw.get("cardinality"):
+    if PROFILES[name] is not boosting_cat:  # the only profile with native categorical splits
+        kw = {k: v for k, v in kw.items() if k not in ("categorical", "cardinality")}
+    elif kw.get("categorical") and not kw.get("cardinality"):
         cats = list(kw["categorical"])
         fitted = StringIndexer(inputCols=cats, outputCols=[f"{c}__n" for c in cats], handleInvalid="keep").fit(tr)
         kw = kw | {"cardinality": max(len(x) for x in fitted.labelsArray)}

@@ -142,3 +142,13 @@ def test_dbscan_grid(spark):
     r = fit.result.toPandas().set_index("id")
     assert set(r[r.is_noise].index) == set(range(50, 55))
     assert r.loc[list(range(50)), "cluster"].nunique() == 2
+
+
+def test_model_overrides_are_real_and_unknown_ones_raise(spark):
+    from tessera.plans.models import PROFILES
+    for name, factory in PROFILES.items():
+        pipe = factory("y", ["a"], maxIter=7) if name not in ("RandomForest", "LogisticRegression") else factory("y", ["a"])
+        assert pipe.getStages()[-1].getLabelCol() == "y"
+        with pytest.raises(TypeError):
+            factory("y", ["a"], no_such_parameter=1)
+    assert PROFILES["LightGBM"]("y", ["a"], maxIter=7).getStages()[-1].getMaxIter() == 7
