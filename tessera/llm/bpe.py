@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from .textnum import docs
+from .textnum import docs, kept
 
 WIDE = 256
 MEMO = 400_000
@@ -252,17 +252,10 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODECS: dict = {}
-
-
 def shared_codec(shared, pattern: str) -> Codec:
     """One codec per worker process and vocabulary."""
     data = shared.value
-    key = (hashlib.sha256(data).digest(), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(data, pattern)
-    return _CODECS[key]
+    return kept(("codec", hashlib.sha256(data).digest(), pattern), lambda: Codec(data, pattern))
 
 
 def text_blocks(col: pa.Array) -> Iterator[tuple[int, list[str]]]:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package, stage_table
 from .bitmap import drop_rows, identified, in_bitmap, make_bitmap
-from .textnum import Words, alnum_words, blocks, docs, lists
+from .textnum import Words, alnum_words, blocks, docs, lists, release
 
 SALTS = 16
 
@@ -54,6 +54,7 @@ def _item_windows(window: int):
 
 def _postings(shared, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         words, bitmap = Words(alnum_words(), lower=True), shared.value
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..functions.components import connected_components
 from ..session import ship_package, stage_table
 from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap
-from .textnum import Words, blocks, gram_hashes, lists, mix, space_words
+from .textnum import Words, blocks, gram_hashes, lists, mix, release, space_words
 
 SEGMENTS = 8
 BLOCK = 512
@@ -91,6 +91,7 @@ class Levels:
 
 def _signed(n: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sets, levels = Sets(n), Levels(num, den)
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
@@ -143,6 +144,7 @@ def _sums(tok: np.ndarray, first: np.ndarray, salts) -> list[np.ndarray]:
 def _tokens(shared, n: int):
     """The sets of the texts whose signature is in the bitmap, cut into vertical segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sets, bitmap = Sets(n), shared.value
         for batch in batches:
             for lo, hi, buf, offs in blocks(batch):

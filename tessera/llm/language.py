@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package, stage_table
 from .bpe import text_blocks
+from .textnum import kept
 
 ORDER = 4
 SLOT_BITS = 22
@@ -200,15 +201,9 @@ class Scorer:
         return out, chars
 
 
-_SCORERS: dict = {}
-
-
 def _scored(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(shared.value)
-        scorer = _SCORERS[key]
+        scorer = kept(("language", key), lambda: Scorer(shared.value))
         langs = scorer.model.langs
         for batch in batches:
             for lo, texts in text_blocks(batch.column(1)):

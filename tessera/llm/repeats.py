@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from ..session import ship_package, stage_table
 from .bitmap import LEAST_ID, identified, in_bitmap, make_bitmap, marked, only_marked
-from .textnum import Words, blocks, mix, odd_constants, space_words
+from .textnum import Words, blocks, mix, odd_constants, release, space_words
 
 FILTER_BITS = 27
 HOT = 0.0025
@@ -207,6 +207,7 @@ def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
 def _frequent(spec: Spec):
     """Keys that stand out in a task: (key, n) with n at least HOT of its texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scan, keys, counts, texts, held = Scanner(spec), [], [], 0, 0
         for batch in batches:
             texts += batch.num_rows
@@ -229,6 +230,7 @@ def _frequent(spec: Spec):
 
 def _keys(spec: Spec, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scan = Scanner(spec, hot.value)
         for batch in batches:
             for _, _, buf, offs in blocks(batch, most=BLOCK):
@@ -245,6 +247,7 @@ STRETCH = "id long, th long, key long, c long, start long, n long, recurs boolea
 def _candidates(spec: Spec, hot, bitmap):
     """Stretches whose key is in the bitmap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scan, bits = Scanner(spec, hot.value), bitmap.value
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
@@ -267,6 +270,7 @@ def _contents(spec: Spec, hot, bitmap, halves):
     """Stretches that share a half window with another content, or may hold repeats by
     themselves, with their content (once per block)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scan, bits, half_bits = Scanner(spec, hot.value), bitmap.value, halves.value
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
@@ -318,6 +322,7 @@ def _sharded(spec: Spec, repeated: Callable[[Shard], np.ndarray]):
     size = 1 if spec.symbols == "bytes" else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         cols: list[list] = [[] for _ in range(7)]
         with tempfile.TemporaryFile() as f:
             for batch in batches:
@@ -422,6 +427,8 @@ def apply_ranges(documents: DataFrame, ranges: DataFrame, make: Callable, schema
 def _whole(shared, make: Callable):
     """``make`` over the rows that surely have no ranges, in the worker that reads them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+
         def plain() -> Iterator[pa.RecordBatch]:
             for batch in only_marked(shared, False)(batches):
                 n, none = batch.num_rows, pa.array([], pa.int64())

@@ -7,7 +7,8 @@ block (or by its longest single text), never by its partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,28 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
 
+_KEPT: dict = {}
+
+
+def kept(key: Hashable, make: Callable):
+    """The one large object (model, memo) that a worker process keeps from task to task; an
+    object of another key takes its place."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Give up the kept object and hand freed memory back to the system: workers are used
+    again by later stages, next to each other."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 #: Bytes that separate words for "[^\x20\x09-\x0D]+".
 SPACES = [0x20, *range(0x09, 0x0E)]
 
@@ -144,19 +167,5 @@ def gram_hashes(h: np.ndarray, k: int, seed: int = 7) -> np.ndarray:
     return mix(out)
 
 
-def sliding_argmin(v: np.ndarray, w: int) -> np.ndarray:
-    """Index of the smallest value (leftmost of equals) in every run of w values."""
-    n = len(v) - w + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    idx, span = np.arange(len(v)), 1
-    while span < w:
-        step = min(span, w - span)
-        a, b = idx[:-step], idx[step:]
-        idx = np.where(v[b] < v[a], b, a)
-        span += step
-    return idx[:n]
-
-
 def lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import MEMO, Merger, _share, text_blocks
-from .textnum import docs
+from .textnum import docs, kept
 
 
 def byte_letters() -> list[str]:
@@ -90,16 +90,10 @@ class Counter:
         return [n + sum(map(memo.__getitem__, left)) for n, left in zip(ones, rest)]
 
 
-_COUNTERS: dict = {}
-
-
 def _counted(shared, pattern: str, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (hashlib.sha256(shared.value).digest(), pattern)
-        if key not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[key] = Counter(shared.value, pattern)
-        counter = _COUNTERS[key]
+        data = shared.value
+        counter = kept(("counter", hashlib.sha256(data).digest(), pattern), lambda: Counter(data, pattern))
         for batch in batches:
             for lo, texts in text_blocks(batch.column(1)):
                 n = counter.count(texts)

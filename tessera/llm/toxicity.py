@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .bpe import text_blocks
+from .textnum import kept
 
 LENGTH, DECAY, POWER = 3, 0.8, 3
 SHARE, FLOOR, MOST, LONGEST = 0.6, 0.1, 3.0, 24
@@ -255,15 +256,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(flat, pa.string()), pa.array([y for y, s in zip(label[lo:], split) for _ in s], pa.int32())], ["unit", "y"])
 
 
-_KERNELS: dict = {}
-
-
 def _kernel_of(landmarks: list[str]) -> TextKernel:
-    key = hashlib.sha256("\n".join(landmarks).encode()).digest()
-    if key not in _KERNELS:
-        _KERNELS.clear()
-        _KERNELS[key] = TextKernel(landmarks)
-    return _KERNELS[key]
+    return kept(("kernel", hashlib.sha256("\n".join(landmarks).encode()).digest()), lambda: TextKernel(landmarks))
 
 
 def _vectors(landmarks: list[str]):
