@@ -14,7 +14,8 @@ one shard without shipping all suffixes:
 3. **Contents.**  Candidate stretches are stored (hashes and places only).  Equal contents
    collapse (map-side) to their earliest occurrence.  A window that holds its key's m-gram
    also holds one of the two half windows beside it, so only contents that share a half
-   window with another one (again a bitmap) are shipped to the shards, keyed by the m-gram.
+   window with another one (again a bitmap), or in which the m-gram recurs, are shipped to the
+   shards, keyed by the m-gram.  Where it recurs, the half windows of every place count.
    A shard finds the repeated windows among its distinct contents (suffix array or suffix
    trees) and returns, for the earliest occurrence of each, which windows it must lose.
 4. **Ranges.**  Every other occurrence of a content is repeated as a whole; ranges are gathered
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 
 from ..session import ship_package, stage_table
 from .bitmap import LEAST_ID, identified, in_bitmap, make_bitmap, marked, only_marked
-from .textnum import Words, blocks, mix, odd_constants, release, space_words
+from .textnum import Words, blocks, lists, mix, odd_constants, release, space_words
 
 FILTER_BITS = 27
 HOT = 0.0025
@@ -102,11 +103,12 @@ class Scanner:
             done += step
         return v
 
-    def _anchors(self, grams: np.ndarray, least: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first place of the key m-gram in each stretch, does it recur there).  Only stretches
-        in which it recurs can hold equal windows.  An m-gram is the smallest of some window if
-        and only if the largest of the minima of its windows is its own value; recurrences in a
-        stretch are then neighbours."""
+    def _anchors(self, grams: np.ndarray, least: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of m-grams that are the smallest of some window, which of them is the first of
+        the key m-gram in each stretch, does it recur there).  Only stretches in which it recurs
+        can hold equal windows.  An m-gram is the smallest of some window if and only if the
+        largest of the minima of its windows is its own value; recurrences in a stretch are then
+        neighbours."""
         span = self.spec.span
         pad = np.zeros(span - 1, np.uint64)
         top = self._slide(np.concatenate([pad, least, pad]), np.maximum)
@@ -118,12 +120,33 @@ class Scanner:
             todo = todo[v[i[todo]] != key[todo]]
             i[todo] += 1
         nxt = np.minimum(i + 1, len(at) - 1)
-        return at[i], (i + 1 < len(at)) & (v[nxt] == key) & (at[nxt] < start + count - 1 + span)
+        return at, i, (i + 1 < len(at)) & (v[nxt] == key) & (at[nxt] < start + count - 1 + span)
+
+    def _further(self, grams: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray,
+                 at: np.ndarray, i: np.ndarray, recurs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many in each stretch, hashes) of the half windows around the recurrences of the
+        key m-gram in a stretch; each hash once a stretch."""
+        who = np.flatnonzero(recurs)
+        stop = np.searchsorted(at, start[who] + count[who] - 1 + self.spec.span)
+        more = stop - i[who] - 1
+        who = np.repeat(who, more)
+        place = at[np.arange(len(who)) - np.repeat(np.cumsum(more) - more, more) + i[who] + 1]
+        same = grams[place] == key[who]
+        who, place = who[same], place[same]
+        h = np.concatenate(self.flanks(grams, start[who], count[who], place))
+        who = np.concatenate([who, who])[h != 0]
+        h = h[h != 0]
+        order = np.lexsort((h, who))
+        who, h = who[order], h[order]
+        once = np.ones(len(h), bool)
+        once[1:] = (h[1:] != h[:-1]) | (who[1:] != who[:-1])
+        return np.bincount(who[once], minlength=len(start)), h[once]
 
     def flanks(self, grams: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the half windows before and after the anchor, each with the anchor itself;
         0 where the stretch does not hold one.  A window that holds the anchor holds one of
-        them, so contents of one key that share no half window share no window."""
+        them, so contents of one key that share no half window around any of its places share no
+        window."""
         m, half = self.spec.gram, -(-(self.spec.window - self.spec.gram) // 2)
         out = []
         for lo in (anchor - half, anchor):
@@ -152,22 +175,24 @@ class Scanner:
         power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(count.max()), self.factors[40])]))
         return mix(np.add.reduceat(self.window_hashes(grams, within + np.repeat(start, count)) * power[within], first) + count.astype(np.uint64))
 
-    def stretches(self, sym: np.ndarray, offs: np.ndarray, keep=None, recurring: bool = False) -> tuple[np.ndarray, ...]:
+    def stretches(self, sym: np.ndarray, offs: np.ndarray, keep=None, recurring: bool = False, every: bool = False) -> tuple[np.ndarray, ...]:
         """(first window, windows, key, text) of every stretch; windows by their first symbol.
         ``recurring`` adds: does the key recur in it.  With ``keep`` (a test of keys) only those
-        that pass, and also the hashes of the half windows before and after and of the content."""
+        that pass, and also the hashes of the half windows before and after the first place of the key
+        and of the content.  ``every`` adds to these: the number of hashes of half windows around
+        its further places, and these hashes, one stretch after another."""
         w = self.spec.window
         n = len(sym) - w + 1
         empty = np.zeros(0, np.int64)
         if n <= 0:
             none = (empty, empty, empty.view(np.uint64), empty)
-            more = (empty.astype(bool), *[empty.view(np.uint64)] * 3)
+            more = (empty.astype(bool), *[empty.view(np.uint64)] * 3, *(empty, empty.view(np.uint64))[:2 * every])
             return (*none, *more) if keep is not None else (*none, *more[:recurring])
         if n > PIECE:  # a very long block: pieces that overlap by a window
             parts = []
             for a in range(0, n, PIECE):
                 cut = np.clip(offs, a, min(len(sym), a + PIECE + w - 1)) - a
-                found = self.stretches(sym[a:a + PIECE + w - 1], cut, keep, recurring)
+                found = self.stretches(sym[a:a + PIECE + w - 1], cut, keep, recurring, every)
                 parts.append((found[0] + a, *found[1:]))
             return tuple(np.concatenate(x) for x in zip(*parts))
         grams = self._grams(sym)
@@ -188,14 +213,15 @@ class Scanner:
         key = least[start]
         text = np.searchsorted(offs, start, "right") - 1
         if keep is None:
-            more = (self._anchors(grams, least, start, count, key)[1] if len(start) else np.zeros(0, bool),) if recurring else ()
+            more = (self._anchors(grams, least, start, count, key)[2] if len(start) else np.zeros(0, bool),) if recurring else ()
             return start, count, key, text, *more
         some = keep(key)
         start, count, key, text = start[some], count[some], key[some], text[some]
         if not len(start):
-            return start, count, key, text, some[:0], key, key, key
-        anchor, recurs = self._anchors(grams, least, start, count, key)
-        return start, count, key, text, recurs, *self.flanks(grams, start, count, anchor), self.contents(grams, start, count)
+            return start, count, key, text, some[:0], key, key, key, *(count, key)[:2 * every]
+        at, i, recurs = self._anchors(grams, least, start, count, key)
+        more = self._further(grams, start, count, key, at, i, recurs) if every else ()
+        return start, count, key, text, recurs, *self.flanks(grams, start, count, at[i]), self.contents(grams, start, count), *more
 
 
 def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +267,7 @@ def _keys(spec: Spec, hot):
     return run
 
 
-STRETCH = "id long, th long, key long, c long, start long, n long, recurs boolean, before long, after long"
+STRETCH = "id long, th long, key long, c long, start long, n long, recurs boolean, before long, after long, more array<long>"
 
 
 def _candidates(spec: Spec, hot, bitmap):
@@ -253,13 +279,14 @@ def _candidates(spec: Spec, hot, bitmap):
             ids, th = batch.column(0), batch.column(1)
             for lo, _, buf, offs in blocks(batch, most=BLOCK):
                 sym, at = scan.symbols(buf, offs)
-                start, count, key, text, recurs, before, after, code = scan.stretches(sym, at, lambda k: in_bitmap(bits, k))
+                start, count, key, text, recurs, before, after, code, size, more = scan.stretches(sym, at, lambda k: in_bitmap(bits, k), every=True)
                 rows = pa.array(lo + text)
                 b, a = (np.where(x == 0, x, mix(x ^ key)) for x in (before, after))
+                more = lists(np.concatenate([[0], np.cumsum(size)]), pa.array(mix(more ^ np.repeat(key, size)).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(rows), th.take(rows), pa.array(key.view(np.int64)), pa.array(code.view(np.int64)), pa.array(start - at[text]),
-                     pa.array(count), pa.array(recurs), pa.array(b.view(np.int64)), pa.array(a.view(np.int64))],
-                    ["id", "th", "key", "c", "start", "n", "recurs", "before", "after"])
+                     pa.array(count), pa.array(recurs), pa.array(b.view(np.int64)), pa.array(a.view(np.int64)), more],
+                    ["id", "th", "key", "c", "start", "n", "recurs", "before", "after", "more"])
     return run
 
 
@@ -380,7 +407,7 @@ def repeated_ranges(documents: DataFrame, spec: Spec, repeated: Callable[[Shard]
     bitmap = spark.sparkContext.broadcast(make_bitmap(twice.select(F.col("key").alias("term")), FILTER_BITS))
     found = stage_table(rows.mapInArrow(_candidates(spec, hot, bitmap), STRETCH))
     firsts = found.groupBy("key", "c").agg(F.min(F.struct("id", "th", "start")).alias("f"), F.count(F.lit(1)).alias("seen"))
-    half = found.select("c", F.explode(F.array("before", "after")).alias("term")).filter("term != 0")
+    half = found.select("c", F.explode(F.concat(F.array("before", "after"), "more")).alias("term")).filter("term != 0")
     half = half.groupBy("term").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x != y")
     halves = spark.sparkContext.broadcast(make_bitmap(half.select("term"), FILTER_BITS))
     contents = (rows.mapInArrow(_contents(spec, hot, bitmap, halves), CONTENT).groupBy("key", "c").agg(

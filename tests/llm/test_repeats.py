@@ -193,3 +193,52 @@ def test_rewriting_keeps_all_columns(spark, make_docs):
         assert len(got) == len(docs) and all(r["id"] == 7 and r["uid"] == 8 for r in got)
         text = {r["doc_id"]: r["text"] for r in got}
         assert text[1] is None and text[3] == "x" * 99 and len(text[200]) < len(dict(docs)[200])
+
+
+def lines_twice():
+    """(u + L + L + P, v + L + P) for lines L about as long as the room beside the key m-gram, so
+    that its key recurs in the first text only and the shared windows hold its second place."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    docs = []
+    for words in (False, True):
+        for n in range(4, 10) if words else range(30, 72, 2):
+            for _ in range(6):
+                line = " ".join(word() for _ in range(n)) + " " if words else "".join(rng.choice("abcdefghij") for _ in range(n))
+                u, v, p = (" ".join(word() for _ in range(k)) + " " for k in (20, 20, 9))
+                pair = [u + line + line + p + word(), v + line + p + word()]
+                docs += [(len(docs) + i, t) for i, t in enumerate(pair[::rng.choice((1, -1))])]
+    return docs
+
+
+def test_partner_of_a_recurring_key_is_found(spark, make_docs):
+    docs = lines_twice()
+    assert rows(suffix_array.dedup_digests(make_docs(docs))) == brute_bytes(docs)
+    assert rows(suffix_tree.dedup_digests(make_docs(docs))) == brute_words(docs)
+
+
+def test_half_windows_of_every_place():
+    """Two contents of one key that share a window share a half window."""
+    docs = [t for _, t in lines_twice()] + [t or "" for _, t in hard_docs()]
+    for spec in (suffix_array.SPEC, suffix_tree.SPEC):
+        scan = repeats.Scanner(spec)
+        held = []
+        for t in docs:
+            raw = np.frombuffer(t.encode(), np.uint8)
+            sym, offs = scan.symbols(raw, np.array([0, len(raw)]))
+            start, count, key, _, _, before, after, _, size, more = scan.stretches(sym, offs, lambda k: np.ones(len(k), bool), every=True)
+            assert len(size) == len(start) and size.sum() == len(more)
+            cut = np.split(more, np.cumsum(size)[:-1]) if len(size) else []
+            for s, n, k, *h, rest in zip(start.tolist(), count.tolist(), key.tolist(), before.tolist(), after.tolist(), cut):
+                held.append((k, {sym[i:i + spec.window].tobytes() for i in range(s, s + n)}, {*h, *rest.tolist()} - {0}))
+        by_key = {}
+        for k, w, h in held:
+            by_key.setdefault(k, []).append((w, h))
+        met = 0
+        for group in by_key.values():
+            for i, (w, h) in enumerate(group):
+                for w2, h2 in group[:i]:
+                    if w & w2:
+                        met += 1
+                        assert h & h2
+        assert met > 50
