@@ -104,3 +104,53 @@ def test_repeated_rows_and_nulls(spark, make_docs):
     from tessera.llm.decontaminate import drop_contaminated
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
     assert sorted(str(r["doc_id"]) for r in drop_contaminated(docs, bench).collect()) == ["3", "4", "4", "5"]
+
+
+def firsts(docs, n=5, num=80, den=100):
+    """(doc_id, text) of the first of each group of near duplicates, by all pairs that share a shingle."""
+    sets = []
+    for _, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set()))
+    up, holders = list(range(len(docs))), {}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for i, s in enumerate(sets):
+        count = {}
+        for g in s:
+            for j in holders.setdefault(g, []):
+                count[j] = count.get(j, 0) + 1
+            holders[g].append(i)
+        for j, c in count.items():
+            if den * c >= num * (len(s) + len(sets[j]) - c):
+                up[root(i)] = root(j)
+    low = {}
+    for i, (d, _) in enumerate(docs):
+        low[root(i)] = min(low.get(root(i), d), d)
+    return sorted((d, t) for i, (d, t) in enumerate(docs) if low[root(i)] == d)
+
+
+def test_near_copies_at_five_words_and_four_fifths_go(spark, make_docs):
+    rng = np.random.default_rng(4)
+    texts = []
+    for length in (30, 60, 120, 300):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, length)]
+        texts.append(" ".join(base))
+        for share in (.05, .15, .2, .3):
+            more = [f"x{x}" for x in rng.integers(0, 10**6, int(share * length))]
+            texts += [" ".join(base + more), " ".join(base[int(share * length):])]
+        for k in (length // 60, length // 50, length // 40, length // 25):
+            changed = list(base)
+            for i in rng.choice(length, k, replace=False):
+                changed[i] = f"y{i}"
+            texts.append(" ".join(changed))
+    docs = list(enumerate(texts))
+    assert pairs(corpus_pipeline._near_duplicates(spark, make_docs(docs), SF)) == firsts(docs)
+    copy = [(1, texts[13]), (2, texts[13] + " " + " ".join(f"z{i}" for i in range(9)))]
+    assert pairs(corpus_pipeline._near_duplicates(spark, make_docs(copy), SF)) == copy[:1]
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    got = pairs(corpus_pipeline._near_duplicates(spark, table, SF))
+    assert got == firsts(pairs(table)) and len(got) < len(firsts(pairs(table), 3, 90))
