@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from . import topk
+from . import collocations, topk
 from .bpe import op2_bpe_codec
 from .decontaminate import op10_decontaminate
 from .jaccard_join import op9_jaccard_join
@@ -27,5 +27,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
     "op12_packing": op12_packing,
+    "op13_collocations": collocations.op13_collocations,
 }
-ORACLES: dict[str, str] = {"op5_topk": topk.ORACLE}
+ORACLES: dict[str, str] = {"op5_topk": topk.ORACLE, "op13_collocations": collocations.ORACLE}
