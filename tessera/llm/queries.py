@@ -8,6 +8,7 @@ from .bpe import op2_bpe_codec
 from .decontaminate import op10_decontaminate
 from .jaccard_join import op9_jaccard_join
 from .language import op7_language_id
+from .manifest import op11_manifest
 from .packing import op12_packing
 from .sharding import op1_sharding
 from .suffix_array import op4_suffix_array
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontaminate": op10_decontaminate,
+    "op11_manifest": op11_manifest,
     "op12_packing": op12_packing,
     "op13_collocations": collocations.op13_collocations,
 }

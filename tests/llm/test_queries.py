@@ -9,7 +9,7 @@ from .conftest import SF
 
 def test_one_query_per_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
