@@ -17,9 +17,11 @@ its task and the totals of the tasks before, so a length that a third of all row
 numbered by all tasks.  Texts are read and tokenised once, map-side.
 
 **Ids** are those of the tokenizers library.  A text is cut at single blanks between two
-other characters, where no pre-token can cross, and the ids of such words are kept in a bounded
-memo; unknown words go through the pre-token pattern, and unknown pre-tokens to the library.
-A word that holds a special token's string goes to the library whole.
+other characters, and before a mark between a letter and a blank, where no pre-token
+can cross; the words of a block are told apart first, and
+their ids are kept in a bounded memo.  Unknown words go through the pre-token pattern, unknown
+pre-tokens through the merges of the file (``bpe.Merger``; held against the library in the
+tests).  A word that holds a special token's string goes to the library itself.
 
 Null and empty texts are one piece with the end id alone.  Rows with equal ids or texts stay
 separate rows, null ids stay null, extra columns are left out, an empty table gives no rows.
@@ -28,6 +30,7 @@ separate rows, null ids stay null, extra columns are left out, an empty table gi
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,22 +38,56 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stage_table
-from .bpe import _share, text_blocks
+from .bpe import _share
 from .textnum import docs, kept, lists
+from .token_counts import merger_of
 
 CAPACITY, END_ID = 1024, 2
-MEMO = 500_000
+MEMO = 700_000
 LONG_WORD = 256  # longer words are not remembered
+BLOCK_BYTES = 1 << 21
+LETTERS = r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]"
+CUT = "\x01"  # stands before a mark that is cut off the word before it
+#: What separates words for any of the regular expression engines in use.
+WHITE = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 RANK_BITS = 44
 
 
+class Pool:
+    """Runs of ids, one after the other; row i is ``ids[first[i]:first[i] + size[i]]``."""
+
+    def __init__(self):
+        self.ids, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the rows in order, how many each has)."""
+        size = self.size[rows]
+        end = np.cumsum(size)
+        return self.ids[np.repeat(self.first[rows] - end + size, size) + np.arange(int(end[-1]) if len(end) else 0)], size
+
+    def add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of the rows added."""
+        row = len(self)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids.astype(np.uint32)])
+        return np.arange(row, row + len(size))
+
+    def add_lists(self, lists_: list) -> np.ndarray:
+        size = np.fromiter(map(len, lists_), np.int64, len(lists_))
+        return self.add(np.fromiter(chain.from_iterable(lists_), np.uint32, int(size.sum())), size)
+
+
 class Ids:
-    """Ids of whole texts by a tokenizers file, with a bounded memo of words."""
+    """Ids of whole texts by a tokenizers file, with bounded memos of words and pre-tokens."""
 
     def __init__(self, data: bytes, pattern: str):
         import os
@@ -58,63 +95,94 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(data.decode())
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special)).search if special else (lambda _: None)
+        self.merger = merger_of(json.loads(data))
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.split = regex.compile(pattern).findall
-        self.odd = re.compile(r" \s|\s ").search
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[str, int] = {}  # word (without its blank) -> row of the pool
         self.heads: dict[str, int] = {}  # the same for words that open a text
-        self.parts: dict[str, list[int]] = {}
-        self.pool, self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, heads: list[str], words: list[str]) -> None:
-        texts = heads + [" " + w for w in words]
-        whole = {i for i, t in enumerate(texts) if self.special(t)}
-        split = [[t] if i in whole else self.split(t) for i, t in enumerate(texts)]
-        exact = dict(zip(whole, self._library([texts[i] for i in whole])))
-        new = list(set(chain.from_iterable(s for i, s in enumerate(split) if i not in whole)).difference(self.parts))
+        self.pool = Pool()
+        self.clear_parts()
+
+    def clear_parts(self) -> None:
+        self.parts: dict[str, int] = {}  # pre-token -> row of its pool
+        self.part_pool = Pool()
+
+    def _learn(self, texts: list[str], special: bool) -> np.ndarray:
+        """Rows of the pool that hold the ids of new words (with their blanks)."""
+        rows = np.empty(len(texts), np.int64)
+        plain = pc.match_substring_regex(pa.array(texts, pa.string()), f"^ ?{LETTERS}+$").to_numpy(zero_copy_only=False)
+        one = np.flatnonzero(plain)  # a single pre-token
+        rows[one] = self.pool.add_lists(self.merger.encode_many([texts[i].encode() for i in one.tolist()]))
+        rest = np.flatnonzero(~plain).tolist()
+        for i in [i for i in rest if special and any(x in texts[i] for x in self.special)]:  # special tokens are the library's work
+            rows[i] = self.pool.add_lists([self.library.encode(texts[i], add_special_tokens=False).ids])[0]
+            rest.remove(i)
+        split = [self.split(texts[i]) for i in rest]
+        count = np.fromiter(map(len, split), np.int64, len(split))
+        flat = list(chain.from_iterable(split))
         if len(self.parts) > MEMO:
-            self.parts.clear()
-            new = list(set(chain.from_iterable(s for i, s in enumerate(split) if i not in whole)))
-        self.parts.update(zip(new, self._library(new)))
-        get = self.parts.__getitem__
-        ids = [exact[i] if i in whole else list(chain.from_iterable(map(get, s))) for i, s in enumerate(split)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
-        row, at = len(self.size), len(self.pool)
-        self.first = np.concatenate([self.first, at + np.cumsum(size) - size])
-        self.size, self.pool = np.concatenate([self.size, size]), np.concatenate([self.pool, flat])
-        self.heads.update(zip(heads, range(row, row + len(heads))))
-        self.words.update(zip(words, range(row + len(heads), row + len(texts))))
+            self.clear_parts()
+        new = list(set(flat).difference(self.parts))
+        self.parts.update(zip(new, self.part_pool.add_lists(self.merger.encode_many([p.encode() for p in new])).tolist()))
+        ids, size = self.part_pool.take(np.fromiter(map(self.parts.__getitem__, flat), np.int64, len(flat)))
+        total = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        rows[rest] = self.pool.add(ids, np.diff(total))
         for p in [p for p in new if len(p) > LONG_WORD]:
             del self.parts[p]
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in order, first id of each text and the end)."""
-        split = [self.cut(t) if self.odd(t) else t.split(" ") for t in texts]
-        heads = [s[0] for s in split]
-        words = [s[1:] for s in split]
+        return rows
+
+    def _rows(self, memo: dict[str, int], named: pa.Array, blank: str, special: bool) -> np.ndarray:
+        words = named.to_numpy(zero_copy_only=False).tolist()
+        rows = np.fromiter((memo.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            rows[new] = self._learn([w[1:] if blank and w[:1] == CUT else blank + w for w in fresh], special)
+            memo.update((w, r) for w, r in zip(fresh, rows[new].tolist()) if len(w) <= LONG_WORD)
+        return rows
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, first id of each text and the end); null: empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        special = any(pc.any(pc.match_substring(texts, x)).as_py() for x in self.special)
+        odd = pc.match_substring_regex(texts, f" {WHITE}|{WHITE} |{CUT}").to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(pc.replace_substring_regex(texts, f"({LETTERS})([.,;:!?])( |$)", f"\\1 {CUT}\\2\\3"), " ")
+        if odd.any():
+            cut = pa.array([[t] if CUT in t else self.cut(t) for t in texts.filter(pa.array(odd)).to_pylist()], split.type)
+            place = np.where(odd, len(texts) + np.cumsum(odd) - 1, np.arange(len(texts)))
+            split = pa.concat_arrays([split, cut]).take(pa.array(place))
         if len(self.words) + len(self.heads) > MEMO:
             self.clear()
-        self._learn(list(set(heads).difference(self.heads)), list(set().union(*words).difference(self.words)))
-        of, opens = self.words.__getitem__, self.heads.__getitem__
-        count = np.array([1 + len(w) for w in words], np.int64)
-        row = np.fromiter(chain.from_iterable(chain((opens(h),), map(of, w)) for h, w in zip(heads, words)), np.int64, int(count.sum()))
-        size = self.size[row]
-        end = np.cumsum(size)
-        ids = self.pool[np.repeat(self.first[row] - end + size, size) + np.arange(int(end[-1]) if len(end) else 0)]
-        bounds = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(count)])]
-        for memo in (self.words, self.heads):
-            for w in [w for w in memo if len(w) > LONG_WORD] if max(map(len, texts), default=0) > LONG_WORD else ():
-                del memo[w]
-        return ids, bounds
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        code, named = coded.indices.to_numpy().copy(), coded.dictionary
+        head = code[bounds[:-1]]
+        rows = np.full(len(named), -1, np.int64)
+        inner = np.ones(len(code), bool)
+        inner[bounds[:-1]] = False
+        used = np.unique(code[inner])
+        rows[used] = self._rows(self.words, named.take(pa.array(used)), " ", special)
+        row = rows[code]
+        opens, place = np.unique(head, return_inverse=True)
+        row[bounds[:-1]] = self._rows(self.heads, named.take(pa.array(opens)), "", special)[place]
+        ids, size = self.pool.take(row)
+        return ids, np.concatenate([[0], np.cumsum(size)])[bounds]
+
+
+def _text_blocks(col: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) for runs of whole texts of about BLOCK_BYTES bytes."""
+    size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + BLOCK_BYTES, "right")) - 1)
+        yield lo, col.slice(lo, hi - lo)
+        lo = hi
 
 
 def _pieces(shared, pattern: str, capacity: int, end_id: int, with_ids: bool):
@@ -124,7 +192,7 @@ def _pieces(shared, pattern: str, capacity: int, end_id: int, with_ids: bool):
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for lo, texts in text_blocks(batch.column(1)):
+            for lo, texts in _text_blocks(batch.column(1)):
                 flat, bounds = ids_of(texts)
                 n = np.diff(bounds) + 1
                 flat = np.insert(flat, bounds[1:], end_id).astype("<u4")

@@ -31,19 +31,23 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(free)) for b in range(256)]
 
 
+def merger_of(spec: dict) -> Merger:
+    """Merges of a vocabulary file (byte-level BPE, parsed JSON)."""
+    vocab = spec["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    ids = np.array([[vocab[a], vocab[b]] for a, b in merges], np.int64).reshape(-1, 2)
+    made = np.array([vocab[a + b] for a, b in merges], np.int64)
+    return Merger(ids[:, 0], ids[:, 1], np.arange(len(merges)), made, np.array([vocab[c] for c in byte_letters()]))
+
+
 class Counter:
     """Token counts of one vocabulary file (byte-level BPE, JSON)."""
 
     def __init__(self, data: bytes, pattern: str):
         import regex
         spec = json.loads(data)
-        model, vocab = spec["model"], spec["model"]["vocab"]
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        ids = np.array([[vocab[a], vocab[b]] for a, b in merges], np.int64).reshape(-1, 2)
-        made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        letters = byte_letters()
-        byte_ids = np.array([vocab[c] for c in letters])
-        self.merger = Merger(ids[:, 0], ids[:, 1], np.arange(len(merges)), made, byte_ids)
+        vocab, letters = spec["model"]["vocab"], byte_letters()
+        self.merger = merger_of(spec)
         self.split = regex.compile(pattern).findall
         special = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -68,7 +69,7 @@ def check(rows, texts, capacity=1024):
 
 
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a b  ", "\n a\n\nb \t c", "x<|endoftext|>y z", " <|endoftext|> ", "<|endoftext|>", "it's don't 've 's",
-       "a b c　d", "a\x1cb c \x1fd", "\u0085 x \u0085", "é ñ ß 12 3४", "a" * 5000, " ".join(["word"] * 4000), "ha퟿b 🙂 🙂🙂", "᠎ a​ b", "a \n", "\n a"]
+       "a b c　d", "a\x1cb c \x1fd", "\u0085 x \u0085", "é ñ ß 12 3४", "a" * 5000, " ".join(["word"] * 4000), "ha퟿b 🙂 🙂🙂", "᠎ a​ b", "a \n", "\n a", "a, b. c; d, ", "a \x01, b", "\x01 a", "a \x01b, c", "é, ñ. x,y, 1, 2. ..., a.. b, ,"]
 
 
 def test_ids_are_the_library_s():
@@ -77,7 +78,7 @@ def test_ids_are_the_library_s():
     alphabet = ["a", "B", " ", " ", " ", "\n", "\t", " ", "1", ".", "'s", "é", "中", "🙂", "<|endoftext|>", " ", "\x1d", "\u0085", " ", " ", " "]
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randint(1, 40))) for _ in range(3000)]
     for part in (texts, texts[::-1]):
-        flat, bounds = ids(part)
+        flat, bounds = ids(pa.array(part))
         assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [library(t)[:-1] for t in part]
 
 
@@ -85,7 +86,7 @@ def test_every_blank_code_point():
     ids = Ids(open(PATH, "rb").read(), PATTERN)
     texts = [s for c in map(chr, [*range(0x3100), *range(0xFE00, 0x10000)]) if not "\ud800" <= c <= "\udfff"
              for s in (f"a {c}b", f"a{c} b", f"a {c} b")]
-    flat, bounds = ids(texts)
+    flat, bounds = ids(pa.array(texts))
     want = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
     assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == want
 
