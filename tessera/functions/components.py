@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import free, stage_table
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -42,6 +42,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         nxt = _small_star(_large_star(cur).filter(F.col("a") != F.col("b")).distinct()).distinct()
         nxt = stage_table(nxt)
         now = nxt.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        free(cur)
         cur = nxt
         if tuple(now) == before or now[0] == 0:
             break

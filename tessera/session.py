@@ -74,7 +74,20 @@ def stage_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that ``stage_table`` wrote, once their last reader is done; other frames
+    are left alone."""
+    for t in tables:
+        path = getattr(t, "_stage_path", None)
+        if path:
+            jvm = t.sparkSession.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 @contextmanager
