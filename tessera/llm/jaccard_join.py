@@ -6,10 +6,15 @@ order is the order of these hashes; it is cut into contiguous **fragments**.
 * **Equal sets** collapse first (pre-aggregated by a 128-bit set signature): one vertex per
   distinct set, plus membership.  Copies are never expanded into pairs.
 * **Candidates.**  Two sets of sizes a <= b that link have a symmetric difference of at most
-  H = floor((1 - t) / (1 + t) * (a + b)) n-grams.  Cut into H + 1 fragments, at least one
-  fragment is equal in both (pigeonhole), so the hash of every fragment's content is a
-  lossless key.  H depends on the size class; a set of class c writes keys for the levels c
-  and c - 1, the only ones at which a link can be.  No n-gram frequency and no cap is needed.
+  H = floor((1 - t) / (1 + t) * (a + b)) n-grams.  The order is cut into more than H fragments,
+  and the hash of each fragment *with content* is a key; an empty fragment is none.  Proof: the
+  difference touches at most H fragments, so if one of the two sets has content in more than H
+  fragments, one of these is untouched, has the same content in the other set, and both write
+  its key.  A set with content in at most H fragments is *thin* and also writes its first
+  a - ceil(t * a) + 1 n-grams as keys: two thin sets that link share one of these (prefix
+  filter).  ``Levels`` cuts as many spare fragments as make thin sets rare.  H depends on the
+  size class; a set of class c writes keys for the levels c and c - 1, the only ones at which a
+  link can be.  No n-gram frequency and no cap is needed.
 * **Counting.**  Each pair's overlap is counted per vertical fragment (``SEGMENTS`` of them)
   and the partial counts are summed per pair.
 * **No all-pairs output.**  Within a key group only star pairs are tried first: the member
@@ -25,6 +30,7 @@ stay separate rows; ``component_id`` is the smallest id in the component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +42,7 @@ from pyspark.sql import functions as F
 from ..functions.components import connected_components
 from ..session import ship_package, stage_table
 from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap
-from .textnum import Words, blocks, gram_hashes, lists, mix, release, space_words
+from .textnum import Words, blocks, gram_hashes, mix, release, space_words
 
 SEGMENTS = 8
 BLOCK = 512
@@ -71,62 +77,88 @@ class Sets:
 
 class Levels:
     """Size classes for similarity num / den: class c holds sizes up to ``high[c]``; a link
-    joins sizes of one class or of neighbours.  ``cuts[c]``: fragments at level c."""
+    joins sizes of one class or of neighbours.  At level c it has at most ``most[c]``
+    differences, and the order is cut into ``cuts[c]`` fragments."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
-        self.high, self.cuts = [0], [1]
+        self.high, self.most, self.cuts = [0], [0], [1]
 
     def _extend(self, size: int) -> None:
         while self.high[-1] < size:
-            hi = (self.high[-1] + 1) * self.den // self.num
-            other = hi * self.den // self.num
+            low = self.high[-1] + 1
+            hi = low * self.den // self.num
+            most = (self.den - self.num) * (hi + hi * self.den // self.num) // (self.den + self.num)
+            empty = (most + 1) * math.exp(-low / (most + 1))  # to be expected among most + 1
             self.high.append(hi)
-            self.cuts.append((self.den - self.num) * (hi + other) // (self.den + self.num) + 1)
+            self.most.append(most)
+            self.cuts.append(most + 1 + (min(most + 1, math.ceil(empty + 4 * math.sqrt(empty))) if most else 0))
 
     def of(self, size: np.ndarray) -> np.ndarray:
         self._extend(int(size.max()) + 1 if len(size) else 1)
         return np.searchsorted(np.array(self.high), size, "left")
 
-
-def _signed(n: int, num: int, den: int):
+    def keys(self, own: np.ndarray, tok: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, key) of the keys of all sets."""
+        cls = self.of(size)
+        most, cuts = np.array(self.most), np.array(self.cuts)
+        first = np.concatenate([[0], np.cumsum(size)])
+        head = size - -(-size * self.num // self.den) + 1
+        who, keys = [], []
+        for lower in (0, 1):
+            level = np.maximum(cls - lower, 0)
+            live = most[level] > 0  # without differences: equal sets only
+            use = live[own]
+            o, t = own[use], tok[use]
+            if not len(o):
+                continue
+            salt = mix((level.astype(np.uint64) << np.uint64(32)) + np.uint64(1))
+            frag = ((t >> np.uint64(32)) * cuts[level][o].astype(np.uint64)) >> np.uint64(32)
+            at = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (frag[1:] != frag[:-1])]))
+            holder = o[at]
+            who.append(holder)
+            keys.append(mix(np.add.reduceat(mix(t ^ np.uint64(5)), at) + mix(salt[holder] + frag[at])))
+            thin = live & (np.bincount(holder, minlength=len(size)) <= most[level])
+            place = np.arange(len(tok)) - first[own]
+            pick = thin[own] & (place < head[own])
+            who.append(own[pick])
+            keys.append(mix(tok[pick] + mix(salt[own[pick]] ^ np.uint64(9))))
+        return (np.concatenate(who), np.concatenate(keys)) if who else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def _signed(n: int):
+    """Size and signature of each text's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        sets, levels = Sets(n), Levels(num, den)
+        sets = Sets(n)
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
             for lo, hi, buf, offs in blocks(batch):
                 own, tok = sets(buf, offs)
-                texts = hi - lo
-                size = np.bincount(own, minlength=texts)
-                first = np.concatenate([[0], np.cumsum(size)])
-                sigs = _sums(tok, first, (3, 4))
-                cls = levels.of(size)
-                cuts = np.array(levels.cuts)
-                keys, holder = [], []
-                for lower in (0, 1):
-                    lev = np.maximum(cls - lower, 0)
-                    f = np.where(size > 0, cuts[lev], 0)
-                    f[f == 1] = 0  # one fragment is the whole set: equal sets only
-                    base = np.concatenate([[0], np.cumsum(f)])
-                    cell = np.zeros(base[-1], np.uint64)
-                    use = f[own] > 0
-                    o, t = own[use], tok[use]
-                    frag = ((t >> np.uint64(32)) * f[o].astype(np.uint64)) >> np.uint64(32)
-                    at = base[o] + frag.astype(np.int64)
-                    if len(at):
-                        s = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-                        cell[at[s]] = np.add.reduceat(mix(t ^ np.uint64(5)), s)
-                    who = np.repeat(np.arange(texts), f)
-                    place = (np.arange(base[-1]) - base[who]).astype(np.uint64)
-                    keys.append(mix(cell + mix((lev[who].astype(np.uint64) << np.uint64(32)) + place)))
-                    holder.append(who)
-                key, who = np.concatenate(keys), np.concatenate(holder)
-                order = np.argsort(who, kind="stable")
-                bounds = np.searchsorted(who[order], np.arange(texts + 1))
+                size = np.bincount(own, minlength=hi - lo)
+                sigs = _sums(tok, np.concatenate([[0], np.cumsum(size)]), (3, 4))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, texts), th.slice(lo, texts), pa.array(size.astype(np.int64)), pa.array(sigs[0].view(np.int64)), pa.array(sigs[1].view(np.int64)),
-                     lists(bounds, pa.array(key[order].view(np.int64)))], ["id", "th", "n", "s1", "s2", "keys"])
+                    [ids.slice(lo, hi - lo), th.slice(lo, hi - lo), pa.array(size.astype(np.int64)), pa.array(sigs[0].view(np.int64)), pa.array(sigs[1].view(np.int64))],
+                    ["id", "th", "n", "s1", "s2"])
+    return run
+
+
+def _keyed(n: int, num: int, den: int, shared=None):
+    """(key, s1, s2) of every set; with a bitmap, of the keys that may be in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        sets, levels = Sets(n), Levels(num, den)
+        for batch in batches:
+            for lo, hi, buf, offs in blocks(batch):
+                own, tok = sets(buf, offs)
+                size = np.bincount(own, minlength=hi - lo)
+                sigs = _sums(tok, np.concatenate([[0], np.cumsum(size)]), (3, 4))
+                who, key = levels.keys(own, tok, size)
+                if shared is not None:
+                    hit = in_bitmap(shared.value, key)
+                    who, key = who[hit], key[hit]
+                cols = [pa.array(key.view(np.int64)), pa.array(sigs[0].view(np.int64)[who])]
+                yield pa.RecordBatch.from_arrays(cols + ([pa.array(sigs[1].view(np.int64)[who])] if shared is not None else []), ["key", "s1", "s2"][:2 + (shared is not None)])
     return run
 
 
@@ -230,13 +262,16 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
     spark = documents.sparkSession
     ship_package(spark)
     text = identified(documents, id_col, text_col)
-    rows = stage_table(text.mapInArrow(_signed(n, num, den), "id long, th long, n long, s1 long, s2 long, keys array<long>")
-                       .withColumn("uid", F.monotonically_increasing_id()))
+    rows = stage_table(text.mapInArrow(_signed(n), "id long, th long, n long, s1 long, s2 long").withColumn("uid", F.monotonically_increasing_id()))
     vertex = stage_table(rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("uid").alias("vid"), F.min("id").alias("first_id")))
-    keys = (rows.join(vertex.select(F.col("vid").alias("uid")), "uid", "left_semi")
-            .select(F.col("uid").alias("vid"), "n", F.explode(F.array_distinct("keys")).alias("key")))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = stage_table(keys.join(shared, "key"))
+    # keys of several sets; the bitmap keeps all others out of the second shuffle
+    several = stage_table(text.mapInArrow(_keyed(n, num, den), "key long, s1 long").groupBy("key")
+                          .agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x != y").select("key"))
+    few = spark.sparkContext.broadcast(make_bitmap(several.select(F.col("key").alias("term"))))
+    holders = text.mapInArrow(_keyed(n, num, den, few), "key long, s1 long, s2 long").distinct().join(several, "key", "left_semi")
+    members = stage_table(holders.join(vertex.select("s1", "s2", "vid", "n"), ["s1", "s2"]).select("key", "vid", "n"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = stage_table(members.join(shared, "key"))
     support = members.groupBy("vid").agg(F.sum("members").alias("support"))
     members = stage_table(members.join(support, "vid").withColumn("comp", F.col("vid")))
 

@@ -1,7 +1,10 @@
 import random
 import re
 
-from tessera.llm.jaccard_join import jaccard_components, op9_jaccard_join
+import numpy as np
+import pytest
+
+from tessera.llm.jaccard_join import Levels, jaccard_components, op9_jaccard_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -87,3 +90,34 @@ def test_blocks_of_a_cluster(spark, make_docs, monkeypatch):
     rng = random.Random(8)
     docs = list(enumerate(family(rng, 80, 5, 70) + family(rng, 40, 3, 45)))
     assert rows(jaccard_components(make_docs(docs))) == brute(docs)
+
+
+def keys_of(levels, sets):
+    flat = [np.sort(np.array(list(s), np.uint64)) for s in sets]
+    size = np.array([len(s) for s in flat])
+    who, key = levels.keys(np.repeat(np.arange(len(sets)), size), np.concatenate(flat), size)
+    out = [set() for _ in sets]
+    for w, k in zip(who.tolist(), key.tolist()):
+        out[w].add(k)
+    return out
+
+
+@pytest.mark.parametrize("num", [50, 80, 90, 95])
+def test_linked_sets_share_a_key(num):
+    """Pairs at the very threshold, short sets above all: there the proof is tightest."""
+    rng, levels, sets = random.Random(num), Levels(num, 100), []
+    for _ in range(3000):
+        both, a, b = rng.choice([rng.randint(1, 30), rng.randint(1, 300)]), 0, 0
+        while 100 * both >= num * (both + a + b + 1):
+            a, b = (a + 1, b) if rng.random() < .5 else (a, b + 1)
+        new = [rng.getrandbits(64) for _ in range(both + a + b)]
+        sets += [set(new[:both + a]), set(new[:both] + new[both + a:])]
+    keys = keys_of(levels, sets)
+    assert all(x & y for x, y, s, t in zip(keys[::2], keys[1::2], sets[::2], sets[1::2]) if s != t)
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_unrelated_sets_share_no_key(num):
+    rng = random.Random(3)
+    keys = keys_of(Levels(num, 100), [{rng.getrandbits(64) for _ in range(rng.randint(1, 500))} for _ in range(2000)])
+    assert len(set().union(*keys)) == sum(map(len, keys))

@@ -8,7 +8,6 @@ import pytest
 import corpus_pipeline
 from tessera.llm import toxicity
 from .test_decontaminate import brute as brute_contamination
-from .test_jaccard_join import brute as brute_components
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,8 +61,7 @@ def test_toxic_documents_go(steps, spark):
 def test_one_of_each_group_stays(steps):
     _, before, after = steps[1]
     rows = pairs(before)
-    first = {c for _, _, c in brute_components(rows)}
-    assert pairs(after) == [r for r in rows if r[0] in first]
+    assert pairs(after) == firsts(rows)
 
 
 def test_repeats_are_cut(steps):
