@@ -43,9 +43,7 @@ SHARE, FLOOR, MOST, LONGEST = 0.6, 0.1, 3.0, 24
 MARK = "^"
 ROWS = 2048
 MEMO = 600_000
-CHUNKS = re.compile(r"\S+")
 INNER = re.compile(r"[\W_]+")
-SPACED = re.compile(r"(?<!\S)\w(?:\s+\w(?!\S)){2,}")
 
 
 def _pieces(c: str) -> Iterator[str]:
@@ -58,12 +56,18 @@ def _pieces(c: str) -> Iterator[str]:
 
 def units_of(text: str) -> set[str]:
     """Distinct units of a whole text."""
-    low = text.lower()
-    out = set()
-    for c in set(CHUNKS.findall(low)):
+    words = text.lower().split()
+    every = set(words)
+    plain = {w for w in every if len(w) < LONGEST and w.isalnum()}
+    out = {MARK + w for w in plain}
+    for c in every.difference(plain):
         out.update(_pieces(c))
-    for m in SPACED.finditer(low):
-        out.update(_pieces(m[0]))
+    single = [i for i, w in enumerate(words) if len(w) == 1 and (w.isalnum() or w == "_")]
+    if len(single) > 2:  # runs of three or more are words with blanks between their letters
+        ends = [k for k in range(1, len(single)) if single[k] != single[k - 1] + 1] + [len(single)]
+        for k, e in zip([0, *ends], ends):
+            if e - k > 2:
+                out.update(_pieces(" ".join(words[single[k]:single[e - 1] + 1])))
     out.discard(MARK)
     return out
 
@@ -92,7 +96,10 @@ def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     if n > ROWS:  # pieces that stay in the processor's cache
         return np.concatenate([subsequence_kernel(s[i:i + ROWS], t[i:i + ROWS] if len(t) == n else t) for i in range(0, n, ROWS)])
     a_len, b_len = s.shape[1], t.shape[1]
-    match = [[np.broadcast_to((s[:, a] == t[:, b]) & (s[:, a] >= 0), (n,)) for b in range(b_len)] for a in range(a_len)]
+    if len(s) < n:  # one row of s against many of t
+        s = np.broadcast_to(s, (n, a_len))
+    s, t, real = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T), s.T >= 0
+    match = [[(s[a] == t[b]) & real[a] for b in range(b_len)] for a in range(a_len)]
     prev = [[np.ones(n)] * (b_len + 1) for _ in range(a_len + 1)]
     zero = np.zeros(n)
     for _ in range(LENGTH - 1):

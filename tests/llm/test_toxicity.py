@@ -78,3 +78,22 @@ def test_edges(spark, make_docs, monkeypatch):
     none = train(d, y.limit(0))
     assert {r["score"] for r in score(d, none).collect()} == {0.0}
     assert isinstance(train(d, y.filter("toxic = 1")), Classifier)
+
+
+def test_units_by_patterns():
+    """The units as regular expressions state them."""
+    import random
+    import re
+    from tessera.llm.toxicity import MARK, _pieces, units_of
+    spaced = re.compile(r"(?<!\S)\w(?:\s+\w(?!\S)){2,}")
+    rng = random.Random(8)
+    letters = ["a", "B", "é", "_", "1", ".", "*", " ", " ", " ", "\n", "\xa0", "\x1c", "id", "iot", "²", "x" * 30, "- "]
+    for _ in range(3000):
+        text = "".join(rng.choices(letters, k=rng.randint(0, 25)))
+        low, want = text.lower(), set()
+        for c in re.findall(r"\S+", low):
+            want.update(_pieces(c))
+        for m in spaced.finditer(low):
+            want.update(_pieces(m[0]))
+        want.discard(MARK)
+        assert units_of(text) == want, text
