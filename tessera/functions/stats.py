@@ -25,7 +25,6 @@ from .kinds import q
 #   "approx": `percentile_approx` only (rank error n/accuracy, no interpolation).
 EXACT, MAP, APPROX = "exact", "map", "approx"
 CHUNK = 50         # columns per aggregate
-PAIR_CHUNK = 1000  # column pairs per aggregate
 ACCURACY = 10_000
 MAX_BRACKET = 200_000  # values kept per order statistic in the final pass
 
@@ -176,48 +175,92 @@ def mad_bounds(df: DataFrame, cols: Sequence[str], k: float = 3.0,
     return lo, hi
 
 
-def null_safe_corr(a: Column, b: Column) -> Column:
-    """Pearson r over rows where both are present; NULL (not an error) for a constant side.
-
-    covar_pop already skips rows where either side is null; the variances are restricted
-    to the same rows with a FILTER-equivalent `when`.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    va = F.var_pop(F.when(both, a))
-    vb = F.var_pop(F.when(both, b))
-    return F.try_divide(F.covar_pop(a.cast("double"), b.cast("double")), F.sqrt(va * vb))
+#: A variance below this share of the mean square is a constant side.
+CONSTANT = 1e-13
+MOMENTS = "a int, b int, n long, sa double, sb double, saa double, sbb double, sab double, odd long"
+
+
+def _moments(shift, left: Sequence[int], right: Sequence[int], upper: bool):
+    """One task's sums over the rows where both columns of a pair are present, as matrix
+    products of the values and their presence masks."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        acc = None
+        for batch in batches:
+            X = np.empty((batch.num_rows, batch.num_columns))
+            known = np.empty(X.shape)
+            for j in range(batch.num_columns):
+                c = batch.column(j)
+                known[:, j] = c.is_valid().to_numpy(zero_copy_only=False)
+                X[:, j] = c.fill_null(0.0).to_numpy(zero_copy_only=False)
+            odd = ((~np.isfinite(X)) & (known > 0)).astype(float)
+            X = np.where((known > 0) & (odd == 0), X - shift, 0.0)
+            A, B, KA, KB, OA, OB = X[:, left], X[:, right], known[:, left], known[:, right], odd[:, left], odd[:, right]
+            part = np.stack([KA.T @ KB, A.T @ KB, KA.T @ B, (A * A).T @ KB, KA.T @ (B * B), A.T @ B, OA.T @ KB + KA.T @ OB])
+            acc = part if acc is None else acc + part
+        if acc is None:
+            return
+        ia, ib = np.meshgrid(np.array(left, np.int32), np.array(right, np.int32), indexing="ij")
+        pick = ia <= ib if upper else ia != ib
+        cols = [ia[pick], ib[pick], acc[0][pick].astype(np.int64), *(acc[i][pick] for i in range(1, 6)), acc[6][pick].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in MOMENTS.split(", ")])
+    return run
+
+
+def co_moments(df: DataFrame, cols: Sequence[str], targets: Sequence[str] | None = None) -> DataFrame:
+    """Masked co-moment matrix of the columns in one scan: per pair of column numbers a <= b (with
+    targets: every column against each target) the count, sums, squares and products over the rows
+    where both are present, taken from a provisional centre so that no digits are lost, and the
+    number of such rows that hold a NaN or an infinity (left out of the sums).  A task emits one
+    row per pair; they are summed per pair."""
+    import numpy as np
+
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    every = list(dict.fromkeys([*cols, *(targets or ())]))
+    x = df.select(*[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(every)])
+    some = x.limit(1000).toPandas().to_numpy(float)  # bounded: the centre only has to be near the data
+    shift = np.zeros(len(every))
+    for j in range(len(every)):
+        v = np.sort(some[np.isfinite(some[:, j]), j])
+        shift[j] = v[len(v) // 2] if len(v) else 0.0
+    left = [every.index(c) for c in cols]
+    right = [every.index(t) for t in targets] if targets is not None else left
+    sums = [F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab", "odd")]
+    return x.mapInArrow(_moments(shift, left, right, targets is None), MOMENTS).groupBy("a", "b").agg(*sums)
 
 
 def corr_long(df: DataFrame, cols: Sequence[str], pairs: str = "upper",
               targets: Sequence[str] | None = None) -> DataFrame:
-    """Correlations in long form (a, b, r), up to ``PAIR_CHUNK`` pairs per aggregate.
+    """Correlations in long form (a, b, r) from one scan, each over the rows where both columns
+    are present; NULL for a constant side, NaN where such a row holds a NaN or an infinity.
 
     pairs='upper': a before b in `cols` order; 'all': every ordered pair incl. the
     diagonal; targets=[t]: (a, t) for every a != t.
     """
-    if targets is not None:
-        plist = [(a, t) for t in targets for a in cols if a != t]
-    else:
-        plist = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    cols = list(cols)
     full = targets is None and pairs != "upper"
-    if not plist and not (full and cols):
+    if not cols or (targets is not None and not [c for c in cols if [t for t in targets if t != c]]):
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    parts = []
-    for k in range(0, max(len(plist), 1), PAIR_CHUNK):
-        some = plist[k:k + PAIR_CHUNK]
-        aggs = [null_safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(some)]
-        items = [(a, b, F.col(f"r{i}")) for i, (a, b) in enumerate(some)]
-        if full:  # symmetric: each unordered pair is computed once, the diagonal from the variance
-            items += [(b, a, F.col(f"r{i}")) for i, (a, b) in enumerate(some)]
-            if k == 0:
-                aggs += [(F.var_pop(q(c).cast("double")) > 0).alias(f"v{i}") for i, c in enumerate(cols)]
-                items += [(c, c, F.when(F.col(f"v{i}"), F.lit(1.0))) for i, c in enumerate(cols)]
-        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.cast("double").alias("r")) for a, b, r in items])
-        parts.append(df.agg(*aggs).select(F.inline(rows)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    every = list(dict.fromkeys([*cols, *(targets or ())]))
+    names = F.array(*[F.lit(c) for c in every])
+    n = F.col("n")
+
+    def var(s: str, ss: str) -> Column:
+        v = F.try_divide(F.col(ss), n) - F.pow(F.try_divide(F.col(s), n), F.lit(2.0))
+        return F.when(v > F.lit(CONSTANT) * F.try_divide(F.col(ss), n), v)  # below: rounding of a constant
+    cov = F.try_divide(F.col("sab"), n) - F.try_divide(F.col("sa"), n) * F.try_divide(F.col("sb"), n)
+    r = F.when(F.col("odd") > 0, F.lit(float("nan"))).otherwise(cov / F.sqrt(var("sa", "saa") * var("sb", "sbb")))
+    same = F.col("a") == F.col("b")
+    r = F.when(same & (F.col("odd") == 0), F.when(var("sa", "saa").isNotNull(), F.lit(1.0))).otherwise(r)
+    out = co_moments(df, cols, targets).select("a", "b", r.cast("double").alias("r"))
+    if targets is None and not full:
+        out = out.filter(~same)
+    if full:  # both orders of a pair from its one row
+        there, back = F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+        out = out.select(F.inline(F.when(same, F.array(there)).otherwise(F.array(there, back))))
+    return out.select(names[F.col("a")].alias("a"), names[F.col("b")].alias("b"), "r")
 
 
 def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -59,6 +59,37 @@ def _mi_sql():
         py AS (SELECT feature, y, sum(nxy) AS ny FROM j GROUP BY ALL),
         n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM tr5)"""))
 def fs3_mi_binned(spark, sf):
+    tr = train_of(f5(spark, sf))
+    return fs.MutualInfo("planted", features=F5_NUM, estimator="binned").scores(tr).select("feature", r6("mi"), "kept")
+
+
+def _psi(n: str) -> str:
+    """Digamma of a positive integer: recurrence and asymptotic series."""
+    steps = " + ".join(f"1.0 / ({n} + {i})" for i in range(10))
+    b = f"(CAST({n} AS DOUBLE) + 10)"
+    return f"(ln({b}) - 0.5 / {b} - 1 / ({b} * {b}) * (1.0 / 12 - 1 / ({b} * {b}) * (1.0 / 120 - 1 / ({b} * {b}) / 252)) - ({steps}))"
+
+
+_FS3_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, id, planted AS y, CAST(coalesce({c}, (SELECT median({c}) FROM tr5)) AS DOUBLE) AS x FROM tr5" for c in F5_NUM)
+
+
+@query("fs3_mi", f5_sql(
+    f"""SELECT feature, sig(greatest(0, {_psi('count(*)')} + avg({_psi('k')}) - avg({_psi('ny')}) - avg({_psi('m')}))) AS mi,
+               greatest(0, {_psi('count(*)')} + avg({_psi('k')}) - avg({_psi('ny')}) - avg({_psi('m')})) > 0.001 AS kept
+        FROM e GROUP BY feature""",
+    f"""u AS ({_FS3_ROWS}),
+        s AS (SELECT feature, y, count(*) AS ny FROM u GROUP BY ALL HAVING count(*) > 1),
+        d AS (SELECT a.feature, a.id, a.y, a.x, s.ny, abs(b.x - a.x) AS r,
+                     row_number() OVER (PARTITION BY a.feature, a.id ORDER BY abs(b.x - a.x)) AS i
+              FROM u a JOIN s ON a.feature = s.feature AND a.y = s.y JOIN u b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id),
+        g AS (SELECT * FROM d WHERE i = least(3, ny - 1)),
+        e AS (SELECT g.feature, g.id, g.ny, count(*) AS m,
+                     CASE WHEN g.r > 0 THEN least(3, g.ny - 1) ELSE count(*) FILTER (b.y = g.y) - 1 END AS k
+              FROM g JOIN u b ON g.feature = b.feature
+                AND CASE WHEN g.r > 0 THEN b.x > g.x - g.r * (1 - 1e-12) AND b.x < g.x + g.r * (1 - 1e-12) ELSE b.x = g.x END
+              GROUP BY g.feature, g.id, g.ny, g.r)"""))
+def fs3_mi(spark, sf):
     tr = train_of(f5(spark, sf))
     return fs.MutualInfo("planted", features=F5_NUM).scores(tr).select("feature", r6("mi"), "kept")
 

@@ -205,9 +205,30 @@ def test_wide_aggregates_are_cut_into_chunks(spark, monkeypatch):
     cols = [f"c{i}" for i in range(7)]
     df = spark.createDataFrame([tuple(map(float, r)) for r in x], cols)
     monkeypatch.setattr(stats, "CHUNK", 3)
-    monkeypatch.setattr(stats, "PAIR_CHUNK", 4)
     got = stats.exact_quantiles(df, cols, [0.25, 0.5])
     assert all(np.allclose(got[c], np.quantile(x[:, i], [0.25, 0.5])) for i, c in enumerate(cols))
-    r = {(t["a"], t["b"]): t["r"] for t in stats.corr_long(df, cols, "all").collect()}
-    want = np.corrcoef(x.T)
-    assert len(r) == 49 and all(abs(r[(a, b)] - want[i, j]) < 1e-9 for i, a in enumerate(cols) for j, b in enumerate(cols))
+
+
+def test_wide_correlations_in_one_scan(spark):
+    """300 columns with nulls, an offset that dwarfs the spread, constants and a NaN."""
+    from tessera.functions import stats
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(120, 300)) + rng.normal(size=(120, 1)) + 1e6 * rng.integers(0, 3, 300)
+    x[rng.random(x.shape) < .2] = np.nan
+    x[:, 7] = 5.0
+    cols = [f"c{i}" for i in range(300)]
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(4)
+    out = stats.corr_long(df, cols, "all")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") <= 2  # the union of both orders reads one aggregate twice at most
+    r = {(t["a"], t["b"]): t["r"] for t in out.collect()}
+    want = pd.DataFrame(x, columns=cols).corr().to_numpy()
+    assert len(r) == 300 * 300 and all(r[("c7", c)] is None for c in cols)
+    assert all(abs(r[(a, b)] - want[i, j]) < 1e-7 for i, a in enumerate(cols) for j, b in enumerate(cols) if 7 not in (i, j))
+    odd = spark.createDataFrame([(1.0, 2.0), (float("nan"), 3.0), (2.0, 4.0), (None, 9.0)], "a double, b double")
+    assert np.isnan(stats.corr_long(odd, ["a", "b"]).first()["r"])
+    part = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (9.0, None)], "a double, b double")
+    assert stats.corr_long(part, ["a", "b"]).first()["r"] is None and stats.corr_long(part, ["a"], targets=["b"]).first()["r"] is None
