@@ -72,13 +72,30 @@ def marked(documents: DataFrame, named: DataFrame, id_col: str, text_col: str, b
     return shared, with_mark(documents, id_col, text_col), keys
 
 
+def plain_names(documents: DataFrame, *names: str | None) -> tuple[DataFrame, list[str | None]]:
+    """``documents`` with its columns named c0, c1, ..., so that no name clashes with those used
+    inside, and the new names of some of them."""
+    new = [f"c{i}" for i in range(len(documents.columns))]
+    place = {c: n for c, n in zip(documents.columns, new)}
+    return documents.toDF(*new), [None if n is None else place[n] for n in names]
+
+
+def free_name(documents: DataFrame, name: str) -> str:
+    """A column name that ``documents`` does not have."""
+    taken = {c.lower() for c in documents.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_rows(documents: DataFrame, named: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` without the rows that ``named`` (id, th, keep) holds with keep = false; of
     repeated rows that it holds with keep = true one stays.  All columns are kept."""
-    shared, rows, keys = marked(documents, named, id_col, text_col)
-    cols = [F.col(f"`{c}`") for c in documents.columns]
+    plain, (id_col, text_col) = plain_names(documents, id_col, text_col)
+    shared, rows, keys = marked(plain, named, id_col, text_col)
+    cols = [F.col(c) for c in plain.columns]
     clean = rows.mapInArrow(only_marked(shared, False), rows.schema).select(*cols)
     rest = rows.mapInArrow(only_marked(shared, True), rows.schema).join(keys, ["__id", "__th"], "left")
     others = rest.filter("keep is null").select(*cols)
     kept = rest.filter("keep").dropDuplicates(["__id", "__th"]).select(*cols)
-    return clean.unionAll(others).unionAll(kept)
+    return clean.unionAll(others).unionAll(kept).toDF(*documents.columns)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmap import plain_names
 from .repeats import Shard, Spec, apply_ranges, ranges_of, repeated_ranges
 from .textnum import mix, odd_constants
 
@@ -335,9 +336,10 @@ def _rewritten(text_col: str, length_col: str | None):
 def remove_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """All rows and columns of ``documents`` with the repeated bytes cut out of the text;
     ``length_col``, if given, gets the new length in characters where the text changed."""
-    documents = documents.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
-    ranges = duplicate_ranges(documents, id_col=id_col, text_col=text_col)
-    return apply_ranges(documents, ranges, _rewritten(text_col, length_col), documents.schema, id_col=id_col, text_col=text_col)
+    plain, (id_col, text_col, length_col) = plain_names(documents, id_col, text_col, length_col)
+    plain = plain.withColumn(text_col, F.col(text_col).cast("string"))
+    ranges = duplicate_ranges(plain, id_col=id_col, text_col=text_col)
+    return apply_ranges(plain, ranges, _rewritten(text_col, length_col), plain.schema, id_col=id_col, text_col=text_col).toDF(*documents.columns)
 
 
 def dedup_digests(documents: DataFrame) -> DataFrame:

@@ -14,10 +14,11 @@ segment; every vector that may be a member is then scored exactly in integers.
 Each pair of blocks returns at most k rows a query; a window keeps the k best of a query.
 Queries are a stated set that meets all rows in blocks; nothing is broadcast or collected.
 
-Vectors that are null or hold null or non-finite components take no part, nor do rows without
-id.  Vectors of different lengths are padded with zeros.  Rows with equal ids stay separate
-(a query skips its own row only); ties go to the smaller id.  Components are clipped to
-+-2^40, and scores must fit in 64 bits.
+Vectors that are null or hold null or non-finite components take no part; rows without id are
+candidates, no queries (inside, the least long stands for it).  Vectors of different lengths are padded with zeros.  Rows with equal ids stay separate
+(a query skips its own row only); ties go to the smaller id, a missing id is the smallest.
+Components and scores are 64-bit integers: where a product of the vectors could pass them
+(the largest sum of squares is 2^62 or more) the search raises an error instead of wrapping.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stage_table
+from .bitmap import LEAST_ID
 
 INDEX_BLOCK = 8192
 QUERY_BLOCK = 512
@@ -38,10 +40,18 @@ FEW = 0.02
 def _integers(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """(id, v) of the rows that take part."""
     v = F.col(f"`{vec_col}`").cast("array<double>")
-    limit = F.lit(float(1 << 40))
-    whole = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v")).filter(
-        "id is not null and v is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
-    return whole.select("id", F.transform("v", lambda x: F.floor(F.least(F.greatest(x * scale, -limit), limit)).cast("long")).alias("v"))
+    whole = vectors.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LEAST_ID)).alias("id"), v.alias("v")).filter(
+        "v is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
+    return whole.select("id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"))
+
+
+def _check_range(vectors: DataFrame, vec_col: str, scale: int) -> None:
+    """An error unless all inner products fit: |x . y| is at most the largest sum of squares."""
+    v = F.col(f"`{vec_col}`").cast("array<double>")
+    sane = F.filter(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    most = vectors.select(F.aggregate(sane, F.lit(0.0), lambda t, x: t + F.pow(F.abs(x) * scale + 1, F.lit(2.0))).alias("s")).agg(F.max("s")).first()[0]
+    if most is not None and not most < 2.0 ** 62:
+        raise OverflowError("inner products of these vectors do not fit 64-bit integers; use a smaller scale")
 
 
 def _matrix(rows, width: int) -> np.ndarray:
@@ -131,10 +141,11 @@ def build_index(vectors: DataFrame, width: int) -> tuple[DataFrame, int]:
 def top_k(vectors: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k best rows of every query row.
     ``is_query``: condition on the column ``id``."""
+    _check_range(vectors, vec_col, scale)
     rows = stage_table(_integers(vectors, id_col, vec_col, scale).withColumn("uid", F.monotonically_increasing_id()))
     width = rows.agg(F.max(F.size("v"))).first()[0] or 0
     index, blocks = build_index(rows, width)
-    queries = rows.filter(is_query)
+    queries = rows.filter((F.col("id") != LEAST_ID) & is_query)
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
     some = queries.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("int"))
     q = some.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -142,7 +153,8 @@ def top_k(vectors: DataFrame, is_query, *, k: int = 5, scale: int = 256, id_col:
     found = (x.groupBy("block", "part").cogroup(q.groupBy("block", "part"))
              .applyInPandas(_searched(k, width), "query_uid long, query_id long, vec_id long, score long"))
     w = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", F.when(F.col("vec_id") != LEAST_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,14 +165,14 @@ ORACLE = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS FIRST) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

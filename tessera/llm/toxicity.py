@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .bitmap import free_name
 from .bpe import text_blocks
 from .textnum import kept
 
@@ -333,7 +334,7 @@ def score(documents: DataFrame, model: Classifier, *, text_col: str = "text", ke
     spark = documents.sparkSession
     ship_package(spark)
     names = keep if keep is not None else [c for c in documents.columns if c not in (text_col, out)]
-    rows = documents.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    rows = documents.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias(free_name(documents, "text_")))
     shared = spark.sparkContext.broadcast(pickle.dumps(model))
     from pyspark.sql import types as T
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.DoubleType())])

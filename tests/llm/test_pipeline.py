@@ -152,3 +152,22 @@ def test_near_copies_at_five_words_and_four_fifths_go(spark, make_docs):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     got = pairs(corpus_pipeline._near_duplicates(spark, table, SF))
     assert got == firsts(pairs(table)) and len(got) < len(firsts(pairs(table), 3, 90))
+
+
+CLASHES = ["keep", "froms", "tos", "__id", "__th", "__mark", "__text", "__froms", "__tos", "__toxicity", "id", "th", "uid", "term", "key", "score",
+           "s1", "vid", "component", "name", "text_", "c0", "c1", "n", "y", "lang_hash", "first", "rows"]
+
+
+def test_every_clashing_name_survives_every_stage(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate([words, words + " more", words, None, "", "you idiot"])]
+    cols = ["doc_id", "text", "lang", "source", "n_chars", *CLASHES]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    from tessera.llm.suffix_tree import remove_duplicates
+    stages = [f for _, f in corpus_pipeline.STAGES[:-1]] + [lambda spark, d, sf: remove_duplicates(d)]
+    for stage in stages:
+        out = stage(spark, docs, SF)
+        assert out.columns == cols
+        for r in out.collect():
+            assert [r[c] for c in CLASHES] == [f"{c}{r['doc_id']}" for c in CLASHES]
+    assert corpus_pipeline._tokens(spark, docs, SF).count() == len(rows)
