@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kinds import q
+from .kinds import q, sql_double, sql_name
 
 # Quantile strategies.
 #   "exact" (default): interpolated exactly like pandas `quantile` / DuckDB
@@ -53,10 +53,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return out
     delta = 3.0 / accuracy
     brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
-    aggs = [F.count(q(c)).alias(f"n{i}") for i, c in enumerate(cols)]
-    aggs += [F.percentile_approx(q(c).cast("double"), F.array(*[F.lit(b) for b in brackets]), accuracy).alias(f"a{i}")
-             for i, c in enumerate(cols)]
-    r1 = df.agg(*aggs).first()
+    ends = ", ".join(map(sql_double, brackets))
+    r1 = df.selectExpr(*[f"count({sql_name(c)}) AS n{i}" for i, c in enumerate(cols)],
+                       *[f"percentile_approx(cast({sql_name(c)} AS double), array({ends}), {accuracy}) AS a{i}"
+                         for i, c in enumerate(cols)]).first()
     plan = []  # (column index, lo, hi, [ranks])
     for i, c in enumerate(cols):
         n = r1[f"n{i}"]
@@ -105,12 +105,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             est[t] = (ph - pl) * cnt + 2.0 * cnt / accuracy
     aggs2 = []
     for t, (i, j, lo, hi, k1, k2, _) in enumerate(plan):
-        x = q(cols[i]).cast("double")
-        aggs2 += [F.sum((x < F.lit(lo)).cast("long")).alias(f"lt{t}"),
-                  F.sum((x == F.lit(lo)).cast("long")).alias(f"eqlo{t}"),
-                  F.sum((x == F.lit(hi)).cast("long")).alias(f"eqhi{t}"),
-                  F.array_sort(F.collect_list(F.when((x > F.lit(lo)) & (x < F.lit(hi)), x))).alias(f"mid{t}")]
-    r2 = df.agg(*aggs2).first()
+        x, a, b = f"cast({sql_name(cols[i])} AS double)", sql_double(lo), sql_double(hi)
+        aggs2 += [f"sum(cast({x} < {a} AS long)) AS lt{t}", f"sum(cast({x} = {a} AS long)) AS eqlo{t}",
+                  f"sum(cast({x} = {b} AS long)) AS eqhi{t}",
+                  f"array_sort(collect_list(CASE WHEN {x} > {a} AND {x} < {b} THEN {x} END)) AS mid{t}"]
+    r2 = df.selectExpr(*aggs2).first()
     out = {c: [None] * len(probs) for c in cols}
     redo = set()
     for t, (i, j, lo, hi, k1, k2, frac) in enumerate(plan):

@@ -14,9 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kinds import numeric_columns, q
+from ..functions.kinds import numeric_columns, q, sql_double, sql_name
 from ..functions.prefix import running_totals
-from ..functions.stats import EXACT, corr_long, medians, quantiles
+from ..functions.stats import CHUNK, EXACT, corr_long, medians, quantiles
 from ..session import cached, stage_table
 from .base import Fitted, Op
 
@@ -38,6 +38,11 @@ def _features(df: DataFrame, features, exclude) -> list[str]:
     return list(features) if features is not None else numeric_columns(df, exclude)
 
 
+def filled_sql(column: str, value: float | None) -> str:
+    """SQL text: the column as double, nulls filled with ``value``."""
+    return f"coalesce(cast({sql_name(column)} AS double), {sql_double(value)})"
+
+
 class LowVariance(Op):
     """FS1 — population variance after median fill must exceed ``threshold``; constant
     columns (max = min) are always dropped."""
@@ -51,14 +56,15 @@ class LowVariance(Op):
         cols = _features(df, self.features, self.exclude)
         with cached(df, cols) as d:
             med = medians(d, cols)
-            filled = [F.coalesce(q(c).cast("double"), F.lit(med[c])) for c in cols]
-            w = d.agg(*[F.var_pop(x).alias(f"v{i}") for i, x in enumerate(filled)],
-                      *[(F.max(x) == F.min(x)).alias(f"k{i}") for i, x in enumerate(filled)]).first()
-        rows = []
-        for i, c in enumerate(cols):
-            v, k = w[f"v{i}"], w[f"k{i}"]
-            kept = bool(v is not None and v > self.threshold and k is False)
-            rows.append((c, v, k, kept))
+            rows = []
+            for b in range(0, len(cols), CHUNK):  # an aggregate of all columns would outgrow codegen
+                part = cols[b:b + CHUNK]
+                filled = [filled_sql(c, med[c]) for c in part]
+                w = d.selectExpr(*[f"var_pop({x}) AS v{i}" for i, x in enumerate(filled)],
+                                 *[f"max({x}) = min({x}) AS k{i}" for i, x in enumerate(filled)]).first()
+                for i, c in enumerate(part):
+                    v, k = w[f"v{i}"], w[f"k{i}"]
+                    rows.append((c, v, k, bool(v is not None and v > self.threshold and k is False)))
         return df.sparkSession.createDataFrame(rows, "feature string, variance double, constant boolean, kept boolean")
 
     def fit(self, df: DataFrame) -> FittedSelection:
@@ -76,15 +82,16 @@ class HighMissing(Op):
 
     def scores(self, df: DataFrame) -> DataFrame:
         cols = list(self.features) if self.features is not None else [c for c in df.columns if c not in self.exclude]
-        wide = df.agg(*[F.avg(q(c).isNull().cast("double")).alias(f"m{i}") for i, c in enumerate(cols)])
-        rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("null_share"))
-                         for i, c in enumerate(cols)])
-        return wide.select(F.inline(rows)).withColumn("kept", ~(F.col("null_share") > F.lit(self.threshold)))
+        wide = df.selectExpr("array(" + ", ".join(f"avg(cast({sql_name(c)} IS NULL AS double))" for c in cols) + ") AS shares")
+        names = F.array(*[F.lit(c) for c in cols])
+        rows = wide.select(F.posexplode("shares").alias("i", "null_share"))
+        return rows.select(names[F.col("i")].alias("feature"), "null_share", (~(F.col("null_share") > F.lit(self.threshold))).alias("kept"))
 
     def fit(self, df: DataFrame) -> FittedSelection:
-        rows = self.scores(df).collect()
+        s = self.scores(df)
+        rows = s.collect()
         return FittedSelection([r["feature"] for r in rows if r["kept"]],
-                               [r["feature"] for r in rows if not r["kept"]], self.scores(df))
+                               [r["feature"] for r in rows if not r["kept"]], s)
 
 
 def digamma(n: Column) -> Column:
@@ -116,7 +123,7 @@ def neighbour_information(df: DataFrame, label: str, features: Sequence[str], k:
     (feature, class, value), which is numbered over ranges; a row is sent to the places around
     it and each place keeps 2k + 1 rows.  The counts are two searches per row in the order
     (feature, value), running totals over the union of rows and searches."""
-    items = F.array(*[F.struct(F.lit(i).alias("f"), q(c).cast("double").alias("x")) for i, c in enumerate(features)])
+    items = F.expr("array(" + ", ".join(f"named_struct('f', {i}, 'x', cast({sql_name(c)} AS double))" for i, c in enumerate(features)) + ")")
     y = q(label).cast("string").alias("y")
     sizes = df.select(y).filter("y is not null").groupBy("y").agg(F.count(F.lit(1)).alias("ny")).filter("ny > 1")
     long = df.select(y, F.monotonically_increasing_id().alias("uid"), F.inline(items)).join(F.broadcast(sizes), "y")
@@ -201,8 +208,9 @@ class MutualInfo(Op):
         cols = _features(df, self.features, self.exclude)
         if self.estimator == "neighbours":
             with cached(df, cols + [self.label]) as d:
-                med = medians(d, cols, self.quantile_method) if cols else {}
-                filled = d.select(q(self.label), *[F.coalesce(q(c).cast("double"), F.lit(med[c])).alias(c) for c in cols])
+                gaps = [c for c, n in zip(cols, d.selectExpr(*[f"count_if({sql_name(c)} IS NULL)" for c in cols]).first()) if n] if cols else []
+                med = medians(d, gaps, self.quantile_method) if gaps else {}
+                filled = d.selectExpr(sql_name(self.label), *[f"{filled_sql(c, med.get(c))} AS {sql_name(c)}" for c in cols])
                 rows = neighbour_information(filled, self.label, cols, self.n_neighbors).collect() if cols else []  # one row per feature
             mi = {r["feature"]: r["mi"] for r in rows}
             out = [(c, mi.get(c), bool(mi.get(c) is not None and mi[c] > self.threshold)) for c in cols]

@@ -3,8 +3,8 @@ IB10, IB11).
 
 Model profiles re-express the reference's estimators with Spark's distributed learners;
 the external boosting engines become ``GBTClassifier`` profiles.  Metrics are the exact
-aggregates of ``functions.metrics`` (AUC without binning).  Permutation importance is ONE
-equi-join for all (feature, repeat) pairs and one grouped AUC.
+aggregates of ``functions.metrics`` (AUC without binning).  Permutation importance moves
+each row once for all features and repeats and ends in one grouped AUC.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kinds import numeric_columns, q
+from ..functions.kinds import numeric_columns, q, sql_double, sql_name
 from ..functions.metrics import classification_metrics, roc_auc, with_weights
 from ..functions.prefix import running_totals
 from ..functions.stats import medians
-from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops
+from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops, filled_sql
 from ..operators.split import fold_column, hash_key
 from ..session import cut_lineage
 
@@ -44,6 +44,16 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
+#: Tree learners run a job per level; a task of such a job gets up to this many rows.
+ROWS_PER_TASK = 20_000
+
+
+def _fit(estimator, df: DataFrame, n_rows: int | None = None):
+    """Fit on no more partitions than the rows fill (never on more than ``df`` has)."""
+    n = df.count() if n_rows is None else n_rows
+    return estimator.fit(df.coalesce(max(1, -(-n // ROWS_PER_TASK))))
+
+
 # ----------------------------------------------------------------------------- ML1-ML6
 def logistic(label: str, features: Sequence[str], n_rows: int | None = None, C: float = 1.0, **overrides):
     """ML1 — L2 logistic regression, C = 1, 1000 iterations, balanced weights."""
@@ -141,7 +151,7 @@ def train_model(name: str, train: DataFrame, label: str, features: Sequence[str]
         fitted = StringIndexer(inputCols=cats, outputCols=[f"{c}__n" for c in cats], handleInvalid="keep").fit(tr)
         kw = kw | {"cardinality": max(len(x) for x in fitted.labelsArray)}
     pipe = PROFILES[name](label, features, n_rows=n, **kw)
-    model = pipe.fit(tr)
+    model = _fit(pipe, tr, n)
     info = {}
     if validation is not None:
         info["validation"] = evaluate(model, validation, label)
@@ -193,7 +203,7 @@ def find_best_model(train: DataFrame, validation: DataFrame, label: str, feature
 def rf_importance(df: DataFrame, label: str, features: Sequence[str], num_trees: int = 50,
                   seed: int = 42, max_depth: int = FULL_DEPTH) -> tuple[DataFrame, PipelineModel]:
     """FS4 — impurity importances of a 50-tree forest: (feature, importance)."""
-    model = plain_forest(label, features, num_trees, seed, max_depth).fit(df)
+    model = _fit(plain_forest(label, features, num_trees, seed, max_depth), df)
     imp = model.stages[-1].featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double"), model
@@ -222,53 +232,68 @@ def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str
             .select(*groups, F.try_divide(F.col("num"), F.col("P").cast("double") * F.col("N")).alias("auc")))
 
 
+#: Doubles held by one block of the permutation (its rows times its features).
+BLOCK_VALUES = 4_000_000
+
+
 def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_col: str,
-                           features: Sequence[str], n_repeats: int = 5, seed: int = 42,
-                           batch: int = 10) -> DataFrame:
-    """FS5 — mean and std over repeats of the AUC drop when one feature is permuted.
-
-    Rows get a seeded random rank once; the permuted value of feature f in repeat r comes
-    from the row at rank (rank + offset(f, r)) mod n — ONE equi-join for all (f, r) — and
-    the model scores the long frame once; AUC per (f, r) is a grouped exact AUC."""
-    base = cut_lineage(df.select(q(id_col).alias("__id"), q(label).alias("__y"), *[q(c) for c in features])
-                       .withColumn("__h", hash_key("__id", seed, "perm")))
-    n = base.count()
-    ranked = running_totals(base.withColumn("__one", F.lit(1)), ["__h", "__id"], ["__one"]) \
-        .select("*", (F.col("__rank") - 1).alias("__r")).drop("__rank", "cum___one", "__one")
-    ranked = cut_lineage(ranked)
-    import zlib
-    donors = ranked.select(F.col("__r").alias("__pr"), *[F.col(c).alias(f"__d_{c}") for c in features])
-    parts = []
-    for b0 in range(0, len(features), batch):
-        fb = features[b0:b0 + batch]
-        combos = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("rep"),
-                                    F.lit(1 + zlib.crc32(f"{seed}|{f}|{r}".encode()) % max(n - 1, 1)).cast("long").alias("off"))
-                           for f in fb for r in range(n_repeats)])
-        # every row once per (feature, repeat) of the batch: a generator, not a join
-        long = ranked.select("*", F.inline(combos)).withColumn("__pr", F.pmod(F.col("__r") + F.col("off"), F.lit(n)))
-        j = long.join(donors, "__pr")
-        swapped = j.select("feature", "rep", "__y", *[F.when(F.col("feature") == F.lit(c), F.col(f"__d_{c}"))
-                                                        .otherwise(F.col(c)).alias(c) for c in features])
-        scored = score_column(model.transform(swapped.withColumnRenamed("__y", label)))
-        parts.append(cut_lineage(roc_auc_grouped(scored, ["feature", "rep"], label, "score")))
-    aucs = parts[0]
-    for p in parts[1:]:
-        aucs = aucs.unionByName(p)
-    base_auc = roc_auc(score_column(model.transform(ranked.withColumnRenamed("__y", label))), label, "score") \
-        .first()["auc"]
-    return (aucs.groupBy("feature").agg((F.lit(base_auc) - F.avg("auc")).alias("importance_mean"),
-                                        F.stddev_pop(F.lit(base_auc) - F.col("auc")).alias("importance_std")))
+                           features: Sequence[str], n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """FS5 — mean and std over repeats of the AUC drop when one feature is permuted:
+    (feature, importance_mean, importance_std).
+
+    Rows get a seeded random order; in repeat r a row takes the feature's value from the row
+    r + 1 places further on (cyclic), which is a random derangement.  The order is cut into
+    blocks and each block also gets the first few rows of the next one, so rows move once,
+    whatever the number of repeats and features; copies for scoring arise inside the tasks as
+    vectors and leave them only as (feature, repeat, score) counts of the grouped exact AUC."""
+    for stage in model.stages[:-2]:  # indexers of categorical columns
+        df = stage.transform(df)
+    order = model.stages[-2].getInputCols()
+    width = len(order)
+    x = F.expr("array(" + ", ".join(f"coalesce(cast({sql_name(c)} AS double), {sql_double(float('nan'))})" for c in order) + ")")
+    base = df.select(hash_key(id_col, seed, "perm").alias("h"), q(id_col).alias("id"), q(label).cast("int").alias("y"), x.alias("x"))
+    ranked = cut_lineage(running_totals(base, ["h", "id"], []).select("y", "x", (F.col("__rank") - 1).alias("place")))
+    n = ranked.count()
+    if n == 0:
+        return df.sparkSession.createDataFrame([], "feature string, importance_mean double, importance_std double")
+    shifts = [1 + r % max(n - 1, 1) for r in range(n_repeats)]
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    size = max(min(BLOCK_VALUES // max(width, 1), -(-n // tasks)), max(shifts))
+    last = max(n // size, 1) - 1  # a short rest belongs to the last block
+    block = F.least(F.floor(F.col("place") / F.lit(size)), F.lit(last))
+    at = F.col("place") - block * F.lit(size)
+    own = ranked.select("y", "x", block.alias("block"), F.col("place").alias("at"), F.lit(True).alias("own"))
+    guests = (ranked.filter(at < F.lit(max(shifts)))
+              .select("y", "x", F.when(block > 0, block - 1).otherwise(F.lit(last)).alias("block"),
+                      F.when(block > 0, F.col("place")).otherwise(F.col("place") + F.lit(n)).alias("at"), F.lit(False).alias("own")))
+    w = Window.partitionBy("block").orderBy("at")
+    met = own.unionByName(guests).select("y", "x", "own", F.array(*[F.lead("x", s).over(w) for s in shifts]).alias("donors")).filter("own")
+    places = {c: i for i, c in enumerate(order)}
+    index = [places[c] if c in places else places[f"{c}__idx"] for c in features]
+    combos = F.array(*[F.struct(F.lit(j).alias("f"), F.lit(i).alias("i"), F.lit(r).alias("rep"))
+                       for j, i in enumerate(index) for r in range(n_repeats)])
+    long = met.select("y", "x", "donors", F.inline(combos))
+    i, value = F.col("i"), F.col("donors")[F.col("rep")][F.col("i")]
+    swapped = F.concat(F.slice("x", F.lit(1), i), F.array(value), F.slice("x", i + 2, F.lit(width)))
+    scored = score_column(model.stages[-1].transform(long.select("f", "rep", "y", array_to_vector(swapped).alias(FEATURES))))
+    aucs = roc_auc_grouped(scored.select("f", "rep", "y", "score"), ["f", "rep"], "y", "score")
+    plain = model.stages[-1].transform(ranked.select("y", array_to_vector("x").alias(FEATURES)))
+    base_auc = F.lit(roc_auc(score_column(plain).select("y", "score"), "y", "score").first()["auc"])
+    names = F.array(*[F.lit(c) for c in features])
+    return (aucs.groupBy("f").agg((base_auc - F.avg("auc")).alias("importance_mean"),
+                                  F.stddev_pop(base_auc - F.col("auc")).alias("importance_std"))
+            .select(names[F.col("f")].alias("feature"), "importance_mean", "importance_std"))
 
 
 # ----------------------------------------------------------------------------- FS7-FS9
 def cv_auc(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: int = 3,
            num_trees: int = 50, seed: int = 42) -> float:
-    """Mean AUC over k stratified hash folds of a forest."""
-    folded = cut_lineage(fold_column(df, label, id_col, k, seed))
+    """Mean AUC over k stratified hash folds of a forest; ``df`` may hold its ``fold`` already."""
+    folded = df if "fold" in df.columns else cut_lineage(fold_column(df, label, id_col, k, seed))
     aucs = []
     for i in range(k):
         tr, te = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
-        m = plain_forest(label, features, num_trees, seed).fit(tr)
+        m = _fit(plain_forest(label, features, num_trees, seed), tr)
         aucs.append(roc_auc(score_column(m.transform(te)), label, "score").first()["auc"])
     return sum(aucs) / k
 
@@ -279,8 +304,9 @@ def validate_feature_set(df: DataFrame, label: str, id_col: str, all_features: S
     the relative loss is at most ``quality_loss``; skipped when nothing was removed."""
     if set(selected) == set(all_features):
         return {"skipped": True, "accepted": True}
-    a = cv_auc(df, label, id_col, all_features)
-    s = cv_auc(df, label, id_col, selected)
+    folded = cut_lineage(fold_column(df, label, id_col, 3, 42))
+    a = cv_auc(folded, label, id_col, all_features)
+    s = cv_auc(folded, label, id_col, selected)
     loss = (a - s) / a if a else 0.0
     return {"skipped": False, "auc_all": a, "auc_selected": s, "loss": loss, "accepted": loss <= quality_loss}
 
@@ -313,7 +339,7 @@ def select_features(df: DataFrame, label: str, id_col: str, features: Sequence[s
     if not feats:
         return result | {"empty": "every feature has low variance or too many missing values"}
     med = medians(df, feats)
-    data = cut_lineage(df.select(q(id_col), q(label), *[F.coalesce(q(c).cast("double"), F.lit(med[c])).alias(c) for c in feats]))
+    data = cut_lineage(df.selectExpr(sql_name(id_col), sql_name(label), *[f"{filled_sql(c, med[c])} AS {sql_name(c)}" for c in feats]))
     picked, imps = set(), {}
     if use_mi:
         mi = MutualInfo(label, mi_threshold, feats).fit(data)
@@ -374,7 +400,7 @@ def compare_resamplers(train: DataFrame, validation: DataFrame, label: str, id_c
         try:
             res = cut_lineage(RESAMPLERS[name](train, label, id_col, list(features)))
             counts = {r[0]: r[1] for r in res.groupBy(q(label)).count().collect()}
-            m = plain_forest(label, features, num_trees, seed).fit(res)
+            m = _fit(plain_forest(label, features, num_trees, seed), res, sum(counts.values()))
             ev = evaluate(m, validation, label)
             rows.append((name, sum(counts.values()), counts.get(1, 0), counts.get(0, 0),
                          *[float(ev[k]) if ev[k] is not None else None for k in ("f1", "recall", "precision", "auc")], None))

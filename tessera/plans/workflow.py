@@ -9,6 +9,7 @@ processed test metrics and their comparison table (MT3).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ..functions.metrics import compare_metrics
 from ..operators import categories as ct
 from ..operators import encode as en
 from ..operators import outliers as od
-from ..operators.features import Interactions
+from ..operators.features import DomainFeatures, Interactions
 from ..operators.neighbour_ops import KNNImpute
 from ..operators.resample import RESAMPLERS
 from ..operators.split import stratified_split
@@ -33,9 +34,10 @@ class Config:
     cap_exclude: tuple = ()
     categorical_outliers: bool = True
     knn_impute: bool = True
+    domain: tuple | None = None          # columns of FE1: flag, flag, tenure, monthly, total
     interactions: bool = True
     select: bool = True
-    select_preset: str = "fast"
+    select_preset: str | None = None     # None: the full selection (FS8)
     resample: bool = True
     quick_resample: bool = True
     test_size: float = 0.2
@@ -43,8 +45,9 @@ class Config:
     model_kw: dict = field(default_factory=dict)
 
 
-FULL = Config()
-PRODUCTION = Config(mad_outliers=False)
+DOMAIN = ("urgent", "fulfilled", "tenure", "monthly_charges", "total_charges")
+FULL = Config(cap_exclude=DOMAIN[2:], domain=DOMAIN)
+PRODUCTION = Config(mad_outliers=False, domain=DOMAIN)
 
 
 def _metrics_frame(spark, m: dict) -> DataFrame:
@@ -79,6 +82,9 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
         imp = KNNImpute(nums, id_col).fit(train)
         train, test = imp.transform(train), imp.transform(test)
     train, test = cut_lineage(train), cut_lineage(test)
+    if cfg.domain:
+        d = DomainFeatures(*cfg.domain).fit(train)
+        train, test = d.transform(train), d.transform(test)
     if cfg.interactions:
         it = Interactions(exclude=(id_col, label), **Interactions.REFERENCE_LIMITS).fit(train)
         train, test = it.transform(train), it.transform(test)
@@ -89,7 +95,8 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
     train, test = cut_lineage(train), cut_lineage(test)
     feats = numeric_columns(train, (label, id_col))
     if cfg.select:
-        sel = ml.select_features_preset(train, label, id_col, cfg.select_preset, features=feats)
+        pick = partial(ml.select_features_preset, preset=cfg.select_preset) if cfg.select_preset else ml.select_features
+        sel = pick(train, label, id_col, features=feats)
         feats = sel["selected"]
     chosen = "Original"
     if cfg.resample:
