@@ -129,29 +129,36 @@ def _hash_unit(*cols, seed: int = 42):
     return (F.pmod(h, F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40)))
 
 
+#: Copies that one row of the generator makes; a seed with more is cut into pieces.
+COPIES_PER_PIECE = 10_000
+
+
 def _synthesise(seeds: DataFrame, partners: DataFrame, copies: DataFrame, feats: Sequence[str],
                 label: str, minority, id_offset: int, seed: int, u_max_col: str | None = None) -> DataFrame:
     """seeds: (id, vec); partners: (qid, rank, pvec[, u_max]); copies: (id, n_copies).
-    For copy j of seed s: partner rank from a seeded hash, u in [0, u_max) from another."""
-    k = partners.agg(F.max("rank").alias("k")).first()["k"] or 0
-    if k == 0:
-        return None
-    ex = (copies.filter(F.col("n_copies") > 0)
-          .withColumn("j", F.explode(F.sequence(F.lit(1), F.col("n_copies")))))
-    nk = partners.groupBy("qid").agg(F.max("rank").alias("nk"))
-    ex = ex.join(nk.withColumnRenamed("qid", "id"), "id")
-    ex = ex.withColumn("rank", (F.pmod(F.xxhash64(F.lit(seed), F.lit("nb"), "id", "j"), F.col("nk")) + 1).cast("int"))
-    ex = ex.withColumn("u", _hash_unit(F.lit("u"), "id", "j", seed=seed))
-    j = (ex.join(seeds, "id")
-         .join(partners.withColumnRenamed("qid", "id"), ["id", "rank"]))
-    u = F.col("u") * (F.col("u_max") if u_max_col else F.lit(1.0))
-    new_vec = F.zip_with("vec", "pvec", lambda a, b: a + u * (b - a))
-    # ids number the (seed, copy) pairs in order, whatever the partitioning
+    For copy j of seed s: the partner from a seeded hash, u in [0, u_max) from another.
+
+    A seed meets its few partners once.  Running totals of the copies give every seed its
+    interval of new ids; intervals are cut into pieces that are spread over all tasks, so a
+    seed of any number of copies is no hot key and the new rows themselves are never moved."""
     from ..functions.prefix import running_totals
-    out = running_totals(j.select(F.col("id").alias("__seed"), "j", new_vec.alias("vec")), ["__seed", "j"], [])
-    out = out.select("vec", (F.lit(id_offset) + F.col("__rank") - 1).alias("id"))
-    return out.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(feats)],
-                      F.lit(minority).alias(label))
+    u_max = F.col(u_max_col) if u_max_col else F.lit(1.0)
+    met = (partners.groupBy(F.col("qid").alias("id"))
+           .agg(F.array_sort(F.collect_list(F.struct("rank", "pvec", u_max.alias("u_max")))).alias("met")))
+    plan = seeds.join(copies.filter("n_copies > 0").select("id", F.col("n_copies").cast("long").alias("n")), "id").join(met, "id")
+    placed = running_totals(plan, ["id"], ["n"])
+    size = F.lit(COPIES_PER_PIECE).cast("long")
+    pieces = placed.select("id", "vec", "met", "n", (F.col("cum_n") - F.col("n")).alias("start"),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / size))).alias("piece"))
+    pieces = pieces.repartition(int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "piece")
+    first = F.col("piece") * size
+    ex = pieces.select("id", "vec", "met", "start", F.explode(F.sequence(first + 1, F.least(first + size, F.col("n")))).alias("j"))
+    partner = F.element_at("met", (F.pmod(F.xxhash64(F.lit(seed), F.lit("nb"), "id", "j"), F.size("met")) + 1).cast("int"))
+    ex = ex.select((F.lit(id_offset) + F.col("start") + F.col("j") - 1).alias("id"), "vec", partner.alias("p"),
+                   _hash_unit(F.lit("u"), "id", "j", seed=seed).alias("u"))
+    u = F.col("u") * F.col("p.u_max")
+    made = ex.select("id", F.zip_with("vec", "p.pvec", lambda a, b: a + u * (b - a)).alias("vec"))
+    return made.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(feats)], F.lit(minority).alias(label))
 
 
 def _copies(ids: DataFrame, total: int, seed: int, purpose: str) -> DataFrame:
@@ -176,8 +183,6 @@ def _vec_table(df, id_col, feats):
 
 
 def _append(df, syn, id_col, label, feats):
-    if syn is None:
-        return df
     syn = syn.withColumnRenamed("id", id_col)
     for c in df.columns:
         if c not in syn.columns:
