@@ -107,13 +107,20 @@ def mv6_group_mode(spark, sf):
 
 
 @query("mv7_dispatch", f3_sql(
-    """SELECT f3.id, f3.is_test, coalesce(f3.event_type, gm.v, om.v) AS event_type
-       FROM f3 LEFT JOIN gm ON CAST(f3.user_group AS VARCHAR) = gm.k, om""",
+    """SELECT f3.id, f3.is_test, 'group' AS strategy, coalesce(f3.event_type, gm.v, om.v) AS event_type
+       FROM f3 LEFT JOIN gm ON CAST(f3.user_group AS VARCHAR) = gm.k, om
+       UNION ALL SELECT id, is_test, 'mode', coalesce(event_type, om.v) FROM f3, om
+       UNION ALL SELECT id, is_test, 'constant', coalesce(event_type, 'Unknown') FROM f3""",
     _GROUP_MODE.format(g="CAST(user_group AS VARCHAR)", c="event_type", t="tr3")))
 def mv7_dispatch(spark, sf):
     df = f3(spark, sf)
-    fit = mv.categorical_missing("group", group_by="user_group").fit(train_of(df).drop("raw_number"))
-    return fit.transform(df).select("id", "is_test", "event_type")
+    train = train_of(df).drop("raw_number")
+    out = None
+    for strategy in ("mode", "constant", "group"):
+        fit = mv.categorical_missing(strategy, group_by="user_group").fit(train)
+        rows = fit.transform(df).select("id", "is_test", F.lit(strategy).alias("strategy"), "event_type")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # ------------------------------------------------------------------------------- FE1

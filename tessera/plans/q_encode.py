@@ -125,18 +125,49 @@ def en6_binary(spark, sf):
 _REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
-@query("en7_dispatch", f1_sql(
-    """SELECT id, is_test, sig(coalesce(fq.f, m.mf)) AS nation, """ + ", ".join(
-        f"CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END AS \"region_{r}\"" for r in _REGIONS[1:]) + """
-       FROM f1 LEFT JOIN fq ON f1.nation = fq.v, m""",
-    """c AS (SELECT nation AS v, count(*) AS n FROM tr WHERE nation IS NOT NULL GROUP BY 1),
+@query("en7_dispatch", f5_sql(
+    """SELECT id, is_test, 'onehot' AS method, 'nation' AS feature, sig(coalesce(fq.f, m.mf)) AS value
+       FROM f5 LEFT JOIN fq ON f5.nation = fq.v, m
+       """ + "\n".join(
+        f"UNION ALL SELECT id, is_test, 'onehot', 'region_{r}', CASE WHEN region = '{r}' THEN 1.0 ELSE 0.0 END FROM f5"
+        for r in _REGIONS[1:]) + """
+       UNION ALL SELECT id, is_test, 'frequency', 'segment', sig(coalesce(sq.f, sm.mf))
+       FROM f5 LEFT JOIN sq ON f5.segment = sq.v, sm
+       UNION ALL SELECT id, is_test, 'label', 'segment', CAST(coalesce(d.code, -1) AS DOUBLE)
+       FROM f5 LEFT JOIN d ON coalesce(f5.segment, 'nan') = d.v
+       UNION ALL SELECT id, is_test, 'ordinal', 'segment', coalesce(o.code, -1.0) FROM f5 LEFT JOIN o ON f5.segment = o.v
+       UNION ALL SELECT id, is_test, 'target', 'segment', sig(coalesce(e.enc, g.g)) FROM f5 LEFT JOIN e ON f5.segment = e.v, g
+       UNION ALL SELECT id, is_test, 'binary', 'segment_bit' || CAST(b.i AS VARCHAR), CAST(coalesce((d.code >> b.i) & 1, 0) AS DOUBLE)
+       FROM f5 LEFT JOIN d ON coalesce(f5.segment, 'nan') = d.v, (SELECT range AS i FROM range(0, 64)) b, nb WHERE b.i < nb.bits""",
+    """c AS (SELECT nation AS v, count(*) AS n FROM tr5 WHERE nation IS NOT NULL GROUP BY 1),
        fq AS (SELECT v, n / (SELECT sum(n) FROM c) AS f FROM c),
-       m AS (SELECT avg(f) AS mf FROM fq)"""))
+       m AS (SELECT avg(f) AS mf FROM fq),
+       sc AS (SELECT segment AS v, count(*) AS n FROM tr5 WHERE segment IS NOT NULL GROUP BY 1),
+       sq AS (SELECT v, n / (SELECT sum(n) FROM sc) AS f FROM sc),
+       sm AS (SELECT avg(f) AS mf FROM sq),
+       """ + _LABEL_CODES.format(c="segment").replace("FROM tr", "FROM tr5") + """,
+       o AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code FROM sc),
+       g AS (SELECT avg(planted) AS g FROM tr5),
+       st AS (SELECT segment AS v, avg(planted) AS m, count(planted) AS n FROM tr5 WHERE segment IS NOT NULL GROUP BY 1),
+       e AS (SELECT v, CASE WHEN n < 20 THEN g.g ELSE (m * n + g.g * 1.0) / (n + 1.0) END AS enc FROM st, g),
+       nb AS (SELECT CAST(ceil(log2(count(*))) AS INTEGER) AS bits FROM d)"""))
 def en7_dispatch(spark, sf):
-    df = f1(spark, sf).select("id", "is_test", "nation", "region")
-    fit = en.Encode("onehot", columns=["nation", "region"], onehot_threshold=10).fit(train_of(df))
-    out = fit.transform(df)
-    return out.select("id", "is_test", r6("nation"), *[f"region_{r}" for r in _REGIONS[1:]])
+    """All six methods: one-hot with its route to frequencies on nation and region, the others
+    on segment."""
+    df = f5(spark, sf).select("id", "is_test", "planted", "nation", "region", "segment")
+    train = train_of(df)
+    out = None
+    for method in en.Encode.METHODS:
+        cols = ["nation", "region"] if method == "onehot" else ["segment"]
+        kw = {"smoothing": 1.0, "min_samples_leaf": 20} if method == "target" else {}
+        fit = en.Encode(method, label="planted", columns=cols, onehot_threshold=10, **kw).fit(train)
+        got = fit.transform(df.select("id", "is_test", "planted", *cols)).drop("planted")
+        names = [c for c in got.columns if c not in ("id", "is_test")]
+        got = got.select("id", "is_test", *[F.col(f"`{c}`").cast("double").alias(c) for c in names])
+        rows = got.unpivot(["id", "is_test"], [F.col(f"`{c}`") for c in names], "feature", "value")
+        rows = rows.select("id", "is_test", F.lit(method).alias("method"), "feature", r6("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("en8_target_codes", f1_sql(

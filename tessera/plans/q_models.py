@@ -148,7 +148,7 @@ def ib10_compare(spark, sf):
 @query("ib11_auto")
 def ib11_auto(spark, sf):
     tr, va = _f4_parts(spark, sf)
-    best, table = ml.auto_select_resampler(tr, va, "toxic", "id", ["z0", "z1", "z2"], quick_mode=True)
+    best, table = ml.auto_select_resampler(tr, va, "toxic", "id", ["z0", "z1", "z2"], quick_mode=False)
     return table.withColumn("chosen", F.col("method") == F.lit(best))
 
 
