@@ -1,8 +1,9 @@
 """Structured Streaming: apply fitted operators to a stream.
 
-``fit`` is a batch job; every ``Fitted.transform`` is stateless (expressions plus joins
+``fit`` is a batch job; nearly every ``Fitted.transform`` is stateless (expressions plus joins
 with small static dictionary tables), so the same fitted chain scores a streaming
-DataFrame micro-batch by micro-batch.  Stream-static left joins against the broadcast
+DataFrame micro-batch by micro-batch.  Transforms that aggregate or rank inside (kNN
+imputation) run on each micro-batch as a frame of its own (``start_batches``).  Stream-static left joins against the broadcast
 dictionaries are supported by Structured Streaming; no state store is needed.
 """
 
@@ -42,3 +43,12 @@ def start(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
     if fmt == "memory":
         return w.format("memory").queryName(query_name or sink).start()
     return w.format(fmt).option("path", sink).start()
+
+
+def start_batches(stream: DataFrame, steps: Sequence[Fitted], path: str, checkpoint: str) -> StreamingQuery:
+    """Score each micro-batch as a static frame and write it as Parquet into a folder of its own
+    (``batch=<id>``): a batch that is run again after a failure replaces its rows."""
+    def score(batch: DataFrame, batch_id: int) -> None:
+        transform_stream(batch, steps).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return (stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
