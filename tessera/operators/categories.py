@@ -54,7 +54,7 @@ class FittedCategoryOutliers(Fitted):
         t = self.table.for_column(c).select(
             "value", *[F.col(m).alias(f"{prefix}{m}") for m in ("rare", "string", "unexpected")])
         return lookup(df, q(c).cast("string"), t, "value", [f"{prefix}{m}" for m in ("rare", "string", "unexpected")],
-                      broadcast=self.table.size <= 200_000)
+                      broadcast=self.table.local)
 
     def _drop(self, df: DataFrame, prefix: str = "__") -> DataFrame:
         return df.drop(*[f"{prefix}{m}" for m in ("rare", "string", "unexpected")])
@@ -101,7 +101,7 @@ class FittedCategoryOutliers(Fitted):
                 t = t.select("value")
                 key = q(c).cast("string")
             df = lookup(df, key, t.withColumn("__hit", F.lit(True)), "value", ["__hit"],
-                        broadcast=self.table.size <= 200_000)
+                        broadcast=self.table.local, sparse=True)
             df = df.withColumn(c, F.when(F.col("__hit"), F.lit(replacement)).otherwise(q(c))).drop("__hit")
         return df
 
@@ -119,7 +119,7 @@ class FittedCategoryOutliers(Fitted):
         for c in self.cols:
             has_flagged = self.table.for_column(c).filter(F.col("rare") | F.col("string") | F.col("unexpected"))
             t = has_flagged.select("value", F.lit(True).alias("__hit"))
-            df = lookup(df, q(c).cast("string"), t, "value", ["__hit"], broadcast=self.table.size <= 200_000)
+            df = lookup(df, q(c).cast("string"), t, "value", ["__hit"], broadcast=self.table.local, sparse=True)
             df = df.withColumn(c, F.when(F.col("__hit"), F.lit(modes[c])).otherwise(q(c))).drop("__hit")
         return df
 

@@ -49,7 +49,7 @@ def _codes_table(df: DataFrame, cols: Sequence[str], null_as: str | None) -> Dat
 
 def _lk(df, key, table: Dictionary, column, values):
     t = table.for_column(column)
-    return lookup(df, key, t, "value", values, broadcast=table.size <= 200_000)
+    return lookup(df, key, t, "value", values, broadcast=table.local)
 
 
 # --------------------------------------------------------------------------- EN1

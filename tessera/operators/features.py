@@ -101,7 +101,7 @@ class FittedGroupStats(Fitted):
         if self.table is None:
             return df
         stat_names = [f"__{s}{j}" for j in range(len(self.num_cols)) for s in ("mean", "median")]
-        bc = self.table.size <= 200_000
+        bc = self.table.local
         for cat in self.cat_cols:
             t = self.table.for_column(cat)
             df = lookup(df, q(cat).cast("string"), t, "value", stat_names, broadcast=bc)
@@ -167,11 +167,11 @@ class FittedCatPairs(Fitted):
         for a, b in self.pairs:
             name = f"{a}_{b}"
             t = self.rare.for_column(name).select("value", F.lit(True).alias("__rare"))
-            df = lookup(df, q(name), t, "value", ["__rare"], broadcast=self.rare.size <= 200_000)
+            df = lookup(df, q(name), t, "value", ["__rare"], broadcast=self.rare.local, sparse=True)
             hit = F.col("__rare").isNotNull()
             if self.unseen == "other":
                 s = self.seen.for_column(name).select("value", F.lit(True).alias("__seen"))
-                df = lookup(df, q(name), s, "value", ["__seen"], broadcast=self.seen.size <= 200_000)
+                df = lookup(df, q(name), s, "value", ["__seen"], broadcast=self.seen.local)
                 hit = hit | F.col("__seen").isNull()
             df = df.withColumn(name, F.when(hit, F.lit("Other")).otherwise(q(name))).drop("__rare", "__seen")
         return df

@@ -121,7 +121,7 @@ class FittedGroupFill(Fitted):
         stat_cols = [f"__g{i}" for i in range(len(self.targets))]
         t = self.table.df
         out = lookup(df, q(self.group_col).cast("string"), t, "__key", stat_cols,
-                     broadcast=self.table.size <= 200_000)
+                     broadcast=self.table.local)
         fills = {}
         for i, c in enumerate(self.targets):
             if c not in df.columns:

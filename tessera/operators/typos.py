@@ -104,7 +104,7 @@ class FittedTypos(Fitted):
             return df
         for c in self.cols:
             t = self.table.for_column(c)
-            df = lookup(df, q(c).cast("string"), t, "value", ["right"], broadcast=self.table.size <= 200_000)
+            df = lookup(df, q(c).cast("string"), t, "value", ["right"], broadcast=self.table.local, sparse=True)
             df = df.withColumn(c, F.coalesce(F.col("right"), q(c))).drop("right")
         return df
 
