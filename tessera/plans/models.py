@@ -27,6 +27,7 @@ from ..operators.split import fold_column, hash_key
 from ..session import cut_lineage
 
 FEATURES = "features"
+WATCHED = "is_watched"  # validation rows of a boosted fit
 
 
 FULL_DEPTH = 30  # Spark's ceiling: the forests of selection and resampling set no depth
@@ -140,8 +141,10 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str) -> dict:
 
 def train_model(name: str, train: DataFrame, label: str, features: Sequence[str], validation: DataFrame | None = None,
                 **kw) -> tuple[PipelineModel, dict]:
-    """ML8 — fit (balanced weights attached), optional validation metrics and, for boosted
-    profiles, the validation log-loss per iteration."""
+    """ML8 — fit (balanced weights attached), with validation metrics where a validation frame is
+    given.  Boosted profiles then watch its loss inside the fit: they stop when it rises and keep
+    the trees up to the best iteration; ``info`` has the loss per kept iteration (``history``),
+    their number (``iterations``) and the loss at the last of them (``best_loss``)."""
     tr = with_weights(train, label)
     n = tr.count()
     if PROFILES[name] is not boosting_cat:  # the only profile with native categorical splits
@@ -151,17 +154,20 @@ def train_model(name: str, train: DataFrame, label: str, features: Sequence[str]
         fitted = StringIndexer(inputCols=cats, outputCols=[f"{c}__n" for c in cats], handleInvalid="keep").fit(tr)
         kw = kw | {"cardinality": max(len(x) for x in fitted.labelsArray)}
     pipe = PROFILES[name](label, features, n_rows=n, **kw)
-    model = _fit(pipe, tr, n)
-    info = {}
-    if validation is not None:
-        info["validation"] = evaluate(model, validation, label)
-        last = model.stages[-1]
-        if hasattr(last, "evaluateEachIteration"):
-            vv = model.stages[-2].transform(validation) if len(model.stages) >= 2 else validation
-            for st in model.stages[:-2]:
-                vv = st.transform(vv)
-            info["history"] = last.evaluateEachIteration(vv.withColumn(label, q(label).cast("double")))
-    return model, info
+    boosted = validation is not None and isinstance(pipe.getStages()[-1], GBTClassifier) and not validation.isEmpty()
+    if not boosted:
+        model = _fit(pipe, tr, n)
+        return model, {} if validation is None else {"validation": evaluate(model, validation, label)}
+    watched = cut_lineage(validation.withColumn("weight", F.lit(1.0)))
+    steps = _fit(Pipeline(stages=pipe.getStages()[:-1]), tr, n)  # indexers learn from the train part alone
+    gbt = pipe.getStages()[-1].setParams(validationIndicatorCol=WATCHED, validationTol=0.0)
+    rows = steps.transform(tr).withColumn(WATCHED, F.lit(False)).unionByName(
+        steps.transform(watched).withColumn(WATCHED, F.lit(True)))
+    trees = _fit(gbt, rows.select(q(label).cast("double").alias(label), FEATURES, "weight", WATCHED), n)
+    model = PipelineModel(stages=[*steps.stages, trees])
+    history = trees.evaluateEachIteration(steps.transform(watched).select(q(label).cast("double").alias(label), FEATURES, "weight"))
+    return model, {"validation": evaluate(model, watched, label), "history": history,
+                   "iterations": len(history), "best_loss": history[-1]}
 
 
 def compare_models(names: Sequence[str], train: DataFrame, test: DataFrame, label: str,

@@ -11,6 +11,7 @@ from ..operators.split import stratified_split
 from ..session import cut_lineage
 from . import models as ml
 from .catalog import f5, query, train_of
+from .oracle import f5_sql
 from .q_neighbors import _f4z
 
 NUM = ["acctbal", "tenure", "total_charges", "monthly_charges", "in_debt"]
@@ -72,6 +73,24 @@ def ml8_train_validation(spark, sf):
     return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(hist)], "iteration int, logloss double")
 
 
+@query("ml8_early_stop", f5_sql("""SELECT 'validation' AS part, count(*) > 0 AS has_rows, true AS within_limit,
+       true AS lowest_is_last, true AS loss_agrees, count(*) AS n_train_and_validation FROM f5 WHERE NOT is_test"""))
+def ml8_early_stop(spark, sf):
+    """Invariants of a fit that stops on its validation rows: at most 100 iterations, the last
+    kept one has the lowest loss, and that loss is the mean log loss of the model's own scores."""
+    df = model_frame(spark, sf)
+    tr, va = _train_valid(df)
+    model, info = ml.train_model("GradientBoosting", tr, "planted", FEATS, validation=va)
+    # Spark's boosting loss is 2 log(1 + exp(-2 y m)) for y in -1, 1 and the probability 1 / (1 + exp(-2 m))
+    right = F.when(F.col("planted") == 1, F.col("score")).otherwise(1 - F.col("score"))
+    own = ml.score_column(model.transform(va)).agg(F.avg(-2 * F.log(right)).alias("loss"), F.count(F.lit(1)).alias("n"))
+    best, rounds = info["best_loss"], info["iterations"]
+    return own.select(F.lit("validation").alias("part"), (F.col("n") > 0).alias("has_rows"),
+                      F.lit(1 <= rounds <= 100).alias("within_limit"), F.lit(best <= min(info["history"])).alias("lowest_is_last"),
+                      (F.abs(F.col("loss") - best) < 1e-6 * best).alias("loss_agrees"),
+                      (F.col("n") + F.lit(tr.count())).alias("n_train_and_validation"))
+
+
 @query("ml9_compare")
 def ml9_compare(spark, sf):
     df = model_frame(spark, sf)
