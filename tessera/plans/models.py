@@ -10,6 +10,7 @@ each row once for all features and repeats and ends in one grouped AUC.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -24,7 +25,7 @@ from ..functions.prefix import running_totals
 from ..functions.stats import medians
 from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops, filled_sql
 from ..operators.split import fold_column, hash_key
-from ..session import cut_lineage
+from ..session import concurrently, cut_lineage
 
 FEATURES = "features"
 WATCHED = "is_watched"  # validation rows of a boosted fit
@@ -174,12 +175,14 @@ def compare_models(names: Sequence[str], train: DataFrame, test: DataFrame, labe
                    features: Sequence[str], **kw) -> tuple[DataFrame, dict]:
     """ML9 — fit and evaluate each profile; table sorted by F1 desc (ties by name)."""
     spark = train.sparkSession
-    rows, models = [], {}
-    for nm in names:
-        model, _ = train_model(nm, train, label, features, **kw)
-        models[nm] = model
-        m = evaluate(model, test, label)
-        rows.append((nm, *[float(m[k]) if m[k] is not None else None for k in ("accuracy", "precision", "recall", "f1", "auc")]))
+
+    def run(name: str):
+        model, _ = train_model(name, train, label, features, **kw)
+        return model, evaluate(model, test, label)
+    done = concurrently([partial(run, nm) for nm in names], width=len(PROFILES))
+    models = {nm: model for nm, (model, _) in zip(names, done)}
+    rows = [(nm, *[float(m[k]) if m[k] is not None else None for k in ("accuracy", "precision", "recall", "f1", "auc")])
+            for nm, (_, m) in zip(names, done)]
     t = spark.createDataFrame(rows, "model string, accuracy double, precision double, recall double, f1 double, auc double")
     return t.orderBy(F.desc("f1"), "model"), models
 
@@ -296,11 +299,12 @@ def cv_auc(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: i
            num_trees: int = 50, seed: int = 42) -> float:
     """Mean AUC over k stratified hash folds of a forest; ``df`` may hold its ``fold`` already."""
     folded = df if "fold" in df.columns else cut_lineage(fold_column(df, label, id_col, k, seed))
-    aucs = []
-    for i in range(k):
+
+    def fold_auc(i: int) -> float:
         tr, te = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
         m = _fit(plain_forest(label, features, num_trees, seed), tr)
-        aucs.append(roc_auc(score_column(m.transform(te)), label, "score").first()["auc"])
+        return roc_auc(score_column(m.transform(te)), label, "score").first()["auc"]
+    aucs = concurrently([partial(fold_auc, i) for i in range(k)])
     return sum(aucs) / k
 
 
@@ -311,8 +315,7 @@ def validate_feature_set(df: DataFrame, label: str, id_col: str, all_features: S
     if set(selected) == set(all_features):
         return {"skipped": True, "accepted": True}
     folded = cut_lineage(fold_column(df, label, id_col, 3, 42))
-    a = cv_auc(folded, label, id_col, all_features)
-    s = cv_auc(folded, label, id_col, selected)
+    a, s = concurrently([partial(cv_auc, folded, label, id_col, f) for f in (all_features, selected)])
     loss = (a - s) / a if a else 0.0
     return {"skipped": False, "auc_all": a, "auc_selected": s, "loss": loss, "accepted": loss <= quality_loss}
 
@@ -401,17 +404,18 @@ def compare_resamplers(train: DataFrame, validation: DataFrame, label: str, id_c
     A failing method is reported with its error and no metrics."""
     from ..operators.resample import RESAMPLERS
     spark = train.sparkSession
-    rows = []
-    for name in (methods or list(RESAMPLERS)):
+
+    def score(name: str) -> tuple:
         try:
             res = cut_lineage(RESAMPLERS[name](train, label, id_col, list(features)))
             counts = {r[0]: r[1] for r in res.groupBy(q(label)).count().collect()}
             m = _fit(plain_forest(label, features, num_trees, seed), res, sum(counts.values()))
             ev = evaluate(m, validation, label)
-            rows.append((name, sum(counts.values()), counts.get(1, 0), counts.get(0, 0),
-                         *[float(ev[k]) if ev[k] is not None else None for k in ("f1", "recall", "precision", "auc")], None))
+            return (name, sum(counts.values()), counts.get(1, 0), counts.get(0, 0),
+                    *[float(ev[k]) if ev[k] is not None else None for k in ("f1", "recall", "precision", "auc")], None)
         except Exception as e:  # noqa: BLE001 - reported, as the reference does
-            rows.append((name, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:200]))
+            return (name, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:200])
+    rows = concurrently([partial(score, name) for name in (methods or list(RESAMPLERS))])
     t = spark.createDataFrame(rows, "method string, train_size long, n_pos long, n_neg long, f1 double, "
                                     "recall double, precision double, auc double, error string")
     return t.orderBy(F.desc_nulls_last("auc" if scoring == "roc_auc" else scoring), "method")

@@ -94,7 +94,7 @@ def ml8_early_stop(spark, sf):
 @query("ml9_compare")
 def ml9_compare(spark, sf):
     df = model_frame(spark, sf)
-    t, _ = ml.compare_models(ml.SKLEARN_LIKE, train_of(df), df.filter("is_test"), "planted", FEATS)
+    t, _ = ml.compare_models(list(ml.PROFILES), train_of(df), df.filter("is_test"), "planted", FEATS)
     return t
 
 
@@ -102,7 +102,7 @@ def ml9_compare(spark, sf):
 def ml10_best(spark, sf):
     df = model_frame(spark, sf)
     tr, va = _train_valid(df)
-    best, model, table = ml.find_best_model(tr, va, "planted", FEATS, "sklearn")
+    best, model, table = ml.find_best_model(tr, va, "planted", FEATS)
     test = ml.evaluate(model, df.filter("is_test"), "planted")
     return _metrics_row(spark, best, test)
 

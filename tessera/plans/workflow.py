@@ -23,7 +23,7 @@ from ..operators.features import DomainFeatures, Interactions
 from ..operators.neighbour_ops import KNNImpute
 from ..operators.resample import RESAMPLERS
 from ..operators.split import stratified_split
-from ..session import cut_lineage
+from ..session import concurrently, cut_lineage
 from . import models as ml
 
 
@@ -57,21 +57,31 @@ def _metrics_frame(spark, m: dict) -> DataFrame:
 
 
 def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dict:
-    spark = df.sparkSession
     split = cut_lineage(stratified_split(df, label, id_col, cfg.test_size, cfg.seed))
     target = en.EncodeTarget(label, out_col="__y").fit(split.filter(~F.col("is_test")))
     data = target.transform(split).drop(label).withColumnRenamed("__y", label)
     train, test = data.filter(~F.col("is_test")).drop("is_test"), data.filter("is_test").drop("is_test")
+    raw, out = concurrently([partial(raw_experiment, train, test, label, id_col, cfg),
+                             partial(processed_experiment, train, test, label, id_col, cfg)])
+    spark = df.sparkSession
+    table = compare_metrics(_metrics_frame(spark, raw), _metrics_frame(spark, out["processed"]))
+    return out | {"raw": raw, "comparison": table}
+
+
+def raw_experiment(train: DataFrame, test: DataFrame, label: str, id_col: str, cfg: Config) -> dict:
+    """Metrics on raw columns (native categorical splits); a missing number is placed below
+    every observed value (the boosting library's default "Min" treatment)."""
     cats = categorical_columns(train, (label,))
     nums = numeric_columns(train, (label, id_col))
-
-    # experiment 1: raw columns (native categorical splits); a missing number is placed
-    # below every observed value (the boosting library's default "Min" treatment)
     lows = train.agg(*[(F.min(c) - F.lit(1.0)).alias(c) for c in nums]).first().asDict() if nums else {}
-    raw_tr, raw_te = train.fillna(lows), test.fillna(lows)
-    raw_model, _ = ml.train_model(cfg.model, raw_tr, label, nums + cats, categorical=cats, **cfg.model_kw)
-    raw = ml.evaluate(raw_model, raw_te, label)
+    model, _ = ml.train_model(cfg.model, train.fillna(lows), label, nums + cats, categorical=cats, **cfg.model_kw)
+    return ml.evaluate(model, test.fillna(lows), label)
+
 
+def processed_experiment(train: DataFrame, test: DataFrame, label: str, id_col: str, cfg: Config) -> dict:
+    """Every configured stage fitted on the train part; metrics on the processed test part."""
+    cats = categorical_columns(train, (label,))
+    nums = numeric_columns(train, (label, id_col))
     if cfg.mad_outliers:
         b = od.MADOutliers(nums).fit(train)
         train, test = b.drop(train), b.cap(test, exclude=cfg.cap_exclude)
@@ -105,6 +115,4 @@ def run(df: DataFrame, label: str, id_col: str, cfg: Config = PRODUCTION) -> dic
         chosen, _ = ml.auto_select_resampler(tr, va, label, id_col, feats, cfg.quick_resample, cfg.seed)
         train = cut_lineage(RESAMPLERS[chosen](train.select(id_col, label, *feats), label, id_col, feats))
     model, _ = ml.train_model(cfg.model, train, label, feats, categorical=[], **cfg.model_kw)
-    processed = ml.evaluate(model, test, label)
-    table = compare_metrics(_metrics_frame(spark, raw), _metrics_frame(spark, processed))
-    return {"raw": raw, "processed": processed, "comparison": table, "features": feats, "resampler": chosen}
+    return {"processed": ml.evaluate(model, test, label), "features": feats, "resampler": chosen}

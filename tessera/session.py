@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +104,25 @@ def cached(df: DataFrame, cols=None):
         d.unpersist()
 
 
+def concurrently(tasks, width: int = 4) -> list:
+    """Results of the given functions in order, run from at most ``width`` driver threads: jobs
+    of independent small fits share the cluster instead of waiting for each other.  Threads
+    inherit the caller's job group and local properties; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    tasks = list(tasks)
+    if len(tasks) < 2:
+        return [t() for t in tasks]
+    spark = SparkSession.active()
+    with ThreadPoolExecutor(min(width, len(tasks))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+        return [r.result() for r in running]
+
+
 _SHIPPED: set = set()
+_SHIPPING = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -114,16 +133,17 @@ def ship_package(spark: SparkSession) -> None:
 
     sc = spark.sparkContext
     key = id(sc._jsc)
-    if key in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
-    _SHIPPED.add(key)
+    with _SHIPPING:
+        if key in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        out = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), "tessera.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for base, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(base, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(out)
+        _SHIPPED.add(key)
