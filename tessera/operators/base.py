@@ -9,7 +9,19 @@ DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from ..functions.kinds import q
+
+
+def count_hits(df: DataFrame, hits: dict[str, str], counts: Observation | None) -> DataFrame:
+    """``df`` without the boolean columns ``hits`` (name -> column).  ``counts``, if given,
+    gathers the true rows per name while ``df`` runs in the caller's next action: no further
+    job.  Stages that Spark runs again after losing an executor may be counted twice."""
+    if counts is not None and hits:
+        df = df.observe(counts, *[F.count_if(q(h)).alias(name) for name, h in hits.items()])
+    return df.drop(*hits.values())
 
 
 class Fitted:

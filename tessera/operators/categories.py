@@ -14,13 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dictionary import Dictionary, category_counts, lookup, top_k_per_group
 from ..functions.kinds import categorical_columns, q
 from ..session import cached
-from .base import Fitted, Op
+from .base import Fitted, Op, count_hits
 
 METHODS = ("rare", "string", "unexpected")
 FLAG_NAMES = {"rare": "rare_categories", "string": "string_anomalies", "unexpected": "unexpected_values"}
@@ -85,14 +85,24 @@ class FittedCategoryOutliers(Fitted):
             "column", "value", "n", (F.col("n") * 100.0 / F.lit(self.total)).alias("pct"),
             "rare", "string", "unexpected")
 
+    def combined_share(self) -> DataFrame:
+        """Per column with flagged values: their number, the fit rows that hold one and their
+        share in percent (rows counted once however many rules flag them)."""
+        return self.report().groupBy("column").agg(
+            F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"),
+            (F.sum("n") * 100.0 / F.lit(self.total)).alias("pct"))
+
     def summary(self, df: DataFrame) -> DataFrame:
         d = self.detect(df)
         return d.agg(F.sum(F.col(self.flag_col).cast("long")).alias("total_outliers"),
                      (F.avg(F.col(self.flag_col).cast("double")) * 100).alias("percentage"))
 
     # -- CT1 --------------------------------------------------------------------------
-    def group_rare(self, df: DataFrame, replacement: str = "Other", case_insensitive: bool = False) -> DataFrame:
-        for c in self.cols:
+    def group_rare(self, df: DataFrame, replacement: str = "Other", case_insensitive: bool = False,
+                   counts: Observation | None = None) -> DataFrame:
+        """``counts`` gathers the replaced rows per column during the next action."""
+        hits = {c: f"__hit_{i}" for i, c in enumerate(self.cols)}
+        for c, h in hits.items():
             t = self.table.for_column(c).filter("rare")
             if case_insensitive:
                 t = t.select(F.lower("value").alias("value")).distinct()
@@ -100,10 +110,10 @@ class FittedCategoryOutliers(Fitted):
             else:
                 t = t.select("value")
                 key = q(c).cast("string")
-            df = lookup(df, key, t.withColumn("__hit", F.lit(True)), "value", ["__hit"],
+            df = lookup(df, key, t.withColumn(h, F.lit(True)), "value", [h],
                         broadcast=self.table.local, sparse=True)
-            df = df.withColumn(c, F.when(F.col("__hit"), F.lit(replacement)).otherwise(q(c))).drop("__hit")
-        return df
+            df = df.withColumn(c, F.when(F.col(h), F.lit(replacement)).otherwise(q(c)))
+        return count_hits(df, hits, counts)
 
     # -- CT2 --------------------------------------------------------------------------
     def mode_table(self, fallback: str = "Unknown") -> dict:
@@ -114,14 +124,17 @@ class FittedCategoryOutliers(Fitted):
         modes = {r["column"]: r["value"] for r in best.collect()}  # one row per column
         return {c: modes.get(c, fallback) for c in self.cols}
 
-    def replace_with_mode(self, df: DataFrame, fallback: str = "Unknown") -> DataFrame:
+    def replace_with_mode(self, df: DataFrame, fallback: str = "Unknown",
+                          counts: Observation | None = None) -> DataFrame:
+        """``counts`` gathers the replaced rows per column during the next action."""
         modes = self.mode_table(fallback)
-        for c in self.cols:
+        hits = {c: f"__hit_{i}" for i, c in enumerate(self.cols)}
+        for c, h in hits.items():
             has_flagged = self.table.for_column(c).filter(F.col("rare") | F.col("string") | F.col("unexpected"))
-            t = has_flagged.select("value", F.lit(True).alias("__hit"))
-            df = lookup(df, q(c).cast("string"), t, "value", ["__hit"], broadcast=self.table.local, sparse=True)
-            df = df.withColumn(c, F.when(F.col("__hit"), F.lit(modes[c])).otherwise(q(c))).drop("__hit")
-        return df
+            t = has_flagged.select("value", F.lit(True).alias(h))
+            df = lookup(df, q(c).cast("string"), t, "value", [h], broadcast=self.table.local, sparse=True)
+            df = df.withColumn(c, F.when(F.col(h), F.lit(modes[c])).otherwise(q(c)))
+        return count_hits(df, hits, counts)
 
     # -- CT3 --------------------------------------------------------------------------
     def flag_columns(self, df: DataFrame, prefix: str = "outlier_") -> DataFrame:

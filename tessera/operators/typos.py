@@ -25,14 +25,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.dictionary import Dictionary, category_counts, lookup
 from ..functions.kinds import categorical_columns, q
 from ..session import cut_lineage, ship_package
-from .base import Fitted, Op
+from .base import Fitted, Op, count_hits
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -99,14 +99,16 @@ class FittedTypos(Fitted):
     cols: list[str]
     table: Dictionary | None  # (column, value=wrong, right)
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, counts: Observation | None = None) -> DataFrame:
+        """``counts`` gathers the corrected rows per column during the next action."""
         if self.table is None:
             return df
-        for c in self.cols:
+        hits = {c: f"__hit_{i}" for i, c in enumerate(self.cols)}
+        for c, h in hits.items():
             t = self.table.for_column(c)
             df = lookup(df, q(c).cast("string"), t, "value", ["right"], broadcast=self.table.local, sparse=True)
-            df = df.withColumn(c, F.coalesce(F.col("right"), q(c))).drop("right")
-        return df
+            df = df.withColumn(c, F.coalesce(F.col("right"), q(c))).withColumn(h, F.col("right").isNotNull()).drop("right")
+        return count_hits(df, hits, counts)
 
     def corrections(self) -> DataFrame:
         return self.table.df.withColumnRenamed("value", "wrong")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..operators import categories as ct
@@ -141,6 +142,16 @@ def cd1_rare_report(spark, sf):
     return fit.report().select("column", "value", "n", r6("pct"))
 
 
+@query("cd1_combined_share", """
+WITH c AS (SELECT p_name AS v, count(*) AS n FROM part GROUP BY 1), t AS (SELECT count(*) AS t FROM part)
+SELECT 'p_name' AS column, count(*) AS n_values, CAST(sum(n) AS BIGINT) AS n_rows, sig(sum(n) * 100.0 / any_value(t)) AS pct
+FROM c, t WHERE n / t < 0.015 OR n < 5 HAVING count(*) > 0""")
+def cd1_combined_share(spark, sf):
+    p = table(spark, sf, "part").select("p_name")
+    fit = ct.rare_categories(cols=["p_name"], threshold=0.015).fit(p)
+    return fit.combined_share().select("column", "n_values", "n_rows", r6("pct"))
+
+
 @query("cd2_string", f1_sql(
     f"SELECT id, is_test, {_row_flag('anom')} AS is_string FROM f1",
     "c AS (" + _counts_sql() + "),\n" + _ANOM.format(ml=8, special="OR regexp_matches(v, '[^A-Za-z0-9_\\s]')")))
@@ -216,6 +227,35 @@ def ct2_mode(spark, sf):
     return fit.replace_with_mode(df).select("id", "is_test", *_CATS)
 
 
+def _affected_sql(flagset: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IN (SELECT v FROM {flagset} WHERE col = '{c}')) AS n_rows FROM f1"
+        for c in _CATS)
+
+
+def _affected(spark, treat, df):
+    """(column, n_rows): rows that ``treat(df, counts)`` changes, observed while its result is
+    written out (to the no-op sink here)."""
+    counts = Observation()
+    treat(df, counts).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counts.get.items()), "column string, n_rows long")
+
+
+@query("ct1_affected", f1_sql(_affected_sql("rare"), _RARE.format(counts=_counts_sql(), th=0.01)))
+def ct1_affected(spark, sf):
+    df = f1(spark, sf)
+    fit = ct.rare_categories(cols=_CATS).fit(train_of(df))
+    return _affected(spark, lambda d, n: fit.group_rare(d, counts=n), df)
+
+
+@query("ct2_affected", f1_sql(_affected_sql("flagged"), _ALL + """,
+flagged AS (SELECT col, v FROM rare UNION SELECT col, v FROM anom UNION SELECT col, v FROM unexp)"""))
+def ct2_affected(spark, sf):
+    df = f1(spark, sf)
+    fit = ct.CategoryOutliers(_CATS).fit(train_of(df))
+    return _affected(spark, lambda d, n: fit.replace_with_mode(d, counts=n), df)
+
+
 @query("ct3_flags", f1_sql(
     """SELECT f1.id, f1.is_test, 'outlier_' || s.col || '_' || s.m AS flag,
               CAST(coalesce(CASE s.col WHEN 'segment' THEN f1.segment WHEN 'nation' THEN f1.nation ELSE f1.region END
@@ -269,6 +309,15 @@ def ct4_typos(spark, sf):
     return TypoCorrection(["segment", "nation", "region"]).fit(train_of(df)).corrections()
 
 
+@query("ct4_affected")
+def ct4_affected(spark, sf):
+    """Rows per column that the typo corrections change, observed during the transform."""
+    from ..operators.typos import TypoCorrection
+    df = f1(spark, sf)
+    fit = TypoCorrection(["segment", "nation", "region"]).fit(train_of(df))
+    return _affected(spark, fit.transform, df)
+
+
 @query("ct4_typos_multi")
 def ct4_typos_multi(spark, sf):
     from ..operators.typos import TypoCorrection
