@@ -327,7 +327,7 @@ class OrdinalEncode(Op):
         cols = [c for c in self.columns_mapping if c in df.columns]
         rows = [(c, str(v), i) for c in cols for i, v in enumerate(self.columns_mapping[c])]
         t = spark.createDataFrame(rows, "column string, value string, code int")
-        return FittedOrdinal(cols, Dictionary(t, True, len(rows)), self.unknown_value)
+        return FittedOrdinal(cols, Dictionary.materialise(t), self.unknown_value)
 
 
 # --------------------------------------------------------------------------- EN6
