@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kinds import q
+from ..session import stage_table
 from .split import exact_first_n
 
 
@@ -96,7 +97,7 @@ def tomek_links(df: DataFrame, label: str, id_col: str = "id", features: Sequenc
     neighbour; the majority member of every link is removed (``remove='both'`` drops both)."""
     feats = numeric_features(df, features, (id_col, label))
     base, nn = _neighbours(df, label, id_col, feats, 1)
-    first = nn.filter(F.col("rank") == 1).select("qid", "nid", "qy", "ny")
+    first = stage_table(nn.filter(F.col("rank") == 1).select("qid", "nid", "qy", "ny"))  # read twice
     mutual = first.alias("x").join(first.alias("y"), (F.col("x.qid") == F.col("y.nid")) & (F.col("x.nid") == F.col("y.qid")))
     links = mutual.filter(F.col("x.qy") != F.col("x.ny")).select(F.col("x.qid").alias("id"), F.col("x.qy").alias("y"))
     if remove == "majority":
@@ -146,7 +147,7 @@ def _synthesise(seeds: DataFrame, partners: DataFrame, copies: DataFrame, feats:
     met = (partners.groupBy(F.col("qid").alias("id"))
            .agg(F.array_sort(F.collect_list(F.struct("rank", "pvec", u_max.alias("u_max")))).alias("met")))
     plan = seeds.join(copies.filter("n_copies > 0").select("id", F.col("n_copies").cast("long").alias("n")), "id").join(met, "id")
-    placed = running_totals(plan, ["id"], ["n"])
+    placed = running_totals(stage_table(plan), ["id"], ["n"])  # a range shuffle reads its input twice
     size = F.lit(COPIES_PER_PIECE).cast("long")
     pieces = placed.select("id", "vec", "met", "n", (F.col("cum_n") - F.col("n")).alias("start"),
                            F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / size))).alias("piece"))
@@ -201,7 +202,7 @@ def smote(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str]
     g = n_synthetic(counts, mn, mj, sampling_strategy)
     if g == 0:
         return df
-    minority = _vec_table(df.filter(q(label) == F.lit(mn)), id_col, feats)
+    minority = stage_table(_vec_table(df.filter(q(label) == F.lit(mn)), id_col, feats))
     nmin = counts[mn]
     nn = knn_join(minority, minority, min(k_neighbors, max(nmin - 1, 1)), q_count=nmin, b_count=nmin)
     partners = nn.join(minority.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
@@ -223,8 +224,8 @@ def borderline_smote(df: DataFrame, label: str, id_col: str = "id", features: Se
     g = n_synthetic(counts, mn, mj, sampling_strategy)
     if g == 0:
         return df
-    allv = df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
-                     F.array(*[q(c).cast("double") for c in feats]).alias("vec"))
+    allv = stage_table(df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
+                                 F.array(*[q(c).cast("double") for c in feats]).alias("vec")))
     n = sum(counts.values())
     minority = allv.filter(F.col("y") == F.lit(mn)).select("id", "vec")
     nn_all = knn_join(minority, allv, m_neighbors, q_count=counts[mn], b_count=n)
@@ -232,7 +233,7 @@ def borderline_smote(df: DataFrame, label: str, id_col: str = "id", features: Se
            .groupBy("qid").agg(F.sum((F.col("y") != F.lit(mn)).cast("int")).alias("n_maj")))
     danger = maj.filter((F.col("n_maj") >= m_neighbors / 2.0) & (F.col("n_maj") < m_neighbors)) \
         .select(F.col("qid").alias("id"))
-    seeds = minority.join(danger, "id", "left_semi")
+    seeds = stage_table(minority.join(danger, "id", "left_semi"))
     if seeds.limit(1).count() == 0:
         return df
     nmin = counts[mn]
@@ -242,6 +243,7 @@ def borderline_smote(df: DataFrame, label: str, id_col: str = "id", features: Se
     if kind == "borderline-2":
         others = allv.filter(F.col("y") != F.lit(mn)).select("id", "vec")
         nn_maj = knn_join(seeds, others, k_neighbors, exclude_self=False)
+        partners = stage_table(partners)
         kmin = partners.agg(F.max("rank")).first()[0] or 0
         pm = nn_maj.join(others.select(F.col("id").alias("nid"), F.col("vec").alias("pvec")), "nid") \
             .select("qid", (F.col("rank") + F.lit(kmin)).alias("rank"), "pvec", F.lit(0.5).alias("u_max"))
@@ -261,13 +263,13 @@ def adasyn(df: DataFrame, label: str, id_col: str = "id", features: Sequence[str
     g = n_synthetic(counts, mn, mj, sampling_strategy)
     if g == 0:
         return df
-    allv = df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
-                     F.array(*[q(c).cast("double") for c in feats]).alias("vec"))
+    allv = stage_table(df.select(q(id_col).cast("long").alias("id"), q(label).alias("y"),
+                                 F.array(*[q(c).cast("double") for c in feats]).alias("vec")))
     minority = allv.filter(F.col("y") == F.lit(mn)).select("id", "vec")
     nmin, n = counts[mn], sum(counts.values())
     nn_all = knn_join(minority, allv, n_neighbors, q_count=nmin, b_count=n)
-    r = (nn_all.join(allv.select(F.col("id").alias("nid"), "y"), "nid")
-         .groupBy("qid").agg(F.avg((F.col("y") != F.lit(mn)).cast("double")).alias("r")))
+    r = stage_table(nn_all.join(allv.select(F.col("id").alias("nid"), "y"), "nid")
+                    .groupBy("qid").agg(F.avg((F.col("y") != F.lit(mn)).cast("double")).alias("r")))
     tot = r.agg(F.sum("r")).first()[0] or 0.0
     if tot == 0:
         return df
