@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from .kinds import q
 from .prefix import running_totals
 
@@ -50,7 +51,7 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     g = (df.filter(q(score).isNotNull() & y.isNotNull())
          .groupBy(q(score).cast("double").alias("s"))
          .agg(F.sum((y == 1).cast("long")).alias("pos"), F.sum((y == 0).cast("long")).alias("neg")))
-    r = running_totals(g, ["s"], ["neg"])
+    r = running_totals(stage_table(g), ["s"], ["neg"])  # scores are computed once, a range shuffle reads twice
     below = F.col("cum_neg") - F.col("neg")
     part = r.agg(F.sum(F.col("pos") * (below + F.col("neg") * 0.5)).alias("num"),
                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))

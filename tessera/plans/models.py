@@ -25,7 +25,7 @@ from ..functions.prefix import running_totals
 from ..functions.stats import medians
 from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops, filled_sql
 from ..operators.split import fold_column, hash_key
-from ..session import concurrently, cut_lineage
+from ..session import concurrently, cut_lineage, stage_table
 
 FEATURES = "features"
 WATCHED = "is_watched"  # validation rows of a boosted fit
@@ -232,7 +232,7 @@ def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str
     y = q(label).cast("int")
     g = (df.groupBy(*groups, q(score).cast("double").alias("s"))
          .agg(F.sum((y == 1).cast("long")).alias("pos"), F.sum((y == 0).cast("long")).alias("neg")))
-    r = running_totals(g, [*groups, "s"], ["neg"])
+    r = running_totals(stage_table(g), [*groups, "s"], ["neg"])  # scores are computed once, a range shuffle reads twice
     base = r.groupBy(*groups).agg(F.min(F.col("cum_neg") - F.col("neg")).alias("base"))
     r = r.join(base, list(groups))
     below = F.col("cum_neg") - F.col("neg") - F.col("base")
