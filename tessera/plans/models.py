@@ -46,14 +46,23 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
-#: Tree learners run a job per level; a task of such a job gets up to this many rows.
+#: Tree learners run a job per level; a task of such a job gets at least so many rows where the
+#: table has them, and more than so many only when every core has a task.
 ROWS_PER_TASK = 20_000
+MOST_ROWS_PER_TASK = 1_000_000
+
+
+def _fit_parts(n: int, cores: int) -> int:
+    """Partitions of a fit.  Every task of a level sends statistics of all nodes, whatever its rows:
+    more tasks than cores only add to what is shuffled."""
+    return max(1, min(-(-n // ROWS_PER_TASK), max(cores, -(-n // MOST_ROWS_PER_TASK))))
 
 
 def _fit(estimator, df: DataFrame, n_rows: int | None = None):
-    """Fit on no more partitions than the rows fill (never on more than ``df`` has)."""
+    """Fit on as many partitions as the rows fill, up to one a core."""
     n = df.count() if n_rows is None else n_rows
-    return estimator.fit(df.coalesce(max(1, -(-n // ROWS_PER_TASK))))
+    parts = _fit_parts(n, df.sparkSession.sparkContext.defaultParallelism)
+    return estimator.fit(df.coalesce(parts) if parts <= df.rdd.getNumPartitions() else df.repartition(parts))
 
 
 # ----------------------------------------------------------------------------- ML1-ML6
@@ -67,9 +76,10 @@ def logistic(label: str, features: Sequence[str], n_rows: int | None = None, C:
 
 def random_forest(label: str, features: Sequence[str], num_trees: int = 100, max_depth: int = 10,
                   seed: int = 42, weighted: bool = True, min_leaf: int = 2, n_rows: int | None = None, **overrides):
-    """ML2 — 100 trees, depth 10, at least 2 rows per leaf, balanced weights."""
+    """ML2 — 100 trees, depth 10, at least 2 rows per leaf, balanced weights.  Rows keep the ids of
+    their nodes: without, each level's tasks get a copy of all trees grown so far."""
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                minInstancesPerNode=min_leaf, seed=seed, **({"weightCol": "weight"} if weighted else {}))
+                                minInstancesPerNode=min_leaf, seed=seed, cacheNodeIds=True, **({"weightCol": "weight"} if weighted else {}))
     return Pipeline(stages=[_assembler(features), _with(rf, overrides)])
 
 
