@@ -15,13 +15,18 @@ order is the order of these hashes; it is cut into contiguous **fragments**.
   filter).  ``Levels`` cuts as many spare fragments as make thin sets rare.  H depends on the
   size class; a set of class c writes keys for the levels c and c - 1, the only ones at which a
   link can be.  No n-gram frequency and no cap is needed.
-* **Counting.**  Each pair's overlap is counted per vertical fragment (``SEGMENTS`` of them)
+* **Screening.**  Most candidates share a fragment of one or two common n-grams and nothing else.
+  Each set therefore has a sketch, the parities of its hashes in as many bits as it has n-grams:
+  two sketches differ in no more bits than the sets in n-grams, so more than H bits prove that
+  there is no link.  Only sketches, 1/64 of a set or 1/32, move for the pairs that fail.
+* **Counting.**  Each other pair's overlap is counted per vertical fragment (``SEGMENTS`` of them)
   and the partial counts are summed per pair.
 * **No all-pairs output.**  Within a key group only star pairs are tried first: the member
   with the most support (the likely original of a family) against the others.  Groups that
-  the links found so far already join need nothing more.  What is left is checked block by
-  block (``BLOCK`` sets a side): partial overlaps as one matrix per fragment, summed; a block
-  returns only the links that join parts not yet joined, never its pairs.
+  the links found so far already join need nothing more.  What is left is screened block by
+  block (``SCREEN`` sets a side), which leaves small clusters; these are checked block by
+  block (``BLOCK`` sets a side): partial overlaps as one matrix per fragment, summed.  A block
+  returns only the pairs that join parts not yet joined, never all its pairs.
 * Components come from large-star/small-star on the links.
 
 Null, empty and word-free texts have an empty set and link with nothing.  Rows with equal ids
@@ -40,12 +45,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.components import connected_components
-from ..session import ship_package, stage_table
-from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap
+from ..session import free, ship_package, stage_table
+from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap, only_marked
 from .textnum import Words, blocks, gram_hashes, mix, release, space_words
 
 SEGMENTS = 8
 BLOCK = 512
+SCREEN = 2048
 
 
 class Sets:
@@ -173,8 +179,67 @@ def _sums(tok: np.ndarray, first: np.ndarray, salts) -> list[np.ndarray]:
     return out
 
 
+def _sketch(tok: np.ndarray) -> bytes:
+    """Parities of the hashes of one set, in the next power of two of its size (64 bits at least)."""
+    m = 1 << max(6, (len(tok) - 1).bit_length())
+    odd = np.bincount((tok & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (a row each) in fewer words: the parities of the hashes in so many bits."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+def _differing(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Bits in which the sketches of each pair differ, at the smaller one's width."""
+    out = np.zeros(len(left), np.int64)
+    wide = left.str.len().to_numpy(), right.str.len().to_numpy()
+    for a, b in set(zip(*wide)):
+        at = np.flatnonzero((wide[0] == a) & (wide[1] == b))
+        x, y = (_folded(np.frombuffer(b"".join(s.iloc[at]), np.uint64).reshape(len(at), -1), min(a, b) // 8) for s in (left, right))
+        out[at] = np.bitwise_count(x ^ y).sum(axis=1)
+    return pd.Series(out)
+
+
+def _screened(num: int, den: int):
+    """applyInPandas over one pair of blocks: pairs that may be links, as many as join what they join."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["vid", "side"])
+        vids, name = np.unique(pdf.vid.to_numpy(), return_inverse=True)
+        part, side, width = np.arange(len(vids)), pdf.side.to_numpy(), pdf.sketch.str.len().to_numpy()
+        size, comp = pdf.n.to_numpy(), pdf.comp.to_numpy()
+        out = []
+        for a in np.unique(width[side == 0]):
+            for b in np.unique(width[side == 1]):
+                left, right = np.flatnonzero((side == 0) & (width == a)), np.flatnonzero((side == 1) & (width == b))
+                if max(size[left].min(), size[right].min()) * num > min(size[left].max(), size[right].max()) * den:
+                    continue
+                x, y = (_folded(np.frombuffer(b"".join(pdf.sketch.iloc[at]), np.uint64).reshape(len(at), -1), min(a, b) // 8)
+                        for at in (left, right))
+                for s in range(0, len(left), 64):
+                    some = left[s:s + 64]
+                    bits = np.zeros((len(some), len(right)), np.int64)
+                    for w in range(x.shape[1]):
+                        bits += np.bitwise_count(x[s:s + 64, w, None] ^ y[None, :, w])
+                    both = size[some][:, None] + size[right][None, :]
+                    ok = (bits * (den + num) <= both * (den - num)) & (comp[some][:, None] != comp[right][None, :])
+                    for i in np.flatnonzero(ok.any(axis=1)):
+                        me, others = name[some[i]], name[right[ok[i]]]
+                        for p, j in zip(*np.unique(part[others], return_index=True)):
+                            if p != part[me]:
+                                part[part == p] = part[me]
+                                out.append((vids[me], vids[others[j]]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return run
+
+
 def _tokens(shared, n: int):
-    """The sets of the texts whose signature is in the bitmap, cut into vertical segments."""
+    """The sets of the texts whose signature is in the bitmap, cut into vertical segments, and
+    their sketches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         sets, bitmap = Sets(n), shared.value
@@ -185,15 +250,17 @@ def _tokens(shared, n: int):
                 s1, s2 = _sums(tok, first, (3, 4))
                 want = np.flatnonzero((np.diff(first) > 0) & in_bitmap(bitmap, s1))
                 seg = (tok >> np.uint64(32)) * np.uint64(SEGMENTS) >> np.uint64(32)
-                cells, rows = [], []
+                cells, rows, sketches = [], [], []
                 for d in want:
                     t = tok[first[d]:first[d + 1]].view(np.int64)
+                    sketches.append(_sketch(tok[first[d]:first[d + 1]]))
                     cut = np.searchsorted(seg[first[d]:first[d + 1]], np.arange(SEGMENTS + 1))
                     rows.append([t[a:b] for a, b in zip(cut[:-1], cut[1:])])
                     cells.append(d)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s1[cells].view(np.int64)), pa.array(s2[cells].view(np.int64)),
-                     pa.array([[x.tolist() for x in r] for r in rows], pa.list_(pa.list_(pa.int64())))], ["s1", "s2", "segments"])
+                     pa.array([[x.tolist() for x in r] for r in rows], pa.list_(pa.list_(pa.int64()))), pa.array(sketches, pa.binary())],
+                    ["s1", "s2", "segments", "sketch"])
     return run
 
 
@@ -240,9 +307,40 @@ def _joined(num: int, den: int):
     return run
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The candidate pairs (a, b) whose sketches do not rule a link out."""
+    bits = F.pandas_udf(_differing, "long")
+    l = sets.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    r = sets.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    both = pairs.join(l, "a").join(r, "b").withColumn("bits", bits("x", "y"))
+    return both.filter(F.col("bits") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b")
+
+
+def _among(sets: DataFrame, vids: DataFrame) -> DataFrame:
+    """The sets of ``vids`` (and few others): a bitmap keeps the rest out of the shuffles."""
+    shared = sets.sparkSession.sparkContext.broadcast(make_bitmap(vids.select(F.xxhash64("vid").alias("term"))))
+    rows = sets.withColumn("__mark", F.xxhash64("vid"))
+    return rows.mapInArrow(only_marked(shared, True), rows.schema).drop("__mark")
+
+
+def _blocks(rest: DataFrame, block: int) -> DataFrame:
+    """(cluster, i, j, side, vid, n, comp): the members of each cluster in blocks, each pair of blocks once."""
+    sized = rest.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    rest = rest.join(sized, "cluster").withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")
+    sides = rest.select("*", other).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    i = F.when(F.col("side") == 0, F.col("part")).otherwise(F.col("o"))
+    j = F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("part"))
+    return sides.withColumns({"i": i, "j": j}).filter(F.col("i") <= F.col("j")).select("cluster", "i", "j", "side", "vid", "n", "comp")
+
+
+def _clusters(edges: DataFrame) -> DataFrame:
+    return connected_components(edges).select(F.col("id").alias("vid"), F.col("component").alias("cluster"))
+
+
 def _counted(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) among candidate pairs: partial overlaps per fragment, summed per pair."""
-    cut = sets.select("vid", "n", F.posexplode("segments").alias("seg", "t"))
+    cut = _among(sets, pairs.select(F.explode(F.array("a", "b")).alias("vid"))).select("vid", "n", F.posexplode("segments").alias("seg", "t"))
     l = cut.select(F.col("vid").alias("a"), F.col("n").alias("na"), "seg", F.col("t").alias("ta"))
     r = cut.select(F.col("vid").alias("b"), F.col("n").alias("nb"), "seg", F.col("t").alias("tb"))
     part = pairs.join(l, "a").join(r, ["b", "seg"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("c"))
@@ -277,9 +375,9 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
 
     want = members.select("vid").distinct().join(vertex, "vid")
     shared_sigs = spark.sparkContext.broadcast(make_bitmap(want.select(F.col("s1").alias("term"))))
-    sets = (text.mapInArrow(_tokens(shared_sigs, n), "s1 long, s2 long, segments array<array<long>>")
-            .groupBy("s1", "s2").agg(F.first("segments").alias("segments")))
-    sets = stage_table(want.select("vid", "n", "s1", "s2").join(sets, ["s1", "s2"]).select("vid", "n", "segments"))
+    sets = (text.mapInArrow(_tokens(shared_sigs, n), "s1 long, s2 long, segments array<array<long>>, sketch binary")
+            .groupBy("s1", "s2").agg(F.first(F.struct("segments", "sketch")).alias("set")))
+    sets = stage_table(want.select("vid", "n", "s1", "s2").join(sets, ["s1", "s2"]).select("vid", "n", "set.segments", "set.sketch"))
 
     links = None
     tried = members.limit(0).select("key", F.col("vid").alias("hub"))
@@ -292,7 +390,7 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
         near = (F.greatest("n", "hn") * num) <= (F.least("n", "hn") * den)
         pairs = (members.join(hub, "key").filter((F.col("comp") != F.col("hc")) & near)
                  .select(F.col("hub").alias("a"), F.col("vid").alias("b")).distinct())
-        found = _counted(pairs, sets, num, den)
+        found = _counted(stage_table(_possible(pairs, sets, num, den)), sets, num, den)
         links = stage_table(found if links is None else links.unionAll(found))
         tried = hub.select("key", "hub")
         members = stage_table(_labelled(members, links))
@@ -300,18 +398,15 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
     # groups still in parts: clusters of them, block against block
     open_ = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("vid").alias("anchor")).filter("x != y")
     rest = stage_table(members.join(open_.select("key", "anchor"), "key").select("vid", "n", "comp", "anchor").distinct())
-    cluster = connected_components(rest.select(F.col("vid").alias("a"), F.col("anchor").alias("b"))).select(F.col("id").alias("vid"), F.col("component").alias("cluster"))
-    rest = rest.select("vid", "n", "comp").distinct().join(cluster, "vid")
-    sized = rest.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    rest = rest.join(sized, "cluster").withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")
-    sides = rest.select("*", other).select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
-    i = F.when(F.col("side") == 0, F.col("part")).otherwise(F.col("o"))
-    j = F.when(F.col("side") == 0, F.col("o")).otherwise(F.col("part"))
-    sides = sides.withColumns({"i": i, "j": j}).filter(F.col("i") <= F.col("j")).select("cluster", "i", "j", "side", "vid", "n", "comp")
-    more = (sides.join(sets.select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
+    parts = rest.select("vid", "n", "comp").distinct()
+    screen = _blocks(parts.join(_clusters(rest.select(F.col("vid").alias("a"), F.col("anchor").alias("b"))), "vid"), SCREEN)
+    maybe = stage_table(screen.join(sets.select("vid", "sketch"), "vid").groupBy("cluster", "i", "j")
+                        .applyInPandas(_screened(num, den), "a long, b long"))
+    small = stage_table(_blocks(parts.join(_clusters(maybe), "vid"), BLOCK))
+    more = (small.join(_among(sets, small.select("vid")).select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
             .applyInPandas(_joined(num, den), "a long, b long"))
     links = stage_table(links.unionAll(more))
+    free(sets, members, several)
 
     comp = connected_components(links).select(F.col("id").alias("vid"), "component")
     whole = vertex.join(comp, "vid", "left").withColumn("component", F.coalesce("component", "vid"))
