@@ -1,8 +1,9 @@
 """Lossless row filters of fixed size.
 
-A set of 64-bit hashes becomes a bitmap of a fixed number of bits (one bit a hash).  It can be
-broadcast whatever the set's size; a false positive lets a row through to an exact join, and
-no member is ever missed.  ``drop_rows`` uses one to take rows out of a table of texts without
+A set of 64-bit hashes becomes a bitmap (one bit a hash) of a bounded number of bits, fewer for
+small sets.  It can be broadcast whatever the set's size; a false positive lets a row through to
+an exact join, and no member is ever missed.  A broadcast lies on the disk of the driver and of
+each executor until it is destroyed.  ``drop_rows`` uses one to take rows out of a table of texts without
 shuffling the texts that stay.
 """
 
@@ -18,19 +19,31 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 
 FILTER_BITS = 26
+#: Bits for each bit that is set; a bitmap has fewer only at its full size.
+SPARE = 256
 LEAST_ID = -(1 << 63)
 
 
 def make_bitmap(terms: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """Bitmap of 2^bits bits with the bit of each long in the column ``term`` set; at most
-    2^bits / 64 rows reach the driver."""
+    """Bitmap of 2^bits bits, or fewer for small sets, with the bit of each long in the column
+    ``term`` set; at most 2^bits / 64 rows reach the driver."""
     slot = F.col("term").bitwiseAND(F.lit((1 << bits) - 1))
     word = (terms.select(F.shiftright(slot, 6).alias("w"), F.expr("shiftleft(1L, cast(term & 63 as int))").alias("b"))
             .groupBy("w").agg(F.bit_or("b").alias("b")))
     got = word.toArrow()
     out = np.zeros((1 << bits) // 64, np.uint64)
     out[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
-    return out
+    return _fitted(out)
+
+
+def _fitted(bitmap: np.ndarray) -> np.ndarray:
+    """The bitmap in as few bits as leave SPARE for each that is set: a hash's place in half as
+    many bits is its place without the highest bit, so halves are laid over each other."""
+    most = SPARE * int(np.bitwise_count(bitmap).sum())
+    while len(bitmap) > 1 and len(bitmap) * 32 >= most:
+        half = len(bitmap) // 2
+        bitmap = bitmap[:half] | bitmap[half:]
+    return bitmap
 
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dictionary import top_k_per_group
-from ..session import ship_package, stage_table
+from ..session import forget, ship_package, stage_table
 from .bitmap import in_bitmap, make_bitmap
 from .textnum import blocks, lists, mix, odd_constants
 
@@ -258,13 +258,14 @@ def collocations(documents: DataFrame, *, max_words: int = 3, min_count: int = 1
     text, lang = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und"))
     rows = documents.select(F.xxhash64(F.col(f"`{id_col}`").cast("string"), lang, text).alias("mark"), F.xxhash64(lang).alias("lang_hash"), lang.alias("lang"), text.alias("text"))
 
-    counts, known = [], None
+    counts, known, shared = [], None, []
     for n in range(1, max_words + 1):
         seen = rows.drop("lang").mapInArrow(_counted(n, known, bits), "key long, n long, low int, high int, mark long")
         total = seen.groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("mark").alias("mark"))
         counts.append(stage_table(total.filter(F.col("n") >= min_count)))
         if n < max_words:
             known = spark.sparkContext.broadcast(make_bitmap(counts[-1].select(F.col("key").alias("term"))))
+            shared.append(known)
     frequent = reduce(DataFrame.unionAll, counts)
     # keys of one length and of different lengths may meet
     mixed = stage_table(frequent.groupBy("key").agg(F.count(F.lit(1)).alias("lengths"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -274,18 +275,21 @@ def collocations(documents: DataFrame, *, max_words: int = 3, min_count: int = 1
     wanted = reduce(DataFrame.unionAll, counts[1:])
     wanted = clean.join(wanted.select("key"), "key", "left_semi")
     pointed = spark.sparkContext.broadcast(make_bitmap(wanted.select(F.col("mark").alias("term"))))
+    shared.append(pointed)
     named = rows.mapInArrow(_pointed(pointed), rows.schema).join(wanted.groupBy("mark").agg(F.collect_list("key").alias("wanted")), "mark")
     phrases = (named.select("text", "lang", "lang_hash", "wanted").mapInArrow(_read(max_words, bits), PHRASES).dropDuplicates(["key"]).drop("n")
                .join(clean.select("key", "n", F.col("low")), "key").filter("check = low").drop("low"))
     by_key = clean.select("key", F.col("low").cast("long").alias("check"), F.lit(None).cast("string").alias("phrase"), "n")
     if not mixed.isEmpty():
-        shared = spark.sparkContext.broadcast(make_bitmap(mixed.select(F.col("key").alias("term"))))
+        met = spark.sparkContext.broadcast(make_bitmap(mixed.select(F.col("key").alias("term"))))
+        shared.append(met)
         first = [F.first(c).alias(c) for c in ("check", "left_key", "left_check", "right_key", "right_check")]
-        apart = stage_table(rows.mapInArrow(_by_text(max_words, shared, bits), PHRASES).join(mixed, "key", "left_semi")
+        apart = stage_table(rows.mapInArrow(_by_text(max_words, met, bits), PHRASES).join(mixed, "key", "left_semi")
                             .groupBy("key", "lang", "phrase", "words").agg(F.sum("n").alias("n"), *first).filter(F.col("n") >= min_count))
         phrases = phrases.unionByName(apart.filter("words > 1"))
         by_key = by_key.unionAll(apart.select("key", F.col("check").cast("long"), "phrase", "n"))
     phrases, by_key = stage_table(phrases), stage_table(by_key)
+    forget(*shared)
     return _ranked(phrases, by_key, counts[0], max_words, inside, best)
 
 

@@ -2,7 +2,7 @@
 
 * **Index.**  One pass over the whole texts stores, per training document, the postings
   (term, position) of the terms that the test items use.  Terms reach the tasks as a bitmap
-  of fixed size (``2**FILTER_BITS`` bits, 8 MB; see ``bitmap``), whatever the size of the benchmark: false
+  of bounded size (at most ``2**FILTER_BITS`` bits, 8 MB; see ``bitmap``), whatever the size of the benchmark: false
   positives only add postings.  For exact phrases a posting matters only inside a run of at
   least ``shortest window`` indexed terms, so all others are left out (lossless).
 * **Search.**  For every window of an item the rarest term (by its postings) gives the
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_package, stage_table
+from ..session import forget, ship_package, stage_table
 from .bitmap import drop_rows, identified, in_bitmap, make_bitmap
 from .textnum import Words, alnum_words, blocks, docs, lists, release
 
@@ -89,7 +89,9 @@ def positional_index(documents: DataFrame, terms: DataFrame, least: int = 1, id_
     shared = spark.sparkContext.broadcast(make_bitmap(terms))
     rows = identified(documents, id_col, text_col).mapInArrow(
         _postings(shared, least), "id long, th long, n_words long, terms array<long>, places array<int>")
-    return stage_table(rows.withColumn("uid", F.monotonically_increasing_id()))
+    index = stage_table(rows.withColumn("uid", F.monotonically_increasing_id()))
+    forget(shared)
+    return index
 
 
 def phrase_matches(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:

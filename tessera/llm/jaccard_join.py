@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.components import connected_components
-from ..session import free, ship_package, stage_table
+from ..session import forget, free, ship_package, stage_table
 from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap, only_marked
 from .textnum import Words, blocks, gram_hashes, mix, release, space_words
 
@@ -316,9 +316,11 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.filter(F.col("bits") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b")
 
 
-def _among(sets: DataFrame, vids: DataFrame) -> DataFrame:
-    """The sets of ``vids`` (and few others): a bitmap keeps the rest out of the shuffles."""
+def _among(sets: DataFrame, vids: DataFrame, used: list) -> DataFrame:
+    """The sets of ``vids`` (and few others): a bitmap keeps the rest out of the shuffles.  Its
+    broadcast is added to ``used``."""
     shared = sets.sparkSession.sparkContext.broadcast(make_bitmap(vids.select(F.xxhash64("vid").alias("term"))))
+    used.append(shared)
     rows = sets.withColumn("__mark", F.xxhash64("vid"))
     return rows.mapInArrow(only_marked(shared, True), rows.schema).drop("__mark")
 
@@ -338,9 +340,9 @@ def _clusters(edges: DataFrame) -> DataFrame:
     return connected_components(edges).select(F.col("id").alias("vid"), F.col("component").alias("cluster"))
 
 
-def _counted(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _counted(pairs: DataFrame, sets: DataFrame, num: int, den: int, used: list) -> DataFrame:
     """Links (a, b) among candidate pairs: partial overlaps per fragment, summed per pair."""
-    cut = _among(sets, pairs.select(F.explode(F.array("a", "b")).alias("vid"))).select("vid", "n", F.posexplode("segments").alias("seg", "t"))
+    cut = _among(sets, pairs.select(F.explode(F.array("a", "b")).alias("vid")), used).select("vid", "n", F.posexplode("segments").alias("seg", "t"))
     l = cut.select(F.col("vid").alias("a"), F.col("n").alias("na"), "seg", F.col("t").alias("ta"))
     r = cut.select(F.col("vid").alias("b"), F.col("n").alias("nb"), "seg", F.col("t").alias("tb"))
     part = pairs.join(l, "a").join(r, ["b", "seg"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("c"))
@@ -367,19 +369,23 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
                           .agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x != y").select("key"))
     few = spark.sparkContext.broadcast(make_bitmap(several.select(F.col("key").alias("term"))))
     holders = text.mapInArrow(_keyed(n, num, den, few), "key long, s1 long, s2 long").distinct().join(several, "key", "left_semi")
-    members = stage_table(holders.join(vertex.select("s1", "s2", "vid", "n"), ["s1", "s2"]).select("key", "vid", "n"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = stage_table(members.join(shared, "key"))
-    support = members.groupBy("vid").agg(F.sum("members").alias("support"))
-    members = stage_table(members.join(support, "vid").withColumn("comp", F.col("vid")))
+    holders = stage_table(holders.join(vertex.select("s1", "s2", "vid", "n"), ["s1", "s2"]).select("key", "vid", "n"))
+    free(several)
+    forget(few)
+    shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    grouped = stage_table(holders.join(shared, "key"))
+    support = grouped.groupBy("vid").agg(F.sum("members").alias("support"))
+    members = stage_table(grouped.join(support, "vid").withColumn("comp", F.col("vid")))
+    free(holders, grouped)
 
     want = members.select("vid").distinct().join(vertex, "vid")
     shared_sigs = spark.sparkContext.broadcast(make_bitmap(want.select(F.col("s1").alias("term"))))
     sets = (text.mapInArrow(_tokens(shared_sigs, n), "s1 long, s2 long, segments array<array<long>>, sketch binary")
             .groupBy("s1", "s2").agg(F.first(F.struct("segments", "sketch")).alias("set")))
     sets = stage_table(want.select("vid", "n", "s1", "s2").join(sets, ["s1", "s2"]).select("vid", "n", "set.segments", "set.sketch"))
+    forget(shared_sigs)
 
-    links = None
+    links, done, used = None, [], []  # ``tried`` still reads the members of the round before
     tried = members.limit(0).select("key", F.col("vid").alias("hub"))
     for _ in range(2):
         # the best supported member not yet tried, of each group with unjoined parts, against the rest
@@ -390,10 +396,14 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
         near = (F.greatest("n", "hn") * num) <= (F.least("n", "hn") * den)
         pairs = (members.join(hub, "key").filter((F.col("comp") != F.col("hc")) & near)
                  .select(F.col("hub").alias("a"), F.col("vid").alias("b")).distinct())
-        found = _counted(stage_table(_possible(pairs, sets, num, den)), sets, num, den)
-        links = stage_table(found if links is None else links.unionAll(found))
+        pairs = stage_table(_possible(pairs, sets, num, den))
+        found = _counted(pairs, sets, num, den, used)
+        before, links = links, stage_table(found if links is None else links.unionAll(found))
+        free(pairs, *([before] if before is not None else []))
         tried = hub.select("key", "hub")
+        done.append(members)
         members = stage_table(_labelled(members, links))
+    free(*done)
 
     # groups still in parts: clusters of them, block against block
     open_ = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("vid").alias("anchor")).filter("x != y")
@@ -403,10 +413,11 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
     maybe = stage_table(screen.join(sets.select("vid", "sketch"), "vid").groupBy("cluster", "i", "j")
                         .applyInPandas(_screened(num, den), "a long, b long"))
     small = stage_table(_blocks(parts.join(_clusters(maybe), "vid"), BLOCK))
-    more = (small.join(_among(sets, small.select("vid")).select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
+    more = (small.join(_among(sets, small.select("vid"), used).select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
             .applyInPandas(_joined(num, den), "a long, b long"))
-    links = stage_table(links.unionAll(more))
-    free(sets, members, several)
+    before, links = links, stage_table(links.unionAll(more))
+    free(sets, members, rest, maybe, small, before)
+    forget(*used)
 
     comp = connected_components(links).select(F.col("id").alias("vid"), "component")
     whole = vertex.join(comp, "vid", "left").withColumn("component", F.coalesce("component", "vid"))

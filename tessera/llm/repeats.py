@@ -9,8 +9,8 @@ one shard without shipping all suffixes:
    a counting pass without shuffle, at most ``stretches per text / HOT`` of them) are passed
    over where a window has another, so a common line does not become a hot key.
 2. **Candidates.**  Keys are counted (summed per block of text before the shuffle); keys seen
-   once cannot hold a repeat.  The others go back to the tasks as a bitmap of fixed size
-   (``2**FILTER_BITS`` bits, 16 MB): a false positive costs a row, never a result.
+   once cannot hold a repeat.  The others go back to the tasks as a bitmap of bounded size
+   (at most ``2**FILTER_BITS`` bits, 16 MB): a false positive costs a row, never a result.
 3. **Contents.**  Candidate stretches are stored (hashes and places only).  Equal contents
    collapse (map-side) to their earliest occurrence.  A window that holds its key's m-gram
    also holds one of the two half windows beside it, so only contents that share a half
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package, stage_table
+from ..session import forget, free, ship_package, stage_table
 from .bitmap import LEAST_ID, identified, in_bitmap, make_bitmap, marked, only_marked
 from .textnum import Words, blocks, lists, mix, odd_constants, release, space_words
 
@@ -426,8 +426,11 @@ def repeated_ranges(documents: DataFrame, spec: Spec, repeated: Callable[[Shard]
     hits = (found.select("id", "th", "key", "c", "start", "n").join(kept, ["key", "c"])
             .select("id", "th", "start", F.explode(runs).alias("r"))
             .select("id", "th", F.struct((F.col("start") + F.col("r.offs")).alias("a"), (F.col("start") + F.col("r.offs") + F.col("r.lens") + (spec.window - 1)).alias("b")).alias("x")))
-    return stage_table(hits.groupBy("id", "th").agg(F.array_sort(F.collect_list("x")).alias("ranges"))
-                       .select("id", "th", F.transform("ranges", lambda x: x["a"]).alias("froms"), F.transform("ranges", lambda x: x["b"]).alias("tos")))
+    ranges = stage_table(hits.groupBy("id", "th").agg(F.array_sort(F.collect_list("x")).alias("ranges"))
+                         .select("id", "th", F.transform("ranges", lambda x: x["a"]).alias("froms"), F.transform("ranges", lambda x: x["b"]).alias("tos")))
+    free(found)
+    forget(hot, bitmap, halves)
+    return ranges
 
 
 def united(froms: np.ndarray, tos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
