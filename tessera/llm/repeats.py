@@ -175,11 +175,12 @@ class Scanner:
         power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(count.max()), self.factors[40])]))
         return mix(np.add.reduceat(self.window_hashes(grams, within + np.repeat(start, count)) * power[within], first) + count.astype(np.uint64))
 
-    def stretches(self, sym: np.ndarray, offs: np.ndarray, keep=None, recurring: bool = False, every: bool = False) -> tuple[np.ndarray, ...]:
+    def stretches(self, sym: np.ndarray, offs: np.ndarray, keep=None, recurring: bool = False, every: bool = False, live=None) -> tuple[np.ndarray, ...]:
         """(first window, windows, key, text) of every stretch; windows by their first symbol.
         ``recurring`` adds: does the key recur in it.  With ``keep`` (a test of keys) only those
         that pass, and also the hashes of the half windows before and after the first place of the key
-        and of the content.  ``every`` adds to these: the number of hashes of half windows around
+        and of the content.  ``live`` (a test of keys, recurrences and these two hashes) picks once more
+        before contents are hashed.  ``every`` adds to these: the number of hashes of half windows around
         its further places, and these hashes, one stretch after another."""
         w = self.spec.window
         n = len(sym) - w + 1
@@ -192,7 +193,7 @@ class Scanner:
             parts = []
             for a in range(0, n, PIECE):
                 cut = np.clip(offs, a, min(len(sym), a + PIECE + w - 1)) - a
-                found = self.stretches(sym[a:a + PIECE + w - 1], cut, keep, recurring, every)
+                found = self.stretches(sym[a:a + PIECE + w - 1], cut, keep, recurring, every, live)
                 parts.append((found[0] + a, *found[1:]))
             return tuple(np.concatenate(x) for x in zip(*parts))
         grams = self._grams(sym)
@@ -221,7 +222,11 @@ class Scanner:
             return start, count, key, text, some[:0], key, key, key, *(count, key)[:2 * every]
         at, i, recurs = self._anchors(grams, least, start, count, key)
         more = self._further(grams, start, count, key, at, i, recurs) if every else ()
-        return start, count, key, text, recurs, *self.flanks(grams, start, count, at[i]), self.contents(grams, start, count), *more
+        found = (start, count, key, text, recurs, *self.flanks(grams, start, count, at[i]))
+        if live is not None:
+            some = live(key, recurs, *found[5:])
+            found = tuple(x[some] for x in found)
+        return *found, self.contents(grams, *found[:2]), *more
 
 
 def _summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -299,16 +304,17 @@ def _contents(spec: Spec, hot, bitmap, halves):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         scan, bits, half_bits = Scanner(spec, hot.value), bitmap.value, halves.value
+
+        def live(key: np.ndarray, recurs: np.ndarray, *flanks: np.ndarray) -> np.ndarray:
+            some = recurs.copy()
+            for x in flanks:
+                some |= (x != 0) & in_bitmap(half_bits, mix(x ^ key))
+            return some
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
             for lo, _, buf, offs in blocks(batch, most=BLOCK):
                 sym, at = scan.symbols(buf, offs)
-                found = scan.stretches(sym, at, lambda k: in_bitmap(bits, k))
-                key, recurs, before, after = found[2], found[4], found[5], found[6]
-                live = recurs.copy()
-                for x in (before, after):
-                    live |= (x != 0) & in_bitmap(half_bits, mix(x ^ key))
-                start, count, key, text, recurs, _, _, code = (x[live] for x in found)
+                start, count, key, text, recurs, _, _, code = scan.stretches(sym, at, lambda k: in_bitmap(bits, k), live=live)
                 raw = buf if spec.symbols == "bytes" else sym
                 _, once = np.unique(code, return_index=True)
                 send = np.zeros(len(code), bool)

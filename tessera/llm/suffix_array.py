@@ -11,10 +11,12 @@ one run per symbol; runs beyond ``ITEMS`` queued positions go to a temporary fil
 when their symbol is due.  Results are such runs too, and the text is a memory-mapped file when
 it is large, so a shard may exceed the memory of its task.  All suffixes of a run that are due
 together are induced by one numpy step.  Names of the recursion form large alphabets with runs
-of a few suffixes each; ``_induce_each`` does the same passes one suffix at a time there.
+of a few suffixes each, where such steps do nearly nothing: that text, half of the shard at
+most, is sorted by prefix doubling (``_doubled``), a sort of all suffixes not yet told apart a
+step.
 
-**Common prefixes.**  Equal windows are neighbours among the sorted window positions; the
-common prefix of neighbours is counted up to the window length.
+**Common prefixes.**  Equal windows are neighbours among the sorted window positions; neighbours
+are compared up to the window length, four symbols a step.
 
 A shard's contents are already distinct (``repeats`` collapses equal ones to their earliest
 occurrence), so copies in any number cost one content.
@@ -156,33 +158,29 @@ def _induce_runs(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, keys: int,
         q.close()
 
 
-def _induce_each(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, keys: int) -> np.ndarray:
-    """As ``_induce_runs``, one suffix at a time, for alphabets with small runs."""
+def _doubled(text: np.ndarray) -> np.ndarray:
+    """Positions of all suffixes in order, by prefix doubling, for alphabets with small runs.  A
+    suffix is ranked by the place of the last of those not yet told apart from it."""
     n = len(text)
-    size = np.bincount(text, minlength=keys)
-    ends = np.cumsum(size)
-    heads, tails = (ends - size).tolist(), ends.tolist()
-    t, s = text.tolist(), is_s.tolist()
-    out = [-1] * n
-    tail = list(tails)
-    for p in reversed(lms.tolist()):
-        tail[t[p]] -= 1
-        out[tail[t[p]]] = p
-    for i in range(n):
-        j = out[i] - 1
-        if j >= 0 and not s[j]:
-            c = t[j]
-            out[heads[c]] = j
-            heads[c] += 1
-    tail = list(tails)
-    for i in range(n - 1, -1, -1):
-        j = out[i] - 1
-        if j >= 0 and s[j]:
-            c = t[j]
-            tail[c] -= 1
-            out[tail[c]] = j
-    out[0] = n - 1
-    return np.array(out, np.int64)
+    order = np.argsort(text, kind="stable")
+    rank = np.empty(n, np.int64)
+    at, span, value = np.arange(n), 1, text[order].astype(np.int64)  # places in ``order`` still to settle, in groups of equal rank
+    while True:
+        new = np.ones(len(at), bool)
+        new[1:] = value[1:] != value[:-1]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(at)))
+        rank[order[at]] = at[np.repeat(first + size - 1, size)]
+        some = np.repeat(size > 1, size)
+        at = at[some]
+        if not len(at):
+            return order
+        who = order[at]
+        # the last symbol is the smallest and only one of its kind: no suffix in a group ends within span
+        pair = rank[who] * n + rank[who + span]
+        by = np.argsort(pair, kind="stable")
+        order[at], value = who[by], pair[by]
+        span *= 2
 
 
 def sorted_suffixes(text: np.ndarray, keys: int, items: int | None = None) -> Iterator[np.ndarray]:
@@ -191,16 +189,14 @@ def sorted_suffixes(text: np.ndarray, keys: int, items: int | None = None) -> It
     if len(text) == 1:
         yield np.array([0])
         return
+    if keys > WIDE:
+        yield _doubled(text)
+        return
     is_s = _types(text)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-
-    def induce(seeds: np.ndarray) -> Iterator[np.ndarray]:
-        if keys <= WIDE:
-            return _induce_runs(text, is_s, seeds, keys, items)
-        return iter([_induce_each(text, is_s, seeds, keys)])
     star = np.zeros(len(text), bool)
     star[lms] = True
-    some = np.concatenate([p[star[p]] for p in induce(lms[np.argsort(text[lms], kind="stable")])])
+    some = np.concatenate([p[star[p]] for p in _induce_runs(text, is_s, lms[np.argsort(text[lms], kind="stable")], keys, items)])
     # names of the LMS substrings (up to and with the next LMS): hashes, compared in order
     rank = np.zeros(len(text), np.int64)
     rank[lms] = np.arange(len(lms))
@@ -218,7 +214,7 @@ def sorted_suffixes(text: np.ndarray, keys: int, items: int | None = None) -> It
     count = int(name.max()) + 1
     if count < len(lms):
         some = lms[np.concatenate(list(sorted_suffixes(name, count, items)))]
-    yield from induce(some)
+    yield from _induce_runs(text, is_s, some, keys, items)
 
 
 def repeated_windows(shard: Shard) -> np.ndarray:
@@ -262,8 +258,9 @@ def _grouped(text: np.ndarray, at: np.ndarray, windows: np.ndarray, settle, last
         return windows
     pos = at[windows]
     same = np.arange(len(pos) - 1)
-    for k in range(SPEC.window):  # common prefixes, counted up to the window
-        same = same[text[pos[same] + k] == text[pos[same + 1] + k]]
+    word = np.ndarray((len(text) - 3,), np.uint64, text, strides=(2,))  # the four symbols from each place
+    for k in range(0, SPEC.window, 4):  # common prefixes, counted up to the window
+        same = same[word[pos[same] + k] == word[pos[same + 1] + k]]
         if not len(same):
             break
     joined = np.zeros(len(pos), bool)

@@ -67,6 +67,31 @@ def test_induced_sorting_is_a_suffix_sort(monkeypatch):
                 assert got.tolist() == sorted(range(n + 1), key=lambda i: x[i:])
 
 
+def test_names_are_sorted_by_few_vector_steps(monkeypatch):
+    """Large alphabets, random and with long repeats: as many sorts as the longest repeat has bits."""
+    rng = np.random.default_rng(2)
+    part = rng.integers(1, 9000, 1500)
+    for t in (rng.integers(1, 9000, 4000), np.tile(part, 3), np.tile([5, 7000], 1000), np.ones(900, np.int64)):
+        t, sorts = np.append(t, 0), []
+        with monkeypatch.context() as m:
+            m.setattr(suffix_array.np, "argsort", lambda *a, f=np.argsort, **k: sorts.append(1) or f(*a, **k))
+            got = suffix_array._doubled(t)
+        x = t.tolist()
+        assert got.tolist() == sorted(range(len(t)), key=lambda i: x[i:])
+        assert len(sorts) <= 2 + len(t).bit_length()
+
+
+def test_contents_are_hashed_for_picked_stretches_only():
+    scan = repeats.Scanner(suffix_array.SPEC)
+    buf = np.random.default_rng(3).integers(97, 123, 4000).astype(np.uint8)
+    sym, offs = scan.symbols(buf, np.array([0, 1500, 4000]))
+    whole = scan.stretches(sym, offs, lambda k: k % np.uint64(3) != 0)
+    picked = scan.stretches(sym, offs, lambda k: k % np.uint64(3) != 0, live=lambda k, recurs, before, after: k % np.uint64(2) == 0)
+    some = whole[2] % np.uint64(2) == 0
+    assert 0 < some.sum() < len(some)
+    assert all((a[some] == b).all() for a, b in zip(whole, picked))
+
+
 def test_queue_spills_and_keeps_the_order():
     q = suffix_array.RunQueue(3, 5)
     for i in range(10):
