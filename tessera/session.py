@@ -80,6 +80,16 @@ def stage_table(df: DataFrame) -> DataFrame:
     return out
 
 
+def stage_observed(df: DataFrame, *sums) -> tuple[DataFrame, dict]:
+    """``stage_table`` and the values of the aggregate columns ``sums`` over its rows, observed
+    while it is written: no query of its own."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    out = stage_table(df.observe(seen, *sums))
+    return out, seen.get
+
+
 def free(*tables: DataFrame) -> None:
     """Delete tables that ``stage_table`` wrote, once their last reader is done; other frames
     are left alone."""
