@@ -15,6 +15,10 @@ order is the order of these hashes; it is cut into contiguous **fragments**.
   filter).  ``Levels`` cuts as many spare fragments as make thin sets rare.  H depends on the
   size class; a set of class c writes keys for the levels c and c - 1, the only ones at which a
   link can be.  No n-gram frequency and no cap is needed.
+* **Rarest keys.**  A set with content in f fragments of a level shares at least f - H of their
+  keys with every set that it links with there, so by the prefix filter the two share one of
+  the H + 1 rarest of each (by number of sets, ties by key).  The others go: a common passage is
+  a key only of sets that have hardly any other, and groups are families, not neighbours by chance.
 * **Screening.**  Most candidates share a fragment of one or two common n-grams and nothing else.
   Each set therefore has a sketch, the parities of its hashes in as many bits as it has n-grams:
   two sketches differ in no more bits than the sets in n-grams, so more than H bits prove that
@@ -23,11 +27,13 @@ order is the order of these hashes; it is cut into contiguous **fragments**.
   and the partial counts are summed per pair.
 * **No all-pairs output.**  Within a key group only star pairs are tried first: the member
   with the most support (the likely original of a family) against the others.  Groups that
-  the links found so far already join need nothing more.  What is left is screened block by
-  block (``SCREEN`` sets a side), which leaves small clusters; these are checked block by
-  block (``BLOCK`` sets a side): partial overlaps as one matrix per fragment, summed.  A block
-  returns only the pairs that join parts not yet joined, never all its pairs.
-* Components come from large-star/small-star on the links.
+  the links found so far already join need nothing more.  Of the others, those of at most
+  ``SMALL`` sets are tried pair by pair, no more than ``SMALL`` / 2 pairs a member.  Larger ones
+  are screened block by block (``SCREEN`` sets a side), which leaves small clusters; these are
+  checked block by block (``BLOCK`` sets a side): partial overlaps as one matrix per fragment,
+  summed.  A block returns only the pairs that join parts not yet joined, never all its pairs.
+* Components come from large-star/small-star on the links; each round's on the parts that the
+  rounds before have joined.
 
 Null, empty and word-free texts have an empty set and link with nothing.  Rows with equal ids
 stay separate rows; ``component_id`` is the smallest id in the component.
@@ -41,17 +47,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.components import connected_components
-from ..session import forget, free, ship_package, stage_table
+from ..session import forget, free, ship_package, stage_observed, stage_table
 from .bitmap import LEAST_ID, drop_rows, identified, in_bitmap, make_bitmap, only_marked
 from .textnum import Words, blocks, gram_hashes, mix, release, space_words
 
 SEGMENTS = 8
 BLOCK = 512
 SCREEN = 2048
+SMALL = 64
 
 
 class Sets:
@@ -104,13 +111,15 @@ class Levels:
         self._extend(int(size.max()) + 1 if len(size) else 1)
         return np.searchsorted(np.array(self.high), size, "left")
 
-    def keys(self, own: np.ndarray, tok: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(set, key) of the keys of all sets."""
+    def keys(self, own: np.ndarray, tok: np.ndarray, size: np.ndarray, ranked: bool = False) -> tuple[np.ndarray, ...]:
+        """(set, key) of the keys of all sets; ``ranked`` adds the kind of each key (0 and 1:
+        fragments of the two levels, 2: n-grams) and how many of the set's rarest keys of that
+        kind are enough."""
         cls = self.of(size)
         most, cuts = np.array(self.most), np.array(self.cuts)
         first = np.concatenate([[0], np.cumsum(size)])
         head = size - -(-size * self.num // self.den) + 1
-        who, keys = [], []
+        who, keys, kinds, rooms = [], [], [], []
         for lower in (0, 1):
             level = np.maximum(cls - lower, 0)
             live = most[level] > 0  # without differences: equal sets only
@@ -129,7 +138,11 @@ class Levels:
             pick = thin[own] & (place < head[own])
             who.append(own[pick])
             keys.append(mix(tok[pick] + mix(salt[own[pick]] ^ np.uint64(9))))
-        return (np.concatenate(who), np.concatenate(keys)) if who else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            kinds += [np.full(len(holder), lower), np.full(len(who[-1]), 2)]
+            rooms += [most[level][holder] + 1, np.full(len(who[-1]), 1 << 40)]
+        if not who:
+            return (np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)[:2 + 2 * ranked]
+        return tuple(np.concatenate(x) for x in (who, keys, kinds, rooms)[:2 + 2 * ranked])
 
 
 def _signed(n: int):
@@ -150,7 +163,9 @@ def _signed(n: int):
 
 
 def _keyed(n: int, num: int, den: int, shared=None):
-    """(key, s1, s2) of every set; with a bitmap, of the keys that may be in it."""
+    """(key, s1) of every set.  With a bitmap of the keys of several sets: (key, s1, s2, kind,
+    room) of those that may be in it; ``room`` is what the set's other keys, which are rarer,
+    leave of the number that is enough, and keys without any go."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         sets, levels = Sets(n), Levels(num, den)
@@ -159,12 +174,18 @@ def _keyed(n: int, num: int, den: int, shared=None):
                 own, tok = sets(buf, offs)
                 size = np.bincount(own, minlength=hi - lo)
                 sigs = _sums(tok, np.concatenate([[0], np.cumsum(size)]), (3, 4))
-                who, key = levels.keys(own, tok, size)
-                if shared is not None:
-                    hit = in_bitmap(shared.value, key)
-                    who, key = who[hit], key[hit]
-                cols = [pa.array(key.view(np.int64)), pa.array(sigs[0].view(np.int64)[who])]
-                yield pa.RecordBatch.from_arrays(cols + ([pa.array(sigs[1].view(np.int64)[who])] if shared is not None else []), ["key", "s1", "s2"][:2 + (shared is not None)])
+                if shared is None:
+                    who, key = levels.keys(own, tok, size)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(sigs[0].view(np.int64)[who])], ["key", "s1"])
+                    continue
+                who, key, kind, room = levels.keys(own, tok, size, ranked=True)
+                hit = in_bitmap(shared.value, key)
+                cell = who * 3 + kind
+                room = np.where(kind < 2, room - np.bincount(cell[~hit], minlength=3 * (hi - lo))[cell], room)
+                hit &= room > 0
+                who = who[hit]
+                cols = [key[hit].view(np.int64), sigs[0].view(np.int64)[who], sigs[1].view(np.int64)[who], kind[hit].astype(np.int32), room[hit]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["key", "s1", "s2", "kind", "room"])
     return run
 
 
@@ -265,7 +286,7 @@ def _tokens(shared, n: int):
 
 
 def _joined(num: int, den: int):
-    """applyInPandas over one pair of blocks: the links that join parts not yet joined."""
+    """applyInPandas over one pair of blocks: the parts not yet joined that links join."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["vid", "side"])
         left, right = pdf[pdf.side == 0].reset_index(drop=True), pdf[pdf.side == 1].reset_index(drop=True)
@@ -297,23 +318,23 @@ def _joined(num: int, den: int):
                 part[x] = x = part[part[x]]
             return x
         out = []
-        va, vb, ca, cb = left.vid.tolist(), right.vid.tolist(), left.comp.tolist(), right.comp.tolist()
+        ca, cb = left.comp.tolist(), right.comp.tolist()
         for i, j in zip(ia.tolist(), ib.tolist()):
             x, y = root(ca[i]), root(cb[j])
             if x != y:
                 part[x] = y
-                out.append((va[i], vb[j]))
+                out.append((ca[i], cb[j]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
     return run
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The candidate pairs (a, b) whose sketches do not rule a link out."""
+    """The candidate pairs (a, b, ca, cb) whose sketches do not rule a link out."""
     bits = F.pandas_udf(_differing, "long")
     l = sets.select(F.col("vid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
     r = sets.select(F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
     both = pairs.join(l, "a").join(r, "b").withColumn("bits", bits("x", "y"))
-    return both.filter(F.col("bits") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b")
+    return both.filter(F.col("bits") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b", "ca", "cb")
 
 
 def _among(sets: DataFrame, vids: DataFrame, used: list) -> DataFrame:
@@ -341,18 +362,45 @@ def _clusters(edges: DataFrame) -> DataFrame:
 
 
 def _counted(pairs: DataFrame, sets: DataFrame, num: int, den: int, used: list) -> DataFrame:
-    """Links (a, b) among candidate pairs: partial overlaps per fragment, summed per pair."""
+    """The parts (a, b) that links among the candidate pairs join: partial overlaps per fragment,
+    summed per pair."""
     cut = _among(sets, pairs.select(F.explode(F.array("a", "b")).alias("vid")), used).select("vid", "n", F.posexplode("segments").alias("seg", "t"))
     l = cut.select(F.col("vid").alias("a"), F.col("n").alias("na"), "seg", F.col("t").alias("ta"))
     r = cut.select(F.col("vid").alias("b"), F.col("n").alias("nb"), "seg", F.col("t").alias("tb"))
-    part = pairs.join(l, "a").join(r, ["b", "seg"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("c"))
-    total = part.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
-    return total.filter(den * F.col("c") >= num * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
+    part = pairs.join(l, "a").join(r, ["b", "seg"]).select("a", "b", "ca", "cb", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("c"))
+    total = part.groupBy("a", "b", "ca", "cb", "na", "nb").agg(F.sum("c").alias("c"))
+    linked = total.filter(den * F.col("c") >= num * (F.col("na") + F.col("nb") - F.col("c")))
+    return linked.select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def _relabelled(m: DataFrame, joins: DataFrame) -> DataFrame:
+    """``m`` with the smallest label of the parts that ``joins`` joins in the column comp."""
+    now = connected_components(joins).select(F.col("id").alias("comp"), F.col("component").alias("now"))
+    return m.join(now, "comp", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The groups (key) with parts not yet joined."""
+    return members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("vid").alias("anchor")).filter("x != y").select("key", "anchor")
+
+
+def _star_pairs(members: DataFrame, tried: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The best supported member not yet tried of each open group against the rest, and these members."""
+    left = members.join(tried, (members["key"] == tried["key"]) & (members["vid"] == tried["hub"]), "left_anti")
+    hub = (left.join(_open(members), "key").groupBy("key").agg(F.max(F.struct("support", (-F.col("vid")).alias("v"), "comp", "n")).alias("h"))
+           .select("key", (-F.col("h.v")).alias("hub"), F.col("h.comp").alias("hc"), F.col("h.n").alias("hn")))
+    near = (F.greatest("n", "hn") * num) <= (F.least("n", "hn") * den)
+    pairs = members.join(hub, "key").filter((F.col("comp") != F.col("hc")) & near)
+    return pairs.select(F.col("hub").alias("a"), F.col("vid").alias("b"), F.col("hc").alias("ca"), F.col("comp").alias("cb")).distinct(), hub.select("key", "hub")
 
 
-def _labelled(m: DataFrame, links: DataFrame) -> DataFrame:
-    comp = connected_components(links).select(F.col("id").alias("vid"), F.col("component").alias("comp"))
-    return m.drop("comp").join(comp, "vid", "left").withColumn("comp", F.coalesce("comp", "vid"))
+def _small_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of parts not yet joined within each open group of at most ``SMALL`` sets."""
+    few = members.filter(F.col("members") <= SMALL).join(_open(members).select("key"), "key").select("key", "vid", "n", "comp")
+    other = few.select("key", F.col("vid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    near = (F.greatest("n", "nb") * num) <= (F.least("n", "nb") * den)
+    pairs = few.join(other, "key").filter((F.col("vid") < F.col("b")) & (F.col("comp") != F.col("cb")) & near)
+    return pairs.select(F.col("vid").alias("a"), "b", F.col("comp").alias("ca"), "cb").distinct()
 
 
 def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -368,14 +416,17 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
     several = stage_table(text.mapInArrow(_keyed(n, num, den), "key long, s1 long").groupBy("key")
                           .agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x != y").select("key"))
     few = spark.sparkContext.broadcast(make_bitmap(several.select(F.col("key").alias("term"))))
-    holders = text.mapInArrow(_keyed(n, num, den, few), "key long, s1 long, s2 long").distinct().join(several, "key", "left_semi")
-    holders = stage_table(holders.join(vertex.select("s1", "s2", "vid", "n"), ["s1", "s2"]).select("key", "vid", "n"))
+    holders = text.mapInArrow(_keyed(n, num, den, few), "key long, s1 long, s2 long, kind int, room long").distinct().join(several, "key", "left_semi")
+    holders = stage_table(holders.join(vertex.select("s1", "s2", "vid", "n"), ["s1", "s2"]).select("key", "vid", "n", "kind", "room"))
     free(several)
     forget(few)
-    shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    grouped = stage_table(holders.join(shared, "key"))
-    support = grouped.groupBy("vid").agg(F.sum("members").alias("support"))
-    members = stage_table(grouped.join(support, "vid").withColumn("comp", F.col("vid")))
+    # of each set and kind its rarest keys, as many as are enough
+    shared = holders.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    rarest = F.row_number().over(Window.partitionBy("vid", "kind").orderBy("members", "key"))
+    grouped = stage_table(holders.join(shared, "key").withColumn("rank", rarest).filter("rank <= room and members > 1").select("key", "vid", "n"))
+    shared = grouped.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    support = F.sum("members").over(Window.partitionBy("vid"))
+    members = stage_table(grouped.join(shared, "key").withColumns({"support": support, "comp": F.col("vid")}))
     free(holders, grouped)
 
     want = members.select("vid").distinct().join(vertex, "vid")
@@ -385,42 +436,41 @@ def components(documents: DataFrame, *, n: int = 3, num: int = 90, den: int = 10
     sets = stage_table(want.select("vid", "n", "s1", "s2").join(sets, ["s1", "s2"]).select("vid", "n", "set.segments", "set.sketch"))
     forget(shared_sigs)
 
-    links, done, used = None, [], []  # ``tried`` still reads the members of the round before
+    # star pairs of all groups, then all pairs of small ones
+    done, used = [], []  # ``tried`` still reads the members of the round before
     tried = members.limit(0).select("key", F.col("vid").alias("hub"))
-    for _ in range(2):
-        # the best supported member not yet tried, of each group with unjoined parts, against the rest
-        left = members.join(tried, (members["key"] == tried["key"]) & (members["vid"] == tried["hub"]), "left_anti")
-        open_ = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("key")
-        hub = (left.join(open_, "key").groupBy("key").agg(F.max(F.struct("support", (-F.col("vid")).alias("v"), "comp", "n")).alias("h"))
-               .select("key", (-F.col("h.v")).alias("hub"), F.col("h.comp").alias("hc"), F.col("h.n").alias("hn")))
-        near = (F.greatest("n", "hn") * num) <= (F.least("n", "hn") * den)
-        pairs = (members.join(hub, "key").filter((F.col("comp") != F.col("hc")) & near)
-                 .select(F.col("hub").alias("a"), F.col("vid").alias("b")).distinct())
-        pairs = stage_table(_possible(pairs, sets, num, den))
-        found = _counted(pairs, sets, num, den, used)
-        before, links = links, stage_table(found if links is None else links.unionAll(found))
-        free(pairs, *([before] if before is not None else []))
-        tried = hub.select("key", "hub")
-        done.append(members)
-        members = stage_table(_labelled(members, links))
+    for small in (False, False, True):
+        if small:
+            pairs = _small_pairs(members, num, den)
+        else:
+            pairs, tried = _star_pairs(members, tried, num, den)
+        pairs, some = stage_observed(_possible(pairs, sets, num, den), F.count(F.lit(1)).alias("n"))
+        if some["n"]:
+            joins = stage_table(_counted(pairs, sets, num, den, used))
+            done.append(members)
+            members = stage_table(_relabelled(members, joins))
+            free(joins)
+        free(pairs)
     free(*done)
 
-    # groups still in parts: clusters of them, block against block
-    open_ = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("vid").alias("anchor")).filter("x != y")
-    rest = stage_table(members.join(open_.select("key", "anchor"), "key").select("vid", "n", "comp", "anchor").distinct())
-    parts = rest.select("vid", "n", "comp").distinct()
-    screen = _blocks(parts.join(_clusters(rest.select(F.col("vid").alias("a"), F.col("anchor").alias("b"))), "vid"), SCREEN)
-    maybe = stage_table(screen.join(sets.select("vid", "sketch"), "vid").groupBy("cluster", "i", "j")
-                        .applyInPandas(_screened(num, den), "a long, b long"))
-    small = stage_table(_blocks(parts.join(_clusters(maybe), "vid"), BLOCK))
-    more = (small.join(_among(sets, small.select("vid"), used).select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
-            .applyInPandas(_joined(num, den), "a long, b long"))
-    before, links = links, stage_table(links.unionAll(more))
-    free(sets, members, rest, maybe, small, before)
+    # larger groups still in parts: clusters of them, block against block
+    rest, some = stage_observed(members.filter(F.col("members") > SMALL).join(_open(members), "key").select("vid", "n", "comp", "anchor").distinct(),
+                                F.count(F.lit(1)).alias("n"))
+    comp = members.select("vid", "comp").distinct()
+    if some["n"]:
+        parts = rest.select("vid", "n", "comp").distinct()
+        screen = _blocks(parts.join(_clusters(rest.select(F.col("vid").alias("a"), F.col("anchor").alias("b"))), "vid"), SCREEN)
+        maybe = stage_table(screen.join(sets.select("vid", "sketch"), "vid").groupBy("cluster", "i", "j")
+                            .applyInPandas(_screened(num, den), "a long, b long"))
+        block = stage_table(_blocks(parts.join(_clusters(maybe), "vid"), BLOCK))
+        joins = stage_table(block.join(_among(sets, block.select("vid"), used).select("vid", "segments"), "vid").groupBy("cluster", "i", "j")
+                            .applyInPandas(_joined(num, den), "a long, b long"))
+        free(maybe, block)
+        comp = _relabelled(comp, joins)
+    free(sets, rest)
     forget(*used)
 
-    comp = connected_components(links).select(F.col("id").alias("vid"), "component")
-    whole = vertex.join(comp, "vid", "left").withColumn("component", F.coalesce("component", "vid"))
+    whole = vertex.join(comp.select("vid", F.col("comp").alias("component")), "vid", "left").withColumn("component", F.coalesce("component", "vid"))
     named = whole.join(whole.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("s1", "s2", F.col("n").alias("size"), "component", "component_id")
     full = rows.select("id", "th", "n", "s1", "s2")
     out = full.join(named, (full["s1"] == named["s1"]) & (full["s2"] == named["s2"]) & (full["n"] == named["size"]), "left")

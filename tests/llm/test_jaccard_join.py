@@ -121,3 +121,62 @@ def test_unrelated_sets_share_no_key(num):
     rng = random.Random(3)
     keys = keys_of(Levels(num, 100), [{rng.getrandbits(64) for _ in range(rng.randint(1, 500))} for _ in range(2000)])
     assert len(set().union(*keys)) == sum(map(len, keys))
+
+
+@pytest.mark.parametrize("num", [50, 80, 90, 95])
+def test_linked_sets_share_one_of_their_rarest_keys(num):
+    """By any order of the keys; those that only one set holds leave less room."""
+    rng, levels, flat = random.Random(num), Levels(num, 100), []
+    for _ in range(1500):
+        both, a, b = rng.choice([rng.randint(1, 30), rng.randint(1, 300)]), 0, 0
+        while 100 * both >= num * (both + a + b + 1):
+            a, b = (a + 1, b) if rng.random() < .5 else (a, b + 1)
+        new = [rng.getrandbits(64) for _ in range(both + a + b)]
+        flat += [np.sort(np.array(x, np.uint64)) for x in (new[:both + a], new[:both] + new[both + a:])]
+    size = np.array([len(s) for s in flat])
+    who, key, kind, room = levels.keys(np.repeat(np.arange(len(flat)), size), np.concatenate(flat), size, ranked=True)
+    held = [{} for _ in flat]
+    for w, k, c, r in zip(who.tolist(), key.tolist(), kind.tolist(), room.tolist()):
+        held[w].setdefault(c, (r, []))[1].append(k)
+    count, dropped = dict(zip(*[x.tolist() for x in np.unique(key, return_counts=True)])), 0
+    first = []
+    for x in held:
+        first.append(set())
+        for r, keys in x.values():
+            first[-1].update(sorted(keys, key=lambda k: (count[k], k))[:r])
+            dropped += len(keys) > r
+    assert dropped > 100
+    assert all(x & y for x, y, s, t in zip(first[::2], first[1::2], flat[::2], flat[1::2]) if s.tolist() != t.tolist())
+
+
+def test_common_passages_chain_no_clusters(spark, make_docs, monkeypatch):
+    """Texts that only have a few lines in common are not compared block by block."""
+    from tessera.llm import jaccard_join
+    rng, made = random.Random(9), []
+    blocks = jaccard_join._blocks
+    monkeypatch.setattr(jaccard_join, "_blocks", lambda *a: made.append(1) or blocks(*a))
+    lines = [" ".join(f"c{i}x{j}" for j in range(12)) for i in range(6)]
+    texts = [" ".join([*rng.sample(lines, 2), *(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 60)))]) for _ in range(300)]
+    docs = list(enumerate(texts + family(rng, 12, 2, 60)))
+    assert rows(jaccard_components(make_docs(docs))) == brute(docs)
+    assert not made
+
+
+def test_large_groups_block_by_block(spark, make_docs, monkeypatch):
+    from tessera.llm import jaccard_join
+    for name, size in (("SMALL", 2), ("SCREEN", 9), ("BLOCK", 5)):
+        monkeypatch.setattr(jaccard_join, name, size)
+    rng, made = random.Random(10), []
+    blocks = jaccard_join._blocks
+    monkeypatch.setattr(jaccard_join, "_blocks", lambda *a: made.append(1) or blocks(*a))
+    docs = list(enumerate(family(rng, 70, 6, 70) + family(rng, 40, 4, 45)))
+    assert rows(jaccard_components(make_docs(docs))) == brute(docs)
+    assert len(made) == 2
+
+
+def test_component_rounds_have_no_joins(spark):
+    """The driver holds the plan of each round: one scan, no join."""
+    from tessera.functions import components
+    e = spark.createDataFrame([(2, 1), (3, 2)], "a long, b long")
+    plan = components._small_star(components._large_star(e)).distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Scan") == 1
