@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import partial
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -62,7 +63,16 @@ def _fit(estimator, df: DataFrame, n_rows: int | None = None):
     """Fit on as many partitions as the rows fill, up to one a core."""
     n = df.count() if n_rows is None else n_rows
     parts = _fit_parts(n, df.sparkSession.sparkContext.defaultParallelism)
-    return estimator.fit(df.coalesce(parts) if parts <= df.rdd.getNumPartitions() else df.repartition(parts))
+    return _without_summary(estimator.fit(df.coalesce(parts) if parts <= df.rdd.getNumPartitions() else df.repartition(parts)))
+
+
+def _without_summary(model):
+    """The fitted model without its training summary.  Scoring sends the model to the tasks, and the
+    summary holds the session, which cannot be sent once anything in it was observed."""
+    for stage in getattr(model, "stages", [model]):
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
 
 
 # ----------------------------------------------------------------------------- ML1-ML6
