@@ -20,13 +20,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.forest import Forest, Grown, fit_forests, held_scores
 from ..functions.kinds import numeric_columns, q, sql_double, sql_name
 from ..functions.metrics import classification_metrics, roc_auc, with_weights
 from ..functions.prefix import running_totals
 from ..functions.stats import medians
 from ..operators.select import FittedSelection, HighMissing, LowVariance, MutualInfo, correlated_drops, filled_sql
 from ..operators.split import fold_column, hash_key
-from ..session import concurrently, cut_lineage, stage_table
+from ..session import concurrently, cut_lineage, free, stage_table
 
 FEATURES = "features"
 WATCHED = "is_watched"  # validation rows of a boosted fit
@@ -154,7 +155,11 @@ def score_column(pred: DataFrame) -> DataFrame:
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str) -> dict:
     """MT1 + MT2 on a fitted model: accuracy, precision, recall, f1, auc."""
-    p = cut_lineage(score_column(model.transform(df)).select(q(label).alias("y"), "prediction", "score"))
+    return _metrics(score_column(model.transform(df)).select(q(label).alias("y"), "prediction", "score"))
+
+
+def _metrics(scored: DataFrame) -> dict:
+    p = cut_lineage(scored)
     m = classification_metrics(p, "y", "prediction").first().asDict()
     m["auc"] = roc_auc(p, "y", "score").first()["auc"]
     return {k: m[k] for k in ("accuracy", "precision", "recall", "f1", "auc")}
@@ -230,12 +235,13 @@ def find_best_model(train: DataFrame, validation: DataFrame, label: str, feature
 
 # ----------------------------------------------------------------------------- FS4 / FS5
 def rf_importance(df: DataFrame, label: str, features: Sequence[str], num_trees: int = 50,
-                  seed: int = 42, max_depth: int = FULL_DEPTH) -> tuple[DataFrame, PipelineModel]:
-    """FS4 — impurity importances of a 50-tree forest: (feature, importance)."""
-    model = _fit(plain_forest(label, features, num_trees, seed, max_depth), df)
-    imp = model.stages[-1].featureImportances.toArray()
+                  seed: int = 42, max_depth: int = FULL_DEPTH) -> tuple[DataFrame, Forest]:
+    """FS4 — impurity importances of a 50-tree forest: (feature, importance).  Its trees grow in tasks
+    (``functions.forest``) and never reach the driver."""
+    (imp,), table, cuts = fit_forests(df, label, features, [Grown(tuple(range(len(features))))], num_trees, seed, max_depth, keep=True)
     rows = [(f, float(v)) for f, v in zip(features, imp)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double"), model
+    return (df.sparkSession.createDataFrame(rows, "feature string, importance double"),
+            Forest(table.filter("tree >= 0"), cuts, features, num_trees))
 
 
 def select_by_rf(df: DataFrame, label: str, features: Sequence[str], threshold="auto") -> FittedSelection:
@@ -250,8 +256,12 @@ def select_by_rf(df: DataFrame, label: str, features: Sequence[str], threshold="
 def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str) -> DataFrame:
     """Exact AUC per group: running negatives over (group..., score), rebased per group."""
     y = q(label).cast("int")
-    g = (df.groupBy(*groups, q(score).cast("double").alias("s"))
-         .agg(F.sum((y == 1).cast("long")).alias("pos"), F.sum((y == 0).cast("long")).alias("neg")))
+    return _auc_of_counts(df.groupBy(*groups, q(score).cast("double").alias("s"))
+                          .agg(F.sum((y == 1).cast("long")).alias("pos"), F.sum((y == 0).cast("long")).alias("neg")), groups)
+
+
+def _auc_of_counts(g: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Exact AUC per group of (group..., s, pos, neg), each score s of a group once."""
     r = running_totals(stage_table(g), [*groups, "s"], ["neg"])  # scores are computed once, a range shuffle reads twice
     base = r.groupBy(*groups).agg(F.min(F.col("cum_neg") - F.col("neg")).alias("base"))
     r = r.join(base, list(groups))
@@ -265,7 +275,7 @@ def roc_auc_grouped(df: DataFrame, groups: Sequence[str], label: str, score: str
 BLOCK_VALUES = 4_000_000
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_col: str,
+def permutation_importance(model: PipelineModel | Forest, df: DataFrame, label: str, id_col: str,
                            features: Sequence[str], n_repeats: int = 5, seed: int = 42) -> DataFrame:
     """FS5 — mean and std over repeats of the AUC drop when one feature is permuted:
     (feature, importance_mean, importance_std).
@@ -275,9 +285,12 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_c
     blocks and each block also gets the first few rows of the next one, so rows move once,
     whatever the number of repeats and features; copies for scoring arise inside the tasks as
     vectors and leave them only as (feature, repeat, score) counts of the grouped exact AUC."""
-    for stage in model.stages[:-2]:  # indexers of categorical columns
-        df = stage.transform(df)
-    order = model.stages[-2].getInputCols()
+    if isinstance(model, Forest):
+        order = model.features
+    else:
+        for stage in model.stages[:-2]:  # indexers of categorical columns
+            df = stage.transform(df)
+        order = model.stages[-2].getInputCols()
     width = len(order)
     x = F.expr("array(" + ", ".join(f"coalesce(cast({sql_name(c)} AS double), {sql_double(float('nan'))})" for c in order) + ")")
     base = df.select(hash_key(id_col, seed, "perm").alias("h"), q(id_col).alias("id"), q(label).cast("int").alias("y"), x.alias("x"))
@@ -297,6 +310,12 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_c
                       F.when(block > 0, F.col("place")).otherwise(F.col("place") + F.lit(n)).alias("at"), F.lit(False).alias("own")))
     w = Window.partitionBy("block").orderBy("at")
     met = own.unionByName(guests).select("y", "x", "own", F.array(*[F.lead("x", s).over(w) for s in shifts]).alias("donors")).filter("own")
+    names = F.array(*[F.lit(c) for c in features])
+    if isinstance(model, Forest):
+        counts = model.score_counts(met, n, features, n_repeats).groupBy("f", "rep", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        aucs = cut_lineage(_auc_of_counts(counts, ["f", "rep"]))
+        base_auc = F.lit(aucs.filter("f < 0").first()["auc"])
+        return _drops(aucs.filter("f >= 0"), base_auc, names)
     places = {c: i for i, c in enumerate(order)}
     index = [places[c] if c in places else places[f"{c}__idx"] for c in features]
     combos = F.array(*[F.struct(F.lit(j).alias("f"), F.lit(i).alias("i"), F.lit(r).alias("rep"))
@@ -308,24 +327,32 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str, id_c
     aucs = roc_auc_grouped(scored.select("f", "rep", "y", "score"), ["f", "rep"], "y", "score")
     plain = model.stages[-1].transform(ranked.select("y", array_to_vector("x").alias(FEATURES)))
     base_auc = F.lit(roc_auc(score_column(plain).select("y", "score"), "y", "score").first()["auc"])
-    names = F.array(*[F.lit(c) for c in features])
+    return _drops(aucs, base_auc, names)
+
+
+def _drops(aucs: DataFrame, base_auc, names) -> DataFrame:
     return (aucs.groupBy("f").agg((base_auc - F.avg("auc")).alias("importance_mean"),
                                   F.stddev_pop(base_auc - F.col("auc")).alias("importance_std"))
             .select(names[F.col("f")].alias("feature"), "importance_mean", "importance_std"))
 
 
 # ----------------------------------------------------------------------------- FS7-FS9
+def _cv_aucs(folded: DataFrame, label: str, sets: Sequence[Sequence[str]], k: int, num_trees: int, seed: int) -> list[float]:
+    """Mean AUC over the k folds of a forest over each feature set; all forests grow in one job."""
+    features = list(dict.fromkeys(f for s in sets for f in s))
+    place = {f: i for i, f in enumerate(features)}
+    forests = [Grown(tuple(place[f] for f in s), i) for s in sets for i in range(k)]
+    _, table, _ = fit_forests(folded, label, features, forests, num_trees, seed, FULL_DEPTH, part=F.col("fold"))
+    found = {r["forest"]: r["auc"] for r in roc_auc_grouped(held_scores(table, num_trees), ["forest"], "y", "score").collect()}
+    free(table)
+    return [sum(found[j * k + i] for i in range(k)) / k for j in range(len(sets))]
+
+
 def cv_auc(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: int = 3,
            num_trees: int = 50, seed: int = 42) -> float:
     """Mean AUC over k stratified hash folds of a forest; ``df`` may hold its ``fold`` already."""
     folded = df if "fold" in df.columns else cut_lineage(fold_column(df, label, id_col, k, seed))
-
-    def fold_auc(i: int) -> float:
-        tr, te = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
-        m = _fit(plain_forest(label, features, num_trees, seed), tr)
-        return roc_auc(score_column(m.transform(te)), label, "score").first()["auc"]
-    aucs = concurrently([partial(fold_auc, i) for i in range(k)])
-    return sum(aucs) / k
+    return _cv_aucs(folded, label, [features], k, num_trees, seed)[0]
 
 
 def validate_feature_set(df: DataFrame, label: str, id_col: str, all_features: Sequence[str],
@@ -335,7 +362,7 @@ def validate_feature_set(df: DataFrame, label: str, id_col: str, all_features: S
     if set(selected) == set(all_features):
         return {"skipped": True, "accepted": True}
     folded = cut_lineage(fold_column(df, label, id_col, 3, 42))
-    a, s = concurrently([partial(cv_auc, folded, label, id_col, f) for f in (all_features, selected)])
+    a, s = _cv_aucs(folded, label, [all_features, selected], 3, 50, 42)
     loss = (a - s) / a if a else 0.0
     return {"skipped": False, "auc_all": a, "auc_selected": s, "loss": loss, "accepted": loss <= quality_loss}
 
@@ -429,8 +456,10 @@ def compare_resamplers(train: DataFrame, validation: DataFrame, label: str, id_c
         try:
             res = cut_lineage(RESAMPLERS[name](train, label, id_col, list(features)))
             counts = {r[0]: r[1] for r in res.groupBy(q(label)).count().collect()}
-            m = _fit(plain_forest(label, features, num_trees, seed), res, sum(counts.values()))
-            ev = evaluate(m, validation, label)
+            rows = res.select(q(label), *map(q, features), F.lit(0).alias("held")).unionByName(validation.select(q(label), *map(q, features), F.lit(1).alias("held")))
+            _, table, _ = fit_forests(rows, label, features, [Grown(tuple(range(len(features))), 1)], num_trees, seed, FULL_DEPTH, part=F.col("held"))
+            ev = _metrics(held_scores(table, num_trees).select("y", (F.col("score") > 0.5).cast("double").alias("prediction"), "score"))
+            free(table)
             return (name, sum(counts.values()), counts.get(1, 0), counts.get(0, 0),
                     *[float(ev[k]) if ev[k] is not None else None for k in ("f1", "recall", "precision", "auc")], None)
         except Exception as e:  # noqa: BLE001 - reported, as the reference does
