@@ -356,17 +356,29 @@ def cv_auc(df: DataFrame, label: str, id_col: str, features: Sequence[str], k: i
 
 
 def validate_feature_set(df: DataFrame, label: str, id_col: str, all_features: Sequence[str],
-                         selected: Sequence[str], quality_loss: float = 0.05) -> dict:
+                         selected: Sequence[str], quality_loss: float = 0.05, shared: dict | None = None) -> dict:
     """FS7 — 3-fold CV AUC of a 50-tree forest with all vs selected features; accepted when
-    the relative loss is at most ``quality_loss``; skipped when nothing was removed."""
+    the relative loss is at most ``quality_loss``; skipped when nothing was removed.  ``shared``
+    as in ``select_features``."""
     if set(selected) == set(all_features):
         return {"skipped": True, "accepted": True}
-    folded = cut_lineage(fold_column(df, label, id_col, 3, 42))
-    a, s = _cv_aucs(folded, label, [all_features, selected], 3, 50, 42)
+    shared = {} if shared is None else shared
+    folded = _once(shared, "folds", lambda: cut_lineage(fold_column(df, label, id_col, 3, 42)))
+    sets = [tuple(all_features), tuple(selected)]
+    new = [f for f in sets if ("auc", f) not in shared]
+    if new:
+        shared.update(zip([("auc", f) for f in new], _cv_aucs(folded, label, new, 3, 50, 42)))
+    a, s = [shared["auc", f] for f in sets]
     loss = (a - s) / a if a else 0.0
     return {"skipped": False, "auc_all": a, "auc_selected": s, "loss": loss, "accepted": loss <= quality_loss}
 
 
+def _once(shared: dict, key, make: Callable):
+    if key not in shared:
+        shared[key] = make()
+    return shared[key]
+
+
 PRESETS = {
     "fast": {"use_permutation": False, "corr_threshold": 0.95, "max_features": 50, "quality_loss": 0.05},
     "accurate": {"use_permutation": True, "corr_threshold": 0.95, "max_features": None, "quality_loss": 0.0},
@@ -379,37 +391,44 @@ def select_features(df: DataFrame, label: str, id_col: str, features: Sequence[s
                     rf_threshold="auto", use_permutation: bool = True, corr_threshold: float = 0.95,
                     max_features: int | None = None, quality_loss: float | None = 0.05, validate: bool = True,
                     rank_by: str = "rf", use_mi: bool = True, use_rf: bool = True, remove_correlated: bool = True,
-                    perm_threshold: float = 0.0, perm_repeats: int = 5) -> dict:
+                    perm_threshold: float = 0.0, perm_repeats: int = 5, shared: dict | None = None) -> dict:
     """FS8 — low variance -> high missing -> median fill -> union of MI / forest / permutation
     picks -> correlated removal -> top ``max_features`` by the ``rank_by`` importance ->
     validation with fallback to all features (``quality_loss`` None: none).  Every step has a
     switch; with no picking step on, all features go on.  When nothing is left after the first
     two filters, or nothing is picked, the result says so and selects nothing.  The kept list
-    is in schema order; importances are kept per method."""
+    is in schema order; importances are kept per method.  ``shared``: results of the
+    steps so far over the same frame, label and id; a step with the same features and parameters is not
+    run again."""
+    shared = {} if shared is None else shared
     feats = list(features) if features is not None else numeric_columns(df, (label, id_col))
-    f1 = LowVariance(variance_threshold, feats).fit(df)
-    feats = f1.kept
-    f2 = HighMissing(missing_threshold, feats).fit(df)
+    f1 = _once(shared, ("variance", variance_threshold, *feats), lambda: LowVariance(variance_threshold, feats).fit(df))
+    varied = f1.kept
+    f2 = _once(shared, ("missing", missing_threshold, *varied), lambda: HighMissing(missing_threshold, varied).fit(df))
     feats = f2.kept
     result = {"selected": [], "importances": {}, "dropped_low_variance": f1.dropped, "dropped_missing": f2.dropped, "dropped_correlated": []}
     if not feats:
         return result | {"empty": "every feature has low variance or too many missing values"}
-    med = medians(df, feats)
-    data = cut_lineage(df.selectExpr(sql_name(id_col), sql_name(label), *[f"{filled_sql(c, med[c])} AS {sql_name(c)}" for c in feats]))
+
+    def filled():
+        med = medians(df, feats)
+        return cut_lineage(df.selectExpr(sql_name(id_col), sql_name(label), *[f"{filled_sql(c, med[c])} AS {sql_name(c)}" for c in feats]))
+    mine = shared.setdefault(("filled", *feats), {})  # what follows depends on these features
+    data = _once(mine, "data", filled)
     picked, imps = set(), {}
     if use_mi:
-        mi = MutualInfo(label, mi_threshold, feats).fit(data)
+        mi = _once(mine, ("mi", mi_threshold), lambda: MutualInfo(label, mi_threshold, feats).fit(data))
         picked |= set(mi.kept)
         imps["mi"] = mi.info["mi"]
     model = None
     if use_rf or use_permutation:
-        rf = select_by_rf(data, label, feats, rf_threshold)
+        rf = _once(mine, ("rf", rf_threshold), lambda: select_by_rf(data, label, feats, rf_threshold))
         model, imps["rf"] = rf.info["model"], rf.info["importance"]
         if use_rf:
             picked |= set(rf.kept)
     if use_permutation:
-        perm = {r["feature"]: r["importance_mean"] for r in
-                permutation_importance(model, data, label, id_col, feats, n_repeats=perm_repeats).collect()}
+        perm = _once(mine, ("permutation", rf_threshold, perm_repeats), lambda: {r["feature"]: r["importance_mean"] for r in permutation_importance(
+            model, data, label, id_col, feats, n_repeats=perm_repeats).collect()})
         imps["permutation"] = perm
         picked |= {f for f, v in perm.items() if v is not None and v > perm_threshold}
     cand = [f for f in feats if f in picked] if use_mi or use_rf or use_permutation else list(feats)
@@ -426,7 +445,7 @@ def select_features(df: DataFrame, label: str, id_col: str, features: Sequence[s
     result = {"selected": cand, "importances": imps, "dropped_low_variance": f1.dropped,
               "dropped_missing": f2.dropped, "dropped_correlated": sorted(drops)}
     if validate and quality_loss is not None and cand:
-        v = validate_feature_set(data, label, id_col, feats, cand, quality_loss)
+        v = validate_feature_set(data, label, id_col, feats, cand, quality_loss, mine)
         result["validation"] = v
         if not v["accepted"]:
             result["selected"] = feats

@@ -144,9 +144,9 @@ def fs8_select(spark, sf):
 @query("fs9_presets")
 def fs9_presets(spark, sf):
     df = train_of(model_frame(spark, sf))
-    out = None
+    out, shared = None, {}
     for preset in ml.PRESETS:
-        rows = _selected_rows(spark, ml.select_features_preset(df, "planted", "id", preset, features=FEATS)).withColumn("preset", F.lit(preset))
+        rows = _selected_rows(spark, ml.select_features_preset(df, "planted", "id", preset, features=FEATS, shared=shared)).withColumn("preset", F.lit(preset))
         out = rows if out is None else out.unionByName(rows)
     return out
 
