@@ -36,7 +36,7 @@ from ..session import free, ship_package, stage_table
 from .kinds import q
 
 BINS = 32
-SUMMARY = 1024
+SUMMARY = 4096
 UNIT = 1 << 40  # of scores
 CELLS = 1 << 21  # class counts held at a time
 ROWS = 1 << 20  # rows counted at a time
@@ -76,7 +76,7 @@ def _summaries(width: int):
             for j in range(width):
                 x = X[:, j][~np.isnan(X[:, j])] + 0.0  # no negative zero
                 v, w = held[j]
-                held[j] = _summary(np.concatenate([v, x]), np.concatenate([w, np.ones(len(x), np.int64)]), 16 * SUMMARY)
+                held[j] = _summary(np.concatenate([v, x]), np.concatenate([w, np.ones(len(x), np.int64)]), 4 * SUMMARY)
         held = [_summary(v, w, SUMMARY) for v, w in held]
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array([v.tolist() for v, _ in held], pa.list_(pa.float64())),
                                           pa.array([w.tolist() for _, w in held], pa.list_(pa.int64()))], ["f", "v", "w"])
@@ -197,6 +197,17 @@ def _best(X, y, w, rows, start, feats, n0, n1, min_leaf):
     return gain[np.arange(k), best], best // BINS, best % BINS
 
 
+def _drawn(rng: np.random.Generator, nodes: int, width: int, pick: int) -> np.ndarray:
+    """``pick`` of ``width`` places for each node, by a reservoir; of equal gains the first place wins, as
+    in ``pyspark.ml``."""
+    out = np.tile(np.arange(pick), (nodes, 1))
+    for i in range(pick, width):
+        at = (rng.random(nodes) * (i + 1)).astype(np.int64)
+        hit = np.flatnonzero(at < pick)
+        out[hit, at[hit]] = i
+    return out
+
+
 def grow(X: np.ndarray, y: np.ndarray, w: np.ndarray, features: Sequence[int], rng: np.random.Generator,
          pick: int, max_depth: int, min_leaf: int) -> tuple[Tree, np.ndarray]:
     """A tree over the columns of ``X`` with a weight, and its importances (a place a feature of
@@ -218,7 +229,7 @@ def grow(X: np.ndarray, y: np.ndarray, w: np.ndarray, features: Sequence[int], r
             some = can[s:s + step]
             held = np.concatenate([[0], np.cumsum(size[some])])
             mine = rows[np.repeat(start[some] - held[:-1], size[some]) + np.arange(held[-1])]
-            drawn = np.argsort(rng.random((len(some), len(features))), axis=1)[:, :pick]
+            drawn = _drawn(rng, len(some), len(features), pick)
             g, j, b = _best(X, y, w, mine, held, features[drawn], n0[some], n1[some], min_leaf)
             hit = g > 0
             place[some[hit]], cut[some[hit]], gain[some[hit]] = drawn[np.arange(len(some)), j][hit], b[hit], g[hit]

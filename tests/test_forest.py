@@ -34,11 +34,6 @@ def plain_score(tree, x):
     return tree[0]
 
 
-class InOrder:
-    def random(self, shape):
-        return np.tile(np.arange(shape[1]) / shape[1], (shape[0], 1))
-
-
 @pytest.mark.parametrize("depth, cells", [(30, 1 << 21), (3, 1 << 21), (30, 256)])  # also a few nodes at a time
 def test_a_tree_is_the_plain_one(monkeypatch, depth, cells):
     monkeypatch.setattr(fo, "CELLS", cells)
@@ -47,7 +42,7 @@ def test_a_tree_is_the_plain_one(monkeypatch, depth, cells):
     X = rng.integers(0, 9, (3, 150)).astype(np.uint8)
     y = ((X[0] > 4) ^ (rng.random(150) < 0.25)).astype(np.uint8)
     w = fo.bag(np.arange(150), 2, 42)
-    tree, importance = fo.grow(X, y, w, [0, 1, 2], InOrder(), 3, depth, 1)
+    tree, importance = fo.grow(X, y, w, [0, 1, 2], np.random.default_rng(0), 3, depth, 1)
     live = w > 0
     want = plain_tree(X[:, live], y[live].astype(float), w[live].astype(float), [0, 1, 2], depth)
     Z = rng.integers(0, 9, (3, 400)).astype(np.uint8)
@@ -58,6 +53,12 @@ def test_a_tree_is_the_plain_one(monkeypatch, depth, cells):
     assert (again.scores(Z) == tree.scores(Z)).all()
 
 
+def test_every_feature_is_drawn_as_often():
+    drawn = fo._drawn(np.random.default_rng(0), 20_000, 11, 4)
+    assert np.allclose(np.bincount(drawn.ravel(), minlength=11) / 20_000, 4 / 11, atol=0.02)
+    assert all(len(set(d)) == 4 for d in drawn[:500].tolist())
+
+
 def test_weights_are_poisson():
     w = np.stack([fo.bag(np.arange(20_000), t, 42) for t in range(5)])
     assert np.allclose(w.mean(1), 1, atol=0.03) and np.allclose(w.var(1), 1, atol=0.06)
